@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming sources, sinks, windows or state, so nothing
+here is stream-specific. The row-wise operators (predicates, text cleaning,
+casts, bands and flags, ``iqr_flag`` with ``stats_from`` a static frame)
+are plain projections and filters, so they apply unchanged to a
+``spark.readStream`` frame; aggregate reports run per micro-batch through
+``foreachBatch`` if needed.
+"""
