@@ -60,6 +60,19 @@ def quantile(c: str | Column, p: float | Sequence[float], method: str = "exact",
     raise ValueError(f"unknown quantile method {method!r}; use 'exact' or 'approx'")
 
 
+STATS_COL = "_scrubjay_stats"
+
+
+def attach(df: DataFrame, stats: Column, name: str = STATS_COL) -> DataFrame:
+    """Bind a (struct-valued) scalar subquery to ``df`` as one temporary column.
+
+    Referencing the subquery through this column makes Spark execute it once;
+    repeating ``stats["field"]`` on the subquery expression itself would plan
+    one subquery per reference. Drop the column when done.
+    """
+    return df.withColumn(name, stats)
+
+
 def stats_row(df: DataFrame, **aggs: Column) -> Column:
     """A one-row aggregate over ``df`` packed in a struct, as a scalar subquery.
 

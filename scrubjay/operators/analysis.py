@@ -32,40 +32,48 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg
     return df.groupBy(*rows).pivot(column, list(values)).agg(agg)
 
 
+def _long_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per (input row, pair) holding ``col_x, col_y, x, y``; rows with a null dropped."""
+    arr = F.array(*[F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"),
+                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                    for a, b in pairs])
+    return df.select(F.inline(arr)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """Long Pearson matrix ``(col_x, col_y, corr)`` for every ordered pair.
 
-    All ``k*(k+1)/2`` distinct pairs come from ONE aggregate; the state is a few
-    doubles per pair, independent of the row count. Undefined -> null.
+    Each row is unpivoted into its ``k*(k+1)/2`` column pairs and a grouped
+    aggregate computes covariance and deviations per pair over the rows where
+    both values are present (pandas' pairwise semantics). Partial aggregation
+    leaves one small row per pair and task before the shuffle, and the
+    aggregate stays in whole-stage codegen however many columns are given.
+    Undefined (constant column, < 2 rows) -> null, never an ANSI error.
     """
     cols = list(cols)
-    aggs = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            aggs.append(corr_safe(a, cols[j]).alias(f"_c{i}_{j}"))
-    row = df.agg(*aggs)
-    items = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            items.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"),
-                                  F.round(F.col(f"_c{lo}_{hi}"), digits).alias("corr")))
-    return row.select(F.inline(F.array(*items)))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    stats = _long_pairs(df, pairs).groupBy("col_x", "col_y").agg(
+        F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
+    r = F.round(F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")), digits)
+    fwd = F.struct(F.col("col_x"), F.col("col_y"), r.alias("corr"))
+    rev = F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), r.alias("corr"))
+    both = F.when(F.col("col_x") == F.col("col_y"), F.array(fwd)).otherwise(F.array(fwd, rev))
+    return stats.select(F.inline(both))
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Typed long summary ``(column_name, stat, value)``: count, mean, stddev, min, max."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"_{i}_count"), F.avg(x).alias(f"_{i}_mean"),
-                 F.stddev_samp(x).alias(f"_{i}_stddev"), F.min(x).alias(f"_{i}_min"),
-                 F.max(x).alias(f"_{i}_max")]
-    row = df.agg(*aggs)
-    items = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"),
-                      F.round(F.col(f"_{i}_{s}"), digits).alias("value"))
-             for i, c in enumerate(cols) for s in ("count", "mean", "stddev", "min", "max")]
-    return row.select(F.inline(F.array(*items)))
+    """Typed long summary ``(column_name, stat, value)``: count, mean, stddev, min, max.
+
+    Unpivot then group by column name: one scan, a handful of aggregates, and
+    codegen-friendly whatever the column count.
+    """
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])
+    g = df.select(F.inline(arr)).groupBy("column_name").agg(
+        F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
+        F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"), F.max("v").alias("max"))
+    items = F.array(*[F.struct(F.lit(s).alias("stat"), F.round(F.col(s), digits).alias("value"))
+                      for s in ("count", "mean", "stddev", "min", "max")])
+    return g.select("column_name", F.inline(items))
 
 
 def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str = "rows") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, quantile
+from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, quantile
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -75,13 +75,14 @@ def _fill(df: DataFrame, stats: Mapping[str, Column], keep_type: bool, suffix: s
     if not stats:
         return df
     row = df.agg(F.struct(*[v.alias(k) for k, v in stats.items()]).alias("s")).scalar()
+    types = {f.name: f.dataType for f in df.schema.fields}
     cols = {}
     for c in stats:
-        value = row[c]
+        value = F.col(STATS_COL)[c]
         if keep_type:
-            value = value.cast(df.schema[c].dataType)
+            value = value.cast(types[c])
         cols[f"{c}{suffix}" if suffix else c] = F.coalesce(F.col(c), value)
-    return df.withColumns(cols)
+    return attach(df, row).withColumns(cols).drop(STATS_COL)
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str], keep_type: bool = False, suffix: str | None = None) -> DataFrame:

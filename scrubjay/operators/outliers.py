@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, quantile
+from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, quantile
 
 
 def quantiles(df: DataFrame, c: str, ps: Sequence[float], method: str = "exact",
@@ -42,15 +42,16 @@ def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
 
 def iqr_report(df: DataFrame, c: str, k: float = 1.5, method: str = "exact", digits: int = 2) -> DataFrame:
     """One row: total rows, low and high outlier counts, rounded fences."""
-    b = iqr_bounds(df, c, k, method)
+    b = F.col(STATS_COL)
     x = F.col(c)
-    return df.agg(
+    return attach(df.select(c), iqr_bounds(df, c, k, method)).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(x < b["lower_bound"]).alias("low_outliers"),
         F.count_if(x > b["upper_bound"]).alias("high_outliers"),
+        F.any_value(b).alias("_b"),
     ).select("total", "low_outliers", "high_outliers",
-             F.round(b["lower_bound"], digits).alias("lower_bound"),
-             F.round(b["upper_bound"], digits).alias("upper_bound"))
+             F.round(F.col("_b")["lower_bound"], digits).alias("lower_bound"),
+             F.round(F.col("_b")["upper_bound"], digits).alias("upper_bound"))
 
 
 def iqr_flag(df: DataFrame, c: str, flag: str | None = None, k: float = 1.5, method: str = "exact",
@@ -61,7 +62,8 @@ def iqr_flag(df: DataFrame, c: str, flag: str | None = None, k: float = 1.5, met
     ``bounds_prefix`` also adds the fences as ``<prefix>lower_bound`` / ``upper_bound``.
     ``stats_from`` computes the fences on another frame (default: ``df``).
     """
-    b = iqr_bounds(stats_from if stats_from is not None else df, c, k, method, accuracy)
+    bounds = iqr_bounds(stats_from if stats_from is not None else df, c, k, method, accuracy)
+    b = F.col(STATS_COL)
     x = F.col(c)
     out = x.isNotNull() & ((x < b["lower_bound"]) | (x > b["upper_bound"]))
     out = F.coalesce(out, F.lit(False))
@@ -69,7 +71,7 @@ def iqr_flag(df: DataFrame, c: str, flag: str | None = None, k: float = 1.5, met
     if bounds_prefix is not None:
         cols[f"{bounds_prefix}lower_bound"] = b["lower_bound"]
         cols[f"{bounds_prefix}upper_bound"] = b["upper_bound"]
-    return df.withColumns(cols)
+    return attach(df, bounds).withColumns(cols).drop(STATS_COL)
 
 
 def zscore(df: DataFrame, c: str, threshold: float | None = 3.0, digits: int = 2,
@@ -80,8 +82,9 @@ def zscore(df: DataFrame, c: str, threshold: float | None = 3.0, digits: int = 2
     rounded for output only. A zero deviation gives a null z (never an error).
     """
     s = df.agg(F.struct(F.avg(c).alias("mu"), F.stddev_samp(c).alias("sd")).alias("s")).scalar()
-    z = F.try_divide(F.col(c) - s["mu"], s["sd"])
-    out = df.where(F.col(c).isNotNull()).withColumn("_z", z)
+    st = F.col(STATS_COL)
+    z = F.try_divide(F.col(c) - st["mu"], st["sd"])
+    out = attach(df.where(F.col(c).isNotNull()), s).withColumn("_z", z).drop(STATS_COL)
     if threshold is not None:
         out = out.where(F.abs(F.col("_z")) > threshold)
     return out.withColumn(name, F.round(F.col("_z"), digits)).drop("_z")

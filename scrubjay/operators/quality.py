@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import percent
+from scrubjay.functions.stats import STATS_COL, attach, percent
 
 # --- audits ---------------------------------------------------------------------
 
@@ -174,7 +174,7 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for keys, exprs in grouped.items():
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         sub = counts.agg(F.struct(*[e.alias(a) for a, e in exprs.items()]).alias("s")).scalar()
-        row = row.withColumns({a: sub[a] for a in exprs})
+        row = attach(row, sub).withColumns({a: F.col(STATS_COL)[a] for a in exprs}).drop(STATS_COL)
     items = []
     for r, mapping in zip(rules, names):
         m = {k: F.col(v) for k, v in mapping.items()}

@@ -59,9 +59,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scrubjay/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and continue from there.
+
+    Used where a frame feeds several jobs (statistics subqueries plus the
+    output): the expensive upstream (scan, shuffle, sort) runs once, and a lost
+    executor re-reads the checkpoint instead of recomputing the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (only used by tests to inspect output)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path"]
