@@ -42,22 +42,28 @@ def rate_pct(flag: str | Column) -> Column:
     return F.avg(col_(flag)).cast("double") * F.lit(100.0)
 
 
-def quantile(c: str | Column, p: float | Sequence[float], method: str = "exact",
+def quantile(c: str | Column, p: float | Sequence[float], method: str = "percentile",
              accuracy: int = DEFAULT_APPROX_ACCURACY) -> Column:
-    """Quantile aggregate.
+    """Quantile as an aggregate ``Column`` (usable per group).
 
-    ``exact``: interpolated percentile (same as SQL ``PERCENTILE`` and DuckDB
-    ``quantile_cont``); its buffer holds one entry per distinct value.
-    ``approx``: Greenwald-Khanna sketch with bounded memory, rank error
-    ``n / accuracy``; use it for high-cardinality columns at scale.
+    ``percentile``: Spark's exact interpolated percentile (= SQL ``PERCENTILE``,
+    DuckDB ``quantile_cont``); its buffer holds every distinct value, so keep it
+    for small groups. ``approx``: Greenwald-Khanna sketch, bounded memory, rank
+    error ``n / accuracy``. For an exact whole-table quantile at scale use
+    ``scrubjay.functions.quantiles.exact_quantiles``.
     """
     x = col_(c)
     ps = F.array(*[F.lit(float(v)) for v in p]) if isinstance(p, (list, tuple)) else F.lit(float(p))
-    if method == "exact":
+    if method == "percentile":
         return F.percentile(x, ps)
     if method == "approx":
         return F.percentile_approx(x, ps, accuracy)
-    raise ValueError(f"unknown quantile method {method!r}; use 'exact' or 'approx'")
+    raise ValueError(f"unknown quantile method {method!r}; use 'percentile' or 'approx'")
+
+
+def literal_struct(values: dict[str, float | None]) -> Column:
+    """A struct of DOUBLE literals (statistics computed by a bounded driver-side step)."""
+    return F.struct(*[F.lit(v).cast("double").alias(k) for k, v in values.items()])
 
 
 STATS_COL = "_scrubjay_stats"

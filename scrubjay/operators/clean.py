@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, quantile
+from scrubjay.functions.quantiles import exact_quantiles
+from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, literal_struct, quantile
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -70,11 +71,13 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(subset))
 
 
-def _fill(df: DataFrame, stats: Mapping[str, Column], keep_type: bool, suffix: str | None) -> DataFrame:
-    """Coalesce each column with its one-row statistic (a scalar subquery)."""
+def _fill(df: DataFrame, stats: Mapping[str, Column], keep_type: bool, suffix: str | None,
+          row: Column | None = None) -> DataFrame:
+    """Coalesce each column with its one-row statistic (a scalar subquery unless ``row`` is given)."""
     if not stats:
         return df
-    row = df.agg(F.struct(*[v.alias(k) for k, v in stats.items()]).alias("s")).scalar()
+    if row is None:
+        row = df.agg(F.struct(*[v.alias(k) for k, v in stats.items()]).alias("s")).scalar()
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = {}
     for c in stats:
@@ -97,7 +100,15 @@ def fill_mean(df: DataFrame, cols: Sequence[str], keep_type: bool = False, suffi
 def fill_median(df: DataFrame, cols: Sequence[str], method: str = "exact",
                 accuracy: int = DEFAULT_APPROX_ACCURACY, keep_type: bool = False,
                 suffix: str | None = None) -> DataFrame:
-    """Fill nulls with the median; all columns' medians come from one aggregate job."""
+    """Fill nulls with the median of each column.
+
+    ``exact`` (default) runs the bounded distributed selection for all columns
+    together; ``percentile`` / ``approx`` compute every median in one aggregate.
+    """
+    if method == "exact":
+        med = exact_quantiles(df, {c: [0.5] for c in cols})
+        row = literal_struct({c: med[c][0] for c in cols})
+        return _fill(df, {c: F.lit(None) for c in cols}, keep_type, suffix, row=row)
     return _fill(df, {c: quantile(c, 0.5, method, accuracy) for c in cols}, keep_type, suffix)
 
 

@@ -12,19 +12,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, quantile
+from scrubjay.functions.quantiles import exact_quantiles
+from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, literal_struct, quantile
+
+# method: "exact" (bounded distributed selection, default), "percentile" (Spark's
+# built-in exact aggregate, memory per distinct value) or "approx" (GK sketch).
 
 
 def quantiles(df: DataFrame, c: str, ps: Sequence[float], method: str = "exact",
               accuracy: int = DEFAULT_APPROX_ACCURACY, prefix: str = "q") -> DataFrame:
-    """One row with one column per requested quantile, from a single aggregate."""
+    """One row with one column per requested quantile."""
+    names = [f"{prefix}{int(round(p * 100)):02d}" for p in ps]
+    if method == "exact":
+        vals = exact_quantiles(df, {c: list(ps)})[c]
+        return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for v, n in zip(vals, names)])
     arr = df.agg(quantile(c, list(ps), method, accuracy).alias("_q"))
-    return arr.select(*[F.col("_q")[i].alias(f"{prefix}{int(round(p * 100)):02d}") for i, p in enumerate(ps)])
+    return arr.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+
+
+def _fences(q1, q3, k: float) -> dict[str, float | None]:
+    if q1 is None or q3 is None:
+        return {"q1": None, "q3": None, "iqr": None, "lower_bound": None, "upper_bound": None}
+    iqr = q3 - q1
+    return {"q1": q1, "q3": q3, "iqr": iqr, "lower_bound": q1 - k * iqr, "upper_bound": q3 + k * iqr}
 
 
-def iqr_stats(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
+def iqr_stats(df: DataFrame, c: str, k: float = 1.5, method: str = "percentile",
               accuracy: int = DEFAULT_APPROX_ACCURACY) -> DataFrame:
-    """One row: q1, q3, iqr and the ``k * iqr`` fences, over the non-null values."""
+    """One row: q1, q3, iqr and the ``k * iqr`` fences (aggregate form, ``percentile``/``approx``)."""
     q = df.agg(quantile(c, [0.25, 0.75], method, accuracy).alias("_q"))
     q = q.select(F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
@@ -35,7 +50,10 @@ def iqr_stats(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
 
 def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
                accuracy: int = DEFAULT_APPROX_ACCURACY) -> Column:
-    """The IQR statistics as a struct-valued scalar subquery."""
+    """The IQR statistics as a struct: literals for ``exact``, else a scalar subquery."""
+    if method == "exact":
+        q1, q3 = exact_quantiles(df, {c: [0.25, 0.75]})[c]
+        return literal_struct(_fences(q1, q3, k))
     s = iqr_stats(df, c, k, method, accuracy)
     return s.select(F.struct(*s.columns).alias("s")).scalar()
 
