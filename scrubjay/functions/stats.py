@@ -1,10 +1,11 @@
 """Statistics expressions.
 
 Aggregates are returned as ``Column`` objects so callers can put many of them
-into a single ``agg`` (one scan). One-row statistics are attached to the rows
-they describe through Spark scalar subqueries (``DataFrame.scalar()``): Spark
-runs the aggregate as its own job and inlines the single value into the plan,
-so no data passes through user code on the driver and no join is needed.
+into a single ``agg`` (one scan). One-row statistics reach the rows they
+describe without a join in one of two ways: as a Spark scalar subquery
+(``DataFrame.scalar()``, lazy, re-run by every job that contains it) or, where
+a statistic feeds several jobs, computed once by ``collect_stats`` and inlined
+as typed literals (one row reaches the driver).
 """
 
 from __future__ import annotations
@@ -61,6 +62,20 @@ def quantile(c: str | Column, p: float | Sequence[float], method: str = "percent
     raise ValueError(f"unknown quantile method {method!r}; use 'percentile' or 'approx'")
 
 
+def collect_stats(df: DataFrame, aggs: dict[str, Column]) -> Column:
+    """Run a one-row aggregate now and return it as a struct of typed literals.
+
+    Used by pipelines where the statistic feeds several later jobs: a scalar
+    subquery would be executed again inside every job that contains it, a
+    literal is computed once. Only one row (one value per statistic) reaches
+    the driver.
+    """
+    stats = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    row = stats.first()
+    types = {f.name: f.dataType for f in stats.schema.fields}
+    return F.struct(*[F.lit(row[k]).cast(types[k]).alias(k) for k in aggs])
+
+
 def literal_struct(values: dict[str, float | None]) -> Column:
     """A struct of DOUBLE literals (statistics computed by a bounded driver-side step)."""
     return F.struct(*[F.lit(v).cast("double").alias(k) for k, v in values.items()])

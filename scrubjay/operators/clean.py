@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrubjay.functions.quantiles import exact_quantiles
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, literal_struct, quantile
+from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, collect_stats, literal_struct, quantile
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -73,11 +73,11 @@ def drop_missing(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 
 def _fill(df: DataFrame, stats: Mapping[str, Column], keep_type: bool, suffix: str | None,
           row: Column | None = None) -> DataFrame:
-    """Coalesce each column with its one-row statistic (a scalar subquery unless ``row`` is given)."""
+    """Coalesce each column with its one-row statistic (computed once, inlined as literals)."""
     if not stats:
         return df
     if row is None:
-        row = df.agg(F.struct(*[v.alias(k) for k, v in stats.items()]).alias("s")).scalar()
+        row = collect_stats(df, dict(stats))
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = {}
     for c in stats:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubjay.functions.quantiles import exact_quantiles
-from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, literal_struct, quantile
+from scrubjay.functions.stats import (DEFAULT_APPROX_ACCURACY, STATS_COL, attach, collect_stats, literal_struct,
+                                     quantile)
 
 # method: "exact" (bounded distributed selection, default), "percentile" (Spark's
 # built-in exact aggregate, memory per distinct value) or "approx" (GK sketch).
@@ -50,12 +51,13 @@ def iqr_stats(df: DataFrame, c: str, k: float = 1.5, method: str = "percentile",
 
 def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
                accuracy: int = DEFAULT_APPROX_ACCURACY) -> Column:
-    """The IQR statistics as a struct: literals for ``exact``, else a scalar subquery."""
+    """The IQR statistics as a struct of literals, computed once (bounded driver step)."""
     if method == "exact":
         q1, q3 = exact_quantiles(df, {c: [0.25, 0.75]})[c]
-        return literal_struct(_fences(q1, q3, k))
-    s = iqr_stats(df, c, k, method, accuracy)
-    return s.select(F.struct(*s.columns).alias("s")).scalar()
+    else:
+        row = df.agg(quantile(c, [0.25, 0.75], method, accuracy).alias("_q")).first()
+        q1, q3 = (float(v) if v is not None else None for v in (row["_q"] or [None, None]))
+    return literal_struct(_fences(q1, q3, k))
 
 
 def iqr_report(df: DataFrame, c: str, k: float = 1.5, method: str = "exact", digits: int = 2) -> DataFrame:
@@ -99,7 +101,7 @@ def zscore(df: DataFrame, c: str, threshold: float | None = 3.0, digits: int = 2
     With ``threshold`` set, keeps rows whose raw ``|z|`` exceeds it; the value is
     rounded for output only. A zero deviation gives a null z (never an error).
     """
-    s = df.agg(F.struct(F.avg(c).alias("mu"), F.stddev_samp(c).alias("sd")).alias("s")).scalar()
+    s = collect_stats(df, {"mu": F.avg(c), "sd": F.stddev_samp(c)})
     st = F.col(STATS_COL)
     z = F.try_divide(F.col(c) - st["mu"], st["sd"])
     out = attach(df.where(F.col(c).isNotNull()), s).withColumn("_z", z).drop(STATS_COL)
