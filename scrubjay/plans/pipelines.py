@@ -30,9 +30,9 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
     """Dedup (keep first) -> median fill beside the original -> IQR flag with its fences.
 
     The deduplicated rows feed three jobs (median, quartiles, output), so they
-    are checkpointed once instead of being shuffled and sorted three times.
+    are written once instead of being shuffled and sorted three times.
     """
-    deduped = cut_lineage(clean.dedup_keep_first(flights, key, order))
+    deduped = cut_lineage(clean.dedup_keep_first(flights, key, order), "flights-dedup")
     filled = clean.fill_median(deduped, [fill_col], method=method, suffix="_filled")
     return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", method=method,
                              bounds_prefix=f"{outlier_col}_iqr_")
@@ -98,13 +98,13 @@ STUDENT_CAST_PLAN = {STUDENT_KEY: "bigint", "tie_part": "bigint", "tie_supp": "b
 def clean_students(df: DataFrame, outlier_method: str = "exact") -> DataFrame:
     """Dedup by id (keep first) -> standardise -> fill -> features -> IQR flag.
 
-    The deduplicated rows are checkpointed (they feed the fill medians, the
-    quartiles and the output). Standardising after the shuffle spreads the
+    The deduplicated rows are written once below the checkpoint folder (they
+    feed the fill medians, the quartiles and the output). Standardising after the shuffle spreads the
     regex work over the post-shuffle tasks and touches each kept row once.
     Medians for filling are approximate (bounded memory; the reference fills
     with approximate medians too). The key is never imputed.
     """
-    out = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER))
+    out = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER), "students-dedup")
     out = out.withColumns({c: category_token(c) for c in STUDENT_CATEGORIES})
     out = clean.fill_median(out, list(STUDENT_DOUBLES + STUDENT_INTS), method="approx", keep_type=True)
     out = clean.fill_constant(out, {c: "Unknown" for c in STUDENT_CATEGORIES})

@@ -59,15 +59,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scrubjay/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and continue from there.
-
-    Used where a frame feeds several jobs (statistics subqueries plus the
-    output): the expensive upstream (scan, shuffle, sort) runs once, and a lost
-    executor re-reads the checkpoint instead of recomputing the lineage.
+def cut_lineage(df, name: str = "lineage"):
+    """Write ``df`` as Parquet below the shared checkpoint folder and continue from the files.
+
+    Used where a frame feeds several jobs (statistics plus the output): the
+    expensive upstream (scan, shuffle, sort) runs once, a lost executor re-reads
+    the files instead of recomputing the lineage, and later jobs read back only
+    the columns they need (columnar, pruned), which ``checkpoint()``'s
+    row-serialised files cannot offer.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:
