@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubjay.functions import text
-from scrubjay.functions.predicates import facet_filter
+from scrubjay.functions.predicates import delay_filter, facet_filter
 from scrubjay.operators import analysis, clean, outliers, quality
 from scrubjay.operators.features import student_features
 from scrubjay.plans import pipelines, reports
@@ -24,6 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The cut domain checked in the diamonds validation (PROMO is left off on purpose).
 VALID_CUTS = ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
 DELAY_COLUMNS = ("dep_delay", "arr_delay", "air_time")
+# Airline picked in the filtered flight reports.
+CARRIER = 7
 # Facet selection used by the filtered student reports.
 STUDENT_FILTER = dict(ranges={"weekly_genai_hours": (0.0, 40.0)},
                       facets={"major_category": ["A", "R"], "institutional_policy": ["Allowed", "Restricted"],
@@ -54,6 +56,17 @@ def q_delay_by_month(spark, d):
     return reports.delay_by_month(fixtures.shipments(spark, d))
 
 
+def q_carrier_delay_summary(spark, d):
+    """Departure-delay summary for one airline, only delays of at least 15 days, months 3-9."""
+    where = delay_filter("dep_delay", (3, 9), 15, carrier=CARRIER)
+    return reports.delay_summary(fixtures.shipments(spark, d), "dep_delay", where)
+
+
+def q_carrier_delay_by_month(spark, d):
+    where = delay_filter("arr_delay", (3, 9), 15, carrier=CARRIER)
+    return reports.delay_by_month(fixtures.shipments(spark, d), "arr_delay", where)
+
+
 def q_worst_delays(spark, d):
     return reports.worst_delays(fixtures.shipments(spark, d), fixtures.airlines(spark, d))
 
@@ -323,12 +336,36 @@ def q_sample_repeatable(spark, d):
     return reports.scatter_sample(students(spark, d), 5000, 42)
 
 
+def q_filtered_band_overview(spark, d):
+    return reports.band_overview(students(spark, d), facet_filter(**STUDENT_FILTER))
+
+
+def q_filtered_skill_comparison(spark, d):
+    return reports.skill_comparison(students(spark, d), facet_filter(**STUDENT_FILTER))
+
+
+def q_filtered_policy_outcomes(spark, d):
+    return reports.policy_outcomes(students(spark, d), facet_filter(**STUDENT_FILTER))
+
+
+def q_filtered_band_level_counts(spark, d):
+    return reports.burnout_by_band(students(spark, d), facet_filter(**STUDENT_FILTER))
+
+
+def q_filtered_scatter_sample(spark, d):
+    return reports.scatter_sample(students(spark, d), 5000, 42, facet_filter(**STUDENT_FILTER))
+
+
 # --- diamonds ------------------------------------------------------------------------
 
 def q_price_summary(spark, d):
     return reports.price_summary(fixtures.gems(spark, d))
 
 
+def q_price_summary_cut(spark, d):
+    return reports.price_summary(fixtures.gems(spark, d), cut="MEDIUM")
+
+
 def q_price_by_cut(spark, d):
     return reports.price_by_cut(fixtures.gems(spark, d))
 

@@ -220,6 +220,14 @@ WHERE {_delay_where('f.arr_delay')}
 GROUP BY a.name, f.carrier ORDER BY avg_delay, f.carrier""",
     "delay_summary": _delay_summary("arr_delay"),
     "delay_summary_departure": _delay_summary("dep_delay"),
+    "carrier_delay_summary": f"""WITH {SHIPMENTS}
+SELECT COUNT(*) AS total_flights, ROUND(AVG(dep_delay), 1) AS avg_delay, ROUND(MIN(dep_delay), 1) AS best_delay,
+       ROUND(MAX(dep_delay), 1) AS worst_delay, {_pct('dep_delay <= 0')}::DOUBLE AS ontime_pct
+FROM shipments WHERE dep_delay IS NOT NULL AND month BETWEEN 3 AND 9 AND dep_delay >= 15 AND carrier = 7""",
+    "carrier_delay_by_month": f"""WITH {SHIPMENTS}
+SELECT month, ROUND(AVG(arr_delay), 2) AS avg_delay, COUNT(*) AS flights FROM shipments
+WHERE arr_delay IS NOT NULL AND month BETWEEN 3 AND 9 AND arr_delay >= 15 AND carrier = 7
+GROUP BY month ORDER BY month""",
     "delay_by_month": f"""WITH {SHIPMENTS}
 SELECT month, ROUND(AVG(arr_delay), 2) AS avg_delay, COUNT(*) AS flights FROM shipments
 WHERE {_delay_where('arr_delay')} GROUP BY month ORDER BY month""",
@@ -428,6 +436,29 @@ FROM students WHERE {_STUDENT_WHERE}""",
     "filtered_detail": f"""WITH {STUDENTS}
 SELECT {_DETAIL} FROM students WHERE {_STUDENT_WHERE}
 ORDER BY gpa_change DESC NULLS LAST, student_id LIMIT 1000""",
+    "filtered_band_overview": f"""WITH {STUDENTS}
+SELECT ai_usage_band, COUNT(*) AS students, ROUND(AVG(gpa_change), 3) AS avg_gpa_change,
+       ROUND(AVG(skill_retention_score), 2) AS avg_retention, ROUND(100.0 * AVG(high_burnout_flag), 2) AS high_burnout_pct
+FROM students WHERE {_STUDENT_WHERE} GROUP BY ai_usage_band""",
+    "filtered_skill_comparison": f"""WITH {STUDENTS}
+SELECT prompt_engineering_skill, COUNT(*) AS students, ROUND(AVG(gpa_change), 3) AS avg_gpa_change,
+       ROUND(AVG(skill_retention_score), 2) AS avg_retention, ROUND(AVG(tool_diversity), 2) AS avg_tool_diversity,
+       ROUND(100.0 * AVG(strong_retention_flag), 2) AS strong_retention_pct
+FROM students WHERE {_STUDENT_WHERE} GROUP BY prompt_engineering_skill""",
+    "filtered_policy_outcomes": f"""WITH {STUDENTS}
+SELECT institutional_policy, COUNT(*) AS students, ROUND(AVG(gpa_change), 3) AS avg_gpa_change,
+       ROUND(AVG(skill_retention_score), 2) AS avg_retention, ROUND(AVG(anxiety_level_during_exams), 2) AS avg_anxiety,
+       ROUND(100.0 * AVG(high_burnout_flag), 2) AS high_burnout_pct,
+       ROUND(100.0 * AVG(high_dependency_flag), 2) AS high_dependency_pct
+FROM students WHERE {_STUDENT_WHERE} GROUP BY institutional_policy""",
+    "filtered_band_level_counts": f"""WITH {STUDENTS}
+SELECT ai_usage_band, burnout_risk_level, COUNT(*) AS students FROM students WHERE {_STUDENT_WHERE}
+GROUP BY ai_usage_band, burnout_risk_level""",
+    "filtered_scatter_sample": f"""WITH {STUDENTS}
+SELECT student_id, weekly_genai_hours, skill_retention_score, gpa_change, major_category, year_of_study,
+       burnout_risk_level, prompt_engineering_skill
+FROM students WHERE {_STUDENT_WHERE}
+ORDER BY md5(concat_ws('|', CAST(student_id AS VARCHAR), '42')), student_id LIMIT 5000""",
     "sample_repeatable": f"""WITH {STUDENTS}
 SELECT student_id, weekly_genai_hours, skill_retention_score, gpa_change, major_category, year_of_study,
        burnout_risk_level, prompt_engineering_skill
@@ -437,6 +468,10 @@ FROM students ORDER BY md5(concat_ws('|', CAST(student_id AS VARCHAR), '42')), s
 SELECT COUNT(*) AS total_diamonds, ROUND(AVG(price), 2) AS avg_price, ROUND(AVG(carat), 2) AS avg_carat,
        ROUND(MIN(price), 2) AS min_price, ROUND(MAX(price), 2) AS max_price
 FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL AND cut IS NOT NULL""",
+    "price_summary_cut": f"""WITH {GEMS}
+SELECT COUNT(*) AS total_diamonds, ROUND(AVG(price), 2) AS avg_price, ROUND(AVG(carat), 2) AS avg_carat,
+       ROUND(MIN(price), 2) AS min_price, ROUND(MAX(price), 2) AS max_price
+FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL AND cut IS NOT NULL AND cut = 'MEDIUM'""",
     "price_by_cut": f"""WITH {GEMS}
 SELECT cut, COUNT(*) AS diamonds, ROUND(AVG(price), 2) AS avg_price, ROUND(AVG(carat), 2) AS avg_carat
 FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL AND cut IS NOT NULL

@@ -228,3 +228,28 @@ def filtered_detail(df: DataFrame, where: Column | None = None, n: int = 1000) -
 
 def student_facets(df: DataFrame) -> DataFrame:
     return analysis.facet_values(df, STUDENT_FACETS)
+
+
+# --- dashboard variants (filtered, with the dashboard's column names) ---------------
+
+def band_overview(df: DataFrame, where: Column | None = None) -> DataFrame:
+    """GPA change, retention and burnout by usage band, in band order (dashboard/chart form)."""
+    return (_filtered(df, where).groupBy("ai_usage_band").agg(
+        _students(), _avg("gpa_change", 3, "avg_gpa_change"), _avg("skill_retention_score", 2, "avg_retention"),
+        _pct("high_burnout_flag", "high_burnout_pct"))
+        .orderBy(order_key("ai_usage_band", AI_USAGE_LABELS).asc_nulls_last()))
+
+
+def skill_comparison(df: DataFrame, where: Column | None = None) -> DataFrame:
+    return (_filtered(df, where).groupBy("prompt_engineering_skill").agg(
+        _students(), _avg("gpa_change", 3, "avg_gpa_change"), _avg("skill_retention_score", 2, "avg_retention"),
+        _avg("tool_diversity", 2, "avg_tool_diversity"), _pct("strong_retention_flag", "strong_retention_pct"))
+        .orderBy(F.col("avg_gpa_change").desc_nulls_last(), "prompt_engineering_skill"))
+
+
+def policy_outcomes(df: DataFrame, where: Column | None = None) -> DataFrame:
+    return (_filtered(df, where).groupBy("institutional_policy").agg(
+        _students(), _avg("gpa_change", 3, "avg_gpa_change"), _avg("skill_retention_score", 2, "avg_retention"),
+        _avg("anxiety_level_during_exams", 2, "avg_anxiety"), _pct("high_burnout_flag", "high_burnout_pct"),
+        _pct("high_dependency_flag", "high_dependency_pct"))
+        .orderBy(F.col("high_burnout_pct").desc_nulls_last(), "institutional_policy"))

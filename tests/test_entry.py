@@ -25,7 +25,8 @@ def test_every_query_has_an_oracle_or_is_random():
 def test_no_query_uses_a_row_cap_other_than_features():
     # LIMIT only where the cap is the feature: top-n reports and samples.
     capped = {k for k, sql in E.oracle_sql().items() if re.search(r"\bLIMIT\b", sql)}
-    assert capped <= {"find_duplicates", "worst_delays", "filtered_detail", "sample_repeatable", "fill_mode"}
+    assert capped <= {"find_duplicates", "worst_delays", "filtered_detail", "sample_repeatable",
+                      "filtered_scatter_sample", "fill_mode"}
 
 
 @pytest.fixture(scope="module")
