@@ -240,7 +240,8 @@ ORDER BY f.arr_delay DESC NULLS LAST, f.carrier, f.flight, f.line LIMIT 10""",
     "delay_histogram": f"""WITH {SHIPMENTS}, binned AS (
     SELECT CAST(LEAST(FLOOR((arr_delay - (-60)) / 5.0), 59) AS INTEGER) AS bin FROM shipments
     WHERE {_delay_where('arr_delay')} AND arr_delay BETWEEN -60 AND 240)
-SELECT bin, -60 + bin * 5.0 AS bin_lo, -60 + (bin + 1) * 5.0 AS bin_hi, COUNT(*) AS flights
+SELECT bin, CAST(-60 + bin * 5.0 AS DOUBLE) AS bin_lo, CAST(-60 + (bin + 1) * 5.0 AS DOUBLE) AS bin_hi,
+       COUNT(*) AS flights
 FROM binned GROUP BY bin ORDER BY bin""",
     "origin_share": f"""WITH {SHIPMENTS}, f AS (SELECT * FROM shipments WHERE {_delay_where('arr_delay')})
 SELECT origin, COUNT(*) AS flights, ROUND(100.0 * COUNT(*) / (SELECT COUNT(*) FROM f), 2)::DOUBLE AS share_pct
@@ -501,3 +502,23 @@ UNION ALL SELECT 'IQR bounds are valid', CASE WHEN lo < hi THEN 'PASS' ELSE 'FAI
     "cleaned_row_count": f"WITH {STUDENTS} SELECT COUNT(*) AS cleaned_rows FROM students",
     "csv_round_trip": f"WITH {GEMS} SELECT * FROM gems",
 }
+
+
+def _bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns HUGEINT, Spark BIGINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j])
+        out.append(f"CAST(count_if({_bigint_counts(sql[j + len(key):k - 1])}) AS BIGINT)")
+        i = k
+
+
+ORACLE_SQL = {name: _bigint_counts(sql) for name, sql in ORACLE_SQL.items()}

@@ -41,6 +41,7 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     r = compare(spark, SF_CHECK, name, E.queries()[name], E.oracle_sql()[name], duck)
     assert r["cols_equal"], r
+    assert r["types_equal"], r
     assert r["spark_rows"] == r["duck_rows"], r
     assert r["values_equal"], r
 
