@@ -40,7 +40,11 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
 
 def flights_cleaning_sql(spark: SparkSession, view: str, key: Sequence[str] = FLIGHT_KEY,
                          order: Sequence[str] = FLIGHT_ORDER) -> DataFrame:
-    """The same pipeline as one SQL statement over a registered view (CTE form)."""
+    """The same pipeline as one SQL statement over a registered view (CTE form).
+
+    The three statistics come from ONE scalar subquery returning a struct,
+    bound once as a column (no cross join, no subquery per reference).
+    """
     k = ", ".join(key)
     o = ", ".join(order)
     return spark.sql(f"""
@@ -48,22 +52,21 @@ def flights_cleaning_sql(spark: SparkSession, view: str, key: Sequence[str] = FL
             SELECT *, ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY {o}) AS rn FROM {view}
         ),
         deduped AS (SELECT * EXCEPT (rn) FROM numbered WHERE rn = 1),
-        dep_median AS (
-            SELECT PERCENTILE(dep_delay, 0.5) AS median_dep_delay FROM deduped WHERE dep_delay IS NOT NULL
+        stats AS (
+            SELECT named_struct('median_dep_delay', PERCENTILE(dep_delay, 0.5),
+                                'q1', PERCENTILE(arr_delay, 0.25), 'q3', PERCENTILE(arr_delay, 0.75)) AS s
+            FROM deduped
         ),
-        bounds AS (
-            SELECT PERCENTILE(arr_delay, 0.25) AS q1, PERCENTILE(arr_delay, 0.75) AS q3
-            FROM deduped WHERE arr_delay IS NOT NULL
-        )
-        SELECT d.*,
-               COALESCE(d.dep_delay, (SELECT median_dep_delay FROM dep_median)) AS dep_delay_filled,
-               CASE WHEN d.arr_delay IS NULL THEN false
-                    WHEN d.arr_delay < (SELECT q1 - 1.5 * (q3 - q1) FROM bounds) THEN true
-                    WHEN d.arr_delay > (SELECT q3 + 1.5 * (q3 - q1) FROM bounds) THEN true
+        with_stats AS (SELECT d.*, (SELECT s FROM stats) AS _s FROM deduped d)
+        SELECT * EXCEPT (_s),
+               COALESCE(dep_delay, _s.median_dep_delay) AS dep_delay_filled,
+               CASE WHEN arr_delay IS NULL THEN false
+                    WHEN arr_delay < _s.q1 - 1.5 * (_s.q3 - _s.q1) THEN true
+                    WHEN arr_delay > _s.q3 + 1.5 * (_s.q3 - _s.q1) THEN true
                     ELSE false END AS arr_delay_outlier,
-               (SELECT q1 - 1.5 * (q3 - q1) FROM bounds) AS arr_delay_iqr_lower_bound,
-               (SELECT q3 + 1.5 * (q3 - q1) FROM bounds) AS arr_delay_iqr_upper_bound
-        FROM deduped d
+               _s.q1 - 1.5 * (_s.q3 - _s.q1) AS arr_delay_iqr_lower_bound,
+               _s.q3 + 1.5 * (_s.q3 - _s.q1) AS arr_delay_iqr_upper_bound
+        FROM with_stats
     """)
 
 
