@@ -32,33 +32,54 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg
     return df.groupBy(*rows).pivot(column, list(values)).agg(agg)
 
 
-def _long_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per (input row, pair) holding ``col_x, col_y, x, y``; rows with a null dropped."""
-    arr = F.array(*[F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"),
-                             F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                    for a, b in pairs])
-    return df.select(F.inline(arr)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+# Column pairs carried by one unpivoted row: 8 pairs x (covariance + 2 deviations)
+# keeps the aggregation buffer under Spark's whole-stage-codegen field limit.
+PAIRS_PER_ROW = 8
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
+                       pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame:
     """Long Pearson matrix ``(col_x, col_y, corr)`` for every ordered pair.
 
-    Each row is unpivoted into its ``k*(k+1)/2`` column pairs and a grouped
-    aggregate computes covariance and deviations per pair over the rows where
-    both values are present (pandas' pairwise semantics). Partial aggregation
-    leaves one small row per pair and task before the shuffle, and the
-    aggregate stays in whole-stage codegen however many columns are given.
+    Each row is unpivoted into batches of ``pairs_per_row`` column pairs and a
+    grouped aggregate computes, per pair, the covariance and the two standard
+    deviations over the rows where both values are present (pandas' pairwise
+    semantics). Partial aggregation leaves one small row per batch and task
+    before the shuffle; the aggregate stays in whole-stage codegen however many
+    columns are given (one wide aggregate over all pairs does not).
     Undefined (constant column, < 2 rows) -> null, never an ANSI error.
     """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    stats = _long_pairs(df, pairs).groupBy("col_x", "col_y").agg(
-        F.covar_samp("x", "y").alias("cov"), F.stddev_samp("x").alias("sx"), F.stddev_samp("y").alias("sy"))
-    r = F.round(F.try_divide(F.col("cov"), F.col("sx") * F.col("sy")), digits)
-    fwd = F.struct(F.col("col_x"), F.col("col_y"), r.alias("corr"))
-    rev = F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), r.alias("corr"))
+    batches = [pairs[i:i + pairs_per_row] for i in range(0, len(pairs), pairs_per_row)]
+    width = max(len(b) for b in batches)
+    structs = []
+    for bi, batch in enumerate(batches):
+        fields = [F.lit(bi).alias("batch")]
+        for j in range(width):
+            a, b = batch[j] if j < len(batch) else (None, None)
+            x = F.col(a).cast("double") if a else F.lit(None).cast("double")
+            y = F.col(b).cast("double") if b else F.lit(None).cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            fields += [F.when(both, x).alias(f"x{j}"), F.when(both, y).alias(f"y{j}")]
+        structs.append(F.struct(*fields))
+    aggs = []
+    for j in range(width):
+        aggs += [F.covar_samp(f"x{j}", f"y{j}").alias(f"cov{j}"), F.stddev_samp(f"x{j}").alias(f"sx{j}"),
+                 F.stddev_samp(f"y{j}").alias(f"sy{j}")]
+    stats = df.select(F.inline(F.array(*structs))).groupBy("batch").agg(*aggs)
+    names_x = F.array(*[F.lit(a) for a, _ in pairs])
+    names_y = F.array(*[F.lit(b) for _, b in pairs])
+    per_pair = stats.select(F.inline(F.array(*[
+        F.struct((F.col("batch") * pairs_per_row + j).alias("idx"),
+                 F.round(F.try_divide(F.col(f"cov{j}"), F.col(f"sx{j}") * F.col(f"sy{j}")), digits).alias("corr"))
+        for j in range(width)]))).where(F.col("idx") < len(pairs))
+    named = per_pair.select(F.element_at(names_x, F.col("idx") + 1).alias("col_x"),
+                            F.element_at(names_y, F.col("idx") + 1).alias("col_y"), "corr")
+    fwd = F.struct(F.col("col_x"), F.col("col_y"), F.col("corr"))
+    rev = F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), F.col("corr"))
     both = F.when(F.col("col_x") == F.col("col_y"), F.array(fwd)).otherwise(F.array(fwd, rev))
-    return stats.select(F.inline(both))
+    return named.select(F.inline(both))
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
