@@ -194,3 +194,37 @@ def validate_many(parts: Sequence[tuple[DataFrame, Sequence[Rule]]]) -> DataFram
         rep = validate(df, rules)
         out = rep if out is None else out.unionByName(rep)
     return out
+
+
+# Fill strategies of the missing-value decision table.
+STRATEGY_NONE = "none needed"
+STRATEGY_LEAVE = "leave null or drop column"
+STRATEGY_NUMERIC = "fill with median"
+STRATEGY_CATEGORY = "fill with mode or Unknown"
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def fill_recommendation(df: DataFrame, cols: Sequence[str] | None = None, max_fill_pct: float = 30.0,
+                        digits: int = 2) -> DataFrame:
+    """Per column: type, null count and percent, and the fill strategy of the decision table.
+
+    No gaps -> none needed; more than ``max_fill_pct`` percent missing -> leave
+    null or drop the column; numeric -> median (robust to skew); other types ->
+    mode or an "Unknown" category. One aggregate pass over the table.
+    """
+    cols = list(cols or df.columns)
+    types = dict(df.dtypes)
+    audit = null_audit_long(df, cols, digits)
+    kind = F.create_map(*[v for c in cols for v in (F.lit(c), F.lit(types[c]))])
+    dtype = kind[F.col("column_name")]
+    strategy = (F.when(F.col("missing") == 0, STRATEGY_NONE)
+                .when(percent(F.col("missing"), F.col("total_rows")) > max_fill_pct, STRATEGY_LEAVE)
+                .when(dtype.isin(list(_NUMERIC)), STRATEGY_NUMERIC)
+                .otherwise(STRATEGY_CATEGORY))
+    return audit.select("column_name", dtype.alias("data_type"), "missing", "pct_missing",
+                        strategy.alias("strategy"))
+
+
+def table_shape(df: DataFrame) -> DataFrame:
+    """One row: number of rows and of columns."""
+    return df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("column_count", F.lit(len(df.columns)))

@@ -123,6 +123,14 @@ def q_null_audit_all(spark, d):
     return quality.null_counts(fixtures.documents_labeled(spark, d))
 
 
+def q_fill_recommendation(spark, d):
+    return quality.fill_recommendation(fixtures.documents_labeled(spark, d))
+
+
+def q_table_shape(spark, d):
+    return quality.table_shape(load(spark, d, "lineitem"))
+
+
 def q_drop_missing(spark, d):
     return clean.drop_missing(fixtures.shipments(spark, d), ["arr_delay"])
 

@@ -274,6 +274,27 @@ SELECT count_if(doc_id IS NULL) AS doc_id, count_if(lang IS NULL) AS lang, count
        count_if(n_chars IS NULL) AS n_chars, count_if(quality IS NULL) AS quality, count_if(toxic IS NULL) AS toxic,
        count_if(quality_label IS NULL) AS quality_label
 FROM dl""",
+    "fill_recommendation": f"""WITH {DOCS_LABELED}, a AS (
+    SELECT COUNT(*) AS n, count_if(doc_id IS NULL) AS doc_id, count_if(lang IS NULL) AS lang,
+           count_if(source IS NULL) AS source, count_if(n_chars IS NULL) AS n_chars,
+           count_if(quality IS NULL) AS quality, count_if(toxic IS NULL) AS toxic,
+           count_if(quality_label IS NULL) AS quality_label FROM dl),
+l AS (SELECT * FROM (VALUES ('doc_id', 'bigint'), ('lang', 'string'), ('source', 'string'), ('n_chars', 'bigint'),
+                            ('quality', 'int'), ('toxic', 'int'), ('quality_label', 'string')) t(column_name, data_type)),
+m AS (SELECT l.column_name, l.data_type,
+             CASE l.column_name WHEN 'doc_id' THEN a.doc_id WHEN 'lang' THEN a.lang WHEN 'source' THEN a.source
+                  WHEN 'n_chars' THEN a.n_chars WHEN 'quality' THEN a.quality WHEN 'toxic' THEN a.toxic
+                  ELSE a.quality_label END AS missing, a.n
+      FROM l, a)
+SELECT column_name, data_type, missing, ROUND(100.0 * missing / n, 2)::DOUBLE AS pct_missing,
+       CASE WHEN missing = 0 THEN 'none needed'
+            WHEN 100.0 * missing / n > 30.0 THEN 'leave null or drop column'
+            WHEN data_type IN ('tinyint', 'smallint', 'int', 'bigint', 'float', 'double') THEN 'fill with median'
+            ELSE 'fill with mode or Unknown' END AS strategy
+FROM m""",
+    "table_shape": """SELECT COUNT(*) AS row_count,
+       (SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = 'lineitem') AS column_count
+FROM lineitem""",
     "drop_missing": f"WITH {SHIPMENTS} SELECT * FROM shipments WHERE arr_delay IS NOT NULL",
     "fill_mean": f"""WITH {SHIPMENTS}
 SELECT carrier, flight, line, COALESCE(arr_delay, (SELECT AVG(arr_delay) FROM shipments)) AS arr_delay

@@ -75,3 +75,16 @@ def test_validation_is_one_aggregate_scan(spark):
 def test_distinct_values_sorted_without_null(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "c string")
     assert [r.c for r in q.distinct_values(df, "c").collect()] == ["a", "b"]
+
+
+def test_fill_recommendation_follows_decision_table(spark):
+    rows = [(1, None, "a", None), (2, 5.0, None, None), (3, 6.0, "b", None), (4, 7.0, "c", 1.0)]
+    df = spark.createDataFrame(rows, "id int, x double, s string, mostly_null double")
+    got = {r.column_name: (r.data_type, r.missing, r.strategy) for r in q.fill_recommendation(df).collect()}
+    assert got == {"id": ("int", 0, q.STRATEGY_NONE), "x": ("double", 1, q.STRATEGY_NUMERIC),
+                   "s": ("string", 1, q.STRATEGY_CATEGORY), "mostly_null": ("double", 3, q.STRATEGY_LEAVE)}
+
+
+def test_table_shape(spark):
+    r = q.table_shape(spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string")).first()
+    assert (r.row_count, r.column_count) == (2, 2)
