@@ -23,11 +23,6 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def count_where(cond: Column) -> Column:
-    """Conditional count; 0 (not null) on empty input."""
-    return F.count_if(cond)
-
-
 def percent(part: Column, whole: Column) -> Column:
     """``100 * part / whole`` as DOUBLE; null when ``whole`` is 0 (no ANSI error)."""
     return F.try_divide(part.cast("double") * F.lit(100.0), whole.cast("double"))
@@ -94,19 +89,6 @@ def attach(df: DataFrame, stats: Column, name: str = STATS_COL) -> DataFrame:
     return df.withColumn(name, stats)
 
 
-def stats_row(df: DataFrame, **aggs: Column) -> Column:
-    """A one-row aggregate over ``df`` packed in a struct, as a scalar subquery.
-
-    Use ``stats_row(df, m=F.avg("x"))["m"]`` inside expressions over ``df``.
-    """
-    return df.agg(F.struct(*[v.alias(k) for k, v in aggs.items()]).alias("s")).scalar()
-
-
-def scalar(df: DataFrame, agg: Column) -> Column:
-    """A single aggregate over ``df`` as a scalar subquery expression."""
-    return df.agg(agg.alias("v")).scalar()
-
-
 def corr_safe(a: str | Column, b: str | Column) -> Column:
     """Pearson correlation over pairwise complete rows, null when undefined.
 

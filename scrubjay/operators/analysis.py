@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrubjay.functions.stats import corr_safe
 
 
 def _sort(order: Sequence[str | Column]) -> list[Column]:

@@ -74,9 +74,4 @@ def cut_lineage(df, name: str = "lineage"):
     return spark.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests to inspect output)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "local_path"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage"]

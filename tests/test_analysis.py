@@ -77,3 +77,15 @@ def test_band_edges_null_and_order(spark):
     assert [r.b for r in out] == [None, "0-2 hours", "0-2 hours", "2-5 hours", "10-20 hours", "20+ hours"]
     assert [r.f for r in out] == [0, 0, 0, 0, 1, 1]
     assert [r.o for r in out] == [None, 1, 1, 2, 4, 5]
+
+
+def test_corr_safe_per_group_and_register_views(spark):
+    from scrubjay.functions.stats import corr_safe
+    from scrubjay.sources.tables import register_views
+    df = spark.createDataFrame([("g", 1.0, 2.0), ("g", 2.0, 4.1), ("g", 3.0, 6.0), ("h", 1.0, 1.0), ("h", 2.0, 1.0)],
+                               "k string, x double, y double")
+    got = {r.k: r.c for r in df.groupBy("k").agg(corr_safe("x", "y").alias("c")).collect()}
+    want = pd.Series([2.0, 4.1, 6.0]).corr(pd.Series([1.0, 2.0, 3.0]))
+    assert math.isclose(got["g"], want, rel_tol=1e-12) and got["h"] is None
+    register_views(spark, "/root/testdata/sf0.001", ["region"])
+    assert spark.sql("SELECT COUNT(*) AS n FROM region").first().n == 5
