@@ -293,7 +293,7 @@ SELECT column_name, data_type, missing, ROUND(100.0 * missing / n, 2)::DOUBLE AS
             ELSE 'fill with mode or Unknown' END AS strategy
 FROM m""",
     "table_shape": """SELECT COUNT(*) AS row_count,
-       (SELECT CAST(COUNT(*) AS INTEGER) FROM information_schema.columns WHERE table_name = 'lineitem') AS column_count
+       (SELECT CAST(COUNT(*) AS INTEGER) FROM (DESCRIBE lineitem)) AS column_count
 FROM lineitem""",
     "drop_missing": f"WITH {SHIPMENTS} SELECT * FROM shipments WHERE arr_delay IS NOT NULL",
     "fill_mean": f"""WITH {SHIPMENTS}
@@ -345,11 +345,11 @@ FROM documents""",
 FROM customer""",
     "cast_columns": "SELECT * FROM customer",
     "cast_failures": _cast_failures(),
-    "schema_report": """SELECT CAST(ordinal_position AS INTEGER) AS ordinal_position, column_name,
-       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type,
-       is_nullable = 'YES' AS is_nullable
-FROM information_schema.columns WHERE table_name = 'lineitem'""",
+    "schema_report": """SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal_position, column_name,
+       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type,
+       "null" = 'YES' AS is_nullable
+FROM (DESCRIBE lineitem)""",
     "snake_case_columns": f"WITH {OUTCOMES} SELECT * FROM outcomes",
     # outliers and validation ----------------------------------------------------------
     "iqr_report": """WITH b AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
