@@ -61,9 +61,6 @@ def distinct_values(df: DataFrame, c: str, drop_null: bool = True) -> DataFrame:
 
 # --- validation rules -------------------------------------------------------------
 
-Metric = Callable[[DataFrame], Column]
-
-
 @dataclass(frozen=True)
 class Rule:
     """A named check.
