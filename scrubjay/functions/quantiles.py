@@ -8,11 +8,12 @@ distributed selection:
 
 1. one aggregate counts the non-null values of every column;
 2. while the interval known to hold a target rank has more than
-   ``final_rows`` values, one aggregate computes a grid of approximate
-   quantiles *inside* the interval (Greenwald-Khanna, bounded memory) and the
-   next one counts the values below / inside the narrowed interval. Each level
-   shrinks the interval by about ``grid / 2``, so even 10^13 rows need only a
-   few levels; an interval holding one value (a hot key) resolves at once;
+   ``final_rows`` values, ONE aggregate per level counts the values below and
+   inside the interval and computes a grid of approximate quantiles inside it
+   (Greenwald-Khanna, bounded memory); the grid proposes the next, narrower
+   interval, which the next level's counts verify. Each level shrinks the
+   interval by a factor of a few hundred, so 10^12 rows need three or four
+   levels; an interval holding one value (a hot key) resolves at once;
 3. one last job groups the <= ``final_rows`` remaining values per target,
    runs a cumulative count over them and keeps the row covering the rank.
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FINAL_ROWS = 1_000_000
-GRID = 256
+GRID = 1024
 SKETCH_ACCURACY = 10_000
 
 
@@ -49,61 +50,68 @@ def exact_quantiles(df: DataFrame, plan: Mapping[str, Sequence[float]], final_ro
     base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     counts = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
 
-    # targets: (column index, rank) -> [lo, hi, below, size]
-    state: dict[tuple[int, int], list] = {}
+    # Each target (column index, rank) has a value interval [lo, hi] known to hold it,
+    # ``below`` = values < lo and ``size`` = values inside (None: not counted yet).
+    state: dict[tuple[int, int], dict] = {}
     for i, c in enumerate(cols):
         n = counts[f"n{i}"]
         for p in plan[c]:
             if n:
                 pos = float(p) * (n - 1)
                 for r in {math.floor(pos), math.ceil(pos)}:
-                    state[(i, r)] = [None, None, 0, n]
+                    state[(i, r)] = {"lo": None, "hi": None, "below": 0, "size": n, "prev": None}
     resolved: dict[tuple[int, int], float] = {}
-
     fracs = [j / grid for j in range(grid + 1)]
-    slack = grid / accuracy + 1  # grid steps of sketch error on each side
+    slack = grid / accuracy + 1  # sketch error in grid steps, on each side
+
+    def refine() -> list[tuple[int, int]]:
+        return [t for t, s in state.items() if t not in resolved and (s["size"] is None or s["size"] > final_rows)]
+
     while True:
-        todo = [t for t, s in state.items() if t not in resolved and s[3] > final_rows]
+        todo = refine()
         if not todo:
             break
-        sk = base.agg(*[F.percentile_approx(F.when(_between(F.col(f"_v{i}"), *state[(i, r)][:2]), F.col(f"_v{i}")),
-                                            fracs, accuracy).alias(f"g{k}")
-                        for k, (i, r) in enumerate(todo)]).first()
-        proposal = {}
+        # ONE job per level: counts of the current interval and a quantile grid inside it.
+        aggs = []
         for k, t in enumerate(todo):
-            lo, hi, below, size = state[t]
-            g = sk[f"g{k}"]
-            j = (t[1] - below) / size * grid
-            jlo, jhi = max(0, math.floor(j - slack)), min(grid, math.ceil(j + slack))
-            proposal[t] = (g[jlo] if jlo > 0 else lo, g[jhi] if jhi < grid else hi)
-        cnt = base.agg(*[F.count_if(F.col(f"_v{t[0]}") < F.lit(proposal[t][0])).alias(f"b{k}")
-                         if proposal[t][0] is not None else F.lit(0).alias(f"b{k}") for k, t in enumerate(todo)],
-                       *[F.count_if(_between(F.col(f"_v{t[0]}"), *proposal[t])).alias(f"s{k}")
-                         for k, t in enumerate(todo)]).first()
+            s, x = state[t], F.col(f"_v{t[0]}")
+            aggs.append((F.count_if(x < F.lit(s["lo"])) if s["lo"] is not None else F.lit(0)).alias(f"b{k}"))
+            aggs.append(F.count_if(_between(x, s["lo"], s["hi"])).alias(f"s{k}"))
+            aggs.append(F.percentile_approx(F.when(_between(x, s["lo"], s["hi"]), x), fracs, accuracy).alias(f"g{k}"))
+        row = base.agg(*aggs).first()
         progressed = False
         for k, t in enumerate(todo):
-            lo, hi = proposal[t]
-            below, size = cnt[f"b{k}"], cnt[f"s{k}"]
+            s = state[t]
+            below, size = row[f"b{k}"], row[f"s{k}"]
             if not (below <= t[1] < below + size):
-                # the sketch bound did not hold (should not happen): finish on the old interval
-                state[t][3] = min(state[t][3], final_rows)
+                # The sketch bound did not hold (should not happen): finish on the last verified interval.
+                state[t] = dict(s["prev"], size=min(s["prev"]["size"], final_rows))
                 continue
-            if lo is not None and lo == hi:
-                resolved[t] = lo
-            if size < state[t][3]:
+            if s["size"] is None or size < s["size"]:
                 progressed = True
-            state[t] = [lo, hi, below, size]
+            s.update(below=below, size=size)
+            if s["lo"] is not None and s["lo"] == s["hi"]:
+                resolved[t] = s["lo"]
+                continue
+            if size <= final_rows:
+                continue
+            g = row[f"g{k}"]
+            j = (t[1] - below) / size * grid
+            jlo, jhi = max(0, math.floor(j - slack)), min(grid, math.ceil(j + slack))
+            state[t] = {"lo": g[jlo] if jlo > 0 else s["lo"], "hi": g[jhi] if jhi < grid else s["hi"],
+                        "below": None, "size": None, "prev": dict(s)}
         if not progressed:
-            for t in todo:
-                state[t][3] = min(state[t][3], final_rows)
+            for t in refine():
+                prev = state[t]["prev"] if state[t]["size"] is None else state[t]
+                state[t] = dict(prev, size=min(prev["size"], final_rows))
 
     rest = [t for t in state if t not in resolved]
     if rest:
         tagged = base.select(F.explode(F.array(*[
-            F.when(_between(F.col(f"_v{i}"), *state[(i, r)][:2]) & F.col(f"_v{i}").isNotNull(),
+            F.when(_between(F.col(f"_v{i}"), state[(i, r)]["lo"], state[(i, r)]["hi"]) & F.col(f"_v{i}").isNotNull(),
                    F.struct(F.lit(k).alias("t"), F.col(f"_v{i}").alias("x")))
             for k, (i, r) in enumerate(rest)])).alias("e")).where(F.col("e").isNotNull()).select("e.t", "e.x")
-        offsets = F.create_map(*[v for k, t in enumerate(rest) for v in (F.lit(k), F.lit(t[1] - state[t][2]))])
+        offsets = F.create_map(*[v for k, t in enumerate(rest) for v in (F.lit(k), F.lit(t[1] - state[t]["below"]))])
         w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         vc = tagged.groupBy("t", "x").agg(F.count(F.lit(1)).alias("c")).withColumn("cum", F.sum("c").over(w))
         off = offsets[F.col("t")]
