@@ -43,13 +43,16 @@ def get_session(master: str | None = None, app_name: str = "scrubjay",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder from the session, setting a local one only if unset."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        try:  # classic sessions may carry it on the context instead
+            path = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. Spark Connect has no SparkContext
+            path = None
     if not path:
         path = _LOCAL_FALLBACK
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
