@@ -98,20 +98,24 @@ STUDENT_CAST_PLAN = {STUDENT_KEY: "bigint", "tie_part": "bigint", "tie_supp": "b
                      **{c: "double" for c in STUDENT_DOUBLES}, **{c: "int" for c in STUDENT_INTS}}
 
 
-def clean_students(df: DataFrame, outlier_method: str = "exact") -> DataFrame:
+def clean_students(df: DataFrame, outlier_method: str = "exact", outlier_flag: bool = True) -> DataFrame:
     """Dedup by id (keep first) -> standardise -> fill -> features -> IQR flag.
 
     The deduplicated rows are written once below the checkpoint folder (they
     feed the fill medians, the quartiles and the output). Standardising after the shuffle spreads the
     regex work over the post-shuffle tasks and touches each kept row once.
     Medians for filling are approximate (bounded memory; the reference fills
-    with approximate medians too). The key is never imputed.
+    with approximate medians too). The key is never imputed. ``outlier_flag=False``
+    leaves out the IQR flag (and the quartile jobs it needs) for consumers that
+    do not read it.
     """
     out = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER), "students-dedup")
     out = out.withColumns({c: category_token(c) for c in STUDENT_CATEGORIES})
     out = clean.fill_median(out, list(STUDENT_DOUBLES + STUDENT_INTS), method="approx", keep_type=True)
     out = clean.fill_constant(out, {c: "Unknown" for c in STUDENT_CATEGORIES})
     out = student_features(out)
+    if not outlier_flag:
+        return out
     return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", method=outlier_method,
                              as_int=True)
 
