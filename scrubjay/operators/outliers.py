@@ -74,15 +74,23 @@ def iqr_report(df: DataFrame, c: str, k: float = 1.5, method: str = "exact", dig
              F.round(F.col("_b")["upper_bound"], digits).alias("upper_bound"))
 
 
+def fences(q1: float | None, q3: float | None, k: float = 1.5) -> Column:
+    """IQR statistics from known quartiles, as a struct of literals (for ``iqr_flag(bounds=...)``)."""
+    return literal_struct(_fences(q1, q3, k))
+
+
 def iqr_flag(df: DataFrame, c: str, flag: str | None = None, k: float = 1.5, method: str = "exact",
              accuracy: int = DEFAULT_APPROX_ACCURACY, as_int: bool = False,
-             bounds_prefix: str | None = None, stats_from: DataFrame | None = None) -> DataFrame:
+             bounds_prefix: str | None = None, stats_from: DataFrame | None = None,
+             bounds: Column | None = None) -> DataFrame:
     """Flag values outside the IQR fences; a null value is not an outlier.
 
     ``bounds_prefix`` also adds the fences as ``<prefix>lower_bound`` / ``upper_bound``.
-    ``stats_from`` computes the fences on another frame (default: ``df``).
+    ``stats_from`` computes the fences on another frame (default: ``df``);
+    ``bounds`` passes fences already computed (see ``fences``).
     """
-    bounds = iqr_bounds(stats_from if stats_from is not None else df, c, k, method, accuracy)
+    if bounds is None:
+        bounds = iqr_bounds(stats_from if stats_from is not None else df, c, k, method, accuracy)
     b = F.col(STATS_COL)
     x = F.col(c)
     out = x.isNotNull() & ((x < b["lower_bound"]) | (x > b["upper_bound"]))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scrubjay.functions.quantiles import exact_quantiles
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
 from scrubjay.operators.features import student_features
@@ -29,13 +30,20 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
                   fill_col: str = "dep_delay", outlier_col: str = "arr_delay", method: str = "exact") -> DataFrame:
     """Dedup (keep first) -> median fill beside the original -> IQR flag with its fences.
 
-    The deduplicated rows feed three jobs (median, quartiles, output), so they
-    are written once instead of being shuffled and sorted three times.
+    The deduplicated rows feed the statistics and the output, so they are
+    written once instead of being shuffled and sorted again per job. The fill
+    writes a new column, so the quartiles of ``outlier_col`` do not depend on
+    it and all three exact quantiles come from one selection run.
     """
     deduped = cut_lineage(clean.dedup_keep_first(flights, key, order), "flights-dedup")
-    filled = clean.fill_median(deduped, [fill_col], method=method, suffix="_filled")
-    return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", method=method,
-                             bounds_prefix=f"{outlier_col}_iqr_")
+    if method != "exact" or fill_col == outlier_col:
+        filled = clean.fill_median(deduped, [fill_col], method=method, suffix="_filled")
+        return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", method=method,
+                                 bounds_prefix=f"{outlier_col}_iqr_")
+    q = exact_quantiles(deduped, {fill_col: [0.5], outlier_col: [0.25, 0.75]})
+    filled = deduped.withColumn(f"{fill_col}_filled", F.coalesce(F.col(fill_col), F.lit(q[fill_col][0]).cast("double")))
+    return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", bounds_prefix=f"{outlier_col}_iqr_",
+                             bounds=outliers.fences(*q[outlier_col]))
 
 
 def flights_cleaning_sql(spark: SparkSession, view: str, key: Sequence[str] = FLIGHT_KEY,
