@@ -5,5 +5,6 @@ here is stream-specific. The row-wise operators (predicates, text cleaning,
 casts, bands and flags, ``iqr_flag`` with ``stats_from`` a static frame)
 are plain projections and filters, so they apply unchanged to a
 ``spark.readStream`` frame; aggregate reports run per micro-batch through
-``foreachBatch`` if needed.
+``foreachBatch`` if needed. ``tests/test_streaming.py`` runs a cleaning
+projection over a ``readStream`` source and checks it equals the batch result.
 """
