@@ -44,11 +44,19 @@ def _between(x: Column, lo, hi) -> Column:
 
 
 def exact_quantiles(df: DataFrame, plan: Mapping[str, Sequence[float]], final_rows: int = FINAL_ROWS,
-                    grid: int = GRID, accuracy: int = SKETCH_ACCURACY) -> dict[str, list[float | None]]:
-    """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values."""
+                    grid: int = GRID, accuracy: int = SKETCH_ACCURACY,
+                    non_null: Mapping[str, int] | None = None) -> dict[str, list[float | None]]:
+    """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values.
+
+    ``non_null`` (non-null count per column, e.g. observed while the frame was
+    written) saves the counting job.
+    """
     cols = list(plan)
     base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
-    counts = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
+    if non_null is not None and all(c in non_null for c in cols):
+        counts = {f"n{i}": int(non_null[c]) for i, c in enumerate(cols)}
+    else:
+        counts = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
 
     # Each target (column index, rank) has a value interval [lo, hi] known to hold it,
     # ``below`` = values < lo and ``size`` = values inside (None: not counted yet).

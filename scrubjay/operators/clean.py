@@ -99,18 +99,23 @@ def fill_mean(df: DataFrame, cols: Sequence[str], keep_type: bool = False, suffi
 
 def fill_median(df: DataFrame, cols: Sequence[str], method: str = "exact",
                 accuracy: int = DEFAULT_APPROX_ACCURACY, keep_type: bool = False,
-                suffix: str | None = None, skip_complete: bool = True) -> DataFrame:
+                suffix: str | None = None, skip_complete: bool = True,
+                null_counts: Mapping[str, int] | None = None) -> DataFrame:
     """Fill nulls with the median of each column.
 
     ``exact`` (default) runs the bounded distributed selection for all columns
     together; ``percentile`` / ``approx`` compute every median in one aggregate.
     With ``skip_complete`` (in-place fills only) columns without nulls are left
-    out after one counting pass, so a gap-free column costs no median job.
+    out after one counting pass (or from ``null_counts`` when the caller already
+    has them), so a gap-free column costs no median job.
     """
     cols = list(cols)
     if skip_complete and not suffix:
-        # One cheap counting pass; columns without gaps need no median at all.
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first() if cols else {}
+        # Columns without gaps need no median at all.
+        if null_counts is not None:
+            nulls = null_counts
+        else:
+            nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first() if cols else {}
         cols = [c for c in cols if nulls[c]]
         if not cols:
             return df

@@ -17,7 +17,7 @@ from scrubjay.functions.quantiles import exact_quantiles
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
 from scrubjay.operators.features import student_features
-from scrubjay.session import cut_lineage
+from scrubjay.session import cut_lineage_observed
 from scrubjay.sources import files
 
 # --- flights -----------------------------------------------------------------------
@@ -35,12 +35,14 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
     writes a new column, so the quartiles of ``outlier_col`` do not depend on
     it and all three exact quantiles come from one selection run.
     """
-    deduped = cut_lineage(clean.dedup_keep_first(flights, key, order), "flights-dedup")
+    deduped, seen = cut_lineage_observed(
+        clean.dedup_keep_first(flights, key, order),
+        {fill_col: F.count(fill_col), outlier_col: F.count(outlier_col)}, "flights-dedup")
     if method != "exact" or fill_col == outlier_col:
         filled = clean.fill_median(deduped, [fill_col], method=method, suffix="_filled")
         return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", method=method,
                                  bounds_prefix=f"{outlier_col}_iqr_")
-    q = exact_quantiles(deduped, {fill_col: [0.5], outlier_col: [0.25, 0.75]})
+    q = exact_quantiles(deduped, {fill_col: [0.5], outlier_col: [0.25, 0.75]}, non_null=seen)
     filled = deduped.withColumn(f"{fill_col}_filled", F.coalesce(F.col(fill_col), F.lit(q[fill_col][0]).cast("double")))
     return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", bounds_prefix=f"{outlier_col}_iqr_",
                              bounds=outliers.fences(*q[outlier_col]))
@@ -117,15 +119,20 @@ def clean_students(df: DataFrame, outlier_method: str = "exact", outlier_flag: b
     leaves out the IQR flag (and the quartile jobs it needs) for consumers that
     do not read it.
     """
-    out = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER), "students-dedup")
+    numeric = list(STUDENT_DOUBLES + STUDENT_INTS)
+    out, nulls = cut_lineage_observed(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER),
+                                      {"_rows": F.count(F.lit(1)),
+                                       **{c: F.count_if(F.col(c).isNull()) for c in numeric}}, "students-dedup")
     out = out.withColumns({c: category_token(c) for c in STUDENT_CATEGORIES})
-    out = clean.fill_median(out, list(STUDENT_DOUBLES + STUDENT_INTS), method="approx", keep_type=True)
+    out = clean.fill_median(out, numeric, method="approx", keep_type=True, null_counts=nulls)
     out = clean.fill_constant(out, {c: "Unknown" for c in STUDENT_CATEGORIES})
     out = student_features(out)
     if not outlier_flag:
         return out
+    # After the fill every row has hours unless the column was entirely null.
+    hours_n = nulls["_rows"] if nulls["weekly_genai_hours"] < nulls["_rows"] else 0
     return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", method=outlier_method,
-                             as_int=True)
+                             as_int=True, non_null=hours_n if outlier_method == "exact" else None)
 
 
 def raw_headers(columns: Sequence[str]) -> list[str]:

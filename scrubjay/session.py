@@ -77,4 +77,18 @@ def cut_lineage(df, name: str = "lineage"):
     return spark.read.parquet(path)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage"]
+def cut_lineage_observed(df, metrics: dict, name: str = "lineage"):
+    """``cut_lineage`` that also returns aggregate ``metrics`` gathered during the write.
+
+    The metrics (e.g. null or non-null counts) ride on the write job through
+    ``DataFrame.observe``, so the statistics that decide the next steps cost no
+    extra pass over the data.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(f"scrubjay_{name}")
+    out = cut_lineage(df.observe(obs, *[v.alias(k) for k, v in metrics.items()]), name)
+    return out, dict(obs.get)
+
+
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "cut_lineage_observed"]

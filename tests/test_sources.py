@@ -59,3 +59,11 @@ def test_fixture_shapes(spark):
     assert s.count() == load(spark, SF_SMALL, "lineitem").count()
     assert dict(s.dtypes)["arr_delay"] == "int"
     assert fixtures.gems(spark, SF_SMALL).where(F.col("price").isNull()).count() > 0
+
+
+def test_cut_lineage_observed_metrics(spark):
+    from scrubjay.session import cut_lineage_observed
+    df = spark.range(100).select(F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id")).alias("x"))
+    out, m = cut_lineage_observed(df, {"rows": F.count(F.lit(1)), "nulls": F.count_if(F.col("x").isNull())}, "t-obs")
+    assert m == {"rows": 100, "nulls": 25}
+    assert out.count() == 100
