@@ -36,37 +36,51 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg
 PAIRS_PER_ROW = 8
 
 
+def _unpivot_ids(df: DataFrame, n: int, name: str) -> DataFrame:
+    """Each row ``n`` times with an id 0..n-1 (explode of a literal array: no per-row structs)."""
+    return df.select("*", F.explode(F.array(*[F.lit(i) for i in range(n)])).alias(name))
+
+
+def _pick(key: Column, options: Sequence[Column | None]) -> Column:
+    """``options[key]`` as a CASE expression (null where the option is missing)."""
+    out = None
+    for i, v in enumerate(options):
+        if v is None:
+            continue
+        out = F.when(key == i, v) if out is None else out.when(key == i, v)
+    return out if out is not None else F.lit(None).cast("double")
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
                        pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame:
     """Long Pearson matrix ``(col_x, col_y, corr)`` for every ordered pair.
 
-    Each row is unpivoted into batches of ``pairs_per_row`` column pairs and a
-    grouped aggregate computes, per pair, the covariance and the two standard
+    Each row is repeated once per batch of ``pairs_per_row`` column pairs (an
+    explode of batch ids; a CASE picks the batch's columns) and a grouped
+    aggregate computes, per pair, the covariance and the two standard
     deviations over the rows where both values are present (pandas' pairwise
-    semantics). Partial aggregation leaves one small row per batch and task
-    before the shuffle; the aggregate stays in whole-stage codegen however many
-    columns are given (one wide aggregate over all pairs does not).
+    semantics). One scan; partial aggregation leaves one small row per batch
+    and task before the shuffle; everything stays in whole-stage codegen
+    however many columns are given (one wide aggregate over all pairs does not).
     Undefined (constant column, < 2 rows) -> null, never an ANSI error.
     """
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     batches = [pairs[i:i + pairs_per_row] for i in range(0, len(pairs), pairs_per_row)]
     width = max(len(b) for b in batches)
-    structs = []
-    for bi, batch in enumerate(batches):
-        fields = [F.lit(bi).alias("batch")]
-        for j in range(width):
-            a, b = batch[j] if j < len(batch) else (None, None)
-            x = F.col(a).cast("double") if a else F.lit(None).cast("double")
-            y = F.col(b).cast("double") if b else F.lit(None).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            fields += [F.when(both, x).alias(f"x{j}"), F.when(both, y).alias(f"y{j}")]
-        structs.append(F.struct(*fields))
+    rows = _unpivot_ids(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(batches), "batch")
+    batch = F.col("batch")
+    fields = []
+    for j in range(width):
+        x = _pick(batch, [F.col(bt[j][0]) if j < len(bt) else None for bt in batches])
+        y = _pick(batch, [F.col(bt[j][1]) if j < len(bt) else None for bt in batches])
+        both = x.isNotNull() & y.isNotNull()
+        fields += [F.when(both, x).alias(f"x{j}"), F.when(both, y).alias(f"y{j}")]
     aggs = []
     for j in range(width):
         aggs += [F.covar_samp(f"x{j}", f"y{j}").alias(f"cov{j}"), F.stddev_samp(f"x{j}").alias(f"sx{j}"),
                  F.stddev_samp(f"y{j}").alias(f"sy{j}")]
-    stats = df.select(F.inline(F.array(*structs))).groupBy("batch").agg(*aggs)
+    stats = rows.select("batch", *fields).groupBy("batch").agg(*aggs)
     names_x = F.array(*[F.lit(a) for a, _ in pairs])
     names_y = F.array(*[F.lit(b) for _, b in pairs])
     per_pair = stats.select(F.inline(F.array(*[
@@ -84,16 +98,20 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Typed long summary ``(column_name, stat, value)``: count, mean, stddev, min, max.
 
-    Unpivot then group by column name: one scan, a handful of aggregates, and
-    codegen-friendly whatever the column count.
+    Each row is repeated once per column (explode of column ids; a CASE picks
+    the value) and grouped by column: one scan, five aggregates, codegen-friendly
+    whatever the column count.
     """
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])
-    g = df.select(F.inline(arr)).groupBy("column_name").agg(
+    cols = list(cols)
+    rows = _unpivot_ids(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(cols), "_cid")
+    v = _pick(F.col("_cid"), [F.col(c) for c in cols])
+    g = rows.select("_cid", v.alias("v")).groupBy("_cid").agg(
         F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
         F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"), F.max("v").alias("max"))
+    names = F.array(*[F.lit(c) for c in cols])
     items = F.array(*[F.struct(F.lit(s).alias("stat"), F.round(F.col(s), digits).alias("value"))
                       for s in ("count", "mean", "stddev", "min", "max")])
-    return g.select("column_name", F.inline(items))
+    return g.select(F.element_at(names, F.col("_cid") + 1).alias("column_name"), F.inline(items))
 
 
 def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str = "rows") -> DataFrame:
