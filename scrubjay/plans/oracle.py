@@ -130,7 +130,8 @@ def _corr_sql() -> str:
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             lo, hi = min(i, j), max(i, j)
-            v = f"ROUND(CASE WHEN isnan(c_{lo}_{hi}) THEN NULL ELSE c_{lo}_{hi} END, 3)"
+            # + 0.0 turns DuckDB's -0.0 into 0.0, as Spark's ROUND returns
+            v = f"ROUND(CASE WHEN isnan(c_{lo}_{hi}) THEN NULL ELSE c_{lo}_{hi} END, 3) + 0.0"
             items.append((f"'{a}'", f"'{b}'", v))
     return f"""WITH {STUDENTS}, agg AS (SELECT {', '.join(aggs)} FROM students)
 {_long_from_row(items, ('col_x', 'col_y', 'corr'), 'agg')}"""
