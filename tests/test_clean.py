@@ -89,3 +89,15 @@ def test_mean_vs_median(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (100,), (None,)], "d int")
     r = clean.mean_vs_median(df, "d").first()
     assert r.mean_d == 26.5 and r.median_d == 2
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               (F.lit(n) - F.col("id")).alias("o"), F.col("id").alias("v"))
+    kept = clean.dedup_keep_first(df.repartition(8), ["k"], ["o"])
+    hot = kept.where("k = 0").collect()
+    assert len(hot) == 1 and hot[0].v == max(i for i in range(n) if i % 3 == 0)  # smallest o = largest id
+    assert kept.count() == 1 + (n - n // 3)
+    s = clean.duplicate_summary(df, ["k"]).first()
+    assert (s.total_rows, s.unique_keys, s.duplicate_keys) == (n, 1 + (n - n // 3), 1)
