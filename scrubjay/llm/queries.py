@@ -9,10 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrubjay.sources.tables import load
 
-from . import minhash
+from . import language, minhash, quality, toxicity
 from .common import ship
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document."""
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score for every document."""
+    return language.identify(load(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document."""
+    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     return minhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -27,5 +42,5 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op10_minhash_near_dedup,
+    op1_toxicity, op2_language_id, op5_quality, op10_minhash_near_dedup,
 )}
