@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrubjay.sources.tables import load
 
-from . import language, minhash, quality, toxicity
+from . import decontaminate, language, minhash, packing, quality, toxicity
 from .common import ship
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -28,6 +35,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id and the place and size of the overlap for every document that holds a benchmark passage."""
+    return decontaminate.overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
+    return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     return minhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -42,5 +59,6 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_toxicity, op2_language_id, op5_quality, op10_minhash_near_dedup,
+    op1_toxicity, op2_language_id, op5_quality, op6_decontaminate, op9_best_fit_packing,
+    op10_minhash_near_dedup,
 )}

@@ -29,14 +29,26 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words in order, and n + 1 offsets of each text into them."""
+#: True for the bytes that end a word: white space; or every ASCII sign but letters, digits and the underscore.
+SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+SIGNS = np.array([b < 128 and not (chr(b).isalnum() or b == 95) for b in range(256)])
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = SPACES,
+                latin: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in order, and n + 1 offsets of each text into them.
+
+    A-Z are lower-cased, and with ``latin`` also the capitals from U+00C0 to U+00DE (second bytes after 0xC3).
+    """
     n = len(offsets) - 1
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
     upper = (raw >= 65) & (raw <= 90)
     low = raw + (upper.astype(np.uint8) << 5)
-    inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    if latin:
+        second = raw[1:]
+        low[1:] += ((raw[:-1] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)).astype(np.uint8) << 5
+    inside = ~breaks[raw]
     first = np.zeros(len(raw), bool)
     first[offsets[:-1][offsets[:-1] < len(raw)]] = True
     begins = inside.copy()
