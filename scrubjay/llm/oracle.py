@@ -27,4 +27,38 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id
 FROM sets d LEFT JOIN reps r ON r.s = d.s LEFT JOIN classes c ON c.id = r.rep
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_minhash_near_dedup": NEAR_DEDUP_SQL}
+#: Base32 of a digest: four letters for each five hexadecimal digits (20 bits).
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT page_id, strlen(body) AS size, hex, array_to_string(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+          (CAST('0x' || substr(hex, 1 + 5 * CAST(floor(i / 4) AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32
+          AS INTEGER), 1)), '') AS base32 FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last FROM d)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, base32 AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM m
+"""
+
+CHAT_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(role, '([<\[])(\^*)(\||/?s>|/?INST\])', '\1^\2\3', 'g') AS role_out,
+             regexp_replace(text, '([<\[])(\^*)(\||/?s>|/?INST\])', '\1^\2\3', 'g') AS text_out FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text_out)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text_out) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(length(role_out) + length(text_out) + 23) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_warc": WARC_SQL,
+    "op7_chat_format": CHAT_SQL,
+    "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+}

@@ -6,10 +6,12 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from scrubjay.session import scratch_path
 from scrubjay.sources.tables import load
 
-from . import decontaminate, language, minhash, packing, quality, toxicity
+from . import chat, decontaminate, language, minhash, packing, quality, toxicity, warc
 from .common import ship
 
 
@@ -30,6 +32,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(load(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, read back from the archives of all pages."""
+    back = warc.round_trip(load(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -40,6 +48,20 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+#: The extra conversation whose texts are control strings.
+CONTROL_CONVERSATION = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars for every conversation and -1."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(1).select(F.inline(F.array(*(F.struct(
+        F.lit(c).cast("long").alias("conv_id"), F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"),
+        F.lit(x).alias("text")) for c, t, r, x in CONTROL_CONVERSATION))))
+    both = turns.unionByName(extra).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.digest(chat.format_conversations(both))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
@@ -59,6 +81,6 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_toxicity, op2_language_id, op5_quality, op6_decontaminate, op9_best_fit_packing,
+    op1_toxicity, op2_language_id, op3_warc, op5_quality, op6_decontaminate, op7_chat_format, op9_best_fit_packing,
     op10_minhash_near_dedup,
 )}
