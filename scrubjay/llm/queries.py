@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scrubjay.session import scratch_path
 from scrubjay.sources.tables import load
 
-from . import chat, decontaminate, language, minhash, packing, quality, toxicity, warc
+from . import ann, chat, decontaminate, html_lstm, language, minhash, packing, quality, toxicity, warc
 from .common import ship
 
 
@@ -38,6 +38,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: ten neighbours of every vector whose id is divisible by 100."""
+    vectors = load(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter(F.pmod("vec_id", F.lit(100)) == 0))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
     return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
@@ -62,6 +68,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(both))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars for every page."""
+    return html_lstm.extract(load(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_path())
@@ -81,6 +92,6 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
-    op1_toxicity, op2_language_id, op3_warc, op5_quality, op6_decontaminate, op7_chat_format, op9_best_fit_packing,
-    op10_minhash_near_dedup,
+    op1_toxicity, op2_language_id, op3_warc, op4_hilbert_neighbours, op5_quality, op6_decontaminate, op7_chat_format,
+    op8_html_main_text, op9_best_fit_packing, op10_minhash_near_dedup,
 )}
