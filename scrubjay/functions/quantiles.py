@@ -4,18 +4,21 @@ Spark's ``percentile`` aggregate keeps a map of every distinct value and
 merges all of them in a single final task, which does not survive a
 high-cardinality column at scale. ``exact_quantiles`` finds the same values
 (interpolated exactly like ``percentile`` / SQL ``PERCENTILE``) by
-distributed selection:
+distributed selection over the non-null values:
 
-1. one aggregate counts the non-null values of every column;
-2. while the interval known to hold a target rank has more than
+1. one aggregate counts the values of every column;
+2. while the interval that is known to hold a target rank has more than
    ``final_rows`` values, ONE aggregate per level counts the values below and
-   inside the interval and computes a grid of approximate quantiles inside it
-   (Greenwald-Khanna, bounded memory); the grid proposes the next, narrower
-   interval, which the next level's counts verify. Each level shrinks the
-   interval by a factor of a few hundred, so 10^12 rows need three or four
-   levels; an interval holding one value (a hot key) resolves at once;
-3. one last job groups the <= ``final_rows`` remaining values per target,
-   runs a cumulative count over them and keeps the row covering the rank.
+   inside a proposed narrower interval and takes a grid of approximate
+   quantiles inside it (Greenwald-Khanna, bounded memory). A proposal is taken
+   over only if its counts show that it holds the rank; else a wider one is
+   tried. Where the grid cannot narrow an interval, because a value at its end
+   repeats so often, that value alone is counted: it either is the target or
+   leaves the interval. So every level makes progress, and an interval is
+   never cut by assumption;
+3. one last job groups the remaining values of each target (at most
+   ``final_rows``), runs a cumulative count over them and keeps the value that
+   covers the rank.
 
 Only a few numbers per target reach the driver; no task ever holds more than
 ``final_rows`` (value, count) pairs.
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +38,55 @@ GRID = 1024
 SKETCH_ACCURACY = 10_000
 
 
-def _between(x: Column, lo, hi) -> Column:
-    cond = F.lit(True)
+@dataclass
+class _Target:
+    """A rank of one column and what is known about it."""
+
+    column: int
+    rank: int
+    size: int                      # values in the verified interval
+    lo: float | None = None        # its ends, both included; None: unbounded
+    hi: float | None = None
+    below: int = 0                 # values before it
+    grid: list[float] | None = None
+    slack: float = 1.0             # widening of the next proposal, in multiples of the sketch's own error
+    value: float | None = None
+
+    def proposal(self, steps: int, error: float) -> tuple[float | None, float | None]:
+        """A narrower interval to verify next; the interval itself until it has a grid."""
+        if self.grid is None:
+            return self.lo, self.hi
+        at = (self.rank - self.below) / self.size * steps
+        first, last = math.floor(at - self.slack * error), math.ceil(at + self.slack * error)
+        lo = self.grid[first] if first > 0 else self.lo
+        hi = self.grid[last] if last < steps else self.hi
+        if (lo, hi) != (self.lo, self.hi):
+            return lo, hi
+        # The grid cannot narrow it: look at the value of the nearer end alone.
+        end = self.grid[0] if at <= steps / 2 else self.grid[steps]
+        return end, end
+
+    def learn(self, lo, hi, below: int, size: int, grid: list[float] | None) -> None:
+        """Takes the counts of a proposal."""
+        if below <= self.rank < below + size:
+            self.lo, self.hi, self.below, self.size, self.grid, self.slack = lo, hi, below, size, grid, 1.0
+            if lo is not None and lo == hi:
+                self.value = lo
+        elif lo is not None and lo == hi and (self.grid[0] == lo or self.grid[-1] == lo):
+            # One value, not the target: it leaves the interval at its end.
+            if self.rank < below:
+                self.hi, self.size = math.nextafter(lo, -math.inf), below - self.below
+            else:
+                self.lo = math.nextafter(lo, math.inf)
+                self.below, self.size = below + size, self.below + self.size - (below + size)
+            self.grid = None
+        else:
+            self.slack *= 4
+
+
+def _inside(x: Column, lo: float | None, hi: float | None) -> Column:
+    """Non-null values within the closed interval."""
+    cond = x.isNotNull()
     if lo is not None:
         cond = cond & (x >= F.lit(lo))
     if hi is not None:
@@ -45,98 +96,86 @@ def _between(x: Column, lo, hi) -> Column:
 
 def exact_quantiles(df: DataFrame, plan: Mapping[str, Sequence[float]], final_rows: int = FINAL_ROWS,
                     grid: int = GRID, accuracy: int = SKETCH_ACCURACY,
-                    non_null: Mapping[str, int] | None = None) -> dict[str, list[float | None]]:
+                    non_null: Mapping[str, int] | None = None,
+                    last_sizes: list[int] | None = None) -> dict[str, list[float | None]]:
     """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values.
 
     ``non_null`` (non-null count per column, e.g. observed while the frame was
-    written) saves the counting job.
+    written) saves the counting job. ``last_sizes``, if given, receives the
+    number of values that reach the last job for each target.
     """
     cols = list(plan)
     base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
     if non_null is not None and all(c in non_null for c in cols):
-        counts = {f"n{i}": int(non_null[c]) for i, c in enumerate(cols)}
+        counts = [int(non_null[c]) for c in cols]
     else:
-        counts = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
-
-    # Each target (column index, rank) has a value interval [lo, hi] known to hold it,
-    # ``below`` = values < lo and ``size`` = values inside (None: not counted yet).
-    state: dict[tuple[int, int], dict] = {}
+        row = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
+        counts = [row[f"n{i}"] for i in range(len(cols))]
+    targets: dict[tuple[int, int], _Target] = {}
     for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
         for p in plan[c]:
-            if n:
-                pos = float(p) * (n - 1)
-                for r in {math.floor(pos), math.ceil(pos)}:
-                    state[(i, r)] = {"lo": None, "hi": None, "below": 0, "size": n, "prev": None}
-    resolved: dict[tuple[int, int], float] = {}
+            for r in {math.floor(p * (counts[i] - 1)), math.ceil(p * (counts[i] - 1))} if counts[i] else ():
+                targets[i, r] = _Target(i, r, counts[i])
     fracs = [j / grid for j in range(grid + 1)]
-    slack = grid / accuracy + 1  # sketch error in grid steps, on each side
-
-    def refine() -> list[tuple[int, int]]:
-        return [t for t, s in state.items() if t not in resolved and (s["size"] is None or s["size"] > final_rows)]
+    error = grid / accuracy + 1  # the sketch's error in grid steps, on each side
 
-    while True:
-        todo = refine()
-        if not todo:
-            break
-        # ONE job per level: counts of the current interval and a quantile grid inside it.
+    while todo := [t for t in targets.values() if t.value is None and t.size > final_rows]:
+        tried = [t.proposal(grid, error) for t in todo]
         aggs = []
-        for k, t in enumerate(todo):
-            s, x = state[t], F.col(f"_v{t[0]}")
-            aggs.append((F.count_if(x < F.lit(s["lo"])) if s["lo"] is not None else F.lit(0)).alias(f"b{k}"))
-            aggs.append(F.count_if(_between(x, s["lo"], s["hi"])).alias(f"s{k}"))
-            aggs.append(F.percentile_approx(F.when(_between(x, s["lo"], s["hi"]), x), fracs, accuracy).alias(f"g{k}"))
+        for k, (t, (lo, hi)) in enumerate(zip(todo, tried)):
+            x = F.col(f"_v{t.column}")
+            inside = _inside(x, lo, hi)
+            aggs += [(F.count_if(x < F.lit(lo)) if lo is not None else F.lit(0)).alias(f"b{k}"),
+                     F.count_if(inside).alias(f"s{k}"),
+                     F.percentile_approx(F.when(inside, x), fracs, accuracy).alias(f"g{k}")]
         row = base.agg(*aggs).first()
-        progressed = False
-        for k, t in enumerate(todo):
-            s = state[t]
-            below, size = row[f"b{k}"], row[f"s{k}"]
-            if not (below <= t[1] < below + size):
-                # The sketch bound did not hold (should not happen): finish on the last verified interval.
-                state[t] = dict(s["prev"], size=min(s["prev"]["size"], final_rows))
-                continue
-            if s["size"] is None or size < s["size"]:
-                progressed = True
-            s.update(below=below, size=size)
-            if s["lo"] is not None and s["lo"] == s["hi"]:
-                resolved[t] = s["lo"]
-                continue
-            if size <= final_rows:
-                continue
-            g = row[f"g{k}"]
-            j = (t[1] - below) / size * grid
-            jlo, jhi = max(0, math.floor(j - slack)), min(grid, math.ceil(j + slack))
-            state[t] = {"lo": g[jlo] if jlo > 0 else s["lo"], "hi": g[jhi] if jhi < grid else s["hi"],
-                        "below": None, "size": None, "prev": dict(s)}
-        if not progressed:
-            for t in refine():
-                prev = state[t]["prev"] if state[t]["size"] is None else state[t]
-                state[t] = dict(prev, size=min(prev["size"], final_rows))
-
-    rest = [t for t in state if t not in resolved]
+        for k, (t, (lo, hi)) in enumerate(zip(todo, tried)):
+            t.learn(lo, hi, row[f"b{k}"], row[f"s{k}"], row[f"g{k}"])
+
+    rest = [t for t in targets.values() if t.value is None]
     if rest:
+        if last_sizes is not None:
+            last_sizes += [t.size for t in rest]
         tagged = base.select(F.explode(F.array(*[
-            F.when(_between(F.col(f"_v{i}"), state[(i, r)]["lo"], state[(i, r)]["hi"]) & F.col(f"_v{i}").isNotNull(),
-                   F.struct(F.lit(k).alias("t"), F.col(f"_v{i}").alias("x")))
-            for k, (i, r) in enumerate(rest)])).alias("e")).where(F.col("e").isNotNull()).select("e.t", "e.x")
-        offsets = F.create_map(*[v for k, t in enumerate(rest) for v in (F.lit(k), F.lit(t[1] - state[t]["below"]))])
+            F.when(_inside(F.col(f"_v{t.column}"), t.lo, t.hi), F.struct(F.lit(k).alias("t"),
+                                                                         F.col(f"_v{t.column}").alias("x")))
+            for k, t in enumerate(rest)])).alias("e")).where(F.col("e").isNotNull()).select("e.t", "e.x")
+        offsets = F.create_map(*[v for k, t in enumerate(rest) for v in (F.lit(k), F.lit(t.rank - t.below))])
         w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         vc = tagged.groupBy("t", "x").agg(F.count(F.lit(1)).alias("c")).withColumn("cum", F.sum("c").over(w))
         off = offsets[F.col("t")]
         for row in vc.where((F.col("cum") > off) & (F.col("cum") - F.col("c") <= off)).select("t", "x").collect():
-            resolved[rest[row.t]] = row.x
+            rest[row.t].value = row.x
 
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
-        n = counts[f"n{i}"]
         vals = []
         for p in plan[c]:
-            if not n:
+            if not counts[i]:
                 vals.append(None)
                 continue
-            pos = float(p) * (n - 1)
+            pos = p * (counts[i] - 1)
             lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = resolved[(i, lo_r)], resolved[(i, hi_r)]
+            a, b = targets[i, lo_r].value, targets[i, hi_r].value
             vals.append(a if lo_r == hi_r or a == b else (hi_r - pos) * a + (pos - lo_r) * b)
         out[c] = vals
     return out
+
+
+def rank_errors(df: DataFrame, values: Mapping[str, Mapping[float, object]]) -> DataFrame:
+    """``(column_name, p, rank_error)``: how far each claimed quantile is from rank ``p * n``, as a share of ``n``.
+
+    One aggregate counts, exactly, the values below and up to each claim; an error of 0 means the claim covers the
+    rank. ``values``: column -> {p: claimed value}; null values are ignored, as by the quantiles themselves.
+    """
+    aggs, items = [], []
+    for i, (c, claims) in enumerate(values.items()):
+        aggs.append(F.count(c).alias(f"n{i}"))
+        for j, (p, value) in enumerate(claims.items()):
+            aggs += [F.count_if(F.col(c) < F.lit(value)).alias(f"b{i}_{j}"),
+                     F.count_if(F.col(c) <= F.lit(value)).alias(f"u{i}_{j}")]
+            n = F.col(f"n{i}")
+            gap = F.greatest(F.lit(0.0), F.col(f"b{i}_{j}") - n * F.lit(p), n * F.lit(p) - F.col(f"u{i}_{j}"))
+            items.append(F.struct(F.lit(c).alias("column_name"), F.lit(p).alias("p"),
+                                  F.try_divide(gap, n).alias("rank_error")))
+    return df.agg(*aggs).select(F.inline(F.array(*items)))

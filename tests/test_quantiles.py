@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from scrubjay.functions.quantiles import exact_quantiles
+from scrubjay.functions.quantiles import exact_quantiles, rank_errors
 from scrubjay.sources.tables import load
 
 from .conftest import SF_CHECK
@@ -31,3 +32,29 @@ def test_nulls_ignored_and_empty(spark):
     df = spark.createDataFrame([(None,), (1.0,), (None,), (3.0,)], "x double")
     assert exact_quantiles(df, {"x": [0.5]})["x"] == [2.0]
     assert exact_quantiles(df.where("x > 10"), {"x": [0.5]})["x"] == [None]
+
+
+CASES = {
+    "no nulls": "CAST(id AS DOUBLE)",
+    "3% nulls": "IF(id % 33 = 0, NULL, CAST(id AS DOUBLE))",
+    "30% nulls": "IF(id % 10 < 3, NULL, CAST(id AS DOUBLE))",
+    "hot value": "IF(id % 3 = 0, 7D, CAST(id AS DOUBLE))",
+    "two hot neighbours": "CASE WHEN id % 5 < 2 THEN 11D WHEN id % 5 < 4 THEN 12D ELSE CAST(id AS DOUBLE) END",
+    "ties": "CAST(FLOOR(id / 400) AS DOUBLE)",
+    "one value": "3D",
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_last_window_is_bounded(spark, case):
+    df = spark.range(60_000).selectExpr(f"{CASES[case]} AS x")
+    sizes: list[int] = []
+    got = exact_quantiles(df, {"x": PS}, final_rows=500, grid=64, accuracy=2000, last_sizes=sizes)
+    assert got["x"] == _spark_percentile(df, "x")
+    assert all(n <= 500 for n in sizes)
+
+
+def test_rank_errors(spark):
+    df = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("x"))  # 1..99 and a null
+    got = {r.p: r.rank_error for r in rank_errors(df, {"x": {0.5: 50, 0.25: 40, 1.0: 99}}).collect()}
+    assert got[0.5] == 0 and got[1.0] == 0 and abs(got[0.25] - (39 - 24.75) / 99) < 1e-12
