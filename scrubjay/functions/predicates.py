@@ -44,18 +44,13 @@ def in_values(c: str | Column, values: Sequence | None, all_label: str | None =
     return col_(c).isin(values)
 
 
-def not_in_values(c: str | Column, values: Sequence) -> Column:
-    """``c NOT IN (values)``; a null value is neither valid nor invalid (3-valued logic)."""
-    return ~col_(c).isin(list(values))
-
-
 def not_null(*cols: str) -> Column:
     return all_of(F.col(c).isNotNull() for c in cols)
 
 
-def delay_filter(metric: str = "arr_delay", months: tuple[int, int] | None = (1, 12),
-                 min_delay: float | None = -60, carrier=None) -> Column:
-    """Flight filter: metric present, month range, minimum delay, optional carrier."""
+def delay_filter(metric: str = "arr_delay", months: tuple[int, int] | None = None,
+                 min_delay: float | None = None, carrier=None) -> Column:
+    """Flight filter: metric present; a month range, minimum delay or carrier only where given."""
     return all_of([
         F.col(metric).isNotNull(),
         in_range("month", *(months or (None, None))),

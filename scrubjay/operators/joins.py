@@ -1,23 +1,16 @@
-"""Joins of a fact table to a dimension, broadcasting only a dimension of checked size."""
+"""Joins of a fact table to a dimension."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Largest dimension (rows) we hint for broadcast. The check reads at most this
-# many rows plus one; above it the join stays a shuffle join (AQE may still
-# convert it at run time from measured sizes, and splits skewed partitions).
-MAX_BROADCAST_ROWS = 200_000
 
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Fact-to-dimension join without a hint.
 
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Fact-to-dimension join; the dimension is broadcast only below the size bound."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
+    The optimiser broadcasts a dimension whose size in bytes (estimated, or
+    measured by AQE at run time) is below ``spark.sql.autoBroadcastJoinThreshold``
+    and shuffles it otherwise, splitting skewed partitions; nothing is counted
+    while the plan is built.
+    """
+    return fact.join(dim, on, how)

@@ -1,4 +1,4 @@
-from scrubjay.operators.joins import fits_broadcast, join_dimension
+from scrubjay.operators.joins import join_dimension
 
 
 def _plan(df):
@@ -6,17 +6,15 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_only_below_the_row_bound(spark):
+def test_the_optimiser_decides_on_broadcasting_by_bytes(spark):
     fact = spark.range(1000).selectExpr("id % 10 AS k", "id AS v")
     dim = spark.range(10).selectExpr("id AS k", "concat('name', id) AS name")
-    assert fits_broadcast(dim, 10) and not fits_broadcast(dim, 9)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
     try:
-        small = join_dimension(fact, dim, "k", "left", max_rows=100)
-        assert "BroadcastHashJoin" in _plan(small)
-        big = join_dimension(fact, dim, "k", "left", max_rows=5)
-        assert "BroadcastHashJoin" not in _plan(big)
-        assert small.count() == big.count() == 1000
+        assert "BroadcastHashJoin" in _plan(join_dimension(fact, dim, "k"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = join_dimension(fact, dim, "k")
+        assert "BroadcastHashJoin" not in _plan(big)  # no hint of ours overrides it
+        assert big.count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

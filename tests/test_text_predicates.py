@@ -4,22 +4,13 @@ from pyspark.sql import functions as F
 from scrubjay.functions import predicates as p
 from scrubjay.functions import text as t
 
-# The reference's inline practice rows (name, city, email).
-MESSY = [("  John Smith  ", "new york", "  john.smith@EMAIL.COM  "),
-         ("JANE   DOE", "New York", "jane.doe@email.com"),
-         ("bob johnson", "NEW YORK", "  BOB.JOHNSON@email.com"),
-         ("  Alice Williams", "los angeles", "alice.w@Email.Com  "),
-         ("CHARLIE brown  ", "Los Angeles", "charlie@EMAIL.COM")]
-
-
 def test_clean_person_text(spark):
-    df = spark.createDataFrame(MESSY, "name string, city string, email string")
-    out = df.select(t.proper("name").alias("n"), t.clean_email("email").alias("e"),
-                    F.initcap(F.trim("city")).alias("c")).collect()
-    assert [r.n for r in out] == ["John Smith", "Jane Doe", "Bob Johnson", "Alice Williams", "Charlie Brown"]
-    assert [r.e for r in out] == ["john.smith@email.com", "jane.doe@email.com", "bob.johnson@email.com",
-                                  "alice.w@email.com", "charlie@email.com"]
-    assert {r.c for r in out} == {"New York", "Los Angeles"}
+    rows = [("\tmaria  de la CRUZ ", " Maria@Mail.Example "), ("OTTO\n\nvon  Berg", "otto@mail.example"),
+            ("  li", "LI@MAIL.EXAMPLE"), (None, None), ("   ", "")]
+    df = spark.createDataFrame(rows, "name string, email string")
+    out = df.select(t.proper("name").alias("n"), t.clean_email("email").alias("e")).collect()
+    assert [r.n for r in out] == ["Maria De La Cruz", "Otto Von Berg", "Li", None, ""]
+    assert [r.e for r in out] == ["maria@mail.example", "otto@mail.example", "li@mail.example", None, ""]
 
 
 def test_strip_company_suffixes(spark):
@@ -48,7 +39,15 @@ def test_filter_builders_optional_parts(spark):
     assert df.where(p.all_of([])).count() == 3
     assert df.where(p.delay_filter("arr_delay", (1, 2), 10)).count() == 1
     assert df.where(p.facet_filter(ranges={"arr_delay": (None, 10)})).count() == 1
-    assert df.where(p.not_in_values("arr_delay", [5])).count() == 1  # null is neither in nor out
+    assert df.where(p.delay_filter("arr_delay")).count() == 2  # no bound given, no row dropped but the null
+
+
+@pytest.mark.parametrize("metric", ["arr_delay", "dep_delay"])
+def test_unfiltered_delay_report_counts_every_known_delay(spark, metric):
+    from scrubjay.plans import reports
+    from scrubjay.sources import fixtures
+    flights = fixtures.shipments(spark, "/root/testdata/sf0.001")
+    assert reports.delay_summary(flights, metric).first().total_flights == flights.where(F.col(metric).isNotNull()).count()
 
 
 def test_strip_suffix_every_match(spark):
@@ -56,7 +55,8 @@ def test_strip_suffix_every_match(spark):
     assert df.select(t.strip_suffixes("s").alias("x")).first().x == "One and Two here"
 
 
-@pytest.mark.parametrize("raw,clean", [("Student ID", "student_id"), ("  GPA (pre) ", "gpa_pre"), ("a--B", "a_b")])
-def test_clean_column_name(raw, clean):
-    from scrubjay.sources.files import clean_column_name
-    assert clean_column_name(raw) == clean
+@pytest.mark.parametrize("raw,clean", [("Student ID", "student_id"), ("  GPA (pre) ", "gpa_pre"), ("a--B", "a_b"),
+                                       ("Größe in cm", "größe_in_cm"), ("2nd try", "_2nd_try"), ("%", "")])
+def test_snake_case(raw, clean):
+    from scrubjay.sources.files import snake_case
+    assert snake_case(raw) == clean
