@@ -2,19 +2,19 @@
 
 The library never creates machine-local temporary folders: scratch output
 (CSV round trips, saved tables) goes below ``spark.checkpoint.dir``, which a
-cluster points at shared storage. Only when the setting is absent (unit tests,
-a laptop) do we set one ourselves.
+cluster points at shared storage. Only under a ``local`` master (unit tests, a laptop)
+is one set where it is absent; on a cluster that is an error. What was written
+is removed by ``drop_scratch`` once its readers are done.
 """
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FALLBACK = "/tmp/scrubjay-checkpoints"
-
-
 def get_session(master: str | None = None, app_name: str = "scrubjay",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings the operators assume.
@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - e.g. Spark Connect has no SparkContext
             path = None
     if not path:
-        path = _LOCAL_FALLBACK
+        master = spark.conf.get("spark.master", "") or ""
+        if not re.match(r"local($|\[)", master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="scrubjay-")  # one process reads and writes it
         spark.conf.set("spark.checkpoint.dir", path)
     return path
 
@@ -62,6 +65,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scrubjay/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that ``scratch_path`` named, through Hadoop's file system; refuses any other path."""
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/scrubjay/"
+    if not path.startswith(base) or ".." in path:
+        raise ValueError(f"{path} is not scratch of this session")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def cut_lineage(df, name: str = "lineage"):
     """Write ``df`` as Parquet below the shared checkpoint folder and continue from the files.
 
@@ -91,4 +103,4 @@ def cut_lineage_observed(df, metrics: dict, name: str = "lineage"):
     return out, dict(obs.get)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage", "cut_lineage_observed"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "drop_scratch", "cut_lineage", "cut_lineage_observed"]
