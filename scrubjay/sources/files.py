@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# Both sides of a CSV file must agree on these, or texts change on the way: quotes are doubled, outer spaces are kept,
+# line feeds may stand within quotes, an empty text is written as two quotes and a null as nothing.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False}
+# What the reader takes for null: a field without quotes and text. The marker itself cannot be a text field's value.
+_NULL_MARK = "\u0001null\u0001"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
-    """CSV scan with a header row.
+             infer: bool = False, multi_line: bool = True) -> DataFrame:
+    """CSV scan with a header row; reads back what ``write_csv`` wrote without loss.
 
     An explicit schema avoids the extra full pass that ``inferSchema`` needs;
-    inference stays available for exploratory reads.
+    inference stays available for exploratory reads, and without either every
+    column is text. With ``multi_line`` texts may hold line feeds, but a file is
+    then one task; for large texts prefer Parquet, or pass ``multi_line=False``
+    where no field holds a line feed.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**_CSV).options(nullValue=_NULL_MARK, emptyValue="", multiLine=multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -26,7 +35,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Write with a header row (no index). ``single_file`` only for bounded results."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**_CSV).options(nullValue="", emptyValue='""').csv(path)
     return path
 
 
@@ -50,14 +59,19 @@ def save_table(df: DataFrame, path: str | None = None, table: str | None = None,
     return spark.read.parquet(path)
 
 
-def clean_column_name(name: str) -> str:
-    """Non-alphanumeric runs -> ``_``, outer ``_`` stripped, lower case."""
-    return re.sub(r"[^A-Za-z0-9]+", "_", name).strip("_").lower()
+def snake_case(name: str) -> str:
+    """Lower-case words joined by ``_``: a word is a run of letters and digits of any script.
+
+    A name that would start with a digit gets a leading ``_``, so that it needs no quoting in SQL.
+    """
+    words = "".join(ch if ch.isalnum() else " " for ch in name.lower()).split()
+    joined = "_".join(words)
+    return f"_{joined}" if joined[:1].isdigit() else joined
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
     """Rename every column to snake_case; refuse empty names and collisions."""
-    new = [clean_column_name(c) for c in df.columns]
+    new = [snake_case(c) for c in df.columns]
     empty = [old for old, n in zip(df.columns, new) if not n]
     if empty:
         raise ValueError(f"columns clean to an empty name: {empty}")

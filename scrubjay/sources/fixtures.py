@@ -95,9 +95,31 @@ def outcomes(spark: SparkSession, data_dir: str) -> DataFrame:
         (F.lit(2) + F.col("l_discount") * 10).alias("pre_semester_gpa"),
         (F.lit(2) + F.col("l_tax") * 10).alias("post_semester_gpa"),
         (F.col("l_extendedprice") / 1050).alias("skill_retention_score"),
+        (sk % 2 == 0).alias("paid_subscription"),
     )
 
 
+def outcomes_raw(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The student records as an export would hold them: all text, with gaps, bad values and outer spaces.
+
+    Every table row is kept; the keys' residues decide which values are spoilt.
+    """
+    o = outcomes(spark, data_dir)
+    pk, sk = F.col("tie_part"), F.col("tie_supp")
+    dirty = {
+        "student_id": F.when(pk % 101 == 0, F.lit(None)).when(pk % 97 == 0, F.concat(F.lit("S-"), F.col("student_id")))
+        .otherwise(F.col("student_id").cast("string")),
+        "weekly_genai_hours": F.when(sk % 13 == 0, "n/a").when(sk % 17 == 0, F.lit(None))
+        .otherwise(F.col("weekly_genai_hours").cast("string")),
+        "perceived_ai_dependency": _null_when(pk % 19 == 0, F.col("perceived_ai_dependency").cast("string")),
+        "major_category": F.when(pk % 5 == 0, F.concat(F.lit("  "), "major_category", F.lit(" ")))
+        .otherwise(F.col("major_category")),
+        "institutional_policy": _null_when(sk % 23 == 0, F.col("institutional_policy")),
+        "paid_subscription": F.when(sk % 29 == 0, "maybe").otherwise(F.col("paid_subscription").cast("string")),
+    }
+    return o.select(*[dirty.get(c, F.col(c).cast("string")).alias(c) for c in o.columns])
+
+
 def documents_labeled(spark: SparkSession, data_dir: str) -> DataFrame:
     """Documents left-joined to their (partial) quality labels."""
     docs = load(spark, data_dir, "documents").select("doc_id", "lang", "source", "n_chars")
@@ -108,6 +130,34 @@ def documents_labeled(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def customer_as_strings(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The customer table with every column stored as text (input of cast plans)."""
+    """The customer table as text with bad numbers (input of cast plans) and a text flag."""
+    c = load(spark, data_dir, "customer")
+    key = F.col("c_custkey")
+    dirty = {
+        "c_acctbal": F.when(key % 11 == 0, "n/a").when(key % 7 == 0, F.lit(None))
+        .otherwise(F.col("c_acctbal").cast("string")),
+        "c_nationkey": F.when(key % 13 == 0, F.concat(F.lit("#"), F.col("c_nationkey").cast("string")))
+        .otherwise(F.col("c_nationkey").cast("string")),
+    }
+    flag = F.when(key % 17 == 0, "maybe").when(key % 2 == 0, "true").otherwise("false")
+    return c.select(*[dirty.get(n, F.col(n).cast("string")).alias(n) for n in c.columns], flag.alias("c_member"))
+
+
+def customer_messy(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The customer table with names as people type them: outer spaces, runs of spaces, mixed case, company suffixes."""
     c = load(spark, data_dir, "customer")
-    return c.select(*[F.col(n).cast("string").alias(n) for n in c.columns])
+    key = F.col("c_custkey")
+    name = F.regexp_replace("c_name", "#", F.lit("  "))
+    name = F.when(key % 3 == 0, F.concat(F.lit("  "), F.lower(name), F.lit(" "))).when(key % 3 == 1, F.upper(name)).otherwise(name)
+    company = F.concat("c_name", F.when(key % 4 == 0, " Inc.").when(key % 4 == 1, " Corporation")
+                       .when(key % 4 == 2, " Air Lines Co.").otherwise(""))
+    return c.select("c_custkey", name.alias("name"), company.alias("company"),
+                    F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")).alias("segment"))
+
+
+def documents_spaced(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Documents whose sentences stand two spaces apart, with outer white space and, for some, no or an empty text."""
+    d = load(spark, data_dir, "documents")
+    text = F.concat(F.lit("  "), F.replace("text", F.lit(". "), F.lit(".  \t")), F.lit(' "\n'))
+    return d.select("doc_id", F.when(F.col("doc_id") % 19 == 0, F.lit(None)).when(F.col("doc_id") % 23 == 0, "")
+                    .otherwise(text).alias("text"))

@@ -13,9 +13,3 @@ def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_views(spark: SparkSession, data_dir: str, names=TABLES) -> None:
-    """Register every table as a temp view of the same name (for SQL cells)."""
-    for name in names:
-        load(spark, data_dir, name).createOrReplaceTempView(name)
