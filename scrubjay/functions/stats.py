@@ -87,17 +87,3 @@ def attach(df: DataFrame, stats: Column, name: str = STATS_COL) -> DataFrame:
     one subquery per reference. Drop the column when done.
     """
     return df.withColumn(name, stats)
-
-
-def corr_safe(a: str | Column, b: str | Column) -> Column:
-    """Pearson correlation over pairwise complete rows, null when undefined.
-
-    Spark's ``corr`` raises DIVIDE_BY_ZERO under ANSI for a constant column; the
-    standard deviations are masked to the rows where both sides are present so
-    the result equals pandas' pairwise ``corr``.
-    """
-    x, y = col_(a), col_(b)
-    both = x.isNotNull() & y.isNotNull()
-    sx = F.stddev_samp(F.when(both, x))
-    sy = F.stddev_samp(F.when(both, y))
-    return F.try_divide(F.covar_samp(x, y), sx * sy)

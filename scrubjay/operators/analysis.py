@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +37,9 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg
 PAIRS_PER_ROW = 8
 
 
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def _unpivot_ids(df: DataFrame, n: int, name: str) -> DataFrame:
     """Each row ``n`` times with an id 0..n-1 (explode of a literal array: no per-row structs)."""
     return df.select("*", F.explode(F.array(*[F.lit(i) for i in range(n)])).alias(name))
@@ -95,23 +99,31 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
     return named.select(F.inline(both))
 
 
-def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """Typed long summary ``(column_name, stat, value)``: count, mean, stddev, min, max.
+def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
+    """Long summary of columns of any type: ``(column_name, stat, value, number)``.
 
-    Each row is repeated once per column (explode of column ids; a CASE picks
-    the value) and grouped by column: one scan, five aggregates, codegen-friendly
-    whatever the column count.
+    Every column has count, min and max, whose ``value`` is text in the column's own type, so a large id keeps all its
+    digits; numbers also have mean and stddev. ``number`` is the statistic as a rounded double where it is one. Every
+    statistic is an aggregate of its own typed column in one pass over the table.
     """
-    cols = list(cols)
-    rows = _unpivot_ids(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(cols), "_cid")
-    v = _pick(F.col("_cid"), [F.col(c) for c in cols])
-    g = rows.select("_cid", v.alias("v")).groupBy("_cid").agg(
-        F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"),
-        F.stddev_samp("v").alias("stddev"), F.min("v").alias("min"), F.max("v").alias("max"))
-    names = F.array(*[F.lit(c) for c in cols])
-    items = F.array(*[F.struct(F.lit(s).alias("stat"), F.round(F.col(s), digits).alias("value"))
-                      for s in ("count", "mean", "stddev", "min", "max")])
-    return g.select(F.element_at(names, F.col("_cid") + 1).alias("column_name"), F.inline(items))
+    cols = list(cols or df.columns)
+    types = dict(df.dtypes)
+    numeric = {c for c in cols if types[c] in _NUMBERS or types[c].startswith("decimal")}
+    aggs, items = [], []
+    for i, c in enumerate(cols):
+        stats = {"count": F.count(c), "min": F.min(c), "max": F.max(c)}
+        if c in numeric:
+            stats |= {"mean": F.avg(c), "stddev": F.stddev_samp(c)}
+        for s in ("count", "mean", "stddev", "min", "max"):
+            if s not in stats:
+                continue
+            name = f"_{i}_{s}"
+            aggs.append(stats[s].alias(name))
+            number = F.round(F.col(name).cast("double"), digits) if c in numeric or s == "count" else F.lit(None)
+            value = F.lit(None) if s in ("mean", "stddev") else F.col(name)
+            items.append(F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"),
+                                  value.cast("string").alias("value"), number.cast("double").alias("number")))
+    return df.agg(*aggs).select(F.inline(F.array(*items)))
 
 
 def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str = "rows") -> DataFrame:
@@ -132,12 +144,12 @@ def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str
 def share(df: DataFrame, key: str | Sequence[str], name: str = "rows", digits: int = 2) -> DataFrame:
     """Count per key and its percent of all rows.
 
-    The total is a scalar subquery, not a window over the whole result, so no
-    single task has to see every group.
+    The total is a scalar subquery that sums the counts already aggregated; both
+    read one exchange of them, so the input is scanned once.
     """
     keys = [key] if isinstance(key, str) else list(key)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum(name)).scalar()
     return counts.withColumn("share_pct", F.round(F.try_divide(F.col(name) * F.lit(100.0), total), digits))
 
 
@@ -152,9 +164,41 @@ def facet_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .orderBy("facet", "value"))
 
 
-def sample_random(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """Uniform sample of exactly ``min(n, rows)`` rows (``ORDER BY rand() LIMIT n``)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def _threshold_sample(df: DataFrame, n: int, score: Column, order: Sequence[Column]) -> DataFrame:
+    """The ``n`` rows of least ``score`` (uniform in 0..1, the same whenever a row is read again).
+
+    A count sets a threshold under which about ``n`` rows plus five standard deviations fall, so only those are
+    sorted, not ``n`` rows of every task. If a count shows fewer than ``n`` below it, it is raised.
+    """
+    rows = df.count()
+    if rows <= n:
+        return df
+    scored = df.withColumn("_score", score)
+    share = (n + 5 * n ** 0.5 + 10) / rows
+    while share < 1 and scored.where(F.col("_score") < share).count() < n:
+        share *= 2
+    return scored.where(F.col("_score") < min(share, 1.0)).orderBy("_score", *order).limit(n).drop("_score")
+
+
+def _hash_score(key: Sequence[str], seed: int) -> Column:
+    """A number from 0 to 1 from the key's values, each with its length, so that no two keys read alike; null apart."""
+    parts = []
+    for k in key:
+        text = F.col(k).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    digest = F.md5(F.concat(*parts, F.lit(f"#{seed}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(16 ** 13))
+
+
+def sample_random(df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int | None = None) -> DataFrame:
+    """Uniform sample of exactly ``min(n, rows)`` rows, another one for each seed (random if none is given).
+
+    Rows are scored by a hash of ``key`` (default: all columns) and the seed, so the sample stays the same when a task
+    is run again; equal rows share their score.
+    """
+    seed = random.randrange(1 << 62) if seed is None else seed
+    key = list(key or df.columns)
+    return _threshold_sample(df, n, _hash_score(key, seed), [F.col(k).asc_nulls_last() for k in key])
 
 
 def sample_repeatable(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -163,5 +207,4 @@ def sample_repeatable(df: DataFrame, n: int, key: Sequence[str], seed: int = 42)
     The choice depends only on the data, not on partitioning, so reruns (and a
     recomputation after a lost executor) pick the same rows.
     """
-    h = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))
-    return df.orderBy(h, *[F.col(k).asc_nulls_last() for k in key]).limit(n)
+    return _threshold_sample(df, n, _hash_score(key, seed), [F.col(k).asc_nulls_last() for k in key])

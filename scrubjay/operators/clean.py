@@ -27,17 +27,20 @@ def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
-def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                     total_order: bool = False) -> DataFrame:
     """Keep the first row of every key group under ``order``.
 
     The order is extended by all remaining columns, so the survivor is always
-    the same row. Spark plans ``row_number() ... = 1`` with a partial
+    the same row. A caller that declares ``order`` to be total (no two rows of a
+    key tie in it unless they are equal) spares the shuffle all columns that the
+    result's reader does not use. Spark plans ``row_number() ... = 1`` with a partial
     WindowGroupLimit before the shuffle: every map task already keeps only its
     first row per key, so a hot key sends one row per task, not all its rows.
     """
     keys = list(keys)
     used = set(keys) | {o for o in order if isinstance(o, str)}
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in used]
+    rest = [] if total_order else [F.col(c).asc_nulls_last() for c in df.columns if c not in used]
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order), *rest)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
@@ -99,50 +102,63 @@ def fill_mean(df: DataFrame, cols: Sequence[str], keep_type: bool = False, suffi
 
 def fill_median(df: DataFrame, cols: Sequence[str], method: str = "exact",
                 accuracy: int = DEFAULT_APPROX_ACCURACY, keep_type: bool = False,
-                suffix: str | None = None, skip_complete: bool = True,
+                suffix: str | None = None,
                 null_counts: Mapping[str, int] | None = None) -> DataFrame:
     """Fill nulls with the median of each column.
 
     ``exact`` (default) runs the bounded distributed selection for all columns
     together; ``percentile`` / ``approx`` compute every median in one aggregate.
-    With ``skip_complete`` (in-place fills only) columns without nulls are left
-    out after one counting pass (or from ``null_counts`` when the caller already
-    has them), so a gap-free column costs no median job.
+    A column's type depends on the parameters alone: double, or its own type with
+    ``keep_type``. ``null_counts``, where the caller has them, and otherwise one
+    counting pass spare a gap-free column the median job.
     """
     cols = list(cols)
-    if skip_complete and not suffix:
-        # Columns without gaps need no median at all.
-        if null_counts is not None:
-            nulls = null_counts
-        else:
-            nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first() if cols else {}
-        cols = [c for c in cols if nulls[c]]
-        if not cols:
-            return df
+    if not cols:
+        return df
+    nulls = null_counts
+    if nulls is None:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    whole = [c for c in cols if not nulls[c]]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    df = df.withColumns({f"{c}{suffix}" if suffix else c: F.col(c).cast(types[c] if keep_type else "double")
+                         for c in whole})
+    cols = [c for c in cols if nulls[c]]
+    if not cols:
+        return df
     if method == "exact":
         med = exact_quantiles(df, {c: [0.5] for c in cols})
         row = literal_struct({c: med[c][0] for c in cols})
         return _fill(df, {c: F.lit(None) for c in cols}, keep_type, suffix, row=row)
-    return _fill(df, {c: quantile(c, 0.5, method, accuracy) for c in cols}, keep_type, suffix)
+    values = {c: quantile(c, 0.5, method, accuracy).cast("double") for c in cols}
+    return _fill(df, values, keep_type, suffix)
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
 
 
-def mode_value(df: DataFrame, c: str) -> Column:
-    """Most frequent non-null value of ``c`` (ties -> smallest) as a scalar subquery.
+def mode_values(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """Most frequent non-null value of each column (ties -> smallest), as literals of the column's type.
 
-    Counting runs as a distributed group-by (combined map-side); only the top
-    row leaves it.
+    One pass counts (column, value) pairs, combined map-side; one row per column leaves it.
     """
-    top = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.col("n").desc(), F.col(c).asc()).limit(1).select(c))
-    return top.scalar()
+    cols = list(cols)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    # One struct field per column keeps each value in its own type.
+    rows = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), *[
+        (F.col(c) if j == i else F.lit(None).cast(types[d])).alias(f"v{j}") for j, d in enumerate(cols)])
+        for i, c in enumerate(cols)])).alias("e")).select("e.*")
+    counted = rows.groupBy("i", *[f"v{j}" for j in range(len(cols))]).agg(F.count(F.lit(1)).alias("n")).where(
+        F.coalesce(*[F.when(F.col("i") == j, F.col(f"v{j}").isNotNull()) for j in range(len(cols))]))
+    first = counted.groupBy("i").agg(*[F.min_by(f"v{j}", F.struct(-F.col("n"), F.col(f"v{j}"))).alias(f"v{j}")
+                                       for j in range(len(cols))])
+    found = {r["i"]: r[f"v{r['i']}"] for r in first.collect()}
+    return {c: F.lit(found.get(i)).cast(types[c]) for i, c in enumerate(cols)}
 
 
 def fill_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), mode_value(df, c)) for c in cols})
+    """Fill nulls with each column's most frequent value; a column without values stays null."""
+    return df.withColumns({c: F.coalesce(F.col(c), v) for c, v in mode_values(df, cols).items()})
 
 
 def missing_indicator(df: DataFrame, cols: Sequence[str], suffix: str = "_missing") -> DataFrame:

@@ -31,24 +31,14 @@ def quantiles(df: DataFrame, c: str, ps: Sequence[float], method: str = "exact",
     return arr.select(*[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
 
-def _fences(q1, q3, k: float) -> dict[str, float | None]:
+def fence_values(q1, q3, k: float = 1.5) -> dict[str, float | None]:
+    """Quartiles, range and fences; all null where there are no values."""
     if q1 is None or q3 is None:
         return {"q1": None, "q3": None, "iqr": None, "lower_bound": None, "upper_bound": None}
     iqr = q3 - q1
     return {"q1": q1, "q3": q3, "iqr": iqr, "lower_bound": q1 - k * iqr, "upper_bound": q3 + k * iqr}
 
 
-def iqr_stats(df: DataFrame, c: str, k: float = 1.5, method: str = "percentile",
-              accuracy: int = DEFAULT_APPROX_ACCURACY) -> DataFrame:
-    """One row: q1, q3, iqr and the ``k * iqr`` fences (aggregate form, ``percentile``/``approx``)."""
-    q = df.agg(quantile(c, [0.25, 0.75], method, accuracy).alias("_q"))
-    q = q.select(F.col("_q")[0].cast("double").alias("q1"), F.col("_q")[1].cast("double").alias("q3"))
-    iqr = F.col("q3") - F.col("q1")
-    return q.select("q1", "q3", iqr.alias("iqr"),
-                    (F.col("q1") - F.lit(k) * iqr).alias("lower_bound"),
-                    (F.col("q3") + F.lit(k) * iqr).alias("upper_bound"))
-
-
 def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
                accuracy: int = DEFAULT_APPROX_ACCURACY, non_null: int | None = None) -> Column:
     """The IQR statistics as a struct of literals, computed once (bounded driver step).
@@ -60,7 +50,7 @@ def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, method: str = "exact",
     else:
         row = df.agg(quantile(c, [0.25, 0.75], method, accuracy).alias("_q")).first()
         q1, q3 = (float(v) if v is not None else None for v in (row["_q"] or [None, None]))
-    return literal_struct(_fences(q1, q3, k))
+    return literal_struct(fence_values(q1, q3, k))
 
 
 def iqr_report(df: DataFrame, c: str, k: float = 1.5, method: str = "exact", digits: int = 2) -> DataFrame:
@@ -79,7 +69,7 @@ def iqr_report(df: DataFrame, c: str, k: float = 1.5, method: str = "exact", dig
 
 def fences(q1: float | None, q3: float | None, k: float = 1.5) -> Column:
     """IQR statistics from known quartiles, as a struct of literals (for ``iqr_flag(bounds=...)``)."""
-    return literal_struct(_fences(q1, q3, k))
+    return literal_struct(fence_values(q1, q3, k))
 
 
 def iqr_flag(df: DataFrame, c: str, flag: str | None = None, k: float = 1.5, method: str = "exact",

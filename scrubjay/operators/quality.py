@@ -162,6 +162,10 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for i, r in enumerate(rules):
         mapping = {m: f"_r{i}_{m}" for m in r.metrics}
         names.append(mapping)
+        if r.needs_column is not None and r.needs_column not in df.columns:
+            # Nothing can be computed from a missing column: its metrics are 0 and the check fails.
+            plain += [F.lit(0).cast("bigint").alias(mapping[m]) for m in r.metrics]
+            continue
         for m, e in r.metrics.items():
             if r.keys:
                 grouped.setdefault(r.keys, {})[mapping[m]] = e

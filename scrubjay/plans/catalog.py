@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from scrubjay.functions import text
 from scrubjay.functions.predicates import delay_filter, facet_filter
+from scrubjay.functions.quantiles import rank_errors
 from scrubjay.operators import analysis, clean, outliers, quality
 from scrubjay.operators.features import student_features
 from scrubjay.plans import pipelines, reports
-from scrubjay.session import scratch_path
+from scrubjay.session import cut_lineage, scratch_path
 from scrubjay.sources import files, fixtures
 from scrubjay.sources.tables import load
 
@@ -33,14 +34,15 @@ STUDENT_FILTER = dict(ranges={"weekly_genai_hours": (0.0, 40.0)},
                       all_labels={"year_of_study": "All Years"})
 
 
-def students(spark: SparkSession, d: str, outlier_flag: bool = False) -> DataFrame:
-    """The cleaned student table derived from the outcomes stand-in.
+# The number columns that each group of student reports reads.
+GPA = ("pre_semester_gpa", "post_semester_gpa")
+HOURS, RETENTION, ANXIETY = "weekly_genai_hours", "skill_retention_score", "anxiety_level_during_exams"
+DEPENDENCY, DIVERSITY = "perceived_ai_dependency", "tool_diversity"
 
-    The reports never read ``genai_hours_outlier_flag``; its quartiles are exact
-    and computed eagerly (not pruned like a lazy column), so report queries skip
-    it. Queries that return or save the whole table ask for it.
-    """
-    return pipelines.clean_students(fixtures.outcomes(spark, d), outlier_flag=outlier_flag)
+
+def students(spark: SparkSession, d: str, *reads: str) -> DataFrame:
+    """The cleaned student rows derived from the outcomes stand-in, for a report that reads the numbers ``reads``."""
+    return pipelines.student_rows(fixtures.outcomes(spark, d), reads)
 
 
 # --- flights -------------------------------------------------------------------------
@@ -150,14 +152,32 @@ def q_fill_median(spark, d):
     return out.select("carrier", "flight", "line", "arr_delay", "arr_delay_filled")
 
 
+SKETCH_ACCURACY = 10_000
+
+
 def q_fill_median_approx(spark, d):
-    out = clean.fill_median(fixtures.shipments(spark, d), list(DELAY_COLUMNS), method="approx",
-                            accuracy=1_000_000, keep_type=True)
-    return out.select("carrier", "flight", "line", *DELAY_COLUMNS)
+    """Per filled column: rows, gaps before and after, and whether the sketched median's rank is within its bound."""
+    flights = fixtures.shipments(spark, d)
+    medians = flights.agg(*[F.percentile_approx(c, 0.5, SKETCH_ACCURACY).alias(c) for c in DELAY_COLUMNS]).first()
+    filled = clean.fill_median(flights, DELAY_COLUMNS, method="approx", accuracy=SKETCH_ACCURACY, suffix="_filled")
+    counts = filled.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(x).isNull()).alias(x) for c in DELAY_COLUMNS
+                                                        for x in (c, f"{c}_filled")])
+    rows = counts.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col("n").alias("total_rows"), F.col(c).alias("nulls_before"),
+        F.col(f"{c}_filled").alias("nulls_after")) for c in DELAY_COLUMNS])))
+    errors = rank_errors(flights, {c: {0.5: medians[c]} for c in DELAY_COLUMNS})
+    return rows.join(errors, "column_name").select(
+        "column_name", "total_rows", "nulls_before", "nulls_after",
+        (F.col("rank_error") <= 1 / SKETCH_ACCURACY).alias("within_bound"))
 
 
 def q_mean_vs_median(spark, d):
-    return clean.mean_vs_median(fixtures.shipments(spark, d), "arr_delay", accuracy=1_000_000)
+    """The mean, and whether the sketched median's rank is within its bound."""
+    flights = fixtures.shipments(spark, d)
+    both = clean.mean_vs_median(flights, "arr_delay", accuracy=SKETCH_ACCURACY).first()
+    errors = rank_errors(flights, {"arr_delay": {0.5: both["median_arr_delay"]}})
+    return errors.select(F.lit(both["mean_arr_delay"]).alias("mean_arr_delay"),
+                         (F.col("rank_error") <= 1 / SKETCH_ACCURACY).alias("within_bound"))
 
 
 def q_fill_unknown(spark, d):
@@ -176,34 +196,34 @@ def q_missing_indicator(spark, d):
 
 
 def q_approx_quantiles(spark, d):
-    return outliers.quantiles(load(spark, d, "lineitem"), "l_extendedprice", [0.25, 0.5, 0.75],
-                              method="approx", accuracy=1_000_000)
+    """Per probability, whether the sketched quantile's rank is within the sketch's bound."""
+    li = load(spark, d, "lineitem")
+    found = outliers.quantiles(li, "l_extendedprice", QUARTILES, method="approx", accuracy=SKETCH_ACCURACY).first()
+    errors = rank_errors(li, {"l_extendedprice": dict(zip(QUARTILES, found))})
+    return errors.select("p", (F.col("rank_error") <= 1 / SKETCH_ACCURACY).alias("within_bound"))
+
+
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 # --- text and types ------------------------------------------------------------------
 
 def q_clean_names(spark, d):
-    c = load(spark, d, "customer")
-    return c.select(
-        "c_custkey",
-        F.col("c_name").alias("original"),
-        F.trim("c_name").alias("trimmed"),
-        F.upper(F.trim("c_name")).alias("upper_name"),
-        F.lower(F.trim("c_name")).alias("lower_name"),
-        F.initcap(F.trim("c_name")).alias("proper_name"),
-        text.proper("c_name").alias("clean_name"),
-        text.clean_email("c_mktsegment").alias("clean_segment"),
-        F.initcap(F.trim("c_mktsegment")).alias("segment_title"),
-    )
+    """Every step of the name clean-up on names with outer spaces, runs of spaces and mixed case."""
+    c = fixtures.customer_messy(spark, d)
+    return c.select("c_custkey", "name", F.trim("name").alias("without_outer_spaces"),
+                    F.upper(F.trim("name")).alias("upper"), F.lower(F.trim("name")).alias("lower"),
+                    text.squish("name").alias("single_spaced"), text.proper("name").alias("proper"),
+                    text.clean_email("segment").alias("segment_key"))
 
 
 def q_strip_suffix(spark, d):
-    docs = load(spark, d, "documents")
-    return docs.select("doc_id", text.strip_suffixes("text").alias("stripped_text"))
+    c = fixtures.customer_messy(spark, d)
+    return c.select("c_custkey", "company", text.strip_suffixes("company").alias("stripped"))
 
 
 def q_collapse_whitespace(spark, d):
-    docs = load(spark, d, "documents")
+    docs = fixtures.documents_spaced(spark, d)
     return docs.select("doc_id", text.squish("text").alias("clean_text"))
 
 
@@ -227,7 +247,7 @@ def q_string_functions(spark, d):
     )
 
 
-CUSTOMER_PLAN = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double"}
+CUSTOMER_PLAN = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double", "c_member": "boolean"}
 
 
 def q_cast_columns(spark, d):
@@ -292,43 +312,50 @@ def q_bands_and_flags(spark, d):
 
 
 def q_outcomes_by_band(spark, d):
-    return reports.outcomes_by_band(students(spark, d))
+    return reports.outcomes_by_band(students(spark, d, *GPA, HOURS, RETENTION, ANXIETY, DEPENDENCY))
 
 
 def q_outcomes_by_skill(spark, d):
-    return reports.outcomes_by_skill(students(spark, d))
+    return reports.outcomes_by_skill(students(spark, d, *GPA, RETENTION, DIVERSITY, ANXIETY))
 
 
 def q_outcomes_by_policy(spark, d):
-    return reports.outcomes_by_policy(students(spark, d))
+    return reports.outcomes_by_policy(students(spark, d, *GPA, RETENTION, ANXIETY, DEPENDENCY))
 
 
 def q_outcomes_by_use_case(spark, d):
-    return reports.outcomes_by_use_case(students(spark, d))
+    return reports.outcomes_by_use_case(students(spark, d, *GPA, HOURS, RETENTION))
 
 
 def q_band_summary(spark, d):
-    return reports.band_summary(students(spark, d))
+    return reports.band_summary(students(spark, d, *GPA, HOURS, RETENTION, ANXIETY))
 
 
 def q_rank_bands_in_group(spark, d):
-    return reports.rank_bands_in_major(students(spark, d))
+    return reports.rank_bands_in_major(students(spark, d, *GPA, HOURS, RETENTION))
 
 
 def q_pivot_group_by_band(spark, d):
-    return reports.gpa_pivot(students(spark, d))
+    return reports.gpa_pivot(students(spark, d, *GPA, HOURS))
 
 
 def q_band_level_counts(spark, d):
-    return reports.burnout_by_band(students(spark, d))
+    return reports.burnout_by_band(students(spark, d, HOURS))
 
 
 def q_correlation_matrix(spark, d):
-    return reports.outcome_correlations(students(spark, d))
+    return reports.outcome_correlations(students(spark, d, *pipelines.STUDENT_NUMBERS))
 
 
 def q_describe_numeric(spark, d):
-    return analysis.describe_numeric(students(spark, d), reports.CORRELATION_COLUMNS)
+    out = analysis.describe(students(spark, d, *pipelines.STUDENT_NUMBERS), reports.CORRELATION_COLUMNS)
+    return out.select("column_name", "stat", F.col("number").alias("value"))
+
+
+def q_describe_table(spark, d):
+    """All columns of ``documents`` but the text itself, strings included; texts keep their type's digits."""
+    out = analysis.describe(load(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"))
+    return out.where(F.col("stat").isin("count", "min", "max"))
 
 
 def q_facet_options(spark, d):
@@ -338,35 +365,35 @@ def q_facet_options(spark, d):
 
 
 def q_filtered_summary(spark, d):
-    return reports.student_summary(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.student_summary(students(spark, d, *GPA, HOURS, RETENTION, ANXIETY), facet_filter(**STUDENT_FILTER))
 
 
 def q_filtered_detail(spark, d):
-    return reports.filtered_detail(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.filtered_detail(students(spark, d, *pipelines.STUDENT_NUMBERS), facet_filter(**STUDENT_FILTER))
 
 
 def q_sample_repeatable(spark, d):
-    return reports.scatter_sample(students(spark, d), 5000, 42)
+    return reports.scatter_sample(students(spark, d, *GPA, HOURS, RETENTION), 5000, 42)
 
 
 def q_filtered_band_overview(spark, d):
-    return reports.band_overview(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.band_overview(students(spark, d, *GPA, HOURS, RETENTION), facet_filter(**STUDENT_FILTER))
 
 
 def q_filtered_skill_comparison(spark, d):
-    return reports.skill_comparison(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.skill_comparison(students(spark, d, *GPA, HOURS, RETENTION, DIVERSITY), facet_filter(**STUDENT_FILTER))
 
 
 def q_filtered_policy_outcomes(spark, d):
-    return reports.policy_outcomes(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.policy_outcomes(students(spark, d, *GPA, HOURS, RETENTION, ANXIETY, DEPENDENCY), facet_filter(**STUDENT_FILTER))
 
 
 def q_filtered_band_level_counts(spark, d):
-    return reports.burnout_by_band(students(spark, d), facet_filter(**STUDENT_FILTER))
+    return reports.burnout_by_band(students(spark, d, HOURS), facet_filter(**STUDENT_FILTER))
 
 
 def q_filtered_scatter_sample(spark, d):
-    return reports.scatter_sample(students(spark, d), 5000, 42, facet_filter(**STUDENT_FILTER))
+    return reports.scatter_sample(students(spark, d, *GPA, HOURS, RETENTION), 5000, 42, facet_filter(**STUDENT_FILTER))
 
 
 # --- diamonds ------------------------------------------------------------------------
@@ -384,7 +411,12 @@ def q_price_by_cut(spark, d):
 
 
 def q_sample_random(spark, d):
-    return reports.gem_points(fixtures.gems(spark, d), 3000)
+    """Size, distinct rows and members of a random sample smaller than the table."""
+    gems = fixtures.gems(spark, d)
+    sample = cut_lineage(reports.gem_points(gems, 500), "sample")
+    known = gems.select("gem_id").join(sample.select("gem_id"), "gem_id", "left_semi")
+    return sample.agg(F.count(F.lit(1)).alias("sampled"), F.count_distinct("gem_id").alias("different"),
+                      known.agg(F.count(F.lit(1))).scalar().alias("members"))
 
 
 # --- pipelines and sinks -------------------------------------------------------------
@@ -395,29 +427,56 @@ def q_cleaning_pipeline(spark, d):
 
 def q_cleaning_pipeline_sql(spark, d):
     fixtures.shipments(spark, d).createOrReplaceTempView("shipments")
-    return pipelines.flights_cleaning_sql(spark, "shipments")
+    return pipelines.cleaning_sql(spark, "shipments", pipelines.FLIGHT_KEY, pipelines.FLIGHT_ORDER, "dep_delay",
+                                  "arr_delay")
+
+
+def q_temp_view_from_query(spark, d):
+    """A composed query registered as a view and read by another statement."""
+    fixtures.shipments(spark, d).createOrReplaceTempView("shipments")
+    late = spark.sql("SELECT carrier, origin, arr_delay FROM shipments WHERE arr_delay > 0")
+    late.createOrReplaceTempView("late_shipments")
+    return spark.sql("SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM late_shipments GROUP BY origin")
 
 
 def q_cleaning_pipeline_report(spark, d):
     return pipelines.flights_cleaning_report(pipelines.clean_flights(fixtures.shipments(spark, d)))
 
 
-def _ingest(spark, d):
-    csv_path = pipelines.write_raw_csv(fixtures.outcomes(spark, d), scratch_path(spark, "students-csv"))
-    return pipelines.ingest_students(spark, csv_path, scratch_path(spark, "students-clean"))
+def _ingest(spark, d) -> pipelines.Ingest:
+    csv_path = pipelines.write_raw_csv(fixtures.outcomes_raw(spark, d), scratch_path(spark, "students-csv"))
+    return pipelines.ingest_students(spark, csv_path, scratch_path(spark, "students"))
 
 
 def q_ingest_pipeline(spark, d):
-    return _ingest(spark, d)
+    return _ingest(spark, d).table
+
+
+def q_ingest_rejects(spark, d):
+    return _ingest(spark, d).rejects.select("student_id", "tie_part", "tie_supp", "reject_reason")
+
+
+def q_ingest_audit(spark, d):
+    return _ingest(spark, d).audit
 
 
 def q_ingest_validation(spark, d):
-    return pipelines.student_validation(_ingest(spark, d))
+    return pipelines.student_validation(_ingest(spark, d).table)
 
 
 def q_cleaned_row_count(spark, d):
-    saved = files.save_table(students(spark, d, outlier_flag=True), path=scratch_path(spark, "students-table"))
-    return saved.agg(F.count(F.lit(1)).alias("cleaned_rows"))
+    """Rows that the cleaning keeps: one for each id, counted without building them."""
+    ids = fixtures.outcomes(spark, d).groupBy(pipelines.STUDENT_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return ids.agg(F.count(F.lit(1)).alias("cleaned_rows"))
+
+
+def q_table_overwrite(spark, d):
+    """A saved table replaced by one of another schema, read back."""
+    path = scratch_path(spark, "gems-table")
+    gems = fixtures.gems(spark, d)
+    files.save_table(gems, path=path)
+    new = files.save_table(gems.select("gem_id", "cut", F.coalesce("price", F.lit(0.0)).alias("price_or_zero")), path=path)
+    return new.select("*")
 
 
 def q_csv_round_trip(spark, d):
@@ -426,6 +485,13 @@ def q_csv_round_trip(spark, d):
     return files.read_csv(spark, path, schema=gems.schema)
 
 
+def q_csv_text_round_trip(spark, d):
+    """Whole texts with quotes, line feeds, outer spaces, empty texts and nulls, through a CSV file."""
+    docs = fixtures.documents_spaced(spark, d)
+    path = files.write_csv(docs, scratch_path(spark, "documents-csv"))
+    return files.read_csv(spark, path, schema=docs.schema)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

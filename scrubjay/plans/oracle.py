@@ -4,11 +4,9 @@ Dialect notes (where DuckDB differs from Spark): ``regexp_replace`` needs the
 ``'g'`` flag to replace every match; there is no ``initcap``; integer sums are
 HUGEINT and ranks BIGINT, so both are cast; percentages are DOUBLE on both
 sides; ``quantile_cont`` equals Spark ``percentile`` (and our exact
-selection); ``quantile_disc`` equals ``percentile_approx`` at accuracy
-1,000,000 only while the rank error ``n / accuracy`` stays below one rank: it
-holds at sf0.01 (60,000 rows); at sf0.1 the approximate quartiles of
-``l_extendedprice`` are one rank off, as a sketch may be. ``date_diff('day', a, b)``
-equals Spark ``datediff(b, a)``.
+selection); a sketched quantile is checked by its exact rank error, which must
+be within the sketch's bound. ``date_diff('day', a, b)`` equals Spark
+``datediff(b, a)``.
 """
 
 from __future__ import annotations
@@ -48,7 +46,7 @@ OUTCOMES = """outcomes AS (
            CAST(1 + l_partkey % 10 AS INTEGER) AS perceived_ai_dependency,
            CAST(1 + l_suppkey % 10 AS INTEGER) AS anxiety_level_during_exams,
            2 + l_discount * 10 AS pre_semester_gpa, 2 + l_tax * 10 AS post_semester_gpa,
-           l_extendedprice / 1050 AS skill_retention_score
+           l_extendedprice / 1050 AS skill_retention_score, l_suppkey % 2 = 0 AS paid_subscription
     FROM lineitem)"""
 
 
@@ -83,6 +81,47 @@ students AS (
                         THEN 1 ELSE 0 END AS genai_hours_outlier_flag
     FROM feat, hb)"""
 
+# What the ingest can read of the spoilt export; null where a value is missing or cannot be cast.
+TYPED = f"""{OUTCOMES},
+typed AS (SELECT * REPLACE (
+    CASE WHEN tie_part % 101 = 0 OR tie_part % 97 = 0 THEN NULL ELSE student_id END AS student_id,
+    CASE WHEN tie_supp % 13 = 0 OR tie_supp % 17 = 0 THEN NULL ELSE weekly_genai_hours END AS weekly_genai_hours,
+    CASE WHEN tie_part % 19 = 0 THEN NULL ELSE perceived_ai_dependency END AS perceived_ai_dependency,
+    CASE WHEN tie_supp % 23 = 0 THEN NULL ELSE institutional_policy END AS institutional_policy,
+    CASE WHEN tie_supp % 29 = 0 THEN NULL ELSE paid_subscription END AS paid_subscription) FROM outcomes)"""
+
+INGEST = f"""{TYPED},
+kept AS (
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY student_id
+                                     ORDER BY tie_part, tie_supp, weekly_genai_hours, skill_retention_score) AS rn
+        FROM typed WHERE student_id IS NOT NULL) WHERE rn = 1),
+med AS (SELECT quantile_cont(weekly_genai_hours, 0.5) AS mh, quantile_cont(perceived_ai_dependency, 0.5) AS md FROM kept),
+filled AS (SELECT kept.* REPLACE ({_STD}) FROM kept),
+whole AS (SELECT filled.* REPLACE (COALESCE(weekly_genai_hours, mh) AS weekly_genai_hours,
+                                   COALESCE(perceived_ai_dependency, CAST(trunc(md) AS INTEGER)) AS perceived_ai_dependency,
+                                   COALESCE(institutional_policy, 'Unknown') AS institutional_policy)
+          FROM filled, med),
+feat AS ({_features('whole')}),
+hb AS (SELECT quantile_cont(weekly_genai_hours, 0.25) AS q1, quantile_cont(weekly_genai_hours, 0.75) AS q3 FROM feat),
+students AS (
+    SELECT feat.*, CASE WHEN weekly_genai_hours < q1 - 1.5 * (q3 - q1) OR weekly_genai_hours > q3 + 1.5 * (q3 - q1)
+                        THEN 1 ELSE 0 END AS genai_hours_outlier_flag
+    FROM feat, hb)"""
+
+# Names as customer_messy spoils them.
+MESSY = """messy AS (
+    SELECT c_custkey, c_name AS plain, replace(c_name, '#', '  ') AS spaced,
+           c_name || CASE c_custkey % 4 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' Corporation' WHEN 2 THEN ' Air Lines Co.'
+                                        ELSE '' END AS company,
+           ' ' || c_mktsegment || ' ' AS segment FROM customer),
+named AS (SELECT *, CASE c_custkey % 3 WHEN 0 THEN '  ' || lower(spaced) || ' ' WHEN 1 THEN upper(spaced)
+                                       ELSE spaced END AS name FROM messy)"""
+
+SPACED_DOCS = """spaced AS (
+    SELECT doc_id, CASE WHEN doc_id % 19 = 0 THEN NULL WHEN doc_id % 23 = 0 THEN ''
+                        ELSE '  ' || replace(text, '. ', '.  ' || chr(9)) || ' "' || chr(10) END AS text FROM documents)"""
+
 DOCS_LABELED = """dl AS (
     SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic,
            CASE WHEN l.quality = 1 THEN 'good' WHEN l.quality = 0 THEN 'poor' END AS quality_label
@@ -99,7 +138,7 @@ def _pct(cond: str) -> str:
 
 
 def _delay_where(metric: str) -> str:
-    return f"{metric} IS NOT NULL AND month BETWEEN 1 AND 12 AND {metric} >= -60"
+    return f"{metric} IS NOT NULL"
 
 
 def _delay_summary(metric: str) -> str:
@@ -174,7 +213,7 @@ cleaned AS (
 
 
 def _student_validation() -> str:
-    return f"""WITH {STUDENTS}, m AS (
+    return f"""WITH {INGEST}, m AS (
     SELECT COUNT(*) AS n, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT student_id FROM students)) AS dup,
            count_if(student_id IS NULL) AS nul,
            count_if(pre_semester_gpa < 0 OR pre_semester_gpa > 4 OR post_semester_gpa < 0 OR post_semester_gpa > 4)
@@ -197,12 +236,45 @@ UNION ALL SELECT 'Weekly GenAI hours non-negative', CASE WHEN hrs = 0 THEN 'PASS
 
 
 def _cast_failures() -> str:
+    key = "c_custkey"
+    bad = {"c_custkey": "false", "c_nationkey": f"{key} % 13 = 0", "c_acctbal": f"{key} % 11 = 0",
+           "c_member": f"{key} % 17 = 0"}
+    absent = {"c_acctbal": f"{key} % 11 <> 0 AND {key} % 7 = 0"}
+    types = {"c_custkey": "bigint", "c_nationkey": "int", "c_acctbal": "double", "c_member": "boolean"}
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS target_type, count_if(NOT ({absent.get(c, 'false')})) AS non_null_values, "
+        f"count_if({bad[c]}) AS failed_casts FROM customer" for c, t in types.items())
+
+
+_RAW_COLUMNS = ("student_id", "major_category", "year_of_study", "tie_part", "tie_supp", "primary_use_case",
+                "prompt_engineering_skill", "institutional_policy", "burnout_risk_level", "weekly_genai_hours",
+                "tool_diversity", "traditional_study_hours", "perceived_ai_dependency", "anxiety_level_during_exams",
+                "pre_semester_gpa", "post_semester_gpa", "skill_retention_score", "paid_subscription")
+_CAST_COLUMNS = tuple(c for c in _RAW_COLUMNS if c not in _CATS)
+_RAW_NULL = {"student_id": "tie_part % 101 = 0", "weekly_genai_hours": "tie_supp % 13 <> 0 AND tie_supp % 17 = 0",
+             "perceived_ai_dependency": "tie_part % 19 = 0", "institutional_policy": "tie_supp % 23 = 0"}
+_RAW_BAD = {"student_id": "tie_part % 101 <> 0 AND tie_part % 97 = 0", "weekly_genai_hours": "tie_supp % 13 = 0",
+            "paid_subscription": "tie_supp % 29 = 0"}
+
+
+def _ingest_audit() -> str:
+    refused = "(SELECT count_if(student_id IS NULL) FROM typed)"
+    parts = ["SELECT 'input rows' AS item, CAST(NULL AS VARCHAR) AS column_name, COUNT(*) AS rows FROM outcomes",
+             f"SELECT 'rejected rows', NULL, {refused}", "SELECT 'kept rows', NULL, COUNT(*) FROM students",
+             f"SELECT 'duplicate rows', NULL, (SELECT COUNT(*) FROM outcomes) - {refused} - (SELECT COUNT(*) FROM students)"]
+    parts += [f"SELECT 'input nulls', '{c}', count_if({_RAW_NULL.get(c, 'false')}) FROM outcomes" for c in _RAW_COLUMNS]
+    parts += [f"SELECT 'failed casts', '{c}', count_if({_RAW_BAD.get(c, 'false')}) FROM outcomes" for c in _CAST_COLUMNS]
+    parts += [f"SELECT 'nulls left', '{c}', count_if({c} IS NULL) FROM students" for c in _RAW_COLUMNS]
+    return f"WITH {INGEST}\n" + "\nUNION ALL ".join(parts)
+
+
+def _describe_table_sql() -> str:
     parts = []
-    for c, t, dt in (("c_custkey", "bigint", "BIGINT"), ("c_nationkey", "int", "INTEGER"),
-                     ("c_acctbal", "double", "DOUBLE")):
-        parts.append(f"SELECT '{c}' AS column_name, '{t}' AS target_type, count({c}) AS non_null_values, "
-                     f"count_if({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {dt}) IS NULL) AS failed_casts "
-                     f"FROM customer")
+    for c in ("doc_id", "lang", "source", "n_chars"):
+        for stat, fn in (("count", "count"), ("min", "min"), ("max", "max")):
+            number = f"CAST({fn}({c}) AS DOUBLE)" if c in ("doc_id", "n_chars") or stat == "count" else "CAST(NULL AS DOUBLE)"
+            parts.append(f"SELECT '{c}' AS column_name, '{stat}' AS stat, CAST({fn}({c}) AS VARCHAR) AS value, "
+                         f"{number} AS number FROM documents")
     return "\nUNION ALL ".join(parts)
 
 
@@ -307,15 +379,12 @@ FROM shipments""",
 SELECT carrier, flight, line, arr_delay,
        COALESCE(arr_delay, (SELECT quantile_cont(arr_delay, 0.5) FROM shipments)) AS arr_delay_filled
 FROM shipments""",
-    "fill_median_approx": f"""WITH {SHIPMENTS}
-SELECT carrier, flight, line,
-       COALESCE(dep_delay, (SELECT quantile_disc(dep_delay, 0.5) FROM shipments)) AS dep_delay,
-       COALESCE(arr_delay, (SELECT quantile_disc(arr_delay, 0.5) FROM shipments)) AS arr_delay,
-       COALESCE(air_time, (SELECT quantile_disc(air_time, 0.5) FROM shipments)) AS air_time
-FROM shipments""",
+    "fill_median_approx": f"WITH {SHIPMENTS}\n" + "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS total_rows, count_if({c} IS NULL) AS nulls_before, "
+        f"CAST(0 AS BIGINT) AS nulls_after, true AS within_bound FROM shipments"
+        for c in ("dep_delay", "arr_delay", "air_time")),
     "mean_vs_median": f"""WITH {SHIPMENTS}
-SELECT ROUND(AVG(arr_delay), 2) AS mean_arr_delay, quantile_disc(arr_delay, 0.5) AS median_arr_delay
-FROM shipments WHERE arr_delay IS NOT NULL""",
+SELECT ROUND(AVG(arr_delay), 2) AS mean_arr_delay, true AS within_bound FROM shipments WHERE arr_delay IS NOT NULL""",
     "fill_unknown": f"WITH {DOCS_LABELED} SELECT doc_id, lang, COALESCE(quality_label, 'Unknown') AS quality_label FROM dl",
     "fill_mode": f"""WITH {DOCS_LABELED}
 SELECT doc_id,
@@ -327,18 +396,18 @@ FROM dl""",
     "missing_indicator": f"""WITH {DOCS_LABELED}
 SELECT doc_id, CAST(quality IS NULL AS INTEGER) AS quality_missing, CAST(toxic IS NULL AS INTEGER) AS toxic_missing
 FROM dl""",
-    "approx_quantiles": """SELECT quantile_disc(l_extendedprice, 0.25) AS q25, quantile_disc(l_extendedprice, 0.5) AS q50,
-       quantile_disc(l_extendedprice, 0.75) AS q75 FROM lineitem""",
+    "approx_quantiles": "SELECT CAST(p AS DOUBLE) AS p, true AS within_bound FROM (VALUES (0.25), (0.5), (0.75)) t(p)",
     # text and types -----------------------------------------------------------------
-    "clean_names": f"""SELECT c_custkey, c_name AS original, trim(c_name) AS trimmed, upper(trim(c_name)) AS upper_name,
-       lower(trim(c_name)) AS lower_name, {initcap('trim(c_name)')} AS proper_name,
-       {initcap("trim(regexp_replace(c_name, '\\s+', ' ', 'g'))")} AS clean_name,
-       lower(trim(c_mktsegment)) AS clean_segment, {initcap('trim(c_mktsegment)')} AS segment_title
-FROM customer""",
-    "strip_suffix": r"""SELECT doc_id,
-       trim(regexp_replace(text, ' (Inc\.|Co\.|Corporation|Airlines|Air Lines)', '', 'g')) AS stripped_text
-FROM documents""",
-    "collapse_whitespace": r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean_text FROM documents",
+    "clean_names": f"""WITH {MESSY}, t AS (
+    SELECT *, trim(name) AS without, trim(regexp_replace(name, '\\s+', ' ', 'g')) AS single FROM named)
+SELECT c_custkey, name, without AS without_outer_spaces, upper(without) AS upper, lower(without) AS lower,
+       single AS single_spaced, {initcap('single')} AS proper, lower(trim(segment)) AS segment_key
+FROM t""",
+    "strip_suffix": rf"""WITH {MESSY}
+SELECT c_custkey, company, trim(regexp_replace(company, ' (Inc\.|Co\.|Corporation|Airlines|Air Lines)', '', 'g')) AS stripped
+FROM named""",
+    "collapse_whitespace": rf"""WITH {SPACED_DOCS}
+SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS clean_text FROM spaced""",
     "standardise_category": r"""SELECT o_orderkey, regexp_replace(trim(o_orderpriority), '\s+', '_', 'g') AS o_orderpriority,
        regexp_replace(trim(o_orderstatus), '\s+', '_', 'g') AS o_orderstatus FROM orders""",
     "string_functions": """SELECT c_custkey, ltrim('  ' || c_name) AS ltrimmed, rtrim(c_name || '  ') AS rtrimmed,
@@ -347,7 +416,9 @@ FROM documents""",
        printf('%s has balance %.2f', c_name, c_acctbal) AS balance_text,
        format('{:,.2f}', c_acctbal) AS balance_grouped
 FROM customer""",
-    "cast_columns": "SELECT * FROM customer",
+    "cast_columns": """SELECT * REPLACE (CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
+                 CASE WHEN c_custkey % 11 = 0 OR c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal),
+       CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey % 2 = 0 END AS c_member FROM customer""",
     "cast_failures": _cast_failures(),
     "schema_report": """SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal_position, column_name,
        CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
@@ -401,9 +472,7 @@ SELECT ai_usage_band, COUNT(*) AS students, ROUND(AVG(weekly_genai_hours), 2) AS
        ROUND(AVG(anxiety_level_during_exams), 2) AS avg_exam_anxiety,
        ROUND(AVG(perceived_ai_dependency), 2) AS avg_ai_dependency,
        ROUND(100.0 * AVG(high_burnout_flag), 2) AS high_burnout_pct
-FROM students GROUP BY ai_usage_band
-ORDER BY CASE ai_usage_band WHEN '0-2 hours' THEN 1 WHEN '2-5 hours' THEN 2 WHEN '5-10 hours' THEN 3
-                            WHEN '10-20 hours' THEN 4 WHEN '20+ hours' THEN 5 END""",
+FROM students GROUP BY ai_usage_band""",
     "outcomes_by_skill": f"""WITH {STUDENTS}
 SELECT prompt_engineering_skill, COUNT(*) AS students, ROUND(AVG(gpa_change), 3) AS avg_gpa_change,
        ROUND(AVG(skill_retention_score), 2) AS avg_skill_retention, ROUND(AVG(tool_diversity), 2) AS avg_tool_diversity,
@@ -447,6 +516,7 @@ SELECT ai_usage_band, burnout_risk_level, COUNT(*) AS students FROM students
 GROUP BY ai_usage_band, burnout_risk_level""",
     "correlation_matrix": _corr_sql(),
     "describe_numeric": _describe_sql(),
+    "describe_table": _describe_table_sql(),
     "facet_options": f"""WITH {GEMS}, {STUDENTS}
 SELECT DISTINCT 'cut' AS facet, cut AS value FROM gems WHERE cut IS NOT NULL
 UNION ALL
@@ -484,11 +554,13 @@ GROUP BY ai_usage_band, burnout_risk_level""",
 SELECT student_id, weekly_genai_hours, skill_retention_score, gpa_change, major_category, year_of_study,
        burnout_risk_level, prompt_engineering_skill
 FROM students WHERE {_STUDENT_WHERE}
-ORDER BY md5(concat_ws('|', CAST(student_id AS VARCHAR), '42')), student_id LIMIT 5000""",
+ORDER BY substr(md5(length(CAST(student_id AS VARCHAR)) || ':' || student_id || '#42'), 1, 13), student_id
+LIMIT 5000""",
     "sample_repeatable": f"""WITH {STUDENTS}
 SELECT student_id, weekly_genai_hours, skill_retention_score, gpa_change, major_category, year_of_study,
        burnout_risk_level, prompt_engineering_skill
-FROM students ORDER BY md5(concat_ws('|', CAST(student_id AS VARCHAR), '42')), student_id LIMIT 5000""",
+FROM students ORDER BY substr(md5(length(CAST(student_id AS VARCHAR)) || ':' || student_id || '#42'), 1, 13), student_id
+LIMIT 5000""",
     # diamonds -----------------------------------------------------------------------
     "price_summary": f"""WITH {GEMS}
 SELECT COUNT(*) AS total_diamonds, ROUND(AVG(price), 2) AS avg_price, ROUND(AVG(carat), 2) AS avg_carat,
@@ -502,6 +574,9 @@ FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL AND cut IS NOT NULL AND
 SELECT cut, COUNT(*) AS diamonds, ROUND(AVG(price), 2) AS avg_price, ROUND(AVG(carat), 2) AS avg_carat
 FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL AND cut IS NOT NULL
 GROUP BY cut ORDER BY avg_price DESC""",
+    "sample_random": f"""WITH {GEMS}, f AS (SELECT * FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL
+                                                      AND cut IS NOT NULL)
+SELECT least(500, COUNT(*)) AS sampled, least(500, COUNT(*)) AS different, least(500, COUNT(*)) AS members FROM f""",
     # pipelines and sinks ------------------------------------------------------------
     "cleaning_pipeline": f"{_CLEAN_FLIGHTS}\nSELECT * FROM cleaned",
     "cleaning_pipeline_sql": f"{_CLEAN_FLIGHTS}\nSELECT * FROM cleaned",
@@ -522,7 +597,17 @@ UNION ALL SELECT 'No NULL carrier values', CASE WHEN carrier_missing = 0 THEN 'P
 UNION ALL SELECT 'arr_delay outlier flag created', 'PASS', outliers || ' rows flagged as outliers' FROM m
 UNION ALL SELECT 'IQR bounds are valid', CASE WHEN lo < hi THEN 'PASS' ELSE 'FAIL' END,
        printf('lower=%.2f, upper=%.2f', ROUND(lo, 2), ROUND(hi, 2)) FROM m""",
-    "ingest_pipeline": f"WITH {STUDENTS} SELECT * FROM students",
+    "ingest_pipeline": f"WITH {INGEST} SELECT * FROM students",
+    "ingest_rejects": f"""WITH {OUTCOMES}
+SELECT CASE WHEN tie_part % 101 = 0 THEN NULL ELSE 'S-' || student_id END AS student_id,
+       CAST(tie_part AS VARCHAR) AS tie_part, CAST(tie_supp AS VARCHAR) AS tie_supp,
+       CASE WHEN tie_part % 101 = 0 THEN 'id missing' ELSE 'id not a number' END AS reject_reason
+FROM outcomes WHERE tie_part % 101 = 0 OR tie_part % 97 = 0""",
+    "ingest_audit": _ingest_audit(),
+    "temp_view_from_query": f"""WITH {SHIPMENTS}
+SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM shipments WHERE arr_delay > 0 GROUP BY origin""",
+    "table_overwrite": f"WITH {GEMS} SELECT gem_id, cut, COALESCE(price, 0.0) AS price_or_zero FROM gems",
+    "csv_text_round_trip": f"WITH {SPACED_DOCS} SELECT doc_id, text FROM spaced",
     "ingest_validation": _student_validation(),
     "cleaned_row_count": f"WITH {STUDENTS} SELECT COUNT(*) AS cleaned_rows FROM students",
     "csv_round_trip": f"WITH {GEMS} SELECT * FROM gems",

@@ -1,14 +1,15 @@
 """End-to-end cleaning pipelines, each a chain of operators.
 
-* ``clean_flights`` / ``flights_cleaning_sql``: dedup by key, median fill of the
+* ``clean_flights`` / ``cleaning_sql``: dedup by key, median fill of the
   departure delay, IQR flag on the arrival delay (DataFrame and SQL forms).
-* ``clean_students`` / ``ingest_students``: the CSV ingest of student records:
-  rename, cast, standardise, dedup, fill, features, outlier flag, save, validate.
+* ``clean_students`` / ``student_rows`` / ``ingest_students``: the CSV ingest of student records: rename, cast,
+  reject, dedup, fill, standardise, features, outlier flag, save, audit, validate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from scrubjay.functions.quantiles import exact_quantiles
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
 from scrubjay.operators.features import student_features
-from scrubjay.session import cut_lineage_observed
+from scrubjay.session import cut_lineage, cut_lineage_observed
 from scrubjay.sources import files
 
 # --- flights -----------------------------------------------------------------------
@@ -48,39 +49,33 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
                              bounds=outliers.fences(*q[outlier_col]))
 
 
-def flights_cleaning_sql(spark: SparkSession, view: str, key: Sequence[str] = FLIGHT_KEY,
-                         order: Sequence[str] = FLIGHT_ORDER) -> DataFrame:
-    """The same pipeline as one SQL statement over a registered view (CTE form).
+def cleaning_sql(spark: SparkSession, view: str, key: Sequence[str], order: Sequence[str], fill_col: str,
+                 outlier_col: str, k: float = 1.5) -> DataFrame:
+    """``clean_flights`` for SQL users: dedup, median fill and IQR flag of any view, with names as parameters.
 
-    The three statistics come from ONE scalar subquery returning a struct,
-    bound once as a column (no cross join, no subquery per reference). It uses
-    SQL ``PERCENTILE``, Spark's built-in aggregate, whose buffer holds every
-    distinct value in one task: fine for delays (few distinct values); for
-    high-cardinality columns at scale use ``clean_flights`` (bounded selection).
+    The deduplicated rows are a composed query whose result is written once and registered as a view of its own; the
+    statistics come from the bounded quantile selection and enter the last statement as bound arguments.
     """
-    k = ", ".join(key)
-    o = ", ".join(order)
-    return spark.sql(f"""
-        WITH numbered AS (
-            SELECT *, ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY {o}) AS rn FROM {view}
-        ),
-        deduped AS (SELECT * EXCEPT (rn) FROM numbered WHERE rn = 1),
-        stats AS (
-            SELECT named_struct('median_dep_delay', PERCENTILE(dep_delay, 0.5),
-                                'q1', PERCENTILE(arr_delay, 0.25), 'q3', PERCENTILE(arr_delay, 0.75)) AS s
-            FROM deduped
-        ),
-        with_stats AS (SELECT d.*, (SELECT s FROM stats) AS _s FROM deduped d)
-        SELECT * EXCEPT (_s),
-               COALESCE(dep_delay, _s.median_dep_delay) AS dep_delay_filled,
-               CASE WHEN arr_delay IS NULL THEN false
-                    WHEN arr_delay < _s.q1 - 1.5 * (_s.q3 - _s.q1) THEN true
-                    WHEN arr_delay > _s.q3 + 1.5 * (_s.q3 - _s.q1) THEN true
-                    ELSE false END AS arr_delay_outlier,
-               _s.q1 - 1.5 * (_s.q3 - _s.q1) AS arr_delay_iqr_lower_bound,
-               _s.q3 + 1.5 * (_s.q3 - _s.q1) AS arr_delay_iqr_upper_bound
-        FROM with_stats
+    name = lambda c: "`" + c.replace("`", "``") + "`"
+    first = spark.sql(f"""
+        SELECT * EXCEPT (place_in_key) FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY {', '.join(map(name, key))}
+                                         ORDER BY {', '.join(map(name, order))}) AS place_in_key
+            FROM {name(view)})
+        WHERE place_in_key = 1
     """)
+    deduped = f"{view}_deduped"
+    cut_lineage(first, "sql-dedup").createOrReplaceTempView(deduped)
+    q = exact_quantiles(spark.table(deduped), {fill_col: [0.5], outlier_col: [0.25, 0.75]})
+    fences = outliers.fence_values(*q[outlier_col], k)
+    x = name(outlier_col)
+    return spark.sql(f"""
+        SELECT *, COALESCE(CAST({name(fill_col)} AS DOUBLE), CAST(:median AS DOUBLE)) AS {name(fill_col + '_filled')},
+               COALESCE({x} NOT BETWEEN :low AND :high, false) AS {name(outlier_col + '_outlier')},
+               CAST(:low AS DOUBLE) AS {name(outlier_col + '_iqr_lower_bound')},
+               CAST(:high AS DOUBLE) AS {name(outlier_col + '_iqr_upper_bound')}
+        FROM {name(deduped)}
+    """, args={"median": q[fill_col][0], "low": fences["lower_bound"], "high": fences["upper_bound"]})
 
 
 def flights_cleaning_report(cleaned: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
@@ -107,35 +102,52 @@ STUDENT_DOUBLES = ("pre_semester_gpa", "weekly_genai_hours", "traditional_study_
 STUDENT_INTS = ("tool_diversity", "perceived_ai_dependency", "anxiety_level_during_exams")
 STUDENT_CATEGORIES = ("major_category", "year_of_study", "primary_use_case", "prompt_engineering_skill",
                       "institutional_policy", "burnout_risk_level")
+STUDENT_NUMBERS = STUDENT_DOUBLES + STUDENT_INTS
+STUDENT_FLAGS = ("paid_subscription",)
 STUDENT_CAST_PLAN = {STUDENT_KEY: "bigint", "tie_part": "bigint", "tie_supp": "bigint",
-                     **{c: "double" for c in STUDENT_DOUBLES}, **{c: "int" for c in STUDENT_INTS}}
+                     **{c: "double" for c in STUDENT_DOUBLES}, **{c: "int" for c in STUDENT_INTS},
+                     **{c: "boolean" for c in STUDENT_FLAGS}}
+
+
+def _finish(deduped: DataFrame, medians: dict[str, float]) -> DataFrame:
+    """Fill -> standardise -> features, all narrow; the key is never imputed."""
+    types = dict(deduped.dtypes)
+    out = deduped.withColumns({c: F.coalesce(F.col(c), F.lit(m).cast(types[c])) for c, m in medians.items()})
+    out = out.withColumns({c: F.coalesce(category_token(c), F.lit("Unknown")) for c in STUDENT_CATEGORIES})
+    return student_features(out)
+
+
+def student_rows(df: DataFrame, reads: Sequence[str] = STUDENT_NUMBERS) -> DataFrame:
+    """The cleaned student rows as a lazy view for a report that reads the number columns ``reads``.
+
+    Dedup by id under a declared total order, so Catalyst prunes the shuffle to the key, the order and what the report
+    reads, and the report's filters and projections meet in one plan. Only if a column in ``reads`` has gaps is a
+    median needed; then the gappy columns alone are written once.
+    """
+    deduped = clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True)
+    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in reads]).first() if reads else {}
+    gappy = [c for c in reads if nulls[c]]
+    medians = {}
+    if gappy:
+        found = exact_quantiles(cut_lineage(deduped.select(*gappy), "students-gaps"), {c: [0.5] for c in gappy})
+        medians = {c: v[0] for c, v in found.items()}
+    return _finish(deduped, medians)
 
 
-def clean_students(df: DataFrame, outlier_method: str = "exact", outlier_flag: bool = True) -> DataFrame:
-    """Dedup by id (keep first) -> standardise -> fill -> features -> IQR flag.
+def clean_students(df: DataFrame) -> DataFrame:
+    """The whole cleaned table: dedup by id (keep first) -> fill -> standardise -> features -> IQR flag.
 
-    The deduplicated rows are written once below the checkpoint folder (they
-    feed the fill medians, the quartiles and the output). Standardising after the shuffle spreads the
-    regex work over the post-shuffle tasks and touches each kept row once.
-    Medians for filling are approximate (bounded memory; the reference fills
-    with approximate medians too). The key is never imputed. ``outlier_flag=False``
-    leaves out the IQR flag (and the quartile jobs it needs) for consumers that
-    do not read it.
+    The deduplicated rows feed the statistics and the output, so they are written once below the checkpoint folder;
+    one bounded selection then finds all medians and the quartiles of the filled hours.
     """
-    numeric = list(STUDENT_DOUBLES + STUDENT_INTS)
-    out, nulls = cut_lineage_observed(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER),
-                                      {"_rows": F.count(F.lit(1)),
-                                       **{c: F.count_if(F.col(c).isNull()) for c in numeric}}, "students-dedup")
-    out = out.withColumns({c: category_token(c) for c in STUDENT_CATEGORIES})
-    out = clean.fill_median(out, numeric, method="approx", keep_type=True, null_counts=nulls)
-    out = clean.fill_constant(out, {c: "Unknown" for c in STUDENT_CATEGORIES})
-    out = student_features(out)
-    if not outlier_flag:
-        return out
-    # After the fill every row has hours unless the column was entirely null.
-    hours_n = nulls["_rows"] if nulls["weekly_genai_hours"] < nulls["_rows"] else 0
-    return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", method=outlier_method,
-                             as_int=True, non_null=hours_n if outlier_method == "exact" else None)
+    deduped, seen = cut_lineage_observed(
+        clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True),
+        {"rows": F.count(F.lit(1)), **{c: F.count_if(F.col(c).isNull()) for c in STUDENT_NUMBERS}}, "students-dedup")
+    gappy = [c for c in STUDENT_NUMBERS if seen[c]]
+    found = exact_quantiles(deduped, {c: [0.5] for c in gappy}, non_null={c: seen["rows"] - seen[c] for c in gappy})
+    out = _finish(deduped, {c: v[0] for c, v in found.items()})
+    return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", as_int=True,
+                             stats_from=out.select("weekly_genai_hours"))
 
 
 def raw_headers(columns: Sequence[str]) -> list[str]:
@@ -148,15 +160,44 @@ def write_raw_csv(df: DataFrame, path: str) -> str:
     return files.write_csv(df.toDF(*raw_headers(df.columns)), path)
 
 
-def ingest_students(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame:
-    """CSV -> snake_case -> cast (before dedup) -> clean -> save; returns the saved table.
+class Ingest(NamedTuple):
+    """What an ingest wrote: the cleaned table, the rows it refused, and the audit."""
+
+    table: DataFrame
+    rejects: DataFrame
+    audit: DataFrame
+
+
+def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
+    """CSV -> snake_case -> cast -> reject -> clean -> save, below ``path``.
 
-    The CSV is read with every column as text (no inference pass), so type
-    problems surface in the cast step, counted by ``cast_failures``.
+    Every column is read as text (no inference pass). A row whose id is missing or no number goes to the rejects, as
+    the text it was, with a reason; it never meets the dedup. The audit is long, ``(item, column_name, rows)``: input,
+    rejected, duplicate and kept rows, which add up; per column the nulls of the input, the values that failed their
+    cast, and the nulls that are left in the saved table because no fill covers the column.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(csv_path)
-    typed = clean.cast_columns(files.snake_case_columns(raw), STUDENT_CAST_PLAN)
-    return files.save_table(clean_students(typed), path=table_path)
+    raw = files.snake_case_columns(files.read_csv(spark, csv_path, multi_line=False))
+    text = cut_lineage(raw, "students-text")
+    typed = clean.cast_columns(text.withColumns({c: F.trim(c) for c in STUDENT_CAST_PLAN}), STUDENT_CAST_PLAN)
+    bad_id = F.trim(STUDENT_KEY).try_cast("bigint").isNull()
+    reason = F.when(F.col(STUDENT_KEY).isNull() | (F.trim(STUDENT_KEY) == ""), "id missing").otherwise("id not a number")
+    rejects = files.save_table(text.where(bad_id).withColumn("reject_reason", reason), path=f"{path}/rejects")
+    table = files.save_table(clean_students(typed.where(F.col(STUDENT_KEY).isNotNull())), path=f"{path}/table")
+
+    cols = text.columns
+    before = text.agg(
+        F.count(F.lit(1)).alias("input"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
+        *[F.count_if(F.col(c).isNotNull() & F.trim(c).try_cast(t).isNull()).alias(f"bad_{c}")
+          for c, t in STUDENT_CAST_PLAN.items()]).first()
+    after = table.agg(F.count(F.lit(1)).alias("kept"),
+                      *[F.count_if(F.col(c).isNull()).alias(f"left_{c}") for c in cols]).first()
+    refused = rejects.count()
+    rows = [("input rows", None, before["input"]), ("rejected rows", None, refused), ("kept rows", None, after["kept"]),
+            ("duplicate rows", None, before["input"] - refused - after["kept"])]
+    rows += [("input nulls", c, before[f"null_{c}"]) for c in cols]
+    rows += [("failed casts", c, before[f"bad_{c}"]) for c in STUDENT_CAST_PLAN]
+    rows += [("nulls left", c, after[f"left_{c}"]) for c in cols]
+    return Ingest(table, rejects, spark.createDataFrame(rows, "item string, column_name string, rows bigint"))
 
 
 def student_validation(df: DataFrame) -> DataFrame:

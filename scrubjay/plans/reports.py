@@ -65,7 +65,7 @@ def worst_delays(flights: DataFrame, airlines: DataFrame, metric: str = "arr_del
 
 
 def carrier_comparison(flights: DataFrame, airlines: DataFrame, metric: str = "arr_delay",
-                       months: tuple[int, int] | None = (1, 12), min_delay: float | None = -60) -> DataFrame:
+                       months: tuple[int, int] | None = None, min_delay: float | None = None) -> DataFrame:
     """Per-airline delay table; ignores the airline filter on purpose.
 
     Aggregates by carrier first, then attaches the name: the dimension join
@@ -103,8 +103,8 @@ def price_by_cut(gems: DataFrame) -> DataFrame:
 
 
 def gem_points(gems: DataFrame, n: int = 3000, cut: str | None = None, seed: int | None = None) -> DataFrame:
-    cols = ["carat", "price", "cut", "color", "clarity"]
-    return analysis.sample_random(gems.where(gem_filter(cut)).select(*cols), n, seed)
+    cols = ["gem_id", "carat", "price", "cut", "color", "clarity"]
+    return analysis.sample_random(gems.where(gem_filter(cut)).select(*cols), n, ["gem_id"], seed)
 
 
 # --- students --------------------------------------------------------------------

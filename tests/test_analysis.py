@@ -19,11 +19,23 @@ def test_correlation_matches_pandas_pairwise_and_constant_is_null(spark):
     assert got[("a", "c")] is None and got[("c", "c")] is None  # zero variance: null, no error
 
 
-def test_describe_numeric_long(spark):
-    df = spark.createDataFrame([(1, 2.0), (3, None)], "i int, d double")
-    got = {(r.column_name, r.stat): r.value for r in a.describe_numeric(df, ["i", "d"]).collect()}
-    assert got[("i", "count")] == 2.0 and got[("i", "mean")] == 2.0 and got[("d", "count")] == 1.0
-    assert got[("d", "stddev")] is None and got[("i", "max")] == 3.0
+def test_describe_keeps_types_and_strings(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(1, 2.0, "b", big), (3, None, "a", big)], "i int, d double, s string, id bigint")
+    got = {(r.column_name, r.stat): (r.value, r.number) for r in a.describe(df).collect()}
+    assert got[("i", "count")] == ("2", 2.0) and got[("i", "mean")] == (None, 2.0) and got[("d", "count")] == ("1", 1.0)
+    assert got[("d", "stddev")] == (None, None) and got[("i", "max")] == ("3", 3.0)
+    assert got[("id", "min")][0] == str(big)  # a double would lose the last digit
+    assert got[("s", "min")] == ("a", None) and got[("s", "max")] == ("b", None) and ("s", "mean") not in got
+
+
+def test_share_reads_its_input_once(spark):
+    from scrubjay.sources.tables import load
+    df = a.share(load(spark, "/root/testdata/sf0.001", "lineitem"), "l_returnflag")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in plan and "ReusedExchange" in final or final.count("FileScan parquet") == 1
 
 
 def test_histogram_top_edge_in_last_bin_and_range(spark):
@@ -62,6 +74,20 @@ def test_samples(spark):
     assert s1 == s2 and len(set(s1)) == 10
     assert a.sample_random(df, 50, seed=1).count() == 50
     assert a.sample_random(df, 5000).count() == 1000
+    picks = [frozenset(r.k for r in a.sample_random(df, 50).collect()) for _ in range(3)]
+    assert len(set(picks)) > 1 and all(len(p) == 50 for p in picks)
+
+
+def test_sample_keys_do_not_run_together(spark):
+    df = spark.createDataFrame([("a", "b|c"), ("a|b", "c"), ("a", None), (None, "a")], "x string, y string")
+    scores = [r.s for r in df.select(a._hash_score(["x", "y"], 1).alias("s")).collect()]
+    assert len(set(scores)) == 4 and all(0 <= s < 1 for s in scores)
+
+
+def test_threshold_sample_raises_a_threshold_that_finds_too_few(spark):
+    df = spark.range(2000).withColumn("s", F.lit(0.999))
+    out = a._threshold_sample(df, 10, F.col("s"), [F.col("id")])
+    assert [r.id for r in out.collect()] == list(range(10))
 
 
 def test_facet_values_one_pass(spark):
@@ -77,15 +103,3 @@ def test_band_edges_null_and_order(spark):
     assert [r.b for r in out] == [None, "0-2 hours", "0-2 hours", "2-5 hours", "10-20 hours", "20+ hours"]
     assert [r.f for r in out] == [0, 0, 0, 0, 1, 1]
     assert [r.o for r in out] == [None, 1, 1, 2, 4, 5]
-
-
-def test_corr_safe_per_group_and_register_views(spark):
-    from scrubjay.functions.stats import corr_safe
-    from scrubjay.sources.tables import register_views
-    df = spark.createDataFrame([("g", 1.0, 2.0), ("g", 2.0, 4.1), ("g", 3.0, 6.0), ("h", 1.0, 1.0), ("h", 2.0, 1.0)],
-                               "k string, x double, y double")
-    got = {r.k: r.c for r in df.groupBy("k").agg(corr_safe("x", "y").alias("c")).collect()}
-    want = pd.Series([2.0, 4.1, 6.0]).corr(pd.Series([1.0, 2.0, 3.0]))
-    assert math.isclose(got["g"], want, rel_tol=1e-12) and got["h"] is None
-    register_views(spark, "/root/testdata/sf0.001", ["region"])
-    assert spark.sql("SELECT COUNT(*) AS n FROM region").first().n == 5

@@ -58,6 +58,22 @@ def test_fill_median_all_null_column_is_noop(spark):
     assert [r.x for r in clean.fill_median(df, ["x"], method="approx").collect()] == [None, None]
 
 
+@pytest.mark.parametrize("method", ["exact", "approx"])
+@pytest.mark.parametrize("rows", [[(1,), (4,)], [(1,), (4,), (None,)]])
+def test_fill_median_type_follows_the_parameters_only(spark, method, rows):
+    df = spark.createDataFrame(rows, "x int")
+    assert dict(clean.fill_median(df, ["x"], method=method).dtypes)["x"] == "double"
+    assert dict(clean.fill_median(df, ["x"], method=method, keep_type=True).dtypes)["x"] == "int"
+
+
+def test_fill_mode_reads_its_input_once_for_all_columns(spark):
+    df = spark.createDataFrame([(1, "b"), (1, None), (None, "a"), (2, "a")], "x int, s string")
+    got = sorted((r.x, r.s) for r in clean.fill_mode(df, ["x", "s"]).collect())
+    assert got == [(1, "a"), (1, "a"), (1, "b"), (2, "a")]
+    empty = spark.createDataFrame([(None, None)], "x int, s string")
+    assert clean.fill_mode(empty, ["x", "s"]).first() == (None, None)
+
+
 def test_fill_mode_ties_take_smallest(spark):
     df = spark.createDataFrame([(2,), (2,), (1,), (1,), (None,)], "x int")
     assert sorted(r.x for r in clean.fill_mode(df, ["x"]).collect()) == [1, 1, 1, 2, 2]

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrubjay.plans import pipelines
-from scrubjay.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from scrubjay.session import cut_lineage, drop_scratch, ensure_checkpoint_dir, scratch_path
 from scrubjay.sources import files, fixtures
 from scrubjay.sources.tables import load
 
@@ -42,16 +42,71 @@ def test_checkpoint_dir_comes_from_session(spark):
     assert df.count() == 10
 
 
-def test_ingest_pipeline_from_csv(spark):
-    raw = fixtures.outcomes(spark, SF_SMALL)
+def test_csv_keeps_every_text(spark):
+    rows = [(1, "  pad "), (2, "a\nb"), (3, ""), (4, None), (5, 'say "hi", then \\'), (6, "x\r\ny"), (7, ",,"), (8, '"')]
+    df = spark.createDataFrame(rows, "id int, s string")
+    back = files.read_csv(spark, files.write_csv(df, scratch_path(spark, "t-text")), schema=df.schema)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_no_machine_local_scratch_on_a_cluster(spark):
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf({"spark.master": master})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session("local-cluster[2,1,1024]"))
+    assert ensure_checkpoint_dir(Session("local[4]"))
+
+
+def test_scratch_can_be_dropped(spark):
+    path = scratch_path(spark, "t-drop")
+    spark.range(3).write.parquet(path)
+    assert drop_scratch(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    with pytest.raises(ValueError):
+        drop_scratch(spark, "/root/testdata")
+
+
+def test_ingest_loses_no_row(spark):
+    raw = fixtures.outcomes_raw(spark, SF_SMALL)
     csv = pipelines.write_raw_csv(raw, scratch_path(spark, "t-raw"))
-    header = spark.read.option("header", True).csv(csv).columns
+    header = files.read_csv(spark, csv).columns
     assert "Student Id" in header and "Weekly Genai Hours" in header
-    saved = pipelines.ingest_students(spark, csv, scratch_path(spark, "t-clean"))
-    assert saved.count() == raw.select("student_id").distinct().count()
-    rep = {r.check_name: r.result for r in pipelines.student_validation(saved).collect()}
+    done = pipelines.ingest_students(spark, csv, scratch_path(spark, "t-clean"))
+    audit = {(r["item"], r["column_name"]): r["rows"] for r in done.audit.collect()}
+    parts = [audit[(k, None)] for k in ("rejected rows", "kept rows", "duplicate rows")]
+    assert sum(parts) == audit[("input rows", None)] == raw.count() and parts[0] > 0
+    assert audit[("failed casts", "weekly_genai_hours")] > 0 and audit[("nulls left", "paid_subscription")] > 0
+    assert {r.reject_reason for r in done.rejects.collect()} == {"id missing", "id not a number"}
+    rep = {r.check_name: r.result for r in pipelines.student_validation(done.table).collect()}
     assert rep["No duplicate student IDs"] == "PASS" and rep["No NULL student IDs"] == "PASS"
-    assert set(saved.columns) >= {"gpa_change", "ai_usage_band", "genai_hours_outlier_flag"}
+    assert set(done.table.columns) >= {"gpa_change", "ai_usage_band", "genai_hours_outlier_flag"}
+    assert done.table.where("weekly_genai_hours IS NULL").count() == 0
+
+
+def test_report_rows_are_pruned_and_nothing_is_written(spark, monkeypatch):
+    from scrubjay.plans import catalog
+    monkeypatch.setattr(pipelines, "cut_lineage", lambda *a: pytest.fail("a report wrote a table"))
+    df = catalog.q_outcomes_by_use_case(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    schemas = [s.split(">")[0] for s in plan.split("ReadSchema: struct<")[1:]]
+    assert len(schemas) == 1 and "l_linestatus" not in schemas[0] and "l_returnflag" not in schemas[0]
+
+
+def test_table_overwrite_by_name(spark):
+    spark.sql("DROP TABLE IF EXISTS t_overwritten")
+    files.save_table(spark.range(3), table="t_overwritten")
+    new = files.save_table(spark.range(2).selectExpr("id", "id * 2 AS twice"), table="t_overwritten")
+    assert new.columns == ["id", "twice"] and new.count() == 2
+    spark.sql("DROP TABLE t_overwritten")
 
 
 def test_fixture_shapes(spark):
