@@ -12,10 +12,11 @@ How pairs stay few and none is lost:
   cost one row.
 * In each bucket all members are first compared with one hub (a star: members - 1 pairs). Confirmed links merge
   classes.
-* Buckets that still hold several classes stay open: each member outside the bucket's largest class proposes its
-  ``k`` most similar members of other classes (by sketch), which are confirmed on full sets; ``k`` grows fourfold each
-  round until no member had more than ``k`` candidates left. Only pairs that already share a class are skipped, so
-  the classes are those of all links; nothing is capped. Buckets are compared in blocks, never in one task.
+* Buckets of three or more that still hold several classes stay open. Each member outside the bucket's largest class is
+  compared with every member of another class; the shingle sets of open buckets travel to blocks of bounded size
+  (``BLOCK_ROWS`` rows, ``BLOCK_SHINGLES`` shingles, expected), where the most similar pairs are tried first and a pair
+  whose classes have met meanwhile is skipped. Only links that join classes leave a block. So the classes are those of
+  all links, nothing is capped, and no bucket meets in one task.
 
 A candidate is dropped before the full check only if its sketch agreement is ``SIGMAS`` standard deviations below the
 threshold. With 32 bands of 4 rows a link of similarity 0.75 misses every band with probability 5e-6.
@@ -35,15 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices, strings, text_buffers
-from .textarrays import mix, shingle_sets, shingles, word_hashes
+from scrubjay.session import cut_lineage_observed
+
+from .common import saved, slices, strings
+from .textarrays import mix, shingle_sets
 
 T = 256
 BANDS, ROWS = 32, 4
 #: A link: 100 * intersection >= LINK * union.
 LINK = 75
 SIGMAS = 4.5
-BLOCK = 2048
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1_000_000
+#: Ids of a join's small side that may be broadcast (16 MB); more are shuffled.
+BROADCAST_IDS = 1_000_000
 
 
 def least_agreement(t: int = T) -> int:
@@ -134,136 +139,135 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = strings(batch.column(1))
+        for start, stop in slices(texts):
+            packed = [x.tobytes() for x in shingle_sets(texts.slice(start, stop - start))]
+            yield pa.record_batch([batch.column(0).slice(start, stop - start), pa.array(packed, pa.binary())],
+                                  names=["id", "shingles"])
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, i: int) -> np.ndarray:
+    return np.frombuffer(column[i].as_buffer(), np.uint64)
+
+
+def links(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full shingle sets link."""
+    if 100 * min(len(a), len(b)) < LINK * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= LINK * (len(a) + len(b) - both) > 0
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps pairs (a, b, text_a, text_b) that link on their full sets."""
+    """Keeps pairs (a, b, shingles_a, shingles_b) that link on their full sets."""
     for batch in batches:
-        a, ta, tb = batch.column(0).to_pylist(), strings(batch.column(2)), strings(batch.column(3))
-        keep, last, left = [], None, None
-        for i, right in enumerate(shingle_sets(tb)):
-            if a[i] != last:  # pairs of one hub come together
-                raw, off = text_buffers(ta.slice(i, 1))
-                last, left = a[i], shingles(word_hashes(raw, off)[0])
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            keep.append(100 * both >= LINK * (len(left) + len(right) - both) > 0)
-        keep = pa.array(keep, pa.bool_())
+        keep = pa.array([links(unpacked(batch.column(2), i), unpacked(batch.column(3), i))
+                         for i in range(batch.num_rows)], pa.bool_())
         yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def _proposals(k: int):
+def _join_classes(group: pa.Table) -> pa.Table:
+    """Of one block of an open bucket: links between asking rows and rows of other classes that join classes."""
     least = least_agreement()
-
-    def propose(group: pa.Table) -> pa.Table:
-        """Of one block of a bucket: for each asking row its k most similar rows of other classes."""
-        asks = np.asarray(group["asks"])
-        ids, labels = np.asarray(group["id"]), np.asarray(group["label"])
-        marks = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, T)
-        q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
-        a, b, more = [], [], []
-        for i in q:
-            others = m[labels[m] != labels[i]]
-            if not len(others):
-                continue
-            same = (marks[others] == marks[i]).sum(axis=1)
-            good = np.flatnonzero(same >= least)
-            top = good[np.lexsort((ids[others[good]], -same[good]))[:k]]
-            a += [ids[i]] * len(top)
-            b += ids[others[top]].tolist()
-            more += [len(good) > k] * len(top)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
-                         "more": pa.array(more, pa.bool_())})
-
-    return propose
+    asks = np.asarray(group["asks"])
+    ids, label = np.asarray(group["id"]), np.asarray(group["label"])
+    marks = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(-1, T)
+    shingles_ = group["shingles"].combine_chunks()
+    q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
+    a, b = [], []
+    for i in q[np.argsort(ids[q])].tolist():
+        others = m[label[m] != label[i]]
+        same = (marks[others] == marks[i]).sum(axis=1)
+        good = np.flatnonzero(same >= least)
+        own = unpacked(shingles_, i)
+        for j in others[good[np.lexsort((ids[others[good]], -same[good]))]].tolist():
+            if label[j] != label[i] and links(own, unpacked(shingles_, j)):
+                a.append(ids[i])
+                b.append(ids[j])
+                label = np.where(label == label[i], label[j], label)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def connected(edges: DataFrame, name: str = "classes") -> DataFrame:
     """(id, label): the least id reachable over ``edges`` (a, b), for every id in an edge.
 
-    Each round takes the least label of a node's neighbours and then the label of that label (pointer jumping); rounds
-    grow with the logarithm of the longest chain in practice. Each round is written to shared storage.
+    Each round takes the least label of a node and its neighbours and then the label of that label (pointer jumping);
+    rounds grow with the logarithm of the longest chain in practice. Each round is written to shared storage, and the
+    number of changed labels is observed on the way.
     """
-    both = saved(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(
-        edges.select(F.col("b").alias("u"), F.col("a").alias("v"))), f"{name}-edges")
-    labels = both.groupBy(F.col("u").alias("id")).agg(F.min(F.least("u", "v")).alias("label"))
+    both = saved(edges.select(F.inline(F.array(*(F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in (
+        ("a", "b"), ("b", "a"), ("a", "a"), ("b", "b")))))), f"{name}-edges")
+    labels = saved(both.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("label")), name)
     while True:
-        labels = saved(labels, name)
-        near = (both.join(labels.select(F.col("id").alias("v"), "label"), "v").groupBy(F.col("u").alias("id"))
-                .agg(F.min("label").alias("near")))
-        step = labels.join(near, "id").select("id", F.least("label", "near").alias("low"),
-                                              F.col("label").alias("was"))
-        jump = labels.select(F.col("id").alias("low"), F.col("label").alias("next"))
-        new = saved(step.join(jump, "low").select("id", F.least("low", "next").alias("label"), "was"), name)
-        if not new.filter(F.col("label") != F.col("was")).limit(1).count():
-            return new.select("id", "label")
+        known = labels.select(F.col("id").alias("v"), "label")
+        low = both.join(known, "v").groupBy(F.col("u").alias("id")).agg(
+            F.min("label").alias("low"), F.max(F.when(F.col("u") == F.col("v"), F.col("label"))).alias("was"))
+        jump = known.select(F.col("v").alias("low"), F.col("label").alias("next"))
+        step = low.join(jump, "low").select("id", F.least("low", "next").alias("label"), "was")
+        new, seen = cut_lineage_observed(step, {"changed": F.count_if(F.col("label") != F.col("was"))}, name)
         labels = new.select("id", "label")
+        if not seen["changed"]:
+            return labels
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, texts: DataFrame, prefilter: bool) -> DataFrame:
-    if prefilter:
-        marks = reps.select("id", "sketch")
-        pairs = (pairs.join(marks.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
-                 .join(marks.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-                 .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"))
-    return (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-            .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-            .select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long"))
+def few(ids: DataFrame) -> DataFrame:
+    """``ids`` marked for broadcast if they are proven to be at most BROADCAST_IDS."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id for each row of ``docs``."""
     rows = saved(sketches(docs, id_col, text_col), "sketches")
-    whole = rows.filter("id IS NOT NULL AND n_shingles > 0")
-    reps = saved(whole.groupBy("s1", "s2", "n_shingles").agg(
+    alone = F.col("id").isNull() | (F.col("n_shingles") == 0)
+    reps = saved(rows.filter(~alone).groupBy("s1", "s2", "n_shingles").agg(
         F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "sets")
     keyed = reps.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     member = saved(keyed.join(buckets, "key"), "buckets")
-    in_bucket = member.select("id").distinct()
-    texts = saved(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .filter("text IS NOT NULL").join(in_bucket, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    in_bucket = saved(member.select("id").distinct(), "members")
+    full = saved(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+                 .filter("text IS NOT NULL").join(few(in_bucket), "id", "left_semi")
+                 .mapInArrow(_set_batches, "id long, shingles binary").dropDuplicates(["id"]), "shingles")
+
+    marks = reps.select("id", "sketch")
     star = member.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = saved(_confirmed(star, reps, texts, True), "links")
-    labels = connected(links)
-    k = 1
-    while True:
-        known = member.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-        per = known.groupBy("key", "label").agg(F.count("*").alias("n"))
-        top = (per.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("rows"),
-                                      F.max(F.struct("n", -F.col("label"))).alias("m"))
-               .filter("classes > 1").select("key", "rows", (-F.col("m")["col2"]).alias("main"),
-                                             (F.col("rows") - F.col("m")["n"]).alias("asking")))
-        open_ = (known.join(top, "key").withColumn("rb", F.ceil(F.col("rows") / BLOCK).cast("int"))
-                 .withColumn("qb", F.ceil(F.col("asking") / BLOCK).cast("int"))
-                 .join(reps.select("id", "sketch"), "id"))
-        own_q, own_r = F.pmod(F.xxhash64("id"), F.col("qb")), F.pmod(F.xxhash64("id", F.lit(3)), F.col("rb"))
-        asks = (open_.filter("label != main").withColumn("q", own_q)
-                .withColumn("r", F.explode(F.sequence(F.lit(0), F.col("rb") - 1))).withColumn("asks", F.lit(True)))
-        rest = (open_.withColumn("r", own_r).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
-                .withColumn("asks", F.lit(False)))
-        cols = ["key", F.col("q").cast("long").alias("q"), F.col("r").cast("long").alias("r"), "asks", "id", "label",
-                "sketch"]
-        found = saved(asks.select(cols).unionAll(rest.select(cols)).groupBy("key", "q", "r").applyInArrow(
-            _proposals(k), "a long, b long, more boolean").groupBy(F.least("a", "b").alias("a"),
-                                                                   F.greatest("a", "b").alias("b"))
-            .agg(F.max("more").alias("more")), "proposals")
-        more = found.agg(F.count("*"), F.max("more")).first()
-        if not more[0]:
-            break
-        new = saved(_confirmed(found.select("a", "b"), reps, texts, False), "links")
-        name = labels.withColumnRenamed("id", "i")
-        merged = (new.join(name.select(F.col("i").alias("a"), F.col("label").alias("la")), "a", "left")
-                  .join(name.select(F.col("i").alias("b"), F.col("label").alias("lb")), "b", "left")
-                  .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
-        up = connected(merged, "merged")
-        grown = labels.unionAll(new.select(F.explode(F.array("a", "b")).alias("id"))
-                                .join(labels, "id", "left_anti").distinct().select("id", F.col("id").alias("label")))
-        labels = saved(grown.join(up.select(F.col("id").alias("label"), F.col("label").alias("to")), "label", "left")
-                       .select("id", F.coalesce("to", "label").alias("label")), "classes")
-        if not more[1]:
-            break
-        k *= 4
-    named = reps.join(labels, "id", "left").select("s1", "s2", "n_shingles",
-                                                   F.coalesce("label", "id").alias("component_id"))
-    alone = F.col("id").isNull() | (F.col("n_shingles") == 0)
+    near = (star.join(marks.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a")
+            .join(marks.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
+            .select("a", "b", "sa", "sb").mapInArrow(_agree, "a long, b long"))
+    sure = saved(near.join(full.select(F.col("id").alias("b"), F.col("shingles").alias("tb")), "b")
+                 .join(full.select(F.col("id").alias("a"), F.col("shingles").alias("ta")), "a")
+                 .select("a", "b", "ta", "tb").mapInArrow(_confirm, "a long, b long"), "links")
+    labels = connected(sure)
+
+    # Buckets of two are settled by the star.
+    sized = member.filter("members > 2").join(reps.select("id", "n_shingles"), "id")
+    known = saved(sized.join(labels, "id", "left").select("key", "id", "n_shingles",
+                                                          F.coalesce("label", "id").alias("label")), "labelled")
+    per = known.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    top = per.groupBy("key").agg(F.count("*").alias("classes"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+                                 F.max(F.struct("n", "size", "label")).alias("most")).filter("classes > 1")
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_ROWS, size / BLOCK_SHINGLES)).cast("int")
+    top = top.select("key", F.col("most")["label"].alias("main"), blocks(F.col("n"), F.col("size")).alias("rb"),
+                     blocks(F.col("n") - F.col("most")["n"], F.col("size") - F.col("most")["size"]).alias("qb"))
+    open_ = known.join(top, "key")
+    place = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
+    asks = open_.filter("label != main").select(
+        "key", place(F.col("qb"), 1).alias("q"), F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("r"),
+        F.lit(True).alias("asks"), "id", "label")
+    rest = open_.select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("q"), place(F.col("rb"), 2).alias("r"),
+        F.lit(False).alias("asks"), "id", "label")
+    dealt = asks.unionAll(rest).join(marks, "id").join(full, "id")
+    more = saved(dealt.groupBy("key", "q", "r").applyInArrow(_join_classes, "a long, b long").distinct(), "more-links")
+    to_label = labels.withColumnRenamed("id", "i")
+    met = (more.join(to_label.select(F.col("i").alias("a"), F.col("label").alias("la")), "a", "left")
+           .join(to_label.select(F.col("i").alias("b"), F.col("label").alias("lb")), "b", "left")
+           .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
+    merged = connected(met, "merged").select(F.col("id").alias("label"), F.col("label").alias("to"))
+    named = (reps.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")).join(merged, "label", "left")
+             .select("s1", "s2", "n_shingles", F.coalesce("to", "label").alias("component_id")))
     linked = rows.filter(~alone).select("id", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"])
     return linked.select("id", "n_shingles", "component_id").unionAll(
         rows.filter(alone).select("id", "n_shingles", F.col("id").alias("component_id")))
@@ -278,6 +282,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one document of each class. Columns are those of ``docs``."""
-    gone = near_duplicates(docs, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    gone = saved(near_duplicates(docs, id_col, text_col).filter("NOT kept").select(
+        F.col("doc_id").alias("__gone")).distinct(), "copies")
+    kept = docs.join(few(gone), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
     return kept.select(*docs.columns)
