@@ -7,8 +7,8 @@ whole page in both directions and a logistic unit labels every block as main tex
 one space in page order.
 
 There is no labelled table, so the training labels are weak: on a bounded, hashed sample of pages (``FIT_PAGES`` pages,
-expected) the names on a block's path say what it is, and from the texts of these pages ``VARIANTS`` further pages each
-are composed with other containers (sidebars, notices, comments, forms, adverts between and inside main blocks, and
+expected) the names on a block's path say what it is, and from the texts of these pages ``VARIANTS * FIT_PAGES`` further
+pages are composed with other containers (sidebars, notices, comments, forms, adverts between and inside main blocks, and
 containers without a telling name), whose labels are known by construction. Training is deterministic.
 
 Defined results: a null or empty html, and a page without main blocks, gives an empty text of 0 characters; repeated
@@ -32,7 +32,7 @@ from .textarrays import SIGNS, word_hashes
 
 
 FIT_PAGES = 240
-VARIANTS = 2
+VARIANTS = 4
 EPOCHS = 6
 BATCH = 32
 #: Training pages are cut to windows of so many blocks; labelling reads pages whole.
@@ -81,8 +81,8 @@ def compose(texts: list[str], rng: np.random.Generator) -> tuple[list[Leaf], lis
     def surrounding(lead: tuple[str, ...]) -> list[tuple[Leaf, int]]:
         name = pick(around)
         box = (name,) if name[0] != "." else (pick(("div", "div", "section", "ul", "p", "aside")), name)
-        if rng.random() < 0.3 and name[0] == ".":
-            box = (*box, pick((".box", ".wrap", ".container", ".block", ".list", ".inner")))
+        if rng.random() < 0.4:
+            box = (*box, "div", pick((".box", ".wrap", ".container", ".block", ".list", ".inner", ".logo", ".title", ".item")))
         kind, out = rng.random(), []
         for _ in range(int(rng.integers(1, 9))):
             words = some()
@@ -276,7 +276,7 @@ def train(pages: list[list[Leaf]]) -> dict[str, np.ndarray]:
     pages = [p for p in pages if p]
     texts = [leaf.text for p in pages for leaf in p] or [" ".join(_PLAIN)]
     data = [(p, labelled(p)) for p in pages]
-    data += [compose(texts, rng) for _ in range(max(FIT_PAGES, VARIANTS * len(pages)))]
+    data += [compose(texts, rng) for _ in range(VARIANTS * FIT_PAGES)]
     cuts = [(p[i:i + TRAIN_BLOCKS], y[i:i + TRAIN_BLOCKS]) for p, y in data for i in range(0, len(p), TRAIN_BLOCKS)]
     p, hashed = initial(rng), {}
     first, second, step = {k: 0.0 for k in p}, {k: 0.0 for k in p}, 0
