@@ -106,14 +106,13 @@ class Memo(dict):
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text else []
-        if not words or not self.tables.langs:
+        # A word may be made of number signs, which are no letters; the first letter ends this search.
+        if not self.tables.langs or not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         if len(self) > MEMO_WORDS:
             self.clear()
             self.used = 1
         at = list(map(self.__getitem__, words))
-        if not any(at) and not any(c.isalpha() for w in words for c in w):
-            return "und", 0.0  # only number signs
         total = self.matrix[at].sum(axis=0, dtype=np.float64)
         best = int(np.argmax(total))
         return self.tables.langs[best], float(1 / np.exp(total - total[best]).sum())

@@ -76,7 +76,7 @@ def test_toxicity_held_out_and_odd_texts(spark, docs, labels, odd):
     rows = scored.select("toxic", "score").collect()
     assert all(0 <= r.score <= 1 for r in rows)
     # A pair of a toxic and an ordinary held-out document is in the right order.
-    ordered = [(t.score > o.score) for t in rows if t.toxic for o in rows if not t.toxic]
+    ordered = [(t.score > o.score) for t in rows if t.toxic for o in rows if not o.toxic]
     assert np.mean(ordered) > 0.7
     got = {r.doc_id: r.score for r in toxicity.score(odd, model).collect()}
     assert len(got) == len(ODD) and got[900001] == got[900002] == got[900003]
