@@ -57,8 +57,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+#: The given pages hold their main text in one article element, whose tags all stand between words.
+HTML_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+                                               '<[^>]*>', ' ', 'g') AS raw FROM pages),
+d AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(raw, '&lt;', '<'), '&gt;', '>'),
+        '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text) AS n_chars FROM d
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": WARC_SQL,
     "op7_chat_format": CHAT_SQL,
+    "op8_html_main_text": HTML_SQL,
     "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
 }

@@ -80,7 +80,7 @@ def test_recall_against_brute_force(spark, monkeypatch):
     got = {}
     for r in ann.nearest(df, df.where("vec_id % 100 = 0")).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
-    assert len(got) == 180
+    assert len(got) == 60
     hits = []
     y = x.astype(np.float64)
     for q, found in got.items():
