@@ -134,9 +134,13 @@ def test_ids_equal_the_tokenizers_library():
     plain.encode_special_tokens = True
     tool = packing.Tokens(tokenizer())
     texts = ["a\r\n b", "  x\n\n\t y", "<|endoftext|> a", " é́ ñ \xa0x", "it's I'LL we'Re", "日本 語123 45", "\x00\x01", "",
-             " ", "x" * 300, "🙂🙂  🙂", "ñandú, über!! ###"]
+             " ", "x" * 300, "🙂🙂  🙂", "ñandú, über!! ### ", None, "a\u2003 b \u2003c", " lead", "trail ", "a b c a b c",
+             "x \u00a0 y\u0085 z", "é à ü é", "tab\t tab \tend", "\n a\n b", "end\n", "1 2  3   4", "a\x1c b \x1fc"]
+    rng = random.Random(9)
+    signs = ["a", "b ", " ", "\n", "é", "\u00a0", "\u2003", ".", "ab", "日", "\t", "'s"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(800)]
     for text in texts:
-        assert np.frombuffer(tool.plain(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tool.plain(text or ""), "<u4").tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
 def test_cut():
