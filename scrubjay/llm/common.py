@@ -62,6 +62,12 @@ def strings(column: pa.Array) -> pa.StringArray:
     return column.cast(pa.string())
 
 
+def each_text(column: pa.StringArray, rows: int = 256):
+    """The texts of a column, of which only a few hundred are Python strings at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES):
     """(start, stop) row ranges of at most ``limit`` bytes of text, or of one row."""
     n = len(column)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, id_remainder, saved, strings
+from .common import bounded_sample, each_text, id_remainder, saved, strings
 from .toxicity import bounded_sample_share
 
 FIT_ROWS = 8_000
@@ -31,18 +31,13 @@ FIT_CHARS = 24_000_000
 LONGEST = 5
 LEAST_WORD, LEAST_GRAM = 3, 3
 #: Nothing rarer than this many of the most frequent entries is kept for a language's words, or grams of one length.
-KEEP = 40_000
+KEEP = 20_000
 SMOOTH = 0.5
-MEMO_WORDS = 200_000
+MEMO_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def grams(word: str, n: int) -> list[str]:
-    marked = f"<{word}>"
-    return [marked[i:i + n] for i in range(len(marked) - n + 1)]
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
@@ -54,7 +49,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, lang in zip(each_text(strings(batch.column(0))), batch.column(1).to_pylist()):
             for word, n in Counter(_WORD.findall(text.lower())).items():
                 counts[lang, word] += n
             if len(counts) > 400_000:
@@ -63,23 +58,30 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Tables:
-    """Log frequencies of words (length 0) and of n-grams of each length, one row per entry, one column per language."""
+    """Log frequencies of words (size 0) and of n-grams of each size: one matrix row per entry, one column per language."""
 
     def __init__(self, langs: list[str], counts: dict[int, dict[str, np.ndarray]], totals: dict[int, np.ndarray]):
         self.langs = langs
-        self.rows: dict[int, dict[str, np.ndarray]] = {}
+        self.row: dict[int, dict[str, int]] = {}
+        blocks, used = [np.zeros((0, len(langs)), np.float32)], 0
         for n, entries in counts.items():
-            size = totals[n] + SMOOTH * (len(entries) + 1)
-            self.rows[n] = {k: np.log((v + SMOOTH) / size).astype(np.float32) for k, v in entries.items()}
+            self.row[n] = {k: used + i for i, k in enumerate(entries)}
+            if entries:
+                size = totals[n] + SMOOTH * (len(entries) + 1)
+                blocks.append(np.log((np.array(list(entries.values())) + SMOOTH) / size).astype(np.float32))
+                used += len(entries)
+        self.matrix = np.concatenate(blocks)
 
     def word(self, word: str) -> np.ndarray | None:
         """The evidence of one word; None if nothing of it is known."""
-        if (hit := self.rows[0].get(word)) is not None:
-            return hit
-        for n in range(LONGEST, 0, -1):
-            known = [v for g in grams(word, n) if (v := self.rows[n].get(g)) is not None]
+        if (hit := self.row[0].get(word)) is not None:
+            return self.matrix[hit]
+        marked = f"<{word}>"
+        for n in range(min(LONGEST, len(marked)), 0, -1):
+            get = self.row[n].get
+            known = [r for i in range(len(marked) - n + 1) if (r := get(marked[i:i + n])) is not None]
             if known:
-                return np.mean(known, axis=0)
+                return self.matrix[known[0]] if len(known) == 1 else self.matrix[known].sum(axis=0) / len(known)
         return None
 
 
@@ -120,33 +122,35 @@ class Memo(dict):
 
 def fit(rows: DataFrame) -> Tables:
     """The tables of ``rows`` (text, lang)."""
-    words = saved(rows.select("text", "lang").mapInArrow(_counted, "lang string, word string, n long")
-                  .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
-    langs = sorted(r[0] for r in words.select("lang").distinct().collect())
+    words = (rows.select("text", "lang").mapInArrow(_counted, "lang string, word string, n long")
+             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    marked = F.concat(F.lit("<"), "word", F.lit(">"))
+
+    def cuts(n: int):
+        last = F.length(marked) - n + 1
+        spots = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(spots, lambda i: F.struct(F.lit(n).alias("size"), F.substring(marked, i, F.lit(n)).alias("gram")))
+
+    whole = F.array(F.struct(F.lit(0).alias("size"), F.col("word").alias("gram")))
+    spread = words.select("lang", "n", F.inline(F.concat(whole, *(cuts(n) for n in range(1, LONGEST + 1)))))
+    table = saved(spread.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n")), "language-counts")
+    sums = table.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
+    langs = sorted({r["lang"] for r in sums})
     spot = {lang: i for i, lang in enumerate(langs)}
-    counts, totals = {}, {}
-    for n in range(LONGEST + 1):
-        if n:
-            marked = F.concat(F.lit("<"), "word", F.lit(">"))
-            cut = F.transform(F.sequence(F.lit(1), F.length(marked) - n + 1), lambda i: F.substring(marked, i, F.lit(n)))
-            table = (words.filter(F.length("word") + 2 >= n).select("lang", "n", F.explode(cut).alias("word"))
-                     .groupBy("lang", "word").agg(F.sum("n").alias("n")))
-        else:
-            table = words
-        totals[n] = np.zeros(len(langs))
-        for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect():
-            totals[n][spot[r["lang"]]] = r["n"]
-        per = table.groupBy("word").agg(F.sum("n").alias("all"),
-                                        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        kept = (per.filter(F.col("all") >= (LEAST_GRAM if n else LEAST_WORD))
-                .orderBy(F.desc("all"), "word").limit(KEEP * max(len(langs), 1)).select("word", "by").collect())
-        entries = {}
-        for r in kept:
-            row = np.zeros(len(langs))
-            for lang, k in r["by"].items():
-                row[spot[lang]] = k
-            entries[r["word"]] = row
-        counts[n] = entries
+    totals = {n: np.zeros(len(langs)) for n in range(LONGEST + 1)}
+    for r in sums:
+        totals[r["size"]][spot[r["lang"]]] = r["n"]
+    kept = (table.groupBy("size", "gram").agg(F.sum("n").alias("all"), F.collect_list("lang").alias("langs"),
+                                              F.collect_list("n").alias("ns"))
+            .filter(F.col("all") >= F.when(F.col("size") == 0, LEAST_WORD).otherwise(LEAST_GRAM)).toArrow())
+    counts: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST + 1)}
+    order = kept.sort_by([("size", "ascending"), ("all", "descending"), ("gram", "ascending")])
+    for batch in order.to_batches():
+        for size, gram, names, ns in zip(*(batch.column(c).to_pylist() for c in ("size", "gram", "langs", "ns"))):
+            if len(counts[size]) < KEEP * len(langs):
+                row = counts[size][gram] = np.zeros(len(langs))
+                for lang, n in zip(names, ns):
+                    row[spot[lang]] = n
     return Tables(langs, counts, totals)
 
 
@@ -170,7 +174,7 @@ def label(docs: DataFrame, tables: Tables, lang_col: str = "lang_pred", score_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(held.value)
         for batch in batches:
-            got = [memo.predict(t) for t in strings(batch.column(at)).to_pylist()]
+            got = [memo.predict(t) for t in each_text(strings(batch.column(at)))]
             yield (batch.append_column(lang_col, pa.array([g[0] for g in got], pa.string()))
                    .append_column(score_col, pa.array([g[1] for g in got], pa.float64())))
 

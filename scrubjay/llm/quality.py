@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, logistic, logistic_fit, saved, strings
+from .common import each_text, id_remainder, logistic, logistic_fit, saved, strings
 from .toxicity import sampled_labels
 
 FIT_ROWS = 12_000
@@ -91,7 +91,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id") -> tuple[bytes, bytes, np.n
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Compressors(good, bad)
         for batch in batches:
-            got = np.array([tool.features(t) for t in batch.column(0).to_pylist()]).reshape(-1, 2)
+            got = np.array([tool.features(t) for t in each_text(strings(batch.column(0)))]).reshape(-1, 2)
             yield pa.record_batch([pa.array(got[:, 0]), pa.array(got[:, 1]), batch.column(1)],
                                   names=["gain", "scaled", "label"])
 
@@ -107,7 +107,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = Compressors(good, bad)
         for batch in batches:
-            got = np.array([tool.features(t) for t in strings(batch.column(1)).to_pylist()]).reshape(-1, 2)
+            got = np.array([tool.features(t) for t in each_text(strings(batch.column(1)))]).reshape(-1, 2)
             yield pa.record_batch([batch.column(0), pa.array(logistic(got, weights))], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, id_remainder, logistic, logistic_fit, saved, strings
+from .common import bounded_sample, each_text, id_remainder, logistic, logistic_fit, saved, strings
 
 FIT_ROWS = 16_000
 FIT_CHARS = 64_000_000
@@ -41,7 +41,7 @@ LEAST_COUNT = 2
 MARGIN = 3.0
 #: Of the sampled rows one in this many calibrates and the others are counted.
 CALIBRATE_ONE_IN = 4
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 
 _WORD = re.compile(r"\w+")
 
@@ -88,7 +88,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, label in zip(each_text(strings(batch.column(0))), batch.column(1).to_pylist()):
             counts[label].update(_WORD.findall(text.lower()))
             if len(counts[0]) + len(counts[1]) > 400_000:
                 yield flush()
@@ -138,20 +138,33 @@ def kneser_ney(counts: list[tuple[str, int, int]]) -> dict[str, tuple[float, flo
     return table
 
 
+def telling(table: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+    """The beginnings that decide a word's evidence: those beyond the margin, and all that continue one of them.
+
+    A word whose known beginnings are all within the margin has no evidence, with or without them in the table.
+    """
+    kept: dict[str, tuple[float, float]] = {}
+    for b in sorted(table, key=len):
+        so_far, rest = table[b]
+        if abs(so_far) > MARGIN or abs(so_far + rest) > MARGIN or (b and b[:-1] in kept):
+            kept[b] = (so_far, rest)
+    return kept
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id") -> tuple[dict[str, tuple[float, float]], np.ndarray]:
     """The table of beginnings and the calibration, from rows with columns ``id_col``, text and label (0 or 1)."""
     rows = saved(labelled.filter("text IS NOT NULL AND label IN (0, 1)").select(
         F.col("text"), F.col("label").cast("int").alias("label"),
         (F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(CALIBRATE_ONE_IN)) == 0).alias("calibrate")), "toxic-fit")
     counted = beginnings(rows.filter("NOT calibrate")).toArrow()
-    table = kneser_ney(list(zip(counted["begin"].to_pylist(), counted["ordinary"].to_pylist(),
-                                counted["toxic"].to_pylist())))
+    table = telling(kneser_ney(list(zip(counted["begin"].to_pylist(), counted["ordinary"].to_pylist(),
+                                        counted["toxic"].to_pylist()))))
     held = rows.sparkSession.sparkContext.broadcast(table)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(held.value)
         for batch in batches:
-            got = np.array([features(t, evidence) for t in batch.column(0).to_pylist()]).reshape(-1, 2)
+            got = np.array([features(t, evidence) for t in each_text(strings(batch.column(0)))]).reshape(-1, 2)
             yield pa.record_batch([pa.array(got[:, 0]), pa.array(got[:, 1]), batch.column(1)],
                                   names=["mean", "noise", "label"])
 
@@ -191,7 +204,7 @@ def score(docs: DataFrame, model: tuple[dict[str, tuple[float, float]], np.ndarr
         table, weights = held.value
         evidence = Evidence(table)
         for batch in batches:
-            got = np.array([features(t, evidence) for t in strings(batch.column(at)).to_pylist()]).reshape(-1, 2)
+            got = np.array([features(t, evidence) for t in each_text(strings(batch.column(at)))]).reshape(-1, 2)
             yield batch.append_column(column, pa.array(logistic(got, weights)))
 
     return docs.mapInArrow(run, schema)
