@@ -5,16 +5,18 @@ reads some positions and ignores the others, so a window still hashes alike when
 replaced. Every window of every benchmark item is hashed with every mask; a document's windows that hash alike are
 hits. Each hit names an item and an alignment (the document position less the item position); around it the document
 and the item are compared word by word and the best-scoring stretch (+1 for an equal word, ``-MISS`` for a substituted
-one) is the overlap. It counts if it matches at least ``LEAST_WORDS`` words, or all of a shorter item, and at least
-``LEAST_SHARE`` of its words are equal.
+one) is the overlap. It counts if at least ``LEAST_SHARE`` of its words are equal and these are at least
+``LEAST_WORDS`` words or that share of a shorter item; the whole item counts, too, if that share of all its words is
+equal. Items of fewer than ``LONG`` words are also hashed with ``SHORT_MASKS``, one of which reads only equal words
+wherever a fifth of the words was replaced.
 
 The benchmark is indexed in blocks of at most ``BLOCK_CHARS`` characters (a hash gives an item's block); each block's
 index is broadcast, being of that proven size, and all documents are read against it, so any benchmark size works and
 documents are never shuffled. Within a task numpy compares the hashes of whole batches.
 
-Defined results: null, empty and wordless documents and items give no row; an item of fewer words than the shortest
-mask (``masks`` spans) is compared as one exact run if it has at least ``SHORTEST`` words, else it is too short to be
-evidence; one row for each (document, item), the longest overlap, the first on ties; repeated items give rows of their
+Defined results: null, empty and wordless documents and items give no row; an item of fewer than ``TOLERANT`` words
+is compared as one exact run if it has at least ``shortest`` words (``SHORTEST`` if not given), else it is too short to
+be evidence; one row for each (document, item), the longest overlap, the first on ties; repeated items give rows of their
 own ids; null ids are carried; an empty table on either side gives an empty result.
 """
 
@@ -37,8 +39,12 @@ LEAST_WORDS = 12
 LEAST_SHARE = 0.8
 #: What a substituted word takes off a stretch's score.
 MISS = 1.5
-#: Exact runs are needed for items too short for a mask; items shorter than this are no evidence.
-SHORTEST = 8
+#: Together these find every item of 8 to 19 words of which at most a fifth was replaced (tested for every choice of words).
+SHORT_MASKS = ("111011", "11001011", "11111")
+LONG = 30
+#: Items of fewer words than TOLERANT must be equal as a whole; those of fewer than SHORTEST are no evidence.
+TOLERANT = 8
+SHORTEST = 6
 BLOCK_CHARS = 8_000_000
 
 _BITS = 20
@@ -52,27 +58,33 @@ def coded_words(column: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 class Index:
     """The masked window hashes of some items, given as (id, text)."""
 
-    def __init__(self, items: list[tuple[int | str | None, str]]):
+    def __init__(self, items: list[tuple[int | str | None, str]], shortest: int = SHORTEST):
         found, at = coded_words(pa.array([t for _, t in items], pa.string()))
         sizes = np.diff(at)
-        self.ids = [i for (i, _), n in zip(items, sizes) if n >= SHORTEST]
+        kept = np.flatnonzero(sizes >= max(shortest, 1)).tolist()
+        self.ids = [items[i][0] for i in kept]
         self.vocabulary = np.unique(found)
         self.word_bits = np.zeros(1 << _BITS, bool)
         self.word_bits[self._low(self.vocabulary)] = True
-        self.codes = [self.code(found[at[i]:at[i + 1]]) for i in range(len(items)) if sizes[i] >= SHORTEST]
-        self.masks = [np.flatnonzero(np.array(list(m)) == "1") for m in MASKS]
-        self.spans = [len(m) for m in MASKS]
-        longest = max(self.spans)
-        if any(len(c) < longest for c in self.codes):
-            self.masks.append(np.arange(SHORTEST))  # exact runs, for items too short for a mask
-            self.spans.append(SHORTEST)
+        self.codes = [self.code(found[at[i]:at[i + 1]]) for i in kept]
+        self.least = [len(c) if len(c) < TOLERANT else math.ceil(round(LEAST_SHARE * len(c), 6)) for c in self.codes]
+        lengths = {len(c) for c in self.codes}
+        # Each mask with the lengths of the items that it reads.
+        used = [(m, max(TOLERANT, len(m)), math.inf) for m in MASKS]
+        used += [(m, TOLERANT, LONG - 1) for m in SHORT_MASKS]
+        used += [("1" * n, n, n) for n in sorted(lengths) if n < TOLERANT]
+        used = [(m, low, high) for m, low, high in used if any(low <= n <= high for n in lengths)]
+        self.masks = [np.flatnonzero(np.array(list(m)) == "1") for m, _, _ in used]
+        self.spans = [len(m) for m, _, _ in used]
         self.table: dict[int, list[tuple[int, int]]] = {}
+        self.hash_bits = np.zeros(1 << _BITS, bool)
         for item, codes in enumerate(self.codes):
-            for m, span in enumerate(self.spans):
-                if len(codes) < span or (m >= len(MASKS) and len(codes) >= longest):
+            for m, (_, low, high) in enumerate(used):
+                if not low <= len(codes) <= high:
                     continue
-                windows = np.arange(len(codes) - span + 1)
-                for place, h in enumerate(self.hashes(codes, windows, m).tolist()):
+                found = self.hashes(codes, np.arange(len(codes) - self.spans[m] + 1), m)
+                self.hash_bits[self._low(found)] = True
+                for place, h in enumerate(found.tolist()):
                     self.table.setdefault(h, []).append((item, place))
 
     @staticmethod
@@ -111,7 +123,9 @@ class Index:
                 live &= known[place:place + n]
             windows = np.flatnonzero(live)
             windows = windows[owner[windows] == owner[windows + span - 1]]
-            for i, h in zip(windows.tolist(), self.hashes(codes, windows, m).tolist()):
+            found = self.hashes(codes, windows, m)
+            maybe = self.hash_bits[self._low(found)]
+            for i, h in zip(windows[maybe].tolist(), found[maybe].tolist()):
                 for item, place in self.table.get(h, ()):
                     out.add((int(owner[i]), item, i - place))
         return out
@@ -126,8 +140,13 @@ class Index:
         end = int(np.argmax(gain - np.minimum.accumulate(before)))
         start = int(np.argmin(before[:end + 1]))
         equal, length = int(same[start:end + 1].sum()), end + 1 - start
-        if equal < min(LEAST_WORDS, len(own)) or equal < LEAST_SHARE * length:
-            return None
+        if equal < min(LEAST_WORDS, self.least[item]) or equal < LEAST_SHARE * length:
+            # A replaced word near an end cuts the stretch short of an item that is there as a whole.
+            spots = np.flatnonzero(same)
+            if len(spots) < self.least[item]:
+                return None
+            start, end, equal = int(spots[0]), int(spots[-1]), len(spots)
+            length = end + 1 - start
         return equal, low + start, low + start + shift, length
 
     def search(self, column: pa.StringArray) -> list[tuple[int, int, int, int, int, int]]:
@@ -146,7 +165,7 @@ class Index:
         return [(*key, *best[key]) for key in sorted(best)]
 
 
-def index_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"):
+def index_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", shortest: int = SHORTEST):
     """The items' indexes, one block of bounded size at a time."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).filter(
         "text IS NOT NULL")
@@ -154,11 +173,11 @@ def index_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("text", "id"), F.lit(blocks)) == b)
-        yield Index([(r["id"], r["text"]) for r in part.orderBy("id", "text").toLocalIterator()])
+        yield Index([(r["id"], r["text"]) for r in part.orderBy("id", "text").toLocalIterator()], shortest)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+             item_id_col: str = "item_id", item_text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """doc_id, item_id, matched_words, overlap_words, doc_start, item_start for each document and item that overlap."""
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
@@ -166,7 +185,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
               "item_start int")
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for index in index_blocks(benchmark, item_id_col, item_text_col):
+    for index in index_blocks(benchmark, item_id_col, item_text_col, shortest):
         held = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -189,11 +208,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      shortest: int = SHORTEST) -> DataFrame:
     """The rows of ``docs`` that overlap with no item, with the columns of ``docs``; rows are judged by their text."""
     spark = docs.sparkSession
     at, schema = docs.columns.index(text_col), docs.schema
-    for index in index_blocks(benchmark):
+    for index in index_blocks(benchmark, shortest=shortest):
         held = spark.sparkContext.broadcast(index)
 
         def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

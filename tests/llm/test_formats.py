@@ -211,6 +211,28 @@ def test_overlaps_tolerate_substitutions_and_leave_clean_texts_alone(spark):
     assert decontaminate.overlaps(d, b.limit(0)).collect() == [] and decontaminate.overlaps(d.limit(0), b).collect() == []
 
 
+def test_short_items_keep_their_tolerance():
+    import itertools
+    for n in range(decontaminate.TOLERANT, 20):
+        item = [f"w{i}" for i in range(n)]
+        index = decontaminate.Index([(0, " ".join(item))])
+        for k in range(n // 5 + 1):
+            texts = [" ".join(["x"] * 3 + [w if i not in gone else "zzz" for i, w in enumerate(item)] + ["y"])
+                     for gone in itertools.combinations(range(n), k)]
+            got = index.search(pa.array(texts))
+            assert [g[0] for g in got] == list(range(len(texts)))
+        beyond = " ".join(w if i % 3 else "zzz" for i, w in enumerate(item))
+        assert index.search(pa.array([beyond])) == []
+
+
+def test_shortest_items_are_searched_as_a_whole(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f y"), (2, "a b c d e z"), (3, "see Paris twice")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f"), (2, "Paris"), (3, "b c d e f y g")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, items).collect()] == [(1, 1)]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs, items, shortest=1).collect()} == {(1, 1), (3, 2)}
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items, shortest=1).collect()] == [2]
+
+
 def test_large_benchmarks_are_searched_in_blocks(spark, monkeypatch):
     docs, bench = load(spark, SF_SMALL, "documents"), load(spark, SF_SMALL, "benchmark")
     whole = {tuple(r) for r in decontaminate.overlaps(docs, bench).collect()}
