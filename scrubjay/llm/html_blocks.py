@@ -1,7 +1,9 @@
 """A page as a sequence of leaf blocks: text between block-level tags, with its path of open tags.
 
 Markup is read tolerantly: unknown or unbalanced end tags are ignored, ``p``, ``li`` and the like close an open one of
-their kind, and raw elements (scripts, styles, titles and so on) are skipped up to their end tag or the page's end.
+their kind, and raw text (scripts, styles, titles and so on) is skipped up to its end tag or the page's end. Drawings,
+choices and templates are skipped if they have an end tag of their own; self-closed ones are empty, and unclosed ones,
+like drawings that hold blocks of HTML, are read as any element. So are formulas, objects and ``noscript``.
 """
 
 from __future__ import annotations
@@ -10,10 +12,18 @@ import html
 import re
 from typing import NamedTuple
 
-#: Fixed values of HTML: raw or unseen elements, elements within a line, elements without content.
-SKIPPED = frozenset("script style title noscript template iframe textarea select svg math object head".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
+#: Fixed values of HTML: raw text, elements that are skipped if closed, formulas, elements within a line, elements
+#: without content.
+RAW = frozenset("script style title textarea iframe".split())
+CLOSED = frozenset("template select svg".split())
+MATH = frozenset("math maction annotation annotation-xml menclose merror mfrac mi mmultiscripts mn mo mover mpadded "
+                 "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder "
+                 "munderover semantics".split())
+#: Elements whose own name does not tell what they hold, and which are not named on a path.
+UNNAMED = CLOSED | MATH | {"noscript", "object"}
+INLINE = MATH | frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike "
+    "strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: An opening tag that closes an open one of these kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -36,6 +46,37 @@ class Leaf(NamedTuple):
     linked: int
 
 
+def _empty(tag: re.Match) -> bool:
+    return tag[3].rstrip().endswith("/")
+
+
+def _raw_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def skips(page: str) -> dict[int, int]:
+    """Where each drawing, choice or template that is skipped starts, and where it ends."""
+    out: dict[int, int] = {}
+    held: dict[str, list[int]] = {name: [] for name in CLOSED}
+    depth, at, block = 0, 0, -1
+    while tag := _TAG.search(page, at):
+        at, name = tag.end(), (tag[2] or "").lower()
+        if name in _ENDS_P and not tag[1]:
+            block = tag.start()
+        if name in ("svg", "math") and not (not tag[1] and _empty(tag)):
+            depth = max(0, depth + (-1 if tag[1] else 1))
+        if name in CLOSED and tag[1] and held[name]:
+            start = held[name].pop()
+            if name != "svg" or block < start:
+                out[start] = at
+        elif name in CLOSED and not tag[1] and not _empty(tag):
+            held[name].append(tag.start())
+        elif name in RAW and not tag[1] and not (depth and _empty(tag)):
+            at = _raw_end(page, name, at)
+    return out
+
+
 def leaves(page: str | None) -> list[Leaf]:
     """The non-empty blocks of a page in order; null and empty pages have none."""
     out: list[Leaf] = []
@@ -45,6 +86,7 @@ def leaves(page: str | None) -> list[Leaf]:
     parts: list[str] = []
     linked, place, at = 0, 0, 0
     started: tuple[str, ...] | None = None
+    skipped: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked, started
@@ -79,10 +121,14 @@ def leaves(page: str | None) -> list[Leaf]:
             if name in kinds:
                 del open_[len(kinds) - 1 - kinds[::-1].index(name):]
             continue
-        if name in SKIPPED and name != "head":
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            place = at = end.end() if end else len(page)
+        if name in RAW and not (_empty(tag) and any(t in ("svg", "math") for t, _ in open_)):
+            place = at = _raw_end(page, name, at)
             continue
+        if name in CLOSED:
+            skipped = skips(page) if skipped is None else skipped
+            if tag.start() in skipped:
+                place = at = skipped[tag.start()]
+                continue
         ends = CLOSES.get(name, ()) or (("p",) if name in _ENDS_P else ())
         for i in range(len(open_) - 1, -1, -1):
             if open_[i][0] in ends:
@@ -90,9 +136,9 @@ def leaves(page: str | None) -> list[Leaf]:
                 break
             if open_[i][0] in _SCOPE:
                 break
-        if name not in VOID and not tag[3].rstrip().endswith("/"):
+        if name not in VOID and not _empty(tag):
             words = tuple(f".{w}" for value in _NAMES.findall(tag[3]) for w in _WORD.findall(value.lower()))
-            open_.append((name, (name, *words)))
+            open_.append((name, words if name in UNNAMED else (name, *words)))
     say(page[place:])
     flush()
     return out

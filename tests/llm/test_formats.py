@@ -133,6 +133,31 @@ def test_leaves_of_untidy_markup():
     assert [x.text for x in leaves("plain &amp; simple")] == ["plain & simple"]
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<header><svg class='icon'/></header><article><p>one<p>two</article>", ["one", "two"]),
+    ("<p>one<svg viewBox='0'/><p>two<svg><text>x</text></svg><p>three", ["one", "two", "three"]),
+    ("<svg><g><p>one</p><p>two</p><svg><text>x</text></svg><p>three", ["one", "two", "three"]),
+    ("<svg><svg><text>x</text></svg><text>y</text></svg><p>one", ["one"]),
+    ("<svg><title/><p>one</p></svg><p>two", ["one", "two"]),
+    ("<template><p>one<template>x</template><p>two", ["one", "two"]),
+    ("<p>one<template><p>x</template><select><option>y</select><p>two", ["one", "two"]),
+    ("<p>one<object data='x'><p>two<noscript><p>three", ["one", "two", "three"]),
+    ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn></math> then<math/> so", ["if x=1 then so"]),
+    ("<p>one<noscript>two</noscript><object><p>three</p></object>", ["one", "two", "three"]),
+    ("<p>one<script>x<p>y", ["one"]), ("<p>one<script>'<svg>'</script><p>two<svg></svg><p>three", ["one", "two", "three"]),
+])
+def test_leaves_lose_no_text_to_unclosed_elements(page, want):
+    assert [x.text for x in leaves(page)] == want
+
+
+def test_unclosed_elements_in_a_page_leave_the_article(spark, labeller):
+    for extra in ("<svg class='icon'/>", "<math/>", "<object>", "<noscript>", "<template>"):
+        page = (f"<html><body><header>{extra}</header><nav><ul><li><a href='/'>Home</a></ul></nav><main><h1>Title</h1>"
+                "<p>First text.</p><noscript><p>Second text.</p></noscript></main><footer>Site</footer></body></html>")
+        rows = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+        assert html_lstm.extract(rows, labeller).first().text == "Title First text. Second text."
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     pages = [html_lstm.compose(["a b c d e", "f g, h i"], rng) for _ in range(3)]
