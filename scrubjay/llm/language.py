@@ -5,7 +5,8 @@ first: the first length of which any n-gram is known decides, by the mean of the
 the largest sum wins; its share of the normalised likelihoods is the score.
 
 The tables are counted on a bounded, hashed sample of documents with a language (``FIT_ROWS`` rows, ``FIT_CHARS``
-characters, expected values). Prediction reads every text whole.
+characters, expected values); every word and n-gram seen there often enough is kept, as a sorted 64-bit hash. Prediction
+reads every text whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text when no language was
 learned; equal sums go to the language that sorts first; a null id trains nothing and is never held out; an empty
@@ -16,7 +17,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, each_text, id_remainder, saved, strings
+from .textarrays import mix
 from .toxicity import bounded_sample_share
 
 FIT_ROWS = 8_000
 FIT_CHARS = 24_000_000
 LONGEST = 5
 LEAST_WORD, LEAST_GRAM = 3, 3
-#: Nothing rarer than this many of the most frequent entries is kept for a language's words, or grams of one length.
-KEEP = 20_000
 SMOOTH = 0.5
 MEMO_WORDS = 150_000
+#: Texts are labelled in groups of at most so many texts, or about so many characters.
+GROUP_TEXTS, GROUP_CHARS = 64, 500_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,32 +60,106 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+_BASE = np.uint64(0x9E3779B97F4A7C55)
+
+
+def _points(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts (none empty), one after another, and where each starts."""
+    texts = list(texts)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    return (np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64),
+            np.cumsum(sizes) - sizes)
+
+
+def _window_hashes(points: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every ``n`` code points in a row."""
+    total = np.full(max(len(points) - n + 1, 0), n, np.uint64)
+    for k in range(n):
+        total = total * _BASE + points[k:k + len(total)]
+    return mix(total)
+
+
+def _word_hashes(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each whole text."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    sizes = np.diff(np.append(starts, len(points)))
+    powers = np.full(int(sizes.max()), _BASE, np.uint64)
+    powers = np.multiply.accumulate(powers)
+    place = np.arange(len(points)) - np.repeat(starts, sizes)
+    return mix(np.add.reduceat((points + np.uint64(1)) * powers[place], starts))
+
+
+def entry_hashes(size: int, entries: list[str]) -> np.ndarray:
+    """The hashes of words (size 0) or of n-grams of one size."""
+    points, starts = _points(entries)
+    return _word_hashes(points, starts) if size == 0 else _window_hashes(points, size)[starts]
+
+
+class Entries(NamedTuple):
+    """Hashes of words or n-grams of one size, and their counts in each language."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+
+
 class Tables:
-    """Log frequencies of words (size 0) and of n-grams of each size: one matrix row per entry, one column per language."""
+    """Log frequencies of words (size 0) and of n-grams of each size: sorted hashes, and a matrix row for each.
+
+    ``counts`` holds for each size the ``Entries``, or the counts by entry.
+    """
 
-    def __init__(self, langs: list[str], counts: dict[int, dict[str, np.ndarray]], totals: dict[int, np.ndarray]):
+    def __init__(self, langs: list[str], counts: dict[int, Entries | dict[str, np.ndarray]],
+                 totals: dict[int, np.ndarray]):
         self.langs = langs
-        self.row: dict[int, dict[str, int]] = {}
-        blocks, used = [np.zeros((0, len(langs)), np.float32)], 0
+        self.keys: dict[int, np.ndarray] = {}
+        self.matrix: dict[int, np.ndarray] = {}
         for n, entries in counts.items():
-            self.row[n] = {k: used + i for i, k in enumerate(entries)}
-            if entries:
-                size = totals[n] + SMOOTH * (len(entries) + 1)
-                blocks.append(np.log((np.array(list(entries.values())) + SMOOTH) / size).astype(np.float32))
-                used += len(entries)
-        self.matrix = np.concatenate(blocks)
+            if isinstance(entries, dict):
+                entries = Entries(entry_hashes(n, list(entries)) if entries else np.zeros(0, np.uint64),
+                                  np.array(list(entries.values())).reshape(-1, len(langs)))
+            order = np.argsort(entries.hashes)
+            self.keys[n] = entries.hashes[order]
+            size = totals[n] + SMOOTH * (len(order) + 1)
+            self.matrix[n] = np.log((entries.counts[order] + SMOOTH) / size).astype(np.float32)
+
+    def rows(self, n: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the known ones among ``hashes``, and their matrix rows."""
+        keys = self.keys[n]
+        if not len(keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        spot = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        at = np.flatnonzero(keys[spot] == hashes)
+        return at, spot[at]
+
+    def evidence(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether anything of each word is known, and its evidence."""
+        known, out = np.zeros(len(words), bool), np.zeros((len(words), len(self.langs)), np.float32)
+        if not words:
+            return known, out
+        at, row = self.rows(0, entry_hashes(0, words))
+        known[at], out[at] = True, self.matrix[0][row]
+        rest = np.flatnonzero(~known)
+        for n in range(LONGEST, 0, -1):
+            if not len(rest):
+                break
+            points, starts = _points(f"<{words[i]}>" for i in rest.tolist())
+            owner = np.repeat(np.arange(len(rest)), np.diff(np.append(starts, len(points))))
+            windows = np.flatnonzero(owner[:max(len(points) - n + 1, 0)] == owner[n - 1:])
+            at, row = self.rows(n, _window_hashes(points, n)[windows])
+            whose = owner[windows[at]]
+            found = np.bincount(whose, minlength=len(rest))
+            for lang in range(len(self.langs)):
+                total = np.bincount(whose, weights=self.matrix[n][row, lang], minlength=len(rest))
+                out[rest[found > 0], lang] = total[found > 0] / found[found > 0]
+            known[rest[found > 0]] = True
+            rest = rest[found == 0]
+        return known, out
 
     def word(self, word: str) -> np.ndarray | None:
         """The evidence of one word; None if nothing of it is known."""
-        if (hit := self.row[0].get(word)) is not None:
-            return self.matrix[hit]
-        marked = f"<{word}>"
-        for n in range(min(LONGEST, len(marked)), 0, -1):
-            get = self.row[n].get
-            known = [r for i in range(len(marked) - n + 1) if (r := get(marked[i:i + n])) is not None]
-            if known:
-                return self.matrix[known[0]] if len(known) == 1 else self.matrix[known].sum(axis=0) / len(known)
-        return None
+        known, out = self.evidence([word])
+        return out[0] if known[0] else None
 
 
 class Memo(dict):
@@ -94,30 +171,46 @@ class Memo(dict):
         self.matrix = np.zeros((1024, max(len(tables.langs), 1)), np.float32)
         self.used = 1
 
-    def __missing__(self, word: str) -> int:
-        row = self.tables.word(word)
-        at = 0
-        if row is not None:
-            if self.used == len(self.matrix):
-                self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
-            at = self.used
-            self.matrix[at] = row
-            self.used += 1
-        self[word] = at
-        return at
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall(text.lower()) if text else []
-        # A word may be made of number signs, which are no letters; the first letter ends this search.
-        if not self.tables.langs or not any(c.isalpha() for w in words for c in w):
-            return "und", 0.0
+    def learn(self, words: set[str]) -> None:
+        """Makes all of ``words`` known to the memo."""
         if len(self) > MEMO_WORDS:
             self.clear()
             self.used = 1
-        at = list(map(self.__getitem__, words))
-        total = self.matrix[at].sum(axis=0, dtype=np.float64)
-        best = int(np.argmax(total))
-        return self.tables.langs[best], float(1 / np.exp(total - total[best]).sum())
+        new = [w for w in words if w not in self]
+        known, found = self.tables.evidence(new)
+        found = found[known]
+        while self.used + len(found) > len(self.matrix):
+            self.matrix = np.concatenate([self.matrix, np.zeros_like(self.matrix)])
+        self.matrix[self.used:self.used + len(found)] = found
+        self.update(zip(new, np.where(known, self.used + np.cumsum(known) - 1, 0).tolist()))
+        self.used += len(found)
+
+    def predict_all(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float]]:
+        """The language and score of each text in turn."""
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            group.append(_WORD.findall(text.lower()) if text else [])
+            size += len(text or "")
+            if len(group) >= GROUP_TEXTS or size > GROUP_CHARS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[list[str]]) -> Iterator[tuple[str, float]]:
+        if self.tables.langs:
+            self.learn({w for words in group for w in words})
+        for words in group:
+            # A word may be made of number signs, which are no letters; the first letter ends this search.
+            if not self.tables.langs or not any(c.isalpha() for w in words for c in w):
+                yield "und", 0.0
+                continue
+            total = self.matrix[list(map(self.__getitem__, words))].sum(axis=0, dtype=np.float64)
+            best = int(np.argmax(total))
+            yield self.tables.langs[best], float(1 / np.exp(total - total[best]).sum())
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return next(self.predict_all([text]))
 
 
 def fit(rows: DataFrame) -> Tables:
@@ -143,14 +236,19 @@ def fit(rows: DataFrame) -> Tables:
     kept = (table.groupBy("size", "gram").agg(F.sum("n").alias("all"), F.collect_list("lang").alias("langs"),
                                               F.collect_list("n").alias("ns"))
             .filter(F.col("all") >= F.when(F.col("size") == 0, LEAST_WORD).otherwise(LEAST_GRAM)).toArrow())
-    counts: dict[int, dict[str, np.ndarray]] = {n: {} for n in range(LONGEST + 1)}
-    order = kept.sort_by([("size", "ascending"), ("all", "descending"), ("gram", "ascending")])
-    for batch in order.to_batches():
-        for size, gram, names, ns in zip(*(batch.column(c).to_pylist() for c in ("size", "gram", "langs", "ns"))):
-            if len(counts[size]) < KEEP * len(langs):
-                row = counts[size][gram] = np.zeros(len(langs))
-                for lang, n in zip(names, ns):
-                    row[spot[lang]] = n
+    parts: dict[int, list[Entries]] = {n: [] for n in range(LONGEST + 1)}
+    for batch in kept.to_batches(max_chunksize=50_000):
+        sizes = np.asarray(batch.column("size"))
+        names, ns = (batch.column(c) for c in ("langs", "ns"))
+        table_counts = np.zeros((batch.num_rows, len(langs)), np.int64)
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(names.offsets)))
+        table_counts[owner, [spot[x] for x in names.flatten().to_pylist()]] = np.asarray(ns.flatten())
+        for n in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == n)
+            parts[n].append(Entries(entry_hashes(n, batch.column("gram").take(pa.array(own)).to_pylist()), table_counts[own]))
+    counts = {n: Entries(np.concatenate([np.zeros(0, np.uint64), *(e.hashes for e in found)]),
+                         np.concatenate([np.zeros((0, len(langs)), np.int64), *(e.counts for e in found)]))
+              for n, found in parts.items()}
     return Tables(langs, counts, totals)
 
 
@@ -174,7 +272,7 @@ def label(docs: DataFrame, tables: Tables, lang_col: str = "lang_pred", score_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(held.value)
         for batch in batches:
-            got = [memo.predict(t) for t in each_text(strings(batch.column(at)))]
+            got = list(memo.predict_all(each_text(strings(batch.column(at)))))
             yield (batch.append_column(lang_col, pa.array([g[0] for g in got], pa.string()))
                    .append_column(score_col, pa.array([g[1] for g in got], pa.float64())))
 

@@ -122,6 +122,18 @@ def test_language_backs_off_to_shorter_grams():
     assert np.argmax(t.word("zq")) == 0 and t.word("qqq") is None
 
 
+def test_language_keeps_every_word_and_gram(spark):
+    common = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(70_000)]
+    rows = [(" ".join(common[i::7]), "aa") for i in range(7)] * 4 + [("øre ærlig", "bb")] * 3
+    tables = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(tables.keys[0]) == 70_002
+    assert np.argmax(tables.word("ærlig")) == 1 and np.argmax(tables.word(common[-1])) == 0
+    hashes = language.entry_hashes(0, common)
+    assert len(np.unique(hashes)) == len(common)
+    assert language.Memo(tables).predict("ærlig øre")[0] == "bb"
+    assert language.Memo(tables).predict("q")[0] in tables.langs and language.Memo(tables).predict("日")[0] == "aa"
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
