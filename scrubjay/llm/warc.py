@@ -11,7 +11,9 @@ is exactly a sequence of gzip members.
 Reading. Each archive (read with Spark's ``binaryFile`` source) is walked from its start. A record must have a version
 line, headers, its announced length, its end mark and, if it is a response, its payload digest; a member must also
 pass gzip's own check. Where any check fails, the reader looks for the next place at which a member or a version line
-starts a valid record, recovers from there, and reports the bytes between as a gap with the reason.
+starts a valid record, recovers from there, and reports the bytes between as a gap with the reason. In a member of many
+records the same search runs over its plain bytes, as far as they inflate; of a member that breaks or fails gzip's check
+only records with a payload digest that fits are kept, and none if it holds a single record and no more. Rows from within a member bear the member's offset and length.
 
 Defined results: a null or empty html is an empty payload; a null url has no target header; a null page id is written
 as such and is a response unless an equal payload has an id; rows that repeat a page id and its payload are equal in
@@ -34,6 +36,8 @@ from pyspark.sql import functions as F
 
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 1
+#: Compressed bytes that are inflated at a time; those of the last time before an error are gone through one by one.
+_FEED = 1 << 16
 _ID = "urn:x-page:"
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
@@ -111,7 +115,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
 
 
 class Damaged(ValueError):
-    """A record or member that fails a check."""
+    """A record or member that fails a check, with the rows that were recovered from it."""
+
+    def __init__(self, reason: str, rows: list[dict] | None = None):
+        super().__init__(reason)
+        self.rows = rows or []
 
 
 def parse(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
@@ -156,42 +164,91 @@ def checked(headers: dict[str, str], block: bytes) -> dict:
             "payload_digest": want or digest(payload), "payload": payload}
 
 
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """The plain bytes of the gzip member at ``at`` as far as they inflate, where it ends, and what is wrong with it."""
+    tool, out, view = zlib.decompressobj(31), [], memoryview(data)
+    while at < len(data) and not tool.eof:
+        part = view[at:at + _FEED]
+        before = tool.copy()
+        try:
+            out.append(tool.decompress(part))
+        except zlib.error:
+            try:
+                for i in range(len(part)):
+                    out.append(before.decompress(part[i:i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), at, "broken gzip member"
+        at += len(part)
+    return b"".join(out), at - len(tool.unused_data), "" if tool.eof else "unfinished gzip member"
+
+
+def plain_records(plain: bytes, sure: bool) -> list[dict]:
+    """Records and gaps of a member's plain bytes, in order; unless ``sure``, a record needs a payload digest that fits."""
+    out, place, gap, reason = [], 0, None, ""
+    while place < len(plain):
+        try:
+            end, headers, block = parse(plain, place)
+            one = checked(headers, block)
+            if not sure and (one["record_type"] == "revisit" or "warc-payload-digest" not in headers):
+                raise Damaged("no payload digest in a damaged member")
+        except Damaged as e:
+            if gap is None:
+                gap, reason = place, str(e)
+            later = _VERSION.search(plain, place + 1)
+            place = later.start() if later else len(plain)
+            continue
+        if gap is not None:
+            out.append({"kind": "gap", "reason": f"{reason} (plain bytes {gap} to {place} of the member)"})
+            gap = None
+        out.append({"kind": "record", **one})
+        place = end
+    if gap is not None:
+        out.append({"kind": "gap", "reason": f"{reason} (plain bytes {gap} to {place} of the member)"})
+    return out
+
+
 def member_records(data: bytes, at: int) -> tuple[int, list[dict]]:
-    """All records of the gzip member or the one plain record at ``at``, and where it ends."""
+    """Records and gaps of the gzip member, or the one plain record, at ``at``, and where it ends."""
     if data[at:at + 3] == b"\x1f\x8b\x08":
-        tool = zlib.decompressobj(31)
-        try:
-            plain = tool.decompress(memoryview(data)[at:])
-        except zlib.error as e:
-            raise Damaged("broken gzip member") from e
-        if not tool.eof:
-            raise Damaged("unfinished gzip member")
-        end, place, out = len(data) - len(tool.unused_data), 0, []
-        while place < len(plain):
-            place, headers, block = parse(plain, place)
-            out.append(checked(headers, block))
-        return end, out
+        plain, end, wrong = inflate(data, at)
+        rows = plain_records(plain, wrong != "broken gzip member")
+        if wrong:
+            # What holds one record and nothing else is quarantined as a whole.
+            raise Damaged(wrong, [r for r in rows if r["kind"] == "record"] if len(rows) > 1 else [])
+        if rows and not any(r["kind"] == "record" for r in rows):
+            raise Damaged(rows[0]["reason"])
+        return end, rows
     end, headers, block = parse(data, at)
-    return end, [checked(headers, block)]
+    return end, [{"kind": "record", **checked(headers, block)}]
 
 
 def salvage(data: bytes) -> Iterator[dict]:
-    """Records (``kind`` record) and quarantined gaps (``kind`` gap), each with its offset and length, in order."""
+    """Records (``kind`` record) and quarantined gaps (``kind`` gap), each with its offset and length, in order.
+
+    The gap of a broken or unfinished member follows the records that were recovered from it.
+    """
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
             end, found = member_records(data, at)
         except Damaged as e:
+            if e.rows and gap is not None:
+                yield {"kind": "gap", "offset": gap, "length": at - gap, "reason": reason}
+                gap = None
             if gap is None:
                 gap, reason = at, str(e)
             later = _START.search(data, at + 1)
-            at = later.start() if later else len(data)
+            stop = later.start() if later else len(data)
+            for one in e.rows:
+                yield {"offset": at, "length": stop - at, **one}
+            at = stop
             continue
         if gap is not None:
             yield {"kind": "gap", "offset": gap, "length": at - gap, "reason": reason}
             gap = None
         for one in found:
-            yield {"kind": "record", "offset": at, "length": end - at, **one}
+            yield {"offset": at, "length": end - at, **one}
         at = end
     if gap is not None:
         yield {"kind": "gap", "offset": gap, "length": len(data) - gap, "reason": reason}

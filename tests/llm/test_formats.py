@@ -42,6 +42,24 @@ def test_salvage_of_damaged_archives():
     assert list(warc.salvage(b"")) == [] and [r["kind"] for r in warc.salvage(b"nothing")] == ["gap"]
 
 
+def test_salvage_within_a_member_of_many_records():
+    rng = random.Random(3)
+    bodies = [rng.randbytes(30_000) for _ in range(8)]
+    records = [warc.record(i, None, b, len(b), warc.digest(b), None) for i, b in enumerate(bodies)]
+    wrong = records[3][:-2000] + bytes([records[3][-2000] ^ 1]) + records[3][-1999:]
+    rows = list(warc.salvage(warc.member(b"".join([*records[:3], wrong, *records[4:]]))))
+    assert [r["page_id"] for r in rows if r["kind"] == "record"] == [0, 1, 2, 4, 5, 6, 7]
+    assert [r["reason"][:20] for r in rows if r["kind"] == "gap"] == ["wrong payload digest"]
+    short = records[3].replace(b"Content-Length: ", b"Content-Length: 1")
+    rows = list(warc.salvage(warc.member(b"".join([*records[:3], short, *records[4:]]))))
+    assert [r["page_id"] for r in rows if r["kind"] == "record"] == [0, 1, 2, 4, 5, 6, 7]
+    whole = warc.member(b"".join(records))
+    rows = list(warc.salvage(whole[:len(whole) * 7 // 10]))
+    assert [r.get("page_id") for r in rows] == [0, 1, 2, 3, 4, None] and rows[-1]["reason"] == "unfinished gzip member"
+    rows = list(warc.salvage(whole[:len(whole) * 7 // 10] + b"".join(members(2))))
+    assert {0, 1, 2, 3, 4} <= {r["page_id"] for r in rows if r["kind"] == "record"}
+
+
 def test_salvage_of_plain_records():
     body = [warc.record(i, None, b"payload %d" % i, 9, warc.digest(b"payload %d" % i), None) for i in range(3)]
     assert [r["page_id"] for r in warc.salvage(b"".join(body))] == [0, 1, 2]
