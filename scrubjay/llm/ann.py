@@ -3,15 +3,17 @@
 ``CURVES`` random rotations project the vectors to ``DIMS`` dimensions; each projection is shifted, quantised to
 ``BITS`` bits a dimension and ordered along a Hilbert curve, so near vectors tend to have near keys on some curve.
 
-1. Each task counts the keys of its rows on every curve; Spark adds the counts up, range-partitions them by curve and
-   key and sums along each curve, which gives every key's place among all rows. A curve has at most 2^(DIMS * BITS)
-   keys, so this stays small whatever the number of rows. Keys at even distances form each curve's grid.
+1. Each task counts the keys of its rows on every curve; Spark adds the counts up and sums along each curve, which gives
+   every key's place among all rows. The range partition of the counts by curve and key has no effect: the sum along a
+   curve deals them anew by curve. A curve has at most 2^(DIMS * BITS) keys, so this stays small whatever the number of
+   rows. Keys at even distances form each curve's grid.
 2. A query's window on a curve runs from the grid key ``RUNGS`` rungs below its own key to the one ``RUNGS`` above: at
    least ``REACH`` of all rows on each side (``LEAST_REACH`` rows if that is more), and all rows that tie at its ends.
 3. The windows of all curves merge: a row is a candidate if it lies in any. Candidates are reranked by their exact
    Euclidean distance in double precision where they are stored; only each task's best ``k`` for a query move.
 
-Queries are taken in blocks of at most ``QUERY_BLOCK``, which are broadcast; rows are never shuffled. Vectors have no
+Queries are taken in blocks of at most ``QUERY_BLOCK``, which are broadcast; rows are never shuffled or placed by their
+keys, and every task tests all its rows against the windows of every query. Vectors have no
 low-dimensional structure here (their spectrum is flat), so the windows must be wide: recall and the share of rows
 that are reranked are measured in the tests and the README.
 
