@@ -31,7 +31,7 @@ from .places import joined, placed
 
 ARITY = 8
 #: Consecutive places in one window partition: a power of ARITY, so that no run is cut.
-BLOCK = ARITY ** 5
+BLOCK = ARITY ** 4
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _PATH = "array<struct<left:string,right:string>>"
 
@@ -82,18 +82,19 @@ def tops(tree: list[DataFrame], group: Sequence[str]) -> DataFrame:
     return out
 
 
-def paths(tree: list[DataFrame], group: Sequence[str], above: DataFrame, name: str) -> DataFrame:
+def paths(tree: list[DataFrame], group: Sequence[str], above: DataFrame | None, name: str) -> DataFrame:
     """The lowest level with ``path``: (left, right) of every node from it to its group's top, then what ``above`` says.
 
     ``above`` holds one row for each group: its columns and ``path`` from the group's top on; other columns of it are
-    handed down too.
+    handed down too. Without ``above`` a path ends at the top.
     """
-    extra = [c for c in above.columns if c not in group and c != "path"]
+    extra = [c for c in above.columns if c not in group and c != "path"] if above else []
     own = F.array(F.struct("left", "right")).cast(_PATH)
     upper = None
     for k in range(len(tree) - 1, -1, -1):
         level = tree[k]
-        done = joined(level.filter("n = 1"), above, group)
+        top = level.filter("n = 1")
+        done = joined(top, above, group) if above else top.withColumn("path", F.array().cast(_PATH))
         if upper is not None:
             low = level.filter("n > 1").withColumn("_up", F.floor(F.col("pos") / ARITY).cast("long"))
             high = upper.select(*group, F.col("pos").alias("_up"), F.col("path").alias("_rest"), *extra)
@@ -124,8 +125,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group: str = "lang
     crown = levels(placed(subroots.withColumn("all", F.lit(0)), ["all"], ["grp"], "merkle-groups"), ["all"], "merkle-crown")
     last = tops(crown, ["all"]).first()
     root = F.lit(last["digest"] if last else None).cast("string")
-    none = rows.sparkSession.range(1).select(F.lit(0).alias("all"), F.array().cast(_PATH).alias("path"))
-    above = saved(paths(crown, ["all"], none, "merkle-crown-path").select(
+    above = saved(paths(crown, ["all"], None, "merkle-crown-path").select(
         "grp", "path", F.col("digest").alias("subroot")), "merkle-above")
     proven = paths(tree, ["grp"], above, "merkle-path").withColumn("folded", fold(F.col("offered"), F.col("path")))
     siblings = F.array_join(F.transform("path", lambda p: F.concat(p["left"], p["right"])), "")
