@@ -124,10 +124,67 @@ SELECT f.doc_id, f.leaf, f.subroot, r.digest AS root, sha256(f.proof) AS proof_s
        f.folded = r.digest AS verified FROM fc{crown} f, lc{crown} r"""
 
 
+#: The cheapest edits by dynamic programming over the rows; then the repaired turns, whose roles follow from their places.
+REPAIR_SQL = rf"""
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id FROM conversations),
+base AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hit AS MATERIALIZED (SELECT *, {crc32_sql('k')} % 20 AS f FROM base),
+after AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM hit WHERE f <> 0),
+r AS MATERIALIZED (SELECT *, left(role, 1) AS ini,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+  NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS empty,
+  NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut FROM after),
+faults AS MATERIALIZED (SELECT *, empty OR seen AS must, CASE WHEN cut AND NOT empty AND NOT seen THEN 3 ELSE 0 END AS fine,
+  coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini, 'ua') AS pair FROM r),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (empty) AS blank, count(*) FILTER (seen AND NOT empty) AS duplicate, count(*) FILTER (fine = 3) AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id),
+ins(st, pre, c, mid) AS (VALUES ('0', '', 0, '0'), ('0', 'I', 3, 'u'), ('0', 'II', 6, 'b'), ('s', '', 0, 's'),
+  ('s', 'I', 3, 'u'), ('s', 'II', 6, 'b'), ('u', '', 0, 'u'), ('u', 'I', 3, 'b'), ('u', 'II', 6, 'u'),
+  ('b', '', 0, 'b'), ('b', 'I', 3, 'u'), ('b', 'II', 6, 'b')),
+act(mid, ini, edit, c, nxt) AS (VALUES ('0', NULL, 'D', 4, '0'), ('s', NULL, 'D', 4, 's'), ('u', NULL, 'D', 4, 'u'),
+  ('b', NULL, 'D', 4, 'b'), ('0', 's', 'K', 0, 's'), ('0', 'u', 'K', 0, 'u'), ('s', 'u', 'K', 0, 'u'),
+  ('u', 'a', 'K', 0, 'b'), ('b', 'u', 'K', 0, 'u'), ('0', NULL, 'R', 3, 'u'), ('s', NULL, 'R', 3, 'u'),
+  ('u', NULL, 'R', 3, 'b'), ('b', NULL, 'R', 3, 'u')),
+walk(conv_id, i, st, best) AS (
+  SELECT conv_id, 0::BIGINT, '0', struct_pack(cost := 0::BIGINT, audit := '') FROM ids
+  UNION ALL
+  SELECT w.conv_id, f.i, act.nxt, min(struct_pack(
+    cost := w.best.cost + ins.c + act.c + CASE WHEN act.edit = 'D' THEN 0 ELSE f.fine END,
+    audit := w.best.audit || ins.pre || act.edit))
+  FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN ins ON ins.st = w.st
+  JOIN act ON act.mid = ins.mid AND (act.ini IS NULL OR act.ini = f.ini) AND (act.edit = 'D' OR NOT f.must)
+  GROUP BY w.conv_id, f.i, act.nxt),
+tail(st, pre, c) AS (VALUES ('0', '', 0), ('s', 'II', 6), ('u', 'I', 3), ('b', '', 0)),
+best AS MATERIALIZED (SELECT ids.conv_id, min(struct_pack(cost := w.best.cost + tail.c, audit := w.best.audit || tail.pre))
+  AS b FROM ids LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
+  JOIN walk w ON w.conv_id IS NOT DISTINCT FROM ids.conv_id AND w.i = coalesce(c.n, 0) JOIN tail ON tail.st = w.st
+  GROUP BY ids.conv_id),
+edits AS (SELECT conv_id, unnest(range(1, length(b.audit) + 1)) AS p, b.audit AS audit FROM best),
+done AS (SELECT conv_id, p, substr(audit, p, 1) AS edit, length(replace(substr(audit, 1, p), 'I', '')) AS i FROM edits),
+kept AS (SELECT d.conv_id, d.p, d.edit, f.role, f.text, f.ini,
+  row_number() OVER (PARTITION BY d.conv_id ORDER BY d.p) AS e FROM done d
+  LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i AND d.edit <> 'I' WHERE d.edit <> 'D'),
+named AS (SELECT *, e - max(CASE WHEN e = 1 AND edit = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id)
+  AS place FROM kept),
+lines AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role ELSE CASE WHEN place % 2 = 1 THEN 'user' ELSE
+  'assistant' END END || ':' || coalesce(text, ''), chr(10) ORDER BY p) AS whole FROM named GROUP BY conv_id)
+SELECT b.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, b.b.cost AS cost, b.b.audit AS audit,
+  sha256(coalesce(l.whole, '')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": WARC_SQL,
     "op7_chat_format": CHAT_SQL,
     "op8_html_main_text": HTML_SQL,
     "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+    "op12_conversation_repair": REPAIR_SQL,
     "op13_merkle_manifest": merkle_sql(),
 }
