@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-#: Documents as sets of distinct five-word shingles, all links between distinct sets, then classes by reachability.
-NEAR_DEDUP_SQL = r"""
+def classes_sql(size: int, link: int, columns: str) -> str:
+    """Documents as sets of distinct shingles, all links between distinct sets, then classes by reachability."""
+    return rf"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, coalesce(regexp_extract_all(
            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 sets AS MATERIALIZED (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' ')))) END AS s
   FROM words),
 reps AS MATERIALIZED (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
 items AS MATERIALIZED (SELECT rep, n, unnest(s) AS item FROM reps),
 pairs AS MATERIALIZED (
   SELECT a.rep AS a, b.rep AS b FROM items a JOIN items b ON a.item = b.item AND a.rep < b.rep
-  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= {link} * (a.n + b.n - count(*))),
 edges AS MATERIALIZED (SELECT a AS u, b AS v FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach(id, low) AS (
   SELECT rep, rep FROM reps
   UNION SELECT e.v, r.low FROM reach r JOIN edges e ON e.u = r.id WHERE r.low < e.v),
 classes AS (SELECT id, min(low) AS component_id FROM reach GROUP BY id)
-SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
-       d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id{columns}
 FROM sets d LEFT JOIN reps r ON r.s = d.s LEFT JOIN classes c ON c.id = r.rep
 """
 
+
+NEAR_DEDUP_SQL = classes_sql(5, 75, ", d.doc_id = coalesce(c.component_id, d.doc_id) AS kept")
+JACCARD_SQL = classes_sql(3, 90, "")
+
 #: Base32 of a digest: four letters for each five hexadecimal digits (20 bits).
 WARC_SQL = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -185,6 +189,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_chat_format": CHAT_SQL,
     "op8_html_main_text": HTML_SQL,
     "op10_minhash_near_dedup": NEAR_DEDUP_SQL,
+    "op11_ngram_jaccard_join": JACCARD_SQL,
     "op12_conversation_repair": REPAIR_SQL,
     "op13_merkle_manifest": merkle_sql(),
 }

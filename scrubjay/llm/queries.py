@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scrubjay.session import scratch_path
 from scrubjay.sources.tables import load
 
-from . import ann, chat, decontaminate, html_lstm, language, merkle, minhash, packing, quality, repair, toxicity, warc
+from . import ann, chat, decontaminate, html_lstm, jaccard, language, merkle, minhash, packing, quality, repair, toxicity, warc
 from .common import ship
 
 
@@ -83,6 +83,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(load(spark, sf_dir, "documents"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id for every document."""
+    return jaccard.similar_documents(load(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every damaged conversation."""
     turns = load(spark, sf_dir, "conversations")
@@ -105,5 +110,6 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_toxicity, op2_language_id, op3_warc, op4_hilbert_neighbours, op5_quality, op6_decontaminate, op7_chat_format,
-    op8_html_main_text, op9_best_fit_packing, op10_minhash_near_dedup, op12_conversation_repair, op13_merkle_manifest,
+    op8_html_main_text, op9_best_fit_packing, op10_minhash_near_dedup, op11_ngram_jaccard_join,
+    op12_conversation_repair, op13_merkle_manifest,
 )}
