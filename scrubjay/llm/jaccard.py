@@ -5,7 +5,8 @@ All shingles get one global order, seldom ones first. Of a set of ``n`` shingles
 ``k``: a longer prefix costs more postings, but two documents are candidates only if their prefixes share as many
 shingles as the smaller ``k`` of the two, so fewer pairs are verified. It takes the ``k`` of least estimated cost, postings plus
 verification of the candidates that those frequencies allow. Any order and any choice give the same links; they only
-set the work.
+set the work. Up to the end of the prefix that ends first both sets are known, so what they share there plus the shorter rest
+bounds the overlap; pairs that cannot reach the threshold go before any full set is fetched.
 
 Frequencies are counted over all documents in a table of ``CELLS`` hashed counters (4 MB whatever the input), summed
 over the tasks; the order uses an eighth of their base-2 logarithm, then the shingle's own hash. Shingles that other documents share far
@@ -126,18 +127,18 @@ def frequency_classes(counted: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def choose(tokens: np.ndarray, classes: np.ndarray, mean: float) -> tuple[int, np.ndarray]:
-    """How many shared shingles a set asks for, and its prefix."""
+    """How many shared shingles a set asks for, and its prefix as ascending keys of the global order."""
     n = len(tokens)
     t = int(least_shared(n))
     most = min(LONGEST, t)
     rank = classes[(tokens % np.uint64(CELLS)).astype(np.int64)]
     first = n - t + most
-    order = np.argsort((rank.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8)), kind="stable")[:first]
-    others = np.maximum(np.exp2(rank[order] / 8.0) - 1 - mean, 1.0) - 1
+    keys = np.sort((rank.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8)))[:first]
+    others = np.maximum(np.exp2((keys >> np.uint64(56)).astype(np.float64) / 8) - 1 - mean, 1.0) - 1
     met = np.cumsum(others)[n - t:]                     # postings met by prefixes of n - t + 1, ... shingles
     asked = np.arange(1, most + 1)
     k = int(np.argmin((n - t + asked) + met + n * met / asked)) + 1
-    return k, tokens[order[:n - t + k]]
+    return k, keys[:n - t + k]
 
 
 def _prefixes(classes: np.ndarray, mean: float):
@@ -189,12 +190,23 @@ def _tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                            pa.array([t for t, _ in head], pa.int64())], names=["a", "b", "token"])
 
 
+def may_link(p: np.ndarray, q: np.ndarray, n_p: int, n_q: int, least: int) -> bool:
+    """Whether two prefixes (ascending keys) share ``least`` and leave room for a link of their sets."""
+    both = np.intersect1d(p, q, assume_unique=True)
+    if len(both) < least:
+        return False
+    end = min(p[-1], q[-1])  # both sets are known up to here
+    rest = min(n_p - np.searchsorted(p, end, "right"), n_q - np.searchsorted(q, end, "right"))
+    return bool(similar(n_p, n_q, len(both) + rest))
+
+
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, asks_a, asks_b, prefix_a, prefix_b) that share as many prefix shingles as they must."""
+    """Pairs (a, b, and of each asks, n, prefix) that their prefixes do not rule out."""
     for batch in batches:
         asks = np.minimum(np.asarray(batch.column(2)), np.asarray(batch.column(3)))
-        keep = pa.array([len(np.intersect1d(np.asarray(p.values), np.asarray(q.values), assume_unique=True)) >= k
-                         for k, p, q in zip(asks.tolist(), batch.column(4), batch.column(5))], pa.bool_())
+        n_a, n_b = np.asarray(batch.column(4)), np.asarray(batch.column(5))
+        keep = pa.array([may_link(*(np.asarray(x.values).view(np.uint64) for x in (p, q)), n, m, k) for k, n, m, p, q in zip(
+            asks.tolist(), n_a.tolist(), n_b.tolist(), batch.column(6), batch.column(7))], pa.bool_())
         yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
@@ -260,22 +272,24 @@ class _Join:
         self.rows = counted.filter("chunk IS NULL").select("id", "n", "s1", "s2")
         alone = F.col("id").isNull() | (F.col("n") == 0)
         self.alone, self.linked = self.rows.filter(alone), self.rows.filter(~alone)
-        self.reps = saved(self.linked.groupBy("s1", "s2", "n").agg(F.min("id").alias("id")).withColumn(
-            "sid", F.monotonically_increasing_id()), "jaccard-sets")
+        own = self.linked.groupBy("s1", "s2", "n", "id").agg(F.count("*").alias("rows"))
+        self.reps = saved(own.groupBy("s1", "s2", "n").agg(F.min(F.struct("id", "rows")).alias("r")).select(
+            "s1", "s2", "n", "r.*", F.monotonically_increasing_id().alias("sid")), "jaccard-sets")
         classes, mean = frequency_classes(counted)
-        found = self._read(self.reps, _prefixes(classes, mean), "id long, s1 long, s2 long, asks int, prefix array<long>")
-        self.prefixes = saved(found.select("sid", "n", "asks", "prefix"), "jaccard-prefixes")
+        self.prefixes = self._read(self.reps, _prefixes(classes, mean), "asks int, prefix array<long>", "jaccard-prefixes")
 
-    def _read(self, reps: DataFrame, fn, schema: str) -> DataFrame:
-        """``fn`` over the texts that stand for ``reps``; one row for each set."""
+    def _read(self, reps: DataFrame, fn, columns: str, name: str) -> DataFrame:
+        """sid, n and the ``columns`` that ``fn`` makes of the texts that stand for ``reps``: one row for each set."""
         texts = self.texts.filter("text IS NOT NULL").join(few(reps.select("id").distinct()), "id", "left_semi")
-        return texts.mapInArrow(fn, schema).join(reps.select("id", "s1", "s2", "n", "sid"), ["id", "s1", "s2"]) \
-            .dropDuplicates(["sid"])
+        read = texts.mapInArrow(fn, f"id long, s1 long, s2 long, {columns}").join(few(reps), ["id", "s1", "s2"])
+        found = saved(read.drop("id", "s1", "s2"), name)
+        # Only sets whose id stands in several equal rows were read more than once.
+        return found.filter("rows = 1").unionAll(found.filter("rows > 1").dropDuplicates(["sid"])).drop("rows")
 
     def sets_of(self, sids: DataFrame, name: str) -> DataFrame:
         """The full sets of some sids."""
         reps = saved(self.reps.join(sids.distinct(), "sid", "left_semi"), f"{name}-ids")
-        return saved(self._read(reps, _sets, "id long, s1 long, s2 long, shingles binary").select("sid", "shingles"), name)
+        return self._read(reps, _sets, "shingles binary", name).drop("n")
 
     def _sided(self, pairs: DataFrame, side: DataFrame, cols: list[str], fn) -> DataFrame:
         """``fn`` over pairs with columns of both sides."""
@@ -285,7 +299,7 @@ class _Join:
 
     def matched(self, pairs: DataFrame, name: str) -> DataFrame:
         """Of ``pairs`` (a, b) those whose prefixes share enough."""
-        return saved(self._sided(pairs, self.prefixes, ["asks", "prefix"], _match), name)
+        return saved(self._sided(pairs, self.prefixes, ["asks", "n", "prefix"], _match), name)
 
     def confirmed(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return self._sided(pairs, sets, ["shingles"], _confirm)

@@ -117,6 +117,7 @@ def test_prefixes_share_what_both_ask_for():
         (ka, pa), (kb, pb) = (jaccard.choose(s, classes, 0.0) for s in (a, b))
         seen.add((ka, kb))
         assert len(np.intersect1d(pa, pb)) >= min(ka, kb)
+        assert jaccard.may_link(pa, pb, len(a), len(b), min(ka, kb))
         assert len(pa) == len(a) - jaccard.least_shared(len(a)) + ka
     assert len(seen) > 3
 
@@ -129,7 +130,11 @@ def test_frequent_shingles_lengthen_the_prefix():
     assert jaccard.choose(tokens, hot, 0.0)[0] > 1
     mixed = seldom.copy()
     mixed[1:60] = 120
-    assert set(jaccard.choose(tokens, mixed, 0.0)[1].tolist()) <= set(range(60, 101))
+    k, keys = jaccard.choose(tokens << np.uint64(20), np.zeros(jaccard.CELLS, np.uint8), 0.0)
+    assert (np.diff(keys.astype(object)) > 0).all() and len(keys) == 10 + k
+    assert (jaccard.choose(tokens, mixed, 0.0)[1] >> np.uint64(56) == 0).all()
+    far = keys + np.uint64(1)
+    assert not jaccard.may_link(keys, far, 100, 100, 0) and not jaccard.may_link(keys, keys, 100, 100, 20)
 
 
 def test_counters_are_exact_sums(spark):
