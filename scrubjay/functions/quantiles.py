@@ -1,167 +1,131 @@
-"""Exact quantiles without funnelling every distinct value through one task.
-
-Spark's ``percentile`` aggregate keeps a map of every distinct value and
-merges all of them in a single final task, which does not survive a
-high-cardinality column at scale. ``exact_quantiles`` finds the same values
-(interpolated exactly like ``percentile`` / SQL ``PERCENTILE``) by
-distributed selection over the non-null values:
-
-1. one aggregate counts the values of every column;
-2. while the interval that is known to hold a target rank has more than
-   ``final_rows`` values, ONE aggregate per level counts the values below and
-   inside a proposed narrower interval and takes a grid of approximate
-   quantiles inside it (Greenwald-Khanna, bounded memory). A proposal is taken
-   over only if its counts show that it holds the rank; else a wider one is
-   tried. Where the grid cannot narrow an interval, because a value at its end
-   repeats so often, that value alone is counted: it either is the target or
-   leaves the interval. So every level makes progress, and an interval is
-   never cut by assumption;
-3. one last job groups the remaining values of each target (at most
-   ``final_rows``), runs a cumulative count over them and keeps the value that
-   covers the rank.
-
-Only a few numbers per target reach the driver; no task ever holds more than
-``final_rows`` (value, count) pairs.
+"""Exact quantiles by digit-wise selection, without funnelling every distinct value through one task.
+
+Spark's ``percentile`` aggregate keeps a map of every distinct value and merges all of them in a single final task,
+which does not survive a high-cardinality column at scale. ``exact_quantiles`` finds the same values (interpolated like
+``percentile`` / SQL ``PERCENTILE``) by a radix selection over order-preserving keys:
+
+1. the needed columns alone are written once, each number as a 64-bit integer that sorts as the number does (the IEEE
+   bits, negative ones flipped), so whatever derives the input runs once;
+2. each pass is ONE grouped count, combined map-side, of the next 16 bits of all columns and all wanted ranks together.
+   A rank's interval shrinks by 16 bits a pass, so four passes settle any double, however many rows, gaps, ties or hot
+   values there are. A bucket whose least and greatest key are equal is settled at once, which ends most columns early.
+
+There is no sketch, no sort and no window. At most 65,536 counts a pass and interval reach the driver. NaN sorts above
+infinity, as in Spark; -0.0 counts as 0.0.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FINAL_ROWS = 1_000_000
-GRID = 1024
-SKETCH_ACCURACY = 10_000
+from scrubjay.session import cut_lineage_observed
+
+#: Bits of a key that one pass settles.
+DIGIT = 16
+PASSES = 64 // DIGIT
+
+
+def order_key(x: Column) -> Column:
+    """A BIGINT that sorts as the double ``x`` does; null for null."""
+    value = F.coalesce(x.cast("double"), F.lit(0.0)) + F.lit(0.0)  # -0.0 becomes 0.0
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("bigint")
+    flip = F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1))
+    return F.when(x.isNotNull(), bits.bitwiseXOR(flip))
+
+
+def key_value(key: int) -> float:
+    """The double that ``order_key`` maps to ``key``."""
+    return struct.unpack(">d", struct.pack(">q", key ^ ((key >> 63) & ((1 << 63) - 1))))[0]
+
+
+def key_table(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The order keys of ``cols``, written once, and how many nulls each column has."""
+    cols = list(cols)
+    keys = df.select(*[order_key(F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)])
+    saved, seen = cut_lineage_observed(keys, {f"k{i}": F.count_if(F.col(f"k{i}").isNull()) for i in range(len(cols))},
+                                       "quantile-keys")
+    return saved.toDF(*cols), {c: seen[f"k{i}"] for i, c in enumerate(cols)}
 
 
 @dataclass
-class _Target:
-    """A rank of one column and what is known about it."""
+class _Rank:
+    """One wanted rank of a column: the interval known to hold it (a key prefix) and the values before that."""
 
-    column: int
+    column: str
     rank: int
-    size: int                      # values in the verified interval
-    lo: float | None = None        # its ends, both included; None: unbounded
-    hi: float | None = None
-    below: int = 0                 # values before it
-    grid: list[float] | None = None
-    slack: float = 1.0             # widening of the next proposal, in multiples of the sketch's own error
-    value: float | None = None
-
-    def proposal(self, steps: int, error: float) -> tuple[float | None, float | None]:
-        """A narrower interval to verify next; the interval itself until it has a grid."""
-        if self.grid is None:
-            return self.lo, self.hi
-        at = (self.rank - self.below) / self.size * steps
-        first, last = math.floor(at - self.slack * error), math.ceil(at + self.slack * error)
-        lo = self.grid[first] if first > 0 else self.lo
-        hi = self.grid[last] if last < steps else self.hi
-        if (lo, hi) != (self.lo, self.hi):
-            return lo, hi
-        # The grid cannot narrow it: look at the value of the nearer end alone.
-        end = self.grid[0] if at <= steps / 2 else self.grid[steps]
-        return end, end
-
-    def learn(self, lo, hi, below: int, size: int, grid: list[float] | None) -> None:
-        """Takes the counts of a proposal."""
-        if below <= self.rank < below + size:
-            self.lo, self.hi, self.below, self.size, self.grid, self.slack = lo, hi, below, size, grid, 1.0
-            if lo is not None and lo == hi:
-                self.value = lo
-        elif lo is not None and lo == hi and (self.grid[0] == lo or self.grid[-1] == lo):
-            # One value, not the target: it leaves the interval at its end.
-            if self.rank < below:
-                self.hi, self.size = math.nextafter(lo, -math.inf), below - self.below
-            else:
-                self.lo = math.nextafter(lo, math.inf)
-                self.below, self.size = below + size, self.below + self.size - (below + size)
-            self.grid = None
-        else:
-            self.slack *= 4
-
-
-def _inside(x: Column, lo: float | None, hi: float | None) -> Column:
-    """Non-null values within the closed interval."""
-    cond = x.isNotNull()
-    if lo is not None:
-        cond = cond & (x >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (x <= F.lit(hi))
-    return cond
-
-
-def exact_quantiles(df: DataFrame, plan: Mapping[str, Sequence[float]], final_rows: int = FINAL_ROWS,
-                    grid: int = GRID, accuracy: int = SKETCH_ACCURACY,
-                    non_null: Mapping[str, int] | None = None,
-                    last_sizes: list[int] | None = None) -> dict[str, list[float | None]]:
-    """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values.
-
-    ``non_null`` (non-null count per column, e.g. observed while the frame was
-    written) saves the counting job. ``last_sizes``, if given, receives the
-    number of values that reach the last job for each target.
-    """
-    cols = list(plan)
-    base = df.select(*[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)])
-    if non_null is not None and all(c in non_null for c in cols):
-        counts = [int(non_null[c]) for c in cols]
-    else:
-        row = base.agg(*[F.count(f"_v{i}").alias(f"n{i}") for i in range(len(cols))]).first()
-        counts = [row[f"n{i}"] for i in range(len(cols))]
-    targets: dict[tuple[int, int], _Target] = {}
-    for i, c in enumerate(cols):
-        for p in plan[c]:
-            for r in {math.floor(p * (counts[i] - 1)), math.ceil(p * (counts[i] - 1))} if counts[i] else ():
-                targets[i, r] = _Target(i, r, counts[i])
-    fracs = [j / grid for j in range(grid + 1)]
-    error = grid / accuracy + 1  # the sketch's error in grid steps, on each side
-
-    while todo := [t for t in targets.values() if t.value is None and t.size > final_rows]:
-        tried = [t.proposal(grid, error) for t in todo]
-        aggs = []
-        for k, (t, (lo, hi)) in enumerate(zip(todo, tried)):
-            x = F.col(f"_v{t.column}")
-            inside = _inside(x, lo, hi)
-            aggs += [(F.count_if(x < F.lit(lo)) if lo is not None else F.lit(0)).alias(f"b{k}"),
-                     F.count_if(inside).alias(f"s{k}"),
-                     F.percentile_approx(F.when(inside, x), fracs, accuracy).alias(f"g{k}")]
-        row = base.agg(*aggs).first()
-        for k, (t, (lo, hi)) in enumerate(zip(todo, tried)):
-            t.learn(lo, hi, row[f"b{k}"], row[f"s{k}"], row[f"g{k}"])
-
-    rest = [t for t in targets.values() if t.value is None]
-    if rest:
-        if last_sizes is not None:
-            last_sizes += [t.size for t in rest]
-        tagged = base.select(F.explode(F.array(*[
-            F.when(_inside(F.col(f"_v{t.column}"), t.lo, t.hi), F.struct(F.lit(k).alias("t"),
-                                                                         F.col(f"_v{t.column}").alias("x")))
-            for k, t in enumerate(rest)])).alias("e")).where(F.col("e").isNotNull()).select("e.t", "e.x")
-        offsets = F.create_map(*[v for k, t in enumerate(rest) for v in (F.lit(k), F.lit(t.rank - t.below))])
-        w = Window.partitionBy("t").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        vc = tagged.groupBy("t", "x").agg(F.count(F.lit(1)).alias("c")).withColumn("cum", F.sum("c").over(w))
-        off = offsets[F.col("t")]
-        for row in vc.where((F.col("cum") > off) & (F.col("cum") - F.col("c") <= off)).select("t", "x").collect():
-            rest[row.t].value = row.x
-
+    prefix: int | None = None
+    below: int = 0
+    key: int | None = None
+
+
+def digit_counts(keys: DataFrame, intervals: Sequence[tuple[str, int | None]], depth: int) -> list[list[tuple]]:
+    """For each (column, prefix): (next prefix, values, least key, greatest key), ascending. One pass for all."""
+    shift = 64 - DIGIT * (depth + 1)
+    found = []
+    for i, (c, prefix) in enumerate(intervals):
+        inside = F.col(c).isNotNull()
+        if prefix is not None:
+            inside = inside & (F.shiftright(F.col(c), shift + DIGIT) == F.lit(prefix))
+        found.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.shiftright(F.col(c), shift).alias("p"),
+                                             F.col(c).alias("k"))))
+    counts = keys.select(F.explode(F.array_compact(F.array(*found))).alias("e")).groupBy("e.i", "e.p").agg(
+        F.count(F.lit(1)).alias("n"), F.min("e.k").alias("least"), F.max("e.k").alias("most"))
+    out: list[list[tuple]] = [[] for _ in intervals]
+    table = counts.toArrow()
+    for i, *entry in zip(*[table.column(c).to_pylist() for c in ("i", "p", "n", "least", "most")]):
+        out[i].append(tuple(entry))
+    return [sorted(x) for x in out]
+
+
+def select_keys(keys: DataFrame, plan: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values of a ``key_table``."""
+    todo = [_Rank(c, 0) for c in plan]
+    ranks: dict[tuple[str, int], _Rank] = {}
+    sizes: dict[str, int] = {}
+    for depth in range(PASSES):
+        if not todo:
+            break
+        intervals = list(dict.fromkeys((r.column, r.prefix) for r in todo))
+        counted = dict(zip(intervals, digit_counts(keys, intervals, depth)))
+        if not depth:  # the first pass also tells how many values there are, and so which ranks are wanted
+            sizes = {c: sum(n for _, n, _, _ in counted[c, None]) for c in plan}
+            for c, ps in plan.items():
+                for p in ps if sizes[c] else ():
+                    for r in (math.floor(p * (sizes[c] - 1)), math.ceil(p * (sizes[c] - 1))):
+                        ranks[c, r] = _Rank(c, r)
+            todo = list(ranks.values())
+        for r in todo:
+            for prefix, n, least, most in counted[r.column, r.prefix]:
+                if r.rank < r.below + n:
+                    r.prefix, r.key = prefix, least if least == most else None
+                    break
+                r.below += n
+        todo = [r for r in todo if r.key is None]
     out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(cols):
-        vals = []
-        for p in plan[c]:
-            if not counts[i]:
-                vals.append(None)
+    for c, ps in plan.items():
+        out[c] = []
+        for p in ps:
+            if not sizes[c]:
+                out[c].append(None)
                 continue
-            pos = p * (counts[i] - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            a, b = targets[i, lo_r].value, targets[i, hi_r].value
-            vals.append(a if lo_r == hi_r or a == b else (hi_r - pos) * a + (pos - lo_r) * b)
-        out[c] = vals
+            pos = p * (sizes[c] - 1)
+            lo, hi = ranks[c, math.floor(pos)], ranks[c, math.ceil(pos)]
+            a, b = key_value(lo.key), key_value(hi.key)
+            out[c].append(a if lo.key == hi.key else (hi.rank - pos) * a + (pos - lo.rank) * b)
     return out
 
 
+def exact_quantiles(df: DataFrame, plan: Mapping[str, Sequence[float]]) -> dict[str, list[float | None]]:
+    """``{column: [p, ...]}`` -> ``{column: [value, ...]}`` over the non-null values."""
+    return select_keys(key_table(df, list(plan))[0], plan) if plan else {}
+
+
 def rank_errors(df: DataFrame, values: Mapping[str, Mapping[float, object]]) -> DataFrame:
     """``(column_name, p, rank_error)``: how far each claimed quantile is from rank ``p * n``, as a share of ``n``.
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrubjay.functions.quantiles import exact_quantiles
+from scrubjay.functions.quantiles import key_table, select_keys
 from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, collect_stats, literal_struct, quantile
 
 
@@ -106,16 +106,18 @@ def fill_median(df: DataFrame, cols: Sequence[str], method: str = "exact",
                 null_counts: Mapping[str, int] | None = None) -> DataFrame:
     """Fill nulls with the median of each column.
 
-    ``exact`` (default) runs the bounded distributed selection for all columns
-    together; ``percentile`` / ``approx`` compute every median in one aggregate.
+    ``exact`` (default) writes the columns' order keys once and selects all medians
+    from them together; ``percentile`` / ``approx`` compute every median in one aggregate.
     A column's type depends on the parameters alone: double, or its own type with
-    ``keep_type``. ``null_counts``, where the caller has them, and otherwise one
-    counting pass spare a gap-free column the median job.
+    ``keep_type``. The nulls, counted during that write (or given as ``null_counts``, or
+    counted in a pass of their own), spare a gap-free column the median job.
     """
     cols = list(cols)
     if not cols:
         return df
-    nulls = null_counts
+    nulls, keys = null_counts, None
+    if method == "exact" and (nulls is None or any(nulls[c] for c in cols)):
+        keys, nulls = key_table(df, cols)
     if nulls is None:
         nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
     whole = [c for c in cols if not nulls[c]]
@@ -126,7 +128,7 @@ def fill_median(df: DataFrame, cols: Sequence[str], method: str = "exact",
     if not cols:
         return df
     if method == "exact":
-        med = exact_quantiles(df, {c: [0.5] for c in cols})
+        med = select_keys(keys, {c: [0.5] for c in cols})
         row = literal_struct({c: med[c][0] for c in cols})
         return _fill(df, {c: F.lit(None) for c in cols}, keep_type, suffix, row=row)
     values = {c: quantile(c, 0.5, method, accuracy).cast("double") for c in cols}

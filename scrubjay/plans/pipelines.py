@@ -36,14 +36,12 @@ def clean_flights(flights: DataFrame, key: Sequence[str] = FLIGHT_KEY, order: Se
     writes a new column, so the quartiles of ``outlier_col`` do not depend on
     it and all three exact quantiles come from one selection run.
     """
-    deduped, seen = cut_lineage_observed(
-        clean.dedup_keep_first(flights, key, order),
-        {fill_col: F.count(fill_col), outlier_col: F.count(outlier_col)}, "flights-dedup")
+    deduped = cut_lineage(clean.dedup_keep_first(flights, key, order), "flights-dedup")
     if method != "exact" or fill_col == outlier_col:
         filled = clean.fill_median(deduped, [fill_col], method=method, suffix="_filled")
         return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", method=method,
                                  bounds_prefix=f"{outlier_col}_iqr_")
-    q = exact_quantiles(deduped, {fill_col: [0.5], outlier_col: [0.25, 0.75]}, non_null=seen)
+    q = exact_quantiles(deduped, {fill_col: [0.5], outlier_col: [0.25, 0.75]})
     filled = deduped.withColumn(f"{fill_col}_filled", F.coalesce(F.col(fill_col), F.lit(q[fill_col][0]).cast("double")))
     return outliers.iqr_flag(filled, outlier_col, flag=f"{outlier_col}_outlier", bounds_prefix=f"{outlier_col}_iqr_",
                              bounds=outliers.fences(*q[outlier_col]))
@@ -129,7 +127,7 @@ def student_rows(df: DataFrame, reads: Sequence[str] = STUDENT_NUMBERS) -> DataF
     gappy = [c for c in reads if nulls[c]]
     medians = {}
     if gappy:
-        found = exact_quantiles(cut_lineage(deduped.select(*gappy), "students-gaps"), {c: [0.5] for c in gappy})
+        found = exact_quantiles(deduped, {c: [0.5] for c in gappy})
         medians = {c: v[0] for c, v in found.items()}
     return _finish(deduped, medians)
 
@@ -144,7 +142,7 @@ def clean_students(df: DataFrame) -> DataFrame:
         clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True),
         {"rows": F.count(F.lit(1)), **{c: F.count_if(F.col(c).isNull()) for c in STUDENT_NUMBERS}}, "students-dedup")
     gappy = [c for c in STUDENT_NUMBERS if seen[c]]
-    found = exact_quantiles(deduped, {c: [0.5] for c in gappy}, non_null={c: seen["rows"] - seen[c] for c in gappy})
+    found = exact_quantiles(deduped, {c: [0.5] for c in gappy})
     out = _finish(deduped, {c: v[0] for c, v in found.items()})
     return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", as_int=True,
                              stats_from=out.select("weekly_genai_hours"))

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from scrubjay.functions import quantiles
 from scrubjay.functions.quantiles import exact_quantiles, rank_errors
 from scrubjay.sources.tables import load
 
@@ -13,23 +14,16 @@ def _spark_percentile(df, c):
     return list(df.agg(F.percentile(c, F.array(*[F.lit(p) for p in PS]))).first()[0])
 
 
-def test_refinement_levels_match_spark_percentile_on_real_data(spark):
+def test_values_match_spark_percentile_on_real_data(spark):
     li = load(spark, SF_CHECK, "lineitem")
-    # Small thresholds force several refinement levels on 60,000 rows.
-    got = exact_quantiles(li, {"l_extendedprice": PS, "l_quantity": PS}, final_rows=500, grid=16, accuracy=200)
+    got = exact_quantiles(li, {"l_extendedprice": PS, "l_quantity": PS})
     assert got["l_extendedprice"] == _spark_percentile(li, "l_extendedprice")
     assert got["l_quantity"] == _spark_percentile(li, "l_quantity")
 
 
-def test_hot_value_holding_a_third_of_rows(spark):
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0))
-                                   .otherwise(F.col("id").cast("double")).alias("x"))
-    got = exact_quantiles(df, {"x": PS}, final_rows=100, grid=8, accuracy=100)
-    assert got["x"] == _spark_percentile(df, "x")
-
-
 def test_nulls_ignored_and_empty(spark):
     df = spark.createDataFrame([(None,), (1.0,), (None,), (3.0,)], "x double")
+    assert exact_quantiles(df, {}) == {}
     assert exact_quantiles(df, {"x": [0.5]})["x"] == [2.0]
     assert exact_quantiles(df.where("x > 10"), {"x": [0.5]})["x"] == [None]
 
@@ -42,16 +36,53 @@ CASES = {
     "two hot neighbours": "CASE WHEN id % 5 < 2 THEN 11D WHEN id % 5 < 4 THEN 12D ELSE CAST(id AS DOUBLE) END",
     "ties": "CAST(FLOOR(id / 400) AS DOUBLE)",
     "one value": "3D",
+    "wide gaps": "CASE WHEN id % 2 = 0 THEN id * 1e-300 WHEN id % 3 = 0 THEN id * 1e300 ELSE -id * 1.5 END",
+    "close values": "1D + id * 2.220446049250313e-16",
+    "negative": "-CAST(id AS DOUBLE) / 7",
+    "infinities and NaN": "CASE id % 7 WHEN 0 THEN DOUBLE('-Infinity') WHEN 1 THEN DOUBLE('Infinity') WHEN 2 THEN "
+                          "DOUBLE('NaN') ELSE id / 3D END",
 }
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_last_window_is_bounded(spark, case):
-    df = spark.range(60_000).selectExpr(f"{CASES[case]} AS x")
-    sizes: list[int] = []
-    got = exact_quantiles(df, {"x": PS}, final_rows=500, grid=64, accuracy=2000, last_sizes=sizes)
-    assert got["x"] == _spark_percentile(df, "x")
-    assert all(n <= 500 for n in sizes)
+def test_four_passes_settle_any_column(spark, monkeypatch, case):
+    df = spark.range(20_000).selectExpr(f"{CASES[case]} AS x")
+    passes, count = [], quantiles.digit_counts
+
+    def counting(keys, intervals, depth):
+        out = count(keys, intervals, depth)
+        passes.append(max(len(x) for x in out))
+        return out
+    monkeypatch.setattr(quantiles, "digit_counts", counting)
+    got = exact_quantiles(df, {"x": PS})["x"]
+    assert [str(v) for v in got] == [str(v + 0.0) for v in _spark_percentile(df, "x")]
+    assert len(passes) <= quantiles.PASSES and max(passes) <= 1 << quantiles.DIGIT
+
+
+def test_keys_sort_as_doubles(spark):
+    values = [float("-inf"), -1.7e308, -2.5, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e308,
+              float("inf"), float("nan"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(
+        "x", quantiles.order_key(F.col("x")).alias("k")).collect()
+    keys = [r.k for r in rows if r.k is not None]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys) - 1 and rows[-1].k is None
+    assert all(str(quantiles.key_value(r.k)) == str(r.x + 0.0) for r in rows[:-1])
+
+
+def test_the_input_is_built_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(5000).selectExpr("CAST(id * id AS DOUBLE) AS x").mapInArrow(look, "x double")
+    assert exact_quantiles(df, {"x": [0.5]})["x"] == _spark_percentile_of(spark, 5000)
+    assert seen.value == 5000
+
+
+def _spark_percentile_of(spark, n):
+    return [spark.range(n).selectExpr("percentile(CAST(id * id AS DOUBLE), 0.5) AS p").first().p]
 
 
 def test_rank_errors(spark):
