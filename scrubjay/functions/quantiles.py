@@ -4,8 +4,8 @@ Spark's ``percentile`` aggregate keeps a map of every distinct value and merges
 which does not survive a high-cardinality column at scale. ``exact_quantiles`` finds the same values (interpolated like
 ``percentile`` / SQL ``PERCENTILE``) by a radix selection over order-preserving keys:
 
-1. the needed columns alone are written once, each number as a 64-bit integer that sorts as the number does (the IEEE
-   bits, negative ones flipped), so whatever derives the input runs once;
+1. the needed columns alone are written once, each number as a 64-bit integer that sorts as the number does (its IEEE
+   bits, negated for negative numbers), so whatever derives the input runs once;
 2. each pass is ONE grouped count, combined map-side, of the next 16 bits of all columns and all wanted ranks together.
    A rank's interval shrinks by 16 bits a pass, so four passes settle any double, however many rows, gaps, ties or hot
    values there are. A bucket whose least and greatest key are equal is settled at once, which ends most columns early.
@@ -21,7 +21,7 @@ import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scrubjay.session import cut_lineage_observed
@@ -31,25 +31,49 @@ DIGIT = 16
 PASSES = 64 // DIGIT
 
 
-def order_key(x: Column) -> Column:
-    """A BIGINT that sorts as the double ``x`` does; null for null."""
-    value = F.coalesce(x.cast("double"), F.lit(0.0)) + F.lit(0.0)  # -0.0 becomes 0.0
-    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value).cast("bigint")
-    flip = F.shiftright(bits, 63).bitwiseAND(F.lit((1 << 63) - 1))
-    return F.when(x.isNotNull(), bits.bitwiseXOR(flip))
+#: Bits of a double's fraction, the bias and the least exponent of a normal number, and the key of NaN: IEEE 754.
+FRACTION, BIAS, LEAST = 52, 1023, -1022
+NAN_KEY = 0x7FF8 << 48
+
+
+def order_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Columns ``k0``, ``k1``, ...: a BIGINT for each of ``cols`` that sorts as the double does; null for null.
+
+    The key of a positive number is its IEEE bit pattern, that of a negative one the negated pattern of its size. Both
+    are computed by exact arithmetic (powers of two only), inside whole-stage codegen. -0.0 has the key of 0.0.
+    """
+    n = range(len(cols))
+    x, a, e = ([F.col(f"{name}{i}") for i in n] for name in ("x", "a", "e"))
+    two = lambda power: F.pow(F.lit(2.0), power)
+    df = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    finite = [F.abs(x[i]) < F.lit(math.inf) for i in n]  # false for NaN, which Spark sorts last
+    df = df.select("*", *[F.when(finite[i], F.abs(x[i])).otherwise(F.lit(1.0)).alias(f"a{i}") for i in n])
+    # The exponent: a logarithm may be one off beside a power of two.
+    df = df.select("*", *[F.greatest(F.floor(F.log2(a[i])), F.lit(LEAST)).alias(f"g{i}") for i in n])
+    guess = [F.col(f"g{i}") for i in n]
+    df = df.select(*x, *a, *[F.when((two(guess[i]) > a[i]) & (guess[i] > LEAST), guess[i] - 1).when(
+        two(guess[i]) * 2 <= a[i], guess[i] + 1).otherwise(guess[i]).alias(f"e{i}") for i in n])
+    keys = []
+    for i in n:
+        fraction = (a[i] / two(e[i]) * F.lit(2.0 ** FRACTION)).cast("bigint")  # has the leading one unless subnormal
+        size = (F.when(a[i] == 0, F.lit(0)).when(F.isnan(x[i]), F.lit(NAN_KEY))
+                .when(~finite[i], F.lit((2 * BIAS + 1) << FRACTION))
+                .otherwise((e[i] + BIAS - 1) * F.lit(1 << FRACTION) + fraction))
+        keys.append(F.when(x[i].isNotNull(), F.when(x[i] < 0, -size).otherwise(size)).alias(f"k{i}"))
+    return df.select(*keys)
 
 
 def key_value(key: int) -> float:
-    """The double that ``order_key`` maps to ``key``."""
-    return struct.unpack(">d", struct.pack(">q", key ^ ((key >> 63) & ((1 << 63) - 1))))[0]
+    """The double whose order key is ``key``."""
+    size = struct.unpack(">d", struct.pack(">q", abs(key)))[0]
+    return -size if key < 0 else size
 
 
 def key_table(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """The order keys of ``cols``, written once, and how many nulls each column has."""
     cols = list(cols)
-    keys = df.select(*[order_key(F.col(c)).alias(f"k{i}") for i, c in enumerate(cols)])
-    saved, seen = cut_lineage_observed(keys, {f"k{i}": F.count_if(F.col(f"k{i}").isNull()) for i in range(len(cols))},
-                                       "quantile-keys")
+    saved, seen = cut_lineage_observed(order_keys(df, cols), {f"k{i}": F.count_if(F.col(f"k{i}").isNull())
+                                                             for i in range(len(cols))}, "quantile-keys")
     return saved.toDF(*cols), {c: seen[f"k{i}"] for i, c in enumerate(cols)}
 
 
@@ -67,15 +91,19 @@ class _Rank:
 def digit_counts(keys: DataFrame, intervals: Sequence[tuple[str, int | None]], depth: int) -> list[list[tuple]]:
     """For each (column, prefix): (next prefix, values, least key, greatest key), ascending. One pass for all."""
     shift = 64 - DIGIT * (depth + 1)
-    found = []
+    found, conditions = [], []
     for i, (c, prefix) in enumerate(intervals):
         inside = F.col(c).isNotNull()
         if prefix is not None:
             inside = inside & (F.shiftright(F.col(c), shift + DIGIT) == F.lit(prefix))
-        found.append(F.when(inside, F.struct(F.lit(i).alias("i"), F.shiftright(F.col(c), shift).alias("p"),
-                                             F.col(c).alias("k"))))
-    counts = keys.select(F.explode(F.array_compact(F.array(*found))).alias("e")).groupBy("e.i", "e.p").agg(
-        F.count(F.lit(1)).alias("n"), F.min("e.k").alias("least"), F.max("e.k").alias("most"))
+        conditions.append(inside)
+        found.append(F.struct(F.lit(i).alias("i"), F.shiftright(F.col(c), shift).alias("p"), F.col(c).alias("k")))
+    if len(found) == 1:
+        hits = keys.where(conditions[0]).select(found[0].alias("e"))
+    else:
+        hits = keys.select(F.explode(F.array_compact(F.array(*map(F.when, conditions, found)))).alias("e"))
+    counts = hits.select("e.*").groupBy("i", "p").agg(
+        F.count(F.lit(1)).alias("n"), F.min("k").alias("least"), F.max("k").alias("most"))
     out: list[list[tuple]] = [[] for _ in intervals]
     table = counts.toArrow()
     for i, *entry in zip(*[table.column(c).to_pylist() for c in ("i", "p", "n", "least", "most")]):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from scrubjay.functions.comoments import comoments
+from scrubjay.session import cut_lineage
 
 
 def _sort(order: Sequence[str | Column]) -> list[Column]:
@@ -32,71 +35,23 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence, agg
     return df.groupBy(*rows).pivot(column, list(values)).agg(agg)
 
 
-# Column pairs carried by one unpivoted row: 8 pairs x (covariance + 2 deviations)
-# keeps the aggregation buffer under Spark's whole-stage-codegen field limit.
-PAIRS_PER_ROW = 8
-
-
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def _unpivot_ids(df: DataFrame, n: int, name: str) -> DataFrame:
-    """Each row ``n`` times with an id 0..n-1 (explode of a literal array: no per-row structs)."""
-    return df.select("*", F.explode(F.array(*[F.lit(i) for i in range(n)])).alias(name))
-
-
-def _pick(key: Column, options: Sequence[Column | None]) -> Column:
-    """``options[key]`` as a CASE expression (null where the option is missing)."""
-    out = None
-    for i, v in enumerate(options):
-        if v is None:
-            continue
-        out = F.when(key == i, v) if out is None else out.when(key == i, v)
-    return out if out is not None else F.lit(None).cast("double")
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3,
-                       pairs_per_row: int = PAIRS_PER_ROW) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 3) -> DataFrame:
     """Long Pearson matrix ``(col_x, col_y, corr)`` for every ordered pair.
 
-    Each row is repeated once per batch of ``pairs_per_row`` column pairs (an
-    explode of batch ids; a CASE picks the batch's columns) and a grouped
-    aggregate computes, per pair, the covariance and the two standard
-    deviations over the rows where both values are present (pandas' pairwise
-    semantics). One scan; partial aggregation leaves one small row per batch
-    and task before the shuffle; everything stays in whole-stage codegen
-    however many columns are given (one wide aggregate over all pairs does not).
-    Undefined (constant column, < 2 rows) -> null, never an ANSI error.
+    Each pair counts the rows where both values are present (pandas' pairwise semantics). One pass over the columns
+    fills a mergeable co-moment state in each task; no row is repeated and only the states are shuffled
+    (``functions.comoments``). Undefined (constant column, < 2 rows) -> null, a NaN or infinite value -> NaN.
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    batches = [pairs[i:i + pairs_per_row] for i in range(0, len(pairs), pairs_per_row)]
-    width = max(len(b) for b in batches)
-    rows = _unpivot_ids(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), len(batches), "batch")
-    batch = F.col("batch")
-    fields = []
-    for j in range(width):
-        x = _pick(batch, [F.col(bt[j][0]) if j < len(bt) else None for bt in batches])
-        y = _pick(batch, [F.col(bt[j][1]) if j < len(bt) else None for bt in batches])
-        both = x.isNotNull() & y.isNotNull()
-        fields += [F.when(both, x).alias(f"x{j}"), F.when(both, y).alias(f"y{j}")]
-    aggs = []
-    for j in range(width):
-        aggs += [F.covar_samp(f"x{j}", f"y{j}").alias(f"cov{j}"), F.stddev_samp(f"x{j}").alias(f"sx{j}"),
-                 F.stddev_samp(f"y{j}").alias(f"sy{j}")]
-    stats = rows.select("batch", *fields).groupBy("batch").agg(*aggs)
-    names_x = F.array(*[F.lit(a) for a, _ in pairs])
-    names_y = F.array(*[F.lit(b) for _, b in pairs])
-    per_pair = stats.select(F.inline(F.array(*[
-        F.struct((F.col("batch") * pairs_per_row + j).alias("idx"),
-                 F.round(F.try_divide(F.col(f"cov{j}"), F.col(f"sx{j}") * F.col(f"sy{j}")), digits).alias("corr"))
-        for j in range(width)]))).where(F.col("idx") < len(pairs))
-    named = per_pair.select(F.element_at(names_x, F.col("idx") + 1).alias("col_x"),
-                            F.element_at(names_y, F.col("idx") + 1).alias("col_y"), "corr")
-    fwd = F.struct(F.col("col_x"), F.col("col_y"), F.col("corr"))
-    rev = F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y"), F.col("corr"))
-    both = F.when(F.col("col_x") == F.col("col_y"), F.array(fwd)).otherwise(F.array(fwd, rev))
-    return named.select(F.inline(both))
+    state = comoments(df, cols)
+    r = state.correlations()
+    found = [(x, y, float("nan") if state.bad[i, j] else None if math.isnan(r[i, j]) else float(r[i, j]))
+             for i, x in enumerate(cols) for j, y in enumerate(cols)]
+    rows = df.sparkSession.createDataFrame(found, "col_x string, col_y string, corr double")
+    return rows.withColumn("corr", F.round("corr", digits))
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
@@ -164,20 +119,42 @@ def facet_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .orderBy("facet", "value"))
 
 
-def _threshold_sample(df: DataFrame, n: int, score: Column, order: Sequence[Column]) -> DataFrame:
-    """The ``n`` rows of least ``score`` (uniform in 0..1, the same whenever a row is read again).
+#: How many times the wanted number of rows the first pass of a sample aims at, since its row count is a guess.
+GUESS_SLACK = 16
 
-    A count sets a threshold under which about ``n`` rows plus five standard deviations fall, so only those are
-    sorted, not ``n`` rows of every task. If a count shows fewer than ``n`` below it, it is raised.
+
+def _guessed_rows(df: DataFrame) -> int | None:
+    """The optimiser's idea of how many rows ``df`` has; it may be far off, and only saves work where it is near."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return None
+    stats = plan.queryExecution().optimizedPlan().stats()
+    if stats.rowCount().isDefined():
+        return int(str(stats.rowCount().get()))
+    return int(str(stats.sizeInBytes())) // max(plan.schema().defaultSize(), 1)
+
+
+def _threshold_sample(df: DataFrame, n: int, score: Column, order: Sequence[Column] = ()) -> DataFrame:
+    """The ``n`` rows of least ``score`` (uniform in 0..1), ties in ``order``.
+
+    Only rows below a threshold are kept: they are written once, while the same job counts all rows. Where a guess of
+    the row count was good, that one pass over ``df`` is all; else the count now known sets the threshold (for ``n`` rows plus five
+    standard deviations) and a second pass follows. So no task sorts more than its share of some ``n`` rows, and every
+    reader of the result sees the same rows.
     """
-    rows = df.count()
-    if rows <= n:
-        return df
-    scored = df.withColumn("_score", score)
-    share = (n + 5 * n ** 0.5 + 10) / rows
-    while share < 1 and scored.where(F.col("_score") < share).count() < n:
-        share *= 2
-    return scored.where(F.col("_score") < min(share, 1.0)).orderBy("_score", *order).limit(n).drop("_score")
+    need = n + 5 * n ** 0.5 + 10
+    guess = _guessed_rows(df)
+    share = min(1.0, GUESS_SLACK * need / guess) if guess else 1.0
+    scored = df.withColumn("__score", score)
+    while True:
+        seen = Observation()
+        under = F.col("__score") < F.lit(share) if share < 1 else F.lit(True)
+        kept = cut_lineage(scored.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(under).alias("kept"))
+                           .where(under), "sample")
+        rows, found = seen.get["rows"], seen.get["kept"]
+        if found >= min(n, rows):
+            return kept.orderBy("__score", *order).limit(n).drop("__score")
+        share = min(1.0, max(need / rows, 8 * share))
 
 
 def _hash_score(key: Sequence[str], seed: int) -> Column:
@@ -190,15 +167,13 @@ def _hash_score(key: Sequence[str], seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").cast("double") / F.lit(float(16 ** 13))
 
 
-def sample_random(df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int | None = None) -> DataFrame:
+def sample_random(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """Uniform sample of exactly ``min(n, rows)`` rows, another one for each seed (random if none is given).
 
-    Rows are scored by a hash of ``key`` (default: all columns) and the seed, so the sample stays the same when a task
-    is run again; equal rows share their score.
+    Every row draws its own score, so equal rows are drawn independently of each other and each of a row's copies has the same chance
+    as any other row. The drawn rows are written before use: a task that runs again cannot change the sample.
     """
-    seed = random.randrange(1 << 62) if seed is None else seed
-    key = list(key or df.columns)
-    return _threshold_sample(df, n, _hash_score(key, seed), [F.col(k).asc_nulls_last() for k in key])
+    return _threshold_sample(df, n, F.rand(random.randrange(1 << 62) if seed is None else seed))
 
 
 def sample_repeatable(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:

@@ -5,6 +5,7 @@ Every query reads the given tables (or frames Spark derives from them) in full.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -419,24 +420,48 @@ def q_sample_random(spark, d):
                       known.agg(F.count(F.lit(1))).scalar().alias("members"))
 
 
+#: Rows drawn, and how many standard deviations of their expected number a stratum's share may be off.
+STRATA_SAMPLE, DEVIATIONS = 2000, 6
+
+
+def q_sample_strata(spark, d):
+    """A random sample of events without their ids (rows that repeat), held against the strata it was drawn from."""
+    events = load(spark, d, "events").select("event_type", F.col("value").isNull().alias("no_value"))
+    drawn = analysis.sample_random(events, STRATA_SAMPLE).groupBy("event_type", "no_value").agg(
+        F.count(F.lit(1)).alias("drawn"))
+    strata = events.groupBy("event_type", "no_value").agg(F.count(F.lit(1)).alias("total_rows"))
+    total = strata.agg(F.sum("total_rows")).scalar()
+    both = strata.join(drawn, ["event_type", "no_value"], "left").withColumn("all", total)
+    size, p = F.least(F.lit(STRATA_SAMPLE), "all"), F.col("total_rows") / F.col("all")
+    spread = F.sqrt(size * p * (1 - p) * (F.col("all") - size) / F.greatest(F.col("all") - 1, F.lit(1)))
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - size * p)
+    return both.select("event_type", "no_value", "total_rows",
+                       (off <= F.lit(DEVIATIONS) * spread + F.lit(0.5)).alias("as_expected"))
+
+
 # --- pipelines and sinks -------------------------------------------------------------
 
 def q_cleaning_pipeline(spark, d):
     return pipelines.clean_flights(fixtures.shipments(spark, d))
 
 
+def _view(df: DataFrame, name: str) -> str:
+    """``df`` registered as a temporary view under a name that no other view of the session has."""
+    name = f"{name}_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def q_cleaning_pipeline_sql(spark, d):
-    fixtures.shipments(spark, d).createOrReplaceTempView("shipments")
-    return pipelines.cleaning_sql(spark, "shipments", pipelines.FLIGHT_KEY, pipelines.FLIGHT_ORDER, "dep_delay",
+    return pipelines.cleaning_sql(spark, _view(fixtures.shipments(spark, d), "shipments"), pipelines.FLIGHT_KEY, pipelines.FLIGHT_ORDER, "dep_delay",
                                   "arr_delay")
 
 
 def q_temp_view_from_query(spark, d):
     """A composed query registered as a view and read by another statement."""
-    fixtures.shipments(spark, d).createOrReplaceTempView("shipments")
-    late = spark.sql("SELECT carrier, origin, arr_delay FROM shipments WHERE arr_delay > 0")
-    late.createOrReplaceTempView("late_shipments")
-    return spark.sql("SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM late_shipments GROUP BY origin")
+    shipments = _view(fixtures.shipments(spark, d), "shipments")
+    late = _view(spark.sql(f"SELECT carrier, origin, arr_delay FROM {shipments} WHERE arr_delay > 0"), "late_shipments")
+    return spark.sql(f"SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM {late} GROUP BY origin")
 
 
 def q_cleaning_pipeline_report(spark, d):

@@ -577,6 +577,8 @@ GROUP BY cut ORDER BY avg_price DESC""",
     "sample_random": f"""WITH {GEMS}, f AS (SELECT * FROM gems WHERE price IS NOT NULL AND carat IS NOT NULL
                                                       AND cut IS NOT NULL)
 SELECT least(500, COUNT(*)) AS sampled, least(500, COUNT(*)) AS different, least(500, COUNT(*)) AS members FROM f""",
+    "sample_strata": """SELECT event_type, value IS NULL AS no_value, COUNT(*) AS total_rows, TRUE AS as_expected
+FROM events GROUP BY event_type, value IS NULL""",
     # pipelines and sinks ------------------------------------------------------------
     "cleaning_pipeline": f"{_CLEAN_FLIGHTS}\nSELECT * FROM cleaned",
     "cleaning_pipeline_sql": f"{_CLEAN_FLIGHTS}\nSELECT * FROM cleaned",

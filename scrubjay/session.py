@@ -9,9 +9,11 @@ is removed by ``drop_scratch`` once its readers are done.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application, through Spark's own file distribution.
+
+    Only the few operators with numpy inside tasks need it; where the package is installed it is harmless.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="scrubjay-"), "scrubjay_core.zip")  # read by the driver alone
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.join("scrubjay", os.path.relpath(full, top)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -103,4 +128,4 @@ def cut_lineage_observed(df, metrics: dict, name: str = "lineage"):
     return out, dict(obs.get)
 
 
-__all__ = ["get_session", "ensure_checkpoint_dir", "scratch_path", "drop_scratch", "cut_lineage", "cut_lineage_observed"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "ship_package", "scratch_path", "drop_scratch", "cut_lineage", "cut_lineage_observed"]

@@ -1,8 +1,10 @@
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from scrubjay.functions import comoments
 from scrubjay.operators import analysis as a
 from scrubjay.operators.features import AI_USAGE_EDGES, AI_USAGE_LABELS, band, flag, order_key
 
@@ -19,6 +21,39 @@ def test_correlation_matches_pandas_pairwise_and_constant_is_null(spark):
     assert got[("a", "c")] is None and got[("c", "c")] is None  # zero variance: null, no error
 
 
+def test_comoments_merge_in_any_order_and_split():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 4)) * [1, 1e-3, 50, 1] + [1e9, 0, -7, 3]
+    x[:, 3] = x[:, 0] * 2 - 5
+    known = rng.random(x.shape) > [0, .1, .5, .02]
+    whole = comoments.CoMoments(4).fill(x, known)
+    parts = [comoments.CoMoments(4).fill(x[a:b], known[a:b]) for a, b in ((0, 1), (1, 7), (7, 400), (400, 400), (400, 500))
+             if b > a]
+    for order in (range(4), (3, 1, 0, 2)):
+        got = comoments.CoMoments(4)
+        for i in order:
+            got = got.merge(comoments.CoMoments.unpack(parts[i].pack(), 4))
+        assert np.allclose(got.correlations(), whole.correlations(), atol=1e-9)
+    want = pd.DataFrame(np.where(known, x, np.nan)).corr().to_numpy()
+    assert np.allclose(whole.correlations(), want, atol=1e-6)
+
+
+def test_correlation_repeats_no_row_and_keeps_spark_semantics(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("CAST(id AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, SQRT(id)) AS b", "id % 7 AS c",
+                                      "IF(id = 5, DOUBLE('NaN'), id) AS n", "CAST(NULL AS DOUBLE) AS z").repartition(9)
+    plans = []
+    monkeypatch.setattr(comoments, "ship_package", lambda s: plans.append(s))
+    got = {(r.col_x, r.col_y): r.corr for r in a.correlation_matrix(df, ["a", "b", "c", "n", "z"], 6).collect()}
+    want = df.agg(*[F.corr(x, y).alias(f"{x}{y}") for x in "abcn" for y in "abcn"]).first()
+    for x in "abc":
+        for y in "abc":
+            assert math.isclose(got[x, y], want[f"{x}{y}"], abs_tol=2e-6)
+        assert math.isnan(got[x, "n"]) and math.isnan(want[f"{x}n"]) and got[x, "z"] is None
+    states = df.select("a", "b").mapInArrow(comoments._fill(2), "state binary")
+    assert "Generate" not in states._jdf.queryExecution().executedPlan().toString()
+    assert a.correlation_matrix(df.limit(0), ["a", "b"]).where("corr IS NOT NULL").count() == 0
+
+
 def test_describe_keeps_types_and_strings(spark):
     big = 2 ** 53 + 1
     df = spark.createDataFrame([(1, 2.0, "b", big), (3, None, "a", big)], "i int, d double, s string, id bigint")
@@ -90,6 +125,43 @@ def test_threshold_sample_raises_a_threshold_that_finds_too_few(spark):
     assert [r.id for r in out.collect()] == list(range(10))
 
 
+def test_equal_rows_have_an_equal_chance_each(spark):
+    """A third of 10,000 rows are equal: 300 rows hold about 100 of them, for every seed and layout."""
+    df = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    drawn = [a.sample_random(df.repartition(parts), 300, seed) for seed, parts in enumerate((1, 3, 8, 5, 2, 7))]
+    copies = [s.where("v = -1").count() for s in drawn]
+    assert all(s.count() == 300 for s in drawn)
+    spread = (300 * (1 / 3) * (2 / 3)) ** 0.5
+    assert all(abs(c - 100) < 5 * spread for c in copies) and abs(sum(copies) / 6 - 100) < 5 * spread / 6 ** 0.5
+    one = spark.range(500).select(F.lit("same").alias("v"))
+    assert a.sample_random(one, 40).count() == 40 and a.sample_random(one, 900).count() == 500
+    assert a.sample_random(one.limit(0), 10).count() == 0
+
+
+def test_places_are_drawn_alike(spark):
+    """Over many draws every row comes up about as often as any other."""
+    df = spark.range(0, 60, numPartitions=4)
+    times = dict.fromkeys(range(60), 0)
+    for seed in range(40):
+        for r in a.sample_random(df, 15, seed).collect():
+            times[r.id] += 1
+    assert sum(times.values()) == 600 and max(times.values()) < 24 and min(times.values()) > 0
+
+
+def test_a_sample_builds_its_input_once(spark, monkeypatch):
+    built = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+    df = spark.range(4000).mapInArrow(look, "id long")
+    out = a.sample_random(df, 50)
+    assert out.count() == 50 and out.collect() == out.collect() and built.value == 4000
+    monkeypatch.setattr(a, "_guessed_rows", lambda _: 10 ** 15)  # a bad guess costs one more pass, not rows
+    assert a.sample_random(df, 50).count() == 50 and built.value == 12_000
+
+
 def test_facet_values_one_pass(spark):
     df = spark.createDataFrame([("a", "x"), ("b", None), ("a", "y")], "f string, g string")
     got = [(r.facet, r.value) for r in a.facet_values(df, ["f", "g"]).collect()]

@@ -1,3 +1,7 @@
+import math
+import random
+import struct
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,13 +64,16 @@ def test_four_passes_settle_any_column(spark, monkeypatch, case):
 
 
 def test_keys_sort_as_doubles(spark):
-    values = [float("-inf"), -1.7e308, -2.5, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e308,
-              float("inf"), float("nan"), None]
-    rows = spark.createDataFrame([(v,) for v in values], "x double").select(
-        "x", quantiles.order_key(F.col("x")).alias("k")).collect()
-    keys = [r.k for r in rows if r.k is not None]
-    assert keys == sorted(keys) and len(set(keys)) == len(keys) - 1 and rows[-1].k is None
-    assert all(str(quantiles.key_value(r.k)) == str(r.x + 0.0) for r in rows[:-1])
+    edges = [v for e in (*range(-1074, -1018), *range(-60, 70), *range(1000, 1024)) for p in (2.0 ** e,)
+             for v in (math.nextafter(p, 0), p, math.nextafter(p, math.inf)) if v > 0]
+    rng = random.Random(3)
+    edges += [struct.unpack("d", rng.randbytes(8))[0] for _ in range(3000)]
+    values = sorted({abs(v) for v in edges if math.isfinite(v)})
+    values = [-math.inf, *[-v for v in reversed(values)], -0.0, 0.0, *values, math.inf, math.nan, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double").coalesce(1)
+    keys = [r.k0 for r in quantiles.order_keys(df.sort("i"), ["x"]).collect()]
+    assert keys[-1] is None and keys[:-1] == sorted(keys[:-1]) and len(set(keys)) == len({v for v in values if v == v}) + 1
+    assert all(str(quantiles.key_value(k)) == str(v + 0.0) for k, v in zip(keys[:-1], values))
 
 
 def test_the_input_is_built_once(spark):
