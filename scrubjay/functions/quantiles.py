@@ -69,6 +69,12 @@ def key_value(key: int) -> float:
     return -size if key < 0 else size
 
 
+def value_key(value: float) -> int:
+    """The order key of a double."""
+    size = struct.unpack(">q", struct.pack(">d", abs(value)))[0]
+    return -size if value < 0 else size
+
+
 def key_table(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
     """The order keys of ``cols``, written once, and how many nulls each column has."""
     cols = list(cols)

@@ -18,7 +18,7 @@ from scrubjay.operators import analysis, clean, outliers, quality
 from scrubjay.operators.features import student_features
 from scrubjay.plans import pipelines, reports
 from scrubjay.session import cut_lineage, scratch_path
-from scrubjay.sources import files, fixtures
+from scrubjay.sources import files, fixtures, versions
 from scrubjay.sources.tables import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -504,6 +504,19 @@ def q_table_overwrite(spark, d):
     return new.select("*")
 
 
+def q_table_self_overwrite(spark, d):
+    """A saved table overwritten from itself, twice; all three versions are read back and counted."""
+    path = scratch_path(spark, "orders-table")
+    versions.publish(load(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lit(0).alias("raised")), path, expect=0)
+    for number in (1, 2):
+        old = versions.read_table(spark, path)
+        versions.publish(old.where(F.col("o_orderkey") % 7 != number).withColumn("raised", F.col("raised") + 1), path,
+                         expect=number)
+    kept = [versions.read_table(spark, path, n).select(F.lit(n).alias("version"), "o_orderkey", "o_totalprice", "raised")
+            for n in versions.versions(spark, path)]
+    return kept[0].unionAll(kept[1]).unionAll(kept[2])
+
+
 def q_csv_round_trip(spark, d):
     gems = fixtures.gems(spark, d)
     path = files.write_csv(gems, scratch_path(spark, "gems-csv"))

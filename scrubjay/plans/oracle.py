@@ -609,6 +609,9 @@ FROM outcomes WHERE tie_part % 101 = 0 OR tie_part % 97 = 0""",
     "temp_view_from_query": f"""WITH {SHIPMENTS}
 SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM shipments WHERE arr_delay > 0 GROUP BY origin""",
     "table_overwrite": f"WITH {GEMS} SELECT gem_id, cut, COALESCE(price, 0.0) AS price_or_zero FROM gems",
+    "table_self_overwrite": "SELECT v.version, o_orderkey, o_totalprice, v.version - 1 AS raised FROM orders, "
+                            "(VALUES (1), (2), (3)) v(version) "
+                            "WHERE NOT (v.version >= 2 AND o_orderkey % 7 = 1) AND NOT (v.version = 3 AND o_orderkey % 7 = 2)",
     "csv_text_round_trip": f"WITH {SPACED_DOCS} SELECT doc_id, text FROM spaced",
     "ingest_validation": _student_validation(),
     "cleaned_row_count": f"WITH {STUDENTS} SELECT COUNT(*) AS cleaned_rows FROM students",

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scrubjay.functions.quantiles import exact_quantiles
+from scrubjay.functions.quantiles import exact_quantiles, key_table, select_keys, value_key
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
 from scrubjay.operators.features import student_features
-from scrubjay.session import cut_lineage, cut_lineage_observed
+from scrubjay.session import cut_lineage
 from scrubjay.sources import files
 
 # --- flights -----------------------------------------------------------------------
@@ -135,17 +135,19 @@ def student_rows(df: DataFrame, reads: Sequence[str] = STUDENT_NUMBERS) -> DataF
 def clean_students(df: DataFrame) -> DataFrame:
     """The whole cleaned table: dedup by id (keep first) -> fill -> standardise -> features -> IQR flag.
 
-    The deduplicated rows feed the statistics and the output, so they are written once below the checkpoint folder;
-    one bounded selection then finds all medians and the quartiles of the filled hours.
+    The deduplicated rows feed the statistics and the output, so they are written once below the checkpoint folder. The
+    order keys of their numbers are written once too; all medians come from them, and then the quartiles of the filled
+    hours, whose gaps count as their median.
     """
-    deduped, seen = cut_lineage_observed(
-        clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True),
-        {"rows": F.count(F.lit(1)), **{c: F.count_if(F.col(c).isNull()) for c in STUDENT_NUMBERS}}, "students-dedup")
-    gappy = [c for c in STUDENT_NUMBERS if seen[c]]
-    found = exact_quantiles(deduped, {c: [0.5] for c in gappy})
-    out = _finish(deduped, {c: v[0] for c, v in found.items()})
-    return outliers.iqr_flag(out, "weekly_genai_hours", flag="genai_hours_outlier_flag", as_int=True,
-                             stats_from=out.select("weekly_genai_hours"))
+    hours = "weekly_genai_hours"
+    deduped = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True), "students-dedup")
+    keys, nulls = key_table(deduped, STUDENT_NUMBERS)
+    found = select_keys(keys, {c: [0.5] for c in STUDENT_NUMBERS if nulls[c]})
+    medians = {c: v[0] for c, v in found.items()}
+    if medians.get(hours) is not None:
+        keys = keys.select(F.coalesce(hours, F.lit(value_key(medians[hours]))).alias(hours))
+    fences = outliers.fences(*select_keys(keys, {hours: [0.25, 0.75]})[hours])
+    return outliers.iqr_flag(_finish(deduped, medians), hours, flag="genai_hours_outlier_flag", as_int=True, bounds=fences)
 
 
 def raw_headers(columns: Sequence[str]) -> list[str]:
@@ -169,29 +171,36 @@ class Ingest(NamedTuple):
 def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
     """CSV -> snake_case -> cast -> reject -> clean -> save, below ``path``.
 
-    Every column is read as text (no inference pass). A row whose id is missing or no number goes to the rejects, as
-    the text it was, with a reason; it never meets the dedup. The audit is long, ``(item, column_name, rows)``: input,
-    rejected, duplicate and kept rows, which add up; per column the nulls of the input, the values that failed their
-    cast, and the nulls that are left in the saved table because no fill covers the column.
+    Every column is read as text (no inference pass), once: one job casts, routes and writes all rows, refused ones as
+    the text they were with a reason, the others in their types, and observes the audit's numbers on the way. A row whose
+    id is missing or no number is refused; it never meets the dedup. What the saved table holds is observed during its own
+    write. The audit is long, ``(item, column_name, rows)``: input, rejected, duplicate and kept rows, which add up; per
+    column the nulls of the input, the values that failed their cast, and the nulls that are left in the saved table
+    because no fill covers the column. Both tables are versioned, so a failed ingest leaves the former ones.
     """
-    raw = files.snake_case_columns(files.read_csv(spark, csv_path, multi_line=False))
-    text = cut_lineage(raw, "students-text")
-    typed = clean.cast_columns(text.withColumns({c: F.trim(c) for c in STUDENT_CAST_PLAN}), STUDENT_CAST_PLAN)
-    bad_id = F.trim(STUDENT_KEY).try_cast("bigint").isNull()
-    reason = F.when(F.col(STUDENT_KEY).isNull() | (F.trim(STUDENT_KEY) == ""), "id missing").otherwise("id not a number")
-    rejects = files.save_table(text.where(bad_id).withColumn("reject_reason", reason), path=f"{path}/rejects")
-    table = files.save_table(clean_students(typed.where(F.col(STUDENT_KEY).isNotNull())), path=f"{path}/table")
-
+    text = files.snake_case_columns(files.read_csv(spark, csv_path, multi_line=False))
     cols = text.columns
-    before = text.agg(
-        F.count(F.lit(1)).alias("input"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
-        *[F.count_if(F.col(c).isNotNull() & F.trim(c).try_cast(t).isNull()).alias(f"bad_{c}")
-          for c, t in STUDENT_CAST_PLAN.items()]).first()
-    after = table.agg(F.count(F.lit(1)).alias("kept"),
-                      *[F.count_if(F.col(c).isNull()).alias(f"left_{c}") for c in cols]).first()
-    refused = rejects.count()
-    rows = [("input rows", None, before["input"]), ("rejected rows", None, refused), ("kept rows", None, after["kept"]),
-            ("duplicate rows", None, before["input"] - refused - after["kept"])]
+    cast = {c: F.trim(c).try_cast(t) for c, t in STUDENT_CAST_PLAN.items()}
+    refused = cast[STUDENT_KEY].isNull()
+    reason = F.when(F.col(STUDENT_KEY).isNull() | (F.trim(STUDENT_KEY) == ""), "id missing").otherwise("id not a number")
+    seen, left = Observation(), Observation()
+    counted = text.observe(
+        seen, F.count(F.lit(1)).alias("input"), F.count_if(refused).alias("refused"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
+        *[F.count_if(F.col(c).isNotNull() & cast[c].isNull()).alias(f"bad_{c}") for c in STUDENT_CAST_PLAN])
+    routed = cut_lineage(counted.select(
+        F.when(refused, "rejects").otherwise("rows").alias("route"), F.when(refused, reason).alias("reject_reason"),
+        *[F.when(refused, F.col(c)).alias(f"text_{c}") for c in cols],
+        *[F.when(~refused, cast.get(c, F.col(c))).alias(c) for c in cols]), "students-routed", partition_by=["route"])
+    rejects = files.save_table(routed.where("route = 'rejects'").select(
+        *[F.col(f"text_{c}").alias(c) for c in cols], "reject_reason"), path=f"{path}/rejects")
+    cleaned = clean_students(routed.where("route = 'rows'").select(*cols))
+    table = files.save_table(cleaned.observe(left, F.count(F.lit(1)).alias("kept"), *[
+        F.count_if(F.col(c).isNull()).alias(f"left_{c}") for c in cols]), path=f"{path}/table")
+    before, after = seen.get, left.get
+    rows = [("input rows", None, before["input"]), ("rejected rows", None, before["refused"]),
+            ("kept rows", None, after["kept"]),
+            ("duplicate rows", None, before["input"] - before["refused"] - after["kept"])]
     rows += [("input nulls", c, before[f"null_{c}"]) for c in cols]
     rows += [("failed casts", c, before[f"bad_{c}"]) for c in STUDENT_CAST_PLAN]
     rows += [("nulls left", c, after[f"left_{c}"]) for c in cols]

@@ -99,7 +99,7 @@ def drop_scratch(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
-def cut_lineage(df, name: str = "lineage"):
+def cut_lineage(df, name: str = "lineage", partition_by: list[str] | None = None):
     """Write ``df`` as Parquet below the shared checkpoint folder and continue from the files.
 
     Used where a frame feeds several jobs (statistics plus the output): the
@@ -110,8 +110,9 @@ def cut_lineage(df, name: str = "lineage"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    # Folders of partitions hold no file at all where there is no row, so their schema is given.
+    return (spark.read.schema(df.schema) if partition_by else spark.read).parquet(path)
 
 
 def cut_lineage_observed(df, metrics: dict, name: str = "lineage"):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from scrubjay.sources import versions
+
 
 # Both sides of a CSV file must agree on these, or texts change on the way: quotes are doubled, outer spaces are kept,
 # line feeds may stand within quotes, an empty text is written as two quotes and a null as nothing.
@@ -44,19 +46,20 @@ def save_table(df: DataFrame, path: str | None = None, table: str | None = None,
     """Overwrite a Parquet table (path or catalog name) and return a scan of it.
 
     Reading back what was written cuts the lineage, so later validation runs on
-    the saved rows, not on a recomputation.
+    the saved rows, not on a recomputation. A path is a versioned table
+    (``sources.versions``): the new rows replace the old in one rename, may be
+    computed from them and may have another schema.
     """
     spark = df.sparkSession
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if table is not None:
+        writer = df.write.mode("overwrite").format("parquet")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
         writer.saveAsTable(table)
         return spark.table(table)
     if path is None:
         raise ValueError("give a path or a table name")
-    writer.save(path)
-    return spark.read.parquet(path)
+    return versions.publish(df, path, partition_by)
 
 
 def snake_case(name: str) -> str:

@@ -92,6 +92,34 @@ def test_ingest_loses_no_row(spark):
     assert done.table.where("weekly_genai_hours IS NULL").count() == 0
 
 
+def test_ingest_reads_its_csv_once(spark, monkeypatch):
+    csv = pipelines.write_raw_csv(fixtures.outcomes_raw(spark, SF_SMALL), scratch_path(spark, "t-once"))
+    read, lines = files.read_csv, spark.sparkContext.accumulator(0)
+
+    def watched(session, path, **kw):
+        df = read(session, path, **kw)
+
+        def look(batches):
+            for batch in batches:
+                lines.add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(look, df.schema)
+    monkeypatch.setattr(files, "read_csv", watched)
+    done = pipelines.ingest_students(spark, csv, scratch_path(spark, "t-once-clean"))
+    audit = {(r["item"], r["column_name"]): r["rows"] for r in done.audit.collect()}
+    done.table.count()
+    assert lines.value == audit["input rows", None] > 0
+
+
+@pytest.mark.parametrize("keep", ["1 = 0", "student_id IS NULL", "student_id = '5'"])
+def test_ingest_of_no_or_only_refused_rows(spark, keep):
+    raw = fixtures.outcomes_raw(spark, SF_SMALL).where(keep)
+    csv = pipelines.write_raw_csv(raw, scratch_path(spark, "t-few"))
+    done = pipelines.ingest_students(spark, csv, scratch_path(spark, "t-few-clean"))
+    audit = {r["item"]: r["rows"] for r in done.audit.where("column_name IS NULL").collect()}
+    assert audit["input rows"] == raw.count() == done.rejects.count() + audit["duplicate rows"] + done.table.count()
+
+
 def test_report_rows_are_pruned_and_nothing_is_written(spark, monkeypatch):
     from scrubjay.plans import catalog
     monkeypatch.setattr(pipelines, "cut_lineage", lambda *a: pytest.fail("a report wrote a table"))
