@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scrubjay.functions.quantiles import key_table, select_keys
 from scrubjay.functions.stats import DEFAULT_APPROX_ACCURACY, STATS_COL, attach, collect_stats, literal_struct, quantile
+from scrubjay.session import cut_lineage_observed
 
 
 def _order_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -17,14 +18,46 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
 
 # --- duplicates -----------------------------------------------------------------
 
+def _digest(cols: Sequence[str]) -> list[Column]:
+    """A 128-bit digest of some columns, as two numbers; equal values have equal digests, null counts as a value."""
+    parts = [x for c in cols for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"__d{seed}") for seed in (1, 2)]
+
+
+def _split_repeated(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` as rows whose key digest stands alone and rows whose digest repeats (None if there are none).
+
+    Only digests are shuffled, 16 bytes a row and combined map-side. Those that repeat are written once and marked by a
+    join whose side Spark broadcasts while it is small; so rows without a double never move.
+    """
+    marks = ["__d1", "__d2"]
+    counts = df.select(*_digest(keys)).groupBy(*marks).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice, seen = cut_lineage_observed(counts.select(*marks), {"digests": F.count(F.lit(1))}, "repeated-digests")
+    if not seen["digests"]:
+        return df, None
+    marked = df.select("*", *_digest(keys))
+    return (marked.join(twice, marks, "left_anti").select(*df.columns),
+            marked.join(twice, marks, "left_semi").select(*df.columns))
+
+
 def dedup_rows(df: DataFrame) -> DataFrame:
-    """Drop rows that repeat in every column."""
-    return df.distinct()
+    """Drop rows that repeat in every column.
+
+    Rows whose digest stands alone pass as they are; the others alone are compared by their values (so a clash of digests
+    loses nothing), where copies of a hot row already meet map-side. ``df`` is read once for the digests and once or
+    twice for the rows.
+    """
+    alone, repeated = _split_repeated(df, df.columns)
+    return alone if repeated is None else alone.unionAll(repeated.distinct())
 
 
 def dedup_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep one row per key; which row survives is not defined (use ``dedup_keep_first``)."""
-    return df.dropDuplicates(list(keys))
+    """Keep one whole row per key; which row survives is not defined (use ``dedup_keep_first``).
+
+    As in ``dedup_rows`` only rows whose key repeats are shuffled.
+    """
+    alone, repeated = _split_repeated(df, list(keys))
+    return alone if repeated is None else alone.unionAll(repeated.dropDuplicates(list(keys)))
 
 
 def dedup_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

@@ -154,8 +154,30 @@ def ordered(name: str, lower: str, upper: str, detail: str = "lower=%.2f, upper=
                 lambda m: _fmt(detail, F.round(m["lo"], 2), F.round(m["hi"], 2)))
 
 
+def _key_metrics(df: DataFrame, grouped: dict[tuple[str, ...], dict[str, Column]]) -> Column:
+    """The metrics of all key sets as one struct, from one pass and one shuffle of the rows.
+
+    Each row yields one small record for each key set, (number of the set, 128-bit digest of the key); records are counted
+    together, combined map-side. A lone key set is counted by its own columns.
+    """
+    if len(grouped) == 1:
+        (keys, exprs), = grouped.items()
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        return counts.agg(F.struct(*[e.alias(a) for a, e in exprs.items()]).alias("s")).scalar()
+    records = []
+    for i, keys in enumerate(grouped):
+        parts = [x for c in keys for x in (F.col(c).isNull(), F.col(c))]
+        records.append(F.struct(F.lit(i).alias("i"), *[F.xxhash64(F.lit(seed), F.lit(i), *parts).alias(f"d{seed}")
+                                                       for seed in (1, 2)]))
+    counts = df.select(F.inline(F.array(*records))).groupBy("i", "d1", "d2").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("i").agg(*[e.alias(a) for exprs in grouped.values() for a, e in exprs.items()])
+    return found.agg(F.struct(*[
+        F.coalesce(F.max(F.when(F.col("i") == i, F.col(a))), F.lit(0)).cast("bigint").alias(a)
+        for i, exprs in enumerate(grouped.values()) for a in exprs]).alias("s")).scalar()
+
+
 def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Evaluate every rule on ``df``: one aggregate pass (+ one grouped pass per key set)."""
+    """Evaluate every rule on ``df``: one aggregate pass, and one grouped pass for all unique-key rules together."""
     plain: list[Column] = []
     grouped: dict[tuple[str, ...], dict[str, Column]] = {}
     names: list[dict[str, str]] = []
@@ -172,10 +194,9 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             else:
                 plain.append(e.alias(mapping[m]))
     row = df.agg(*plain) if plain else df.sparkSession.range(1).select()
-    for keys, exprs in grouped.items():
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        sub = counts.agg(F.struct(*[e.alias(a) for a, e in exprs.items()]).alias("s")).scalar()
-        row = attach(row, sub).withColumns({a: F.col(STATS_COL)[a] for a in exprs}).drop(STATS_COL)
+    if grouped:
+        row = attach(row, _key_metrics(df, grouped)).withColumns(
+            {a: F.col(STATS_COL)[a] for exprs in grouped.values() for a in exprs}).drop(STATS_COL)
     items = []
     for r, mapping in zip(rules, names):
         m = {k: F.col(v) for k, v in mapping.items()}

@@ -110,11 +110,29 @@ def q_duplicate_summary(spark, d):
 
 
 def q_dedup_full_row(spark, d):
-    return clean.dedup_rows(load(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    """Whole line items, of which some stand there twice and some many times."""
+    return clean.dedup_rows(fixtures.lineitem_repeated(spark, d))
 
 
 def q_dedup_any_survivor(spark, d):
-    return clean.dedup_any(load(spark, d, "lineitem"), LINE_KEY).select(*LINE_KEY)
+    """One whole row for each order and return flag, and whether that very row is one of the table's."""
+    li = fixtures.lineitem_repeated(spark, d)
+    kept = cut_lineage(clean.dedup_any(li, ["l_orderkey", "l_returnflag"]), "survivors")
+    found = li.select(*[F.col(c).alias(f"of_{c}") for c in li.columns]).distinct().withColumn("member", F.lit(True))
+    same = F.lit(True)
+    for c in li.columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    return kept.join(found, same, "left").select("l_orderkey", "l_returnflag", F.coalesce("member", F.lit(False)).alias("member"))
+
+
+def q_key_report(spark, d):
+    """Three unique-key checks of the line items, counted together."""
+    return quality.validate(fixtures.lineitem_repeated(spark, d), [
+        quality.unique_key("One row per order line", LINE_KEY, "rows", "%d repeated rows"),
+        quality.unique_key("One line per order and part", ["l_orderkey", "l_partkey"], "groups", "%d repeated keys"),
+        quality.unique_key("One line per part, supplier and day", ["l_partkey", "l_suppkey", "l_shipdate"], "rows",
+                           "%d repeated rows"),
+        quality.row_count("Rows", 1, strict=False, detail="%d rows")])
 
 
 # --- missing values ------------------------------------------------------------------

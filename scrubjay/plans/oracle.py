@@ -334,8 +334,19 @@ ORDER BY num_records DESC, l_orderkey, l_linenumber LIMIT 10""",
     "duplicate_summary": """SELECT CAST(SUM(n) AS BIGINT) AS total_rows, COUNT(*) AS unique_keys,
        CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicate_rows, count_if(n > 1) AS duplicate_keys
 FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
-    "dedup_full_row": "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem",
-    "dedup_any_survivor": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedup_full_row": "SELECT DISTINCT * FROM lineitem",
+    "dedup_any_survivor": "SELECT DISTINCT l_orderkey, l_returnflag, TRUE AS member FROM lineitem",
+    "key_report": """WITH r AS (SELECT *, CASE WHEN l_suppkey = 3 THEN 40 WHEN l_partkey % 10 = 0 THEN 2 ELSE 1 END AS copies
+  FROM lineitem),
+n AS (SELECT CAST(SUM(copies) AS BIGINT) AS rows FROM r),
+k AS (SELECT (SELECT rows FROM n) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM r)) AS a,
+  (SELECT COUNT(*) FROM (SELECT 1 FROM r GROUP BY l_orderkey, l_partkey HAVING SUM(copies) > 1)) AS b,
+  (SELECT rows FROM n) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, l_suppkey, l_shipdate FROM r)) AS c)
+SELECT 'One row per order line' AS check_name, CASE WHEN a = 0 THEN 'PASS' ELSE 'FAIL' END AS result,
+  a || ' repeated rows' AS detail FROM k
+UNION ALL SELECT 'One line per order and part', CASE WHEN b = 0 THEN 'PASS' ELSE 'FAIL' END, b || ' repeated keys' FROM k
+UNION ALL SELECT 'One line per part, supplier and day', CASE WHEN c = 0 THEN 'PASS' ELSE 'FAIL' END, c || ' repeated rows' FROM k
+UNION ALL SELECT 'Rows', CASE WHEN rows >= 1 THEN 'PASS' ELSE 'FAIL' END, rows || ' rows' FROM n""",
     # missing values -----------------------------------------------------------------
     "null_audit": f"""WITH {SHIPMENTS}
 SELECT COUNT(*) AS total_rows, count_if(dep_delay IS NULL) AS missing_dep_delay,

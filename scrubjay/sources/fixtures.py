@@ -161,3 +161,10 @@ def documents_spaced(spark: SparkSession, data_dir: str) -> DataFrame:
     text = F.concat(F.lit("  "), F.replace("text", F.lit(". "), F.lit(".  \t")), F.lit(' "\n'))
     return d.select("doc_id", F.when(F.col("doc_id") % 19 == 0, F.lit(None)).when(F.col("doc_id") % 23 == 0, "")
                     .otherwise(text).alias("text"))
+
+
+def lineitem_repeated(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The line items as repeated loads would leave them: those of every tenth part twice, of one supplier many times."""
+    li = load(spark, data_dir, "lineitem")
+    copies = F.when(F.col("l_suppkey") == 3, 40).when(F.col("l_partkey") % 10 == 0, 2).otherwise(1)
+    return li.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("copy")

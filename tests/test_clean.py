@@ -117,3 +117,32 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert kept.count() == 1 + (n - n // 3)
     s = clean.duplicate_summary(df, ["k"]).first()
     assert (s.total_rows, s.unique_keys, s.duplicate_keys) == (n, 1 + (n - n // 3), 1)
+
+
+def test_whole_row_dedup_compares_values_not_digests(spark, monkeypatch):
+    nan = float("nan")
+    rows = [(None, "a", 1.0), (None, "a", 1.0), ("a", None, 1.0), ("a", None, nan), ("a", None, nan), ("x", "y", 0.0),
+            ("x", "y", -0.0), ("only", "one", 2.0)] + [("hot", "row", 3.0)] * 50
+    df = spark.createDataFrame(rows, "p string, q string, v double").repartition(5)
+    want = sorted(map(str, df.distinct().collect()))
+    assert sorted(map(str, clean.dedup_rows(df).collect())) == want and len(want) == 6
+    monkeypatch.setattr(clean, "_digest", lambda cols: [F.lit(0).alias("__d1"), F.lit(0).alias("__d2")])  # all clash
+    assert sorted(map(str, clean.dedup_rows(df).collect())) == want
+    assert clean.dedup_rows(df.limit(0)).count() == 0
+
+
+def test_rows_without_a_double_are_not_shuffled(spark):
+    df = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    plan = clean.dedup_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    some = df.unionAll(df.where("id = 5"))
+    out = clean.dedup_rows(some)
+    out.collect()
+    assert out.count() == 1000 and "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_any_survivor_is_a_whole_row_of_its_group(spark):
+    df = spark.range(600).selectExpr("IF(id % 3 = 0, NULL, id % 50) AS k", "id AS a", "id * 2 AS b").repartition(4)
+    got = clean.dedup_any(df, ["k"]).collect()
+    assert len(got) == len({r.k for r in got}) == 51
+    assert all(r.b == 2 * r.a and r.k == (None if r.a % 3 == 0 else r.a % 50) for r in got)

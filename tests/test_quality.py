@@ -88,3 +88,19 @@ def test_fill_recommendation_follows_decision_table(spark):
 def test_table_shape(spark):
     r = q.table_shape(spark.createDataFrame([(1, "a"), (2, "b")], "a int, b string")).first()
     assert (r.row_count, r.column_count) == (2, 2)
+
+
+def test_three_key_rules_share_one_scan_and_one_shuffle_of_the_rows(spark, tmp_path):
+    rows = [(1, "a", 1), (1, "a", 2), (2, None, 3), (2, None, 3), (None, None, 4), (3, "", 5), (3, None, 5)]
+    spark.createDataFrame(rows, "x int, y string, z int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [q.unique_key("x", ["x"], "rows"), q.unique_key("xy", ["x", "y"], "groups"),
+             q.unique_key("xyz", ["x", "y", "z"], "rows"), q.unique_key("z", ["z"], "groups")]
+    rep = q.validate(df, rules)
+    assert {r.check_name: r.detail for r in rep.collect()} == {"x": "3", "xy": "2", "xyz": "1", "z": "2"}
+    alone = {r.check_name: r.detail for rule in rules for r in q.validate(df, [rule]).collect()}
+    assert alone == {"x": "3", "xy": "2", "xyz": "1", "z": "2"}
+    plan = rep._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    empty = q.validate(df.where("x = 99"), rules).collect()
+    assert all((r.result, r.detail) == ("PASS", "0") for r in empty)
