@@ -8,6 +8,10 @@ seconds, pages). Turns become ``<|turn|>role<|text|>content<|end|>`` and a conve
 Escaping: wherever an opener (``<`` or ``[``), any carets and the rest of a control string stand together, one caret is
 added after the opener; unescaping takes one off. So no text contains a control string, and every text comes back.
 Besides this template's own strings, which all start with ``<|``, the usual ones of other templates are escaped.
+A content is escaped as a whole, after its parts are joined, so a control string split over several text parts is found too.
+While that happens attachments are marks that no text holds (U+0001 and a letter; a U+0001 in a text is doubled up by a
+letter of its own), so only a real attachment becomes a bare placeholder. Reading back splits a content at its
+placeholders, so a text that looks like one and an attachment stay apart.
 
 The loss covers each assistant text once; ``loss`` names the turn and the place of its characters in the output.
 
@@ -45,12 +49,26 @@ def text_parts(text: Column) -> Column:
                             F.lit(None).cast("string").alias("ref"), F.lit(None).cast("int").alias("size")))
 
 
+#: Stands for an attachment while a content is escaped; the letter after it tells the kind, "t" a U+0001 of a text.
+_MARK = "\u0001"
+_MARKS = {"image": "i", "audio": "a", "document": "d", "file": "f"}
+
+
 def visit(part: Column) -> Column:
-    """What a part becomes in the output."""
-    out = F.when(part["type"] == "text", escape(F.coalesce(part["text"], F.lit(""))))
+    """What a part becomes before escaping: a text with its marks made unmistakable, or an attachment's mark."""
+    text = F.replace(F.coalesce(part["text"], F.lit("")), F.lit(_MARK), F.lit(_MARK + "t"))
+    out = F.when(part["type"] == "text", text)
     for kind in TOKENS:
-        out = out.when(part["type"] == kind, F.lit(f"<|{kind}|>"))
-    return out.otherwise(F.lit("<|file|>"))
+        out = out.when(part["type"] == kind, F.lit(_MARK + _MARKS[kind]))
+    return out.otherwise(F.lit(_MARK + _MARKS["file"]))
+
+
+def flatten(parts: Column) -> Column:
+    """The content of a part list: texts escaped over all part borders, attachments as placeholders."""
+    out = escape(F.array_join(F.transform(parts, visit), ""))
+    for kind, letter in _MARKS.items():
+        out = F.replace(out, F.lit(_MARK + letter), F.lit(f"<|{kind}|>"))
+    return F.replace(out, F.lit(_MARK + "t"), F.lit(_MARK))
 
 
 def tokens(part: Column) -> Column:
@@ -68,7 +86,7 @@ def format_turns(turns: DataFrame, parts: str = "parts") -> DataFrame:
         F.when(p["type"].isin(*TOKENS), p["type"]).otherwise(F.lit("file")).alias("kind"), p["ref"].alias("ref"),
         tokens(p).alias("tokens")))
     role = F.coalesce(F.col("role"), F.lit(""))
-    content = F.array_join(F.transform(listed, visit), "")
+    content = flatten(listed)
     return turns.select("conv_id", "turn", role.alias("role"), content.alias("content"),
                         attached.alias("attached")).withColumn(
         "formatted", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT), "content", F.lit(END)))
@@ -97,11 +115,28 @@ def format_conversations(turns: DataFrame, parts: str = "parts") -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``formatted`` with ``turns``: (role, text) of each turn, unescaped, read from the output alone."""
+    """``formatted`` with ``turns``: role, text and parts of each turn, unescaped, read from the output alone.
+
+    ``text`` is what the turn's text parts say, joined; ``parts`` its texts and attachments (type and text) in order,
+    neighbouring texts as one.
+    """
     whole = F.filter(F.split(F.col("formatted"), r"<\|end\|>"), lambda t: t != "")
     turn = lambda t: F.split(F.substring(t, len(TURN) + 1, 1 << 30), r"<\|text\|>", 2)
-    return formatted.withColumn("turns", F.transform(F.transform(whole, turn), lambda t: F.struct(
-        unescape(t[0]).alias("role"), unescape(t[1]).alias("text"))))
+    kinds = rf"<\|({'|'.join(_MARKS)})\|>"
+
+    def parts(content: Column) -> Column:
+        texts = F.transform(F.split(content, kinds), lambda t: F.struct(F.lit("text").alias("type"), unescape(t).alias("text")))
+        found = F.transform(F.regexp_extract_all(content, F.lit(kinds), F.lit(1)),
+                            lambda k: F.struct(k.alias("type"), F.lit(None).cast("string").alias("text")))
+        both = F.flatten(F.transform(F.arrays_zip(texts.alias("x"), found.alias("y")), lambda z: F.array(z["x"], z["y"])))
+        return F.filter(both, lambda p: p["type"].isNotNull() & F.coalesce(p["text"] != "", F.lit(True)))
+
+    def read(t: Column) -> Column:
+        own = parts(t[1])
+        said = F.array_join(F.transform(own, lambda p: F.coalesce(p["text"], F.lit(""))), "")
+        return F.struct(unescape(t[0]).alias("role"), said.alias("text"), own.alias("parts"))
+
+    return formatted.withColumn("turns", F.transform(F.transform(whole, turn), read))
 
 
 def digest(formatted: DataFrame) -> DataFrame:

@@ -213,10 +213,31 @@ class Memo(dict):
         return next(self.predict_all([text]))
 
 
+#: Words of more letters are cut into n-grams by a Python slice: a substring of a long Spark string starts at its first byte.
+LONG_WORD = 256
+
+
+def _long_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, n, size, gram of long words (lang, word, n), equal n-grams of a word added up, one size at a time."""
+    for batch in batches:
+        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+            marked = f"<{word}>"
+            for size in range(LONGEST + 1):
+                grams = Counter(marked[i:i + size] for i in range(len(marked) - size + 1)) if size else Counter([word])
+                names, counts = list(grams), np.fromiter(grams.values(), np.int64, len(grams)) * n
+                for at in range(0, len(names), 50_000):
+                    part = names[at:at + 50_000]
+                    k = len(part)
+                    yield pa.record_batch([pa.array([lang] * k, pa.string()), pa.array(counts[at:at + 50_000]),
+                                           pa.array([size] * k, pa.int32()), pa.array(part, pa.string())],
+                                          names=["lang", "n", "size", "gram"])
+
+
 def fit(rows: DataFrame) -> Tables:
     """The tables of ``rows`` (text, lang)."""
-    words = (rows.select("text", "lang").mapInArrow(_counted, "lang string, word string, n long")
-             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    every = saved(rows.select("text", "lang").mapInArrow(_counted, "lang string, word string, n long")
+                  .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    words, long = every.filter(F.length("word") <= LONG_WORD), every.filter(F.length("word") > LONG_WORD)
     marked = F.concat(F.lit("<"), "word", F.lit(">"))
 
     def cuts(n: int):
@@ -225,7 +246,8 @@ def fit(rows: DataFrame) -> Tables:
         return F.transform(spots, lambda i: F.struct(F.lit(n).alias("size"), F.substring(marked, i, F.lit(n)).alias("gram")))
 
     whole = F.array(F.struct(F.lit(0).alias("size"), F.col("word").alias("gram")))
-    spread = words.select("lang", "n", F.inline(F.concat(whole, *(cuts(n) for n in range(1, LONGEST + 1)))))
+    spread = words.select("lang", "n", F.inline(F.concat(whole, *(cuts(n) for n in range(1, LONGEST + 1))))).unionAll(
+        long.select("lang", "word", "n").mapInArrow(_long_grams, "lang string, n long, size int, gram string"))
     table = saved(spread.groupBy("size", "gram", "lang").agg(F.sum("n").alias("n")), "language-counts")
     sums = table.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()
     langs = sorted({r["lang"] for r in sums})

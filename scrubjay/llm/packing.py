@@ -42,6 +42,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: The same pre-tokens, where no two white-space characters stand together; without its look-ahead it is much faster.
 PLAIN_PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 _WIDE_SPACE = re.compile(r"\s\s")
+#: Runs of white space so long that the pattern's look-ahead, which steps back through them, is better not asked.
+LONG_RUN = 4096
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,13 +67,29 @@ class Tokens:
         special = {t["content"] for t in model.get("added_tokens", ())}
         ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items()
                  if token not in special}
-        self.encoding, self.fast = (
+        self.encoding, self.fast, self.whole = (
             tiktoken.Encoding("byte-level", pat_str=p, mergeable_ranks=ranks, special_tokens={})
-            for p in (PRE_TOKEN, PLAIN_PRE_TOKEN))
+            for p in (PRE_TOKEN, PLAIN_PRE_TOKEN, r"(?s).+"))
+        white = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed value: Unicode White_Space
+        self.long_run = re.compile(f"[{white}]{{{LONG_RUN},}}")
 
     def plain(self, text: str) -> bytes:
-        tool = self.encoding if _WIDE_SPACE.search(text) else self.fast
-        return array("I", tool.encode_ordinary(text)).tobytes()
+        """The ids of a text.
+
+        A run of white space is one pre-token, but for its last character if a word follows. Long runs are cut out by
+        that rule and encoded as they are; what stands between them is encoded as usual, so the ids are the same.
+        """
+        out, at = array("I"), 0
+        for run in self.long_run.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out.extend(self._usual(text[at:run.start()]))
+            out.extend(self.whole.encode_ordinary(text[run.start():end]))
+            at = end
+        out.extend(self._usual(text[at:] if at else text))
+        return out.tobytes()
+
+    def _usual(self, text: str) -> list[int]:
+        return (self.encoding if _WIDE_SPACE.search(text) else self.fast).encode_ordinary(text)
 
 
 _TOOLS: dict[str, Tokens] = {}
