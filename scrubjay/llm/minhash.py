@@ -23,7 +23,8 @@ threshold. With 32 bands of 4 rows a link of similarity 0.75 misses every band w
 
 Defined results: a text that is null, empty or without words has an empty set, links with nothing and is kept; fewer
 than five words make one shingle of them all; rows with a null id take no part in linking, get a null component and
-are kept; repeated rows of one id share its component; an empty table gives an empty result.
+are kept; rows that share an id but not a text are linked each by its own text; repeated rows of one id share its
+component, and one of them stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -99,33 +100,44 @@ def band_keys(sketch: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-_SKETCHED = "id long, n_shingles long, s1 long, s2 long, sketch binary, bands array<long>"
+_SKETCHED = "id long, mark long, n_shingles long, s1 long, s2 long, sketch binary, bands array<long>"
+
+
+def set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums that name a shingle set."""
+    with np.errstate(over="ignore"):
+        s1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
+        s2 = np.array([mix(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets], np.uint64)
+    return s1, s2.view(np.int64)
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), strings(batch.column(1))
+        ids, marks, texts = batch.column(0), batch.column(1), strings(batch.column(2))
         for start, stop in slices(texts):
             sets = list(shingle_sets(texts.slice(start, stop - start)))
-            with np.errstate(over="ignore"):
-                s1 = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
-                s2 = np.array([mix(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets],
-                              np.uint64).view(np.int64)
+            s1, s2 = set_digests(sets)
             sketch = fast_sketch(sets)
             keys = band_keys(sketch)
             low = (sketch & np.uint64(255)).astype(np.uint8)
             n = stop - start
             yield pa.record_batch([
-                ids.slice(start, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(s1), pa.array(s2),
+                ids.slice(start, n), marks.slice(start, n), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(s1), pa.array(s2),
                 pa.array([row.tobytes() for row in low], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.reshape(-1))),
-            ], names=["id", "n_shingles", "s1", "s2", "sketch", "bands"])
+            ], names=["id", "mark", "n_shingles", "s1", "s2", "sketch", "bands"])
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, a 128-bit digest of the set (s1, s2), the low byte of each coordinate, and band keys."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        _sketch_batches, _SKETCHED)
+    """id, a mark of the text, n_shingles, a 128-bit digest of the set (s1, s2), each coordinate's low byte, band keys."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_mark(text_col).alias("mark"),
+                       F.col(text_col).cast("string").alias("text")).mapInArrow(_sketch_batches, _SKETCHED)
+
+
+def text_mark(text_col: str):
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
 
 
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,9 +155,10 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = strings(batch.column(1))
         for start, stop in slices(texts):
-            packed = [x.tobytes() for x in shingle_sets(texts.slice(start, stop - start))]
-            yield pa.record_batch([batch.column(0).slice(start, stop - start), pa.array(packed, pa.binary())],
-                                  names=["id", "shingles"])
+            sets = list(shingle_sets(texts.slice(start, stop - start)))
+            s1, s2 = set_digests(sets)
+            yield pa.record_batch([batch.column(0).slice(start, stop - start), pa.array(s1), pa.array(s2),
+                                   pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc", "s1", "s2", "shingles"])
 
 
 def unpacked(column: pa.Array | pa.ChunkedArray, i: int) -> np.ndarray:
@@ -218,18 +231,22 @@ def few(ids: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id for each row of ``docs``."""
+    """id, mark, n_shingles, component_id, alone (takes no part in linking) for each row of ``docs``."""
     rows = saved(sketches(docs, id_col, text_col), "sketches")
     alone = F.col("id").isNull() | (F.col("n_shingles") == 0)
+    # From here to the last join an id is that of a distinct set, whatever the ids of the documents that hold it.
     reps = saved(rows.filter(~alone).groupBy("s1", "s2", "n_shingles").agg(
-        F.min("id").alias("id"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "sets")
+        F.min("id").alias("doc"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")).withColumn(
+        "id", F.monotonically_increasing_id()), "sets")
     keyed = reps.select("id", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     member = saved(keyed.join(buckets, "key"), "buckets")
     in_bucket = saved(member.select("id").distinct(), "members")
-    full = saved(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                 .filter("text IS NOT NULL").join(few(in_bucket), "id", "left_semi")
-                 .mapInArrow(_set_batches, "id long, shingles binary").dropDuplicates(["id"]), "shingles")
+    wanted = saved(reps.select("id", "doc", "s1", "s2").join(in_bucket, "id", "left_semi"), "wanted")
+    full = saved(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+                 .filter("text IS NOT NULL").join(few(wanted.select("doc").distinct()), "doc", "left_semi")
+                 .mapInArrow(_set_batches, "doc long, s1 long, s2 long, shingles binary")
+                 .join(few(wanted), ["doc", "s1", "s2"]).select("id", "shingles").dropDuplicates(["id"]), "shingles")
 
     marks = reps.select("id", "sketch")
     star = member.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
@@ -266,11 +283,16 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
            .join(to_label.select(F.col("i").alias("b"), F.col("label").alias("lb")), "b", "left")
            .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).distinct())
     merged = connected(met, "merged").select(F.col("id").alias("label"), F.col("label").alias("to"))
-    named = (reps.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")).join(merged, "label", "left")
-             .select("s1", "s2", "n_shingles", F.coalesce("to", "label").alias("component_id")))
-    linked = rows.filter(~alone).select("id", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"])
-    return linked.select("id", "n_shingles", "component_id").unionAll(
-        rows.filter(alone).select("id", "n_shingles", F.col("id").alias("component_id")))
+    named = saved(reps.select("s1", "s2", "n_shingles", "id", "doc").join(labels, "id", "left").withColumn(
+        "label", F.coalesce("label", "id")).join(merged, "label", "left").select(
+        "s1", "s2", "n_shingles", "doc", F.coalesce("to", "label").alias("label")), "named")
+    # A class of one set has its own least id; only the others are grouped.
+    least = named.groupBy("label").agg(F.min("doc").alias("least"), F.count("*").alias("sets")).filter("sets > 1")
+    found = named.join(least.select("label", "least"), "label", "left").select(
+        "s1", "s2", "n_shingles", F.coalesce("least", "doc").alias("component_id"))
+    linked = rows.filter(~alone).select("id", "mark", "n_shingles", "s1", "s2").join(found, ["s1", "s2", "n_shingles"])
+    return linked.select("id", "mark", "n_shingles", "component_id", F.lit(False).alias("alone")).unionAll(
+        rows.filter(alone).select("id", "mark", "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("alone")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,8 +303,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each class. Columns are those of ``docs``."""
-    gone = saved(near_duplicates(docs, id_col, text_col).filter("NOT kept").select(
-        F.col("doc_id").alias("__gone")).distinct(), "copies")
-    kept = docs.join(few(gone), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    return kept.select(*docs.columns)
+    """The rows of ``docs`` that stay: one row of each class. Columns are those of ``docs``.
+
+    Rows are told apart by id and text. Where several rows of a class share its least id, those of one text stay, and of equal
+    rows one.
+    """
+    decided = saved(link_classes(docs, id_col, text_col), "decided").withColumn(
+        "heads", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+    heads = decided.filter("heads AND NOT alone").groupBy("id", "mark").agg(F.count("*").alias("rows"))
+    crowded = heads.groupBy("id").agg(F.min("mark").alias("stays"), F.sum("rows").alias("rows")).filter("rows > 1")
+    several = saved(heads.join(crowded.select("id", "stays"), "id"), "crowded-classes")
+    gone = saved(decided.filter("NOT heads").select("id", "mark").unionAll(
+        several.filter("mark <> stays").select("id", "mark")).distinct().toDF("__gone", "__mark"), "copies")
+    same = (F.col(id_col).cast("long") == F.col("__gone")) & (text_mark(text_col) == F.col("__mark"))
+    kept = docs.join(few(gone), same, "left_anti")
+    again = saved(several.filter("mark = stays AND rows > 1").select("id", "mark").toDF("__gone", "__mark"), "repeated")
+    if not again.count():
+        return kept.select(*docs.columns)
+    one = kept.join(few(again), same, "left_semi").withColumn("__mark", text_mark(text_col)).dropDuplicates(
+        [id_col, "__mark"]).select(*docs.columns)
+    return kept.join(few(again), same, "left_anti").select(*docs.columns).unionAll(one)

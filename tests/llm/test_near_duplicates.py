@@ -181,3 +181,18 @@ def test_pieces_round_trip(spark):
     assert whole == tool.plain(texts[5]) + b"\0\0\0\0"
     assert {r.length for r in rows if r.doc_id in (6, 7)} == {1}
     assert packing.pack(docs.limit(0), tokenizer()).collect() == []
+
+
+def test_ids_with_two_texts_lose_no_link(spark):
+    near = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    docs = spark.createDataFrame([(5, other, 1), (5, near, 2), (9, near + " end", 3), (9, near + " end", 4), (3, near + " z", 5),
+                                  (7, other, 6), (7, other, 7), (8, "alone here", 8), (8, "alone here", 9), (None, near, 10),
+                                  (6, "", 11), (6, "", 12)], "doc_id long, text string, mark int")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect() if r.doc_id)
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (6, 6, True), (6, 6, True), (7, 5, False), (7, 5, False),
+                   (8, 8, True), (8, 8, True), (9, 3, False), (9, 3, False)]
+    left = minhash.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    kept = sorted(r.mark for r in left.collect())
+    assert kept in ([1, 5, 8, 10, 11, 12], [1, 5, 9, 10, 11, 12])
