@@ -79,6 +79,8 @@ class Tokens:
         A run of white space is one pre-token, but for its last character if a word follows. Long runs are cut out by
         that rule and encoded as they are; what stands between them is encoded as usual, so the ids are the same.
         """
+        if len(text) < LONG_RUN or not _WIDE_SPACE.search(text) or not self.long_run.search(text):
+            return array("I", self._usual(text)).tobytes()
         out, at = array("I"), 0
         for run in self.long_run.finditer(text):
             end = run.end() - (run.end() < len(text))
