@@ -81,8 +81,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6)
     return df.agg(*aggs).select(F.inline(F.array(*items)))
 
 
-def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str = "rows") -> DataFrame:
-    """Fixed-width bins over ``[lo, hi]``; the top edge falls in the last bin.
+def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str = "rows",
+              keep_empty: bool = False) -> DataFrame:
+    """Fixed-width bins over ``[lo, hi]``; the top edge falls in the last bin. ``keep_empty``: bins without rows, too.
 
     Values outside the range are not counted. Binning is a projection and the
     counting a combined group-by, so only ``bins`` rows leave the executors.
@@ -92,6 +93,9 @@ def histogram(df: DataFrame, c: str, lo: float, hi: float, bins: int, name: str
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     out = (df.where(x.between(lo, hi)).select(b.alias("bin"))
            .groupBy("bin").agg(F.count(F.lit(1)).alias(name)))
+    if keep_empty:
+        axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        out = axis.join(out, "bin", "left").withColumn(name, F.coalesce(name, F.lit(0)))
     return out.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"), name)
 

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from scrubjay.functions import text
 from scrubjay.functions.predicates import delay_filter, facet_filter
+from scrubjay.functions.inference import infer_types
 from scrubjay.functions.quantiles import rank_errors
 from scrubjay.operators import analysis, clean, outliers, quality
 from scrubjay.operators.features import student_features
-from scrubjay.plans import pipelines, reports
+from scrubjay.plans import cube, pipelines, reports
 from scrubjay.session import cut_lineage, scratch_path
 from scrubjay.sources import files, fixtures, versions
 from scrubjay.sources.tables import load
@@ -83,6 +84,11 @@ def q_delay_histogram(spark, d):
     return reports.delay_histogram(fixtures.shipments(spark, d))
 
 
+def q_delay_histogram_all_bins(spark, d):
+    """The departure delays in all 60 bins of the chart, those without flights, too."""
+    return reports.delay_histogram(fixtures.shipments(spark, d), "dep_delay", keep_empty=True)
+
+
 def q_origin_share(spark, d):
     return reports.origin_share(fixtures.shipments(spark, d))
 
@@ -415,6 +421,52 @@ def q_filtered_scatter_sample(spark, d):
     return reports.scatter_sample(students(spark, d, *GPA, HOURS, RETENTION), 5000, 42, facet_filter(**STUDENT_FILTER))
 
 
+def q_report_cube(spark, d):
+    """Eight reports of the dashboard from one stored cube, in long form: report, its key, students and two figures.
+
+    The cube is built from the line items of odd and even orders apart, merged, saved and read back.
+    """
+    rows = students(spark, d, *GPA, HOURS, RETENTION, ANXIETY, DEPENDENCY, DIVERSITY)
+    odd = F.expr("COALESCE(student_id DIV 10 % 2 = 1, false)")
+    table = files.save_table(cube.merge(cube.report_cube(rows.where(odd)), cube.report_cube(rows.where(~odd))),
+                             path=scratch_path(spark, "report-cube"))
+    facets = facet_filter(facets=STUDENT_FILTER["facets"], all_labels=STUDENT_FILTER["all_labels"])
+
+    def part(name, df, key, first, second):
+        return df.select(F.lit(name).alias("report"), key.alias("key"), "students", F.col(first).alias("first_figure"),
+                         F.col(second).alias("second_figure"))
+
+    parts = [
+        part("summary", cube.student_summary(table, facets), F.lit("all"), "avg_genai_hours", "avg_anxiety"),
+        part("band", cube.outcomes_by_band(table), F.col("ai_usage_band"), "avg_gpa_change", "avg_ai_dependency"),
+        part("band filtered", cube.outcomes_by_band(table, facets), F.col("ai_usage_band"), "avg_skill_retention",
+             "high_burnout_pct"),
+        part("skill", cube.outcomes_by_skill(table), F.col("prompt_engineering_skill"), "avg_tool_diversity",
+             "strong_retention_pct"),
+        part("policy", cube.outcomes_by_policy(table), F.col("institutional_policy"), "high_burnout_pct",
+             "high_dependency_pct"),
+        part("use case", cube.outcomes_by_use_case(table), F.col("primary_use_case"), "avg_weekly_genai_hours",
+             "avg_skill_retention"),
+        part("rank", cube.rank_bands_in_major(table).withColumn("place", F.col("band_rank").cast("double")),
+             F.concat_ws("|", "major_category", "ai_usage_band"), "avg_gpa_change", "place"),
+        part("burnout", cube.burnout_by_band(table).withColumn("none", F.lit(None).cast("double")),
+             F.concat_ws("|", "ai_usage_band", "burnout_risk_level"), "none", "none"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionAll(p)
+    return out
+
+
+def q_ordered_export(spark, d):
+    """The whole filtered detail, best change first, exported as one ordered CSV file and read back."""
+    detail = students(spark, d, *pipelines.STUDENT_NUMBERS).where(facet_filter(**STUDENT_FILTER)).select(
+        *reports.DETAIL_COLUMNS)
+    path = files.write_csv(detail, scratch_path(spark, "detail") + ".csv", single_file=True,
+                           order=[F.col("gpa_change").desc_nulls_last(), "student_id"])
+    return files.read_csv(spark, path, schema=detail.schema, multi_line=False)
+
+
 # --- diamonds ------------------------------------------------------------------------
 
 def q_price_summary(spark, d):
@@ -486,9 +538,9 @@ def q_cleaning_pipeline_report(spark, d):
     return pipelines.flights_cleaning_report(pipelines.clean_flights(fixtures.shipments(spark, d)))
 
 
-def _ingest(spark, d) -> pipelines.Ingest:
+def _ingest(spark, d, infer=False) -> pipelines.Ingest:
     csv_path = pipelines.write_raw_csv(fixtures.outcomes_raw(spark, d), scratch_path(spark, "students-csv"))
-    return pipelines.ingest_students(spark, csv_path, scratch_path(spark, "students"))
+    return pipelines.ingest_students(spark, csv_path, scratch_path(spark, "students"), infer)
 
 
 def q_ingest_pipeline(spark, d):
@@ -503,6 +555,23 @@ def q_ingest_audit(spark, d):
     return _ingest(spark, d).audit
 
 
+def q_ingest_types(spark, d):
+    """Per column of the spoilt export the type inferred in the ingest's own pass, beside that of its cast plan."""
+    found = _ingest(spark, d, infer=True).types
+    rows = [(c, t, pipelines.STUDENT_CAST_PLAN.get(c, "string")) for c, t in found.items()]
+    return spark.createDataFrame(rows, "column_name string, inferred_type string, planned_type string")
+
+
+def q_infer_types(spark, d):
+    """The types inferred from whole tables exported as CSV text: every column of orders, events and customers."""
+    rows = []
+    for name in ("orders", "events", "customer"):
+        path = files.write_csv(load(spark, d, name), scratch_path(spark, f"{name}-csv"))
+        types = infer_types(files.read_csv(spark, path, multi_line=False))
+        rows += [(name, c, t) for c, t in types.items()]
+    return spark.createDataFrame(rows, "table_name string, column_name string, inferred_type string")
+
+
 def q_ingest_validation(spark, d):
     return pipelines.student_validation(_ingest(spark, d).table)
 

@@ -285,6 +285,94 @@ def _null_audit_long() -> str:
     return f"WITH {SHIPMENTS}\n" + "\nUNION ALL ".join(parts)
 
 
+def _whole_type(x: str) -> str:
+    return (f"CASE WHEN COUNT({x}) = 0 THEN 'string' WHEN MIN({x}) >= -2147483648 AND MAX({x}) <= 2147483647 THEN 'int' "
+            f"ELSE 'bigint' END")
+
+
+def _filled_type(x: str, kind: str) -> str:
+    return f"CASE WHEN COUNT({x}) = 0 THEN 'string' ELSE '{kind}' END"
+
+
+def _text_type(x: str) -> str:
+    """The type of a text column; its values may read as numbers, truth values or days."""
+    t = f"trim({x})"
+    number = "[+-]?((0|[1-9][0-9]*)([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?"
+    return f"""CASE WHEN COUNT(CASE WHEN {t} <> '' THEN 1 END) = 0 THEN 'string'
+        WHEN bool_and(lower({t}) IN ('true', 'false')) FILTER ({t} <> '') THEN 'boolean'
+        WHEN bool_and(regexp_full_match({t}, '[+-]?(0|[1-9][0-9]*)') AND TRY_CAST({t} AS INTEGER) IS NOT NULL)
+             FILTER ({t} <> '') THEN 'int'
+        WHEN bool_and(regexp_full_match({t}, '[+-]?(0|[1-9][0-9]*)') AND TRY_CAST({t} AS BIGINT) IS NOT NULL)
+             FILTER ({t} <> '') THEN 'bigint'
+        WHEN bool_and(regexp_full_match({t}, '{number}')) FILTER ({t} <> '') THEN 'double'
+        WHEN bool_and(regexp_full_match({t}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST({t} AS DATE) IS NOT NULL)
+             FILTER ({t} <> '') THEN 'date' ELSE 'string' END"""
+
+
+def _infer_types() -> str:
+    kinds = {
+        "orders": {"o_orderkey": "whole", "o_custkey": "whole", "o_orderstatus": "text", "o_totalprice": "double",
+                   "o_orderdate": "timestamp", "o_orderpriority": "text"},
+        "events": {"event_id": "whole", "ts": "timestamp", "user_id": "whole", "event_type": "text", "value": "double",
+                   "props": "text"},
+        "customer": {"c_custkey": "whole", "c_name": "text", "c_nationkey": "whole", "c_acctbal": "double",
+                     "c_mktsegment": "text"}}
+    found = {"whole": _whole_type, "text": _text_type}
+    return "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+        f"{found[k](c) if k in found else _filled_type(c, k)} AS inferred_type FROM {t}"
+        for t, cols in kinds.items() for c, k in cols.items())
+
+
+def _ingest_types() -> str:
+    """A column that holds a value spoilt beyond its type is text; gaps do not matter."""
+    spoilt = {"student_id": "tie_part % 101 <> 0 AND tie_part % 97 = 0", "weekly_genai_hours": "tie_supp % 13 = 0",
+              "paid_subscription": "tie_supp % 29 = 0"}
+    plan = {"student_id": "bigint", "tie_part": "bigint", "tie_supp": "bigint", "pre_semester_gpa": "double",
+            "weekly_genai_hours": "double", "traditional_study_hours": "double", "post_semester_gpa": "double",
+            "skill_retention_score": "double", "tool_diversity": "int", "perceived_ai_dependency": "int",
+            "anxiety_level_during_exams": "int", "paid_subscription": "boolean", **{c: "string" for c in _CATS}}
+    rows = []
+    for c, t in plan.items():
+        kind = _whole_type(c) if t in ("int", "bigint") else _filled_type(c, t)
+        if c in spoilt:
+            kind = f"CASE WHEN count_if({spoilt[c]}) > 0 THEN 'string' ELSE {kind} END"
+        rows.append(f"SELECT '{c}' AS column_name, {kind} AS inferred_type, '{t}' AS planned_type FROM typed")
+    return f"WITH {TYPED}\n" + "\nUNION ALL ".join(rows)
+
+
+def _report_cube() -> str:
+    facets = "major_category IN ('A', 'R') AND institutional_policy IN ('Allowed', 'Restricted')"
+
+    def part(name: str, key: str, first: str, second: str, where: str = "true") -> str:
+        group = f"GROUP BY {key}" if not key.startswith("'") else ""
+        return (f"SELECT '{name}' AS report, {key} AS key, COUNT(*) AS students, {first} AS first_figure, "
+                f"{second} AS second_figure FROM students WHERE {where} {group}")
+
+    def avg(c: str, digits: int) -> str:
+        return f"ROUND(AVG({c}), {digits})"
+
+    def pct(c: str) -> str:
+        return f"ROUND(100.0 * AVG({c}), 2)"
+
+    parts = [
+        part("summary", "'all'", avg("weekly_genai_hours", 2), avg("anxiety_level_during_exams", 2), facets),
+        part("band", "ai_usage_band", avg("gpa_change", 3), avg("perceived_ai_dependency", 2)),
+        part("band filtered", "ai_usage_band", avg("skill_retention_score", 2), pct("high_burnout_flag"), facets),
+        part("skill", "prompt_engineering_skill", avg("tool_diversity", 2), pct("strong_retention_flag")),
+        part("policy", "institutional_policy", pct("high_burnout_flag"), pct("high_dependency_flag")),
+        part("use case", "primary_use_case", avg("weekly_genai_hours", 2), avg("skill_retention_score", 2)),
+        "SELECT 'rank', major_category || '|' || ai_usage_band, students, change, CAST(place AS DOUBLE) FROM ranked "
+        "WHERE place <= 3",
+        part("burnout", "ai_usage_band || '|' || burnout_risk_level", "NULL::DOUBLE", "NULL::DOUBLE"),
+    ]
+    return f"""WITH {STUDENTS}, bands AS (
+    SELECT major_category, ai_usage_band, COUNT(*) AS students, ROUND(AVG(gpa_change), 3) AS change
+    FROM students GROUP BY major_category, ai_usage_band),
+ranked AS (SELECT *, RANK() OVER (PARTITION BY major_category ORDER BY change DESC) AS place FROM bands)
+""" + "\nUNION ALL ".join(parts)
+
+
 ORACLE_SQL: dict[str, str] = {
     # flights ------------------------------------------------------------------------
     "carrier_comparison": f"""WITH {SHIPMENTS}, {AIRLINES}
@@ -319,6 +407,13 @@ ORDER BY f.arr_delay DESC NULLS LAST, f.carrier, f.flight, f.line LIMIT 10""",
 SELECT bin, CAST(-60 + bin * 5.0 AS DOUBLE) AS bin_lo, CAST(-60 + (bin + 1) * 5.0 AS DOUBLE) AS bin_hi,
        COUNT(*) AS flights
 FROM binned GROUP BY bin ORDER BY bin""",
+    "delay_histogram_all_bins": f"""WITH {SHIPMENTS}, binned AS (
+    SELECT CAST(LEAST(FLOOR((dep_delay - (-60)) / 5.0), 59) AS INTEGER) AS bin FROM shipments
+    WHERE {_delay_where('dep_delay')} AND dep_delay BETWEEN -60 AND 240),
+axis AS (SELECT CAST(range AS INTEGER) AS bin FROM range(60))
+SELECT axis.bin, CAST(-60 + axis.bin * 5.0 AS DOUBLE) AS bin_lo, CAST(-60 + (axis.bin + 1) * 5.0 AS DOUBLE) AS bin_hi,
+       COUNT(binned.bin) AS flights
+FROM axis LEFT JOIN binned ON axis.bin = binned.bin GROUP BY axis.bin ORDER BY axis.bin""",
     "origin_share": f"""WITH {SHIPMENTS}, f AS (SELECT * FROM shipments WHERE {_delay_where('arr_delay')})
 SELECT origin, COUNT(*) AS flights, ROUND(100.0 * COUNT(*) / (SELECT COUNT(*) FROM f), 2)::DOUBLE AS share_pct
 FROM f GROUP BY origin ORDER BY flights DESC, origin""",
@@ -625,6 +720,10 @@ SELECT origin, COUNT(*) AS late, MAX(arr_delay) AS worst FROM shipments WHERE ar
                             "WHERE NOT (v.version >= 2 AND o_orderkey % 7 = 1) AND NOT (v.version = 3 AND o_orderkey % 7 = 2)",
     "csv_text_round_trip": f"WITH {SPACED_DOCS} SELECT doc_id, text FROM spaced",
     "ingest_validation": _student_validation(),
+    "ingest_types": _ingest_types(),
+    "infer_types": _infer_types(),
+    "report_cube": _report_cube(),
+    "ordered_export": f"WITH {STUDENTS} SELECT {_DETAIL} FROM students WHERE {_STUDENT_WHERE}",
     "cleaned_row_count": f"WITH {STUDENTS} SELECT COUNT(*) AS cleaned_rows FROM students",
     "csv_round_trip": f"WITH {GEMS} SELECT * FROM gems",
 }

@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from scrubjay.functions.inference import narrowest, shared_bits
 from scrubjay.functions.quantiles import exact_quantiles, key_table, select_keys, value_key
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
@@ -161,14 +162,15 @@ def write_raw_csv(df: DataFrame, path: str) -> str:
 
 
 class Ingest(NamedTuple):
-    """What an ingest wrote: the cleaned table, the rows it refused, and the audit."""
+    """What an ingest wrote: the cleaned table, the rows it refused, the audit, and (if asked for) the columns' types."""
 
     table: DataFrame
     rejects: DataFrame
     audit: DataFrame
+    types: dict[str, str]
 
 
-def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
+def ingest_students(spark: SparkSession, csv_path: str, path: str, infer: bool = False) -> Ingest:
     """CSV -> snake_case -> cast -> reject -> clean -> save, below ``path``.
 
     Every column is read as text (no inference pass), once: one job casts, routes and writes all rows, refused ones as
@@ -176,7 +178,8 @@ def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
     id is missing or no number is refused; it never meets the dedup. What the saved table holds is observed during its own
     write. The audit is long, ``(item, column_name, rows)``: input, rejected, duplicate and kept rows, which add up; per
     column the nulls of the input, the values that failed their cast, and the nulls that are left in the saved table
-    because no fill covers the column. Both tables are versioned, so a failed ingest leaves the former ones.
+    because no fill covers the column. With ``infer`` the same pass finds each column's narrowest type that no value
+    fails, to hold against the cast plan. Both tables are versioned, so a failed ingest leaves the former ones.
     """
     text = files.snake_case_columns(files.read_csv(spark, csv_path, multi_line=False))
     cols = text.columns
@@ -187,6 +190,7 @@ def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
     counted = text.observe(
         seen, F.count(F.lit(1)).alias("input"), F.count_if(refused).alias("refused"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
+        *[shared_bits(c).alias(f"bits_{c}") for c in cols if infer],
         *[F.count_if(F.col(c).isNotNull() & cast[c].isNull()).alias(f"bad_{c}") for c in STUDENT_CAST_PLAN])
     routed = cut_lineage(counted.select(
         F.when(refused, "rejects").otherwise("rows").alias("route"), F.when(refused, reason).alias("reject_reason"),
@@ -204,7 +208,8 @@ def ingest_students(spark: SparkSession, csv_path: str, path: str) -> Ingest:
     rows += [("input nulls", c, before[f"null_{c}"]) for c in cols]
     rows += [("failed casts", c, before[f"bad_{c}"]) for c in STUDENT_CAST_PLAN]
     rows += [("nulls left", c, after[f"left_{c}"]) for c in cols]
-    return Ingest(table, rejects, spark.createDataFrame(rows, "item string, column_name string, rows bigint"))
+    return Ingest(table, rejects, spark.createDataFrame(rows, "item string, column_name string, rows bigint"),
+                  {c: narrowest(before[f"bits_{c}"]) for c in cols if infer})
 
 
 def student_validation(df: DataFrame) -> DataFrame:

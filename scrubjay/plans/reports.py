@@ -42,9 +42,9 @@ def delay_by_month(flights: DataFrame, metric: str = "arr_delay", where: Column
 
 
 def delay_histogram(flights: DataFrame, metric: str = "arr_delay", where: Column | None = None,
-                    lo: float = -60, hi: float = 240, bins: int = 60) -> DataFrame:
+                    lo: float = -60, hi: float = 240, bins: int = 60, keep_empty: bool = False) -> DataFrame:
     where = where if where is not None else delay_filter(metric)
-    return analysis.histogram(flights.where(where), metric, lo, hi, bins, name="flights").orderBy("bin")
+    return analysis.histogram(flights.where(where), metric, lo, hi, bins, "flights", keep_empty).orderBy("bin")
 
 
 def origin_share(flights: DataFrame, metric: str = "arr_delay", where: Column | None = None) -> DataFrame:

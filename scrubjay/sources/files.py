@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import uuid
+from collections.abc import Sequence
+
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from scrubjay.functions.inference import cast_inferred, infer_types
 from scrubjay.sources import versions
 
 
@@ -20,8 +26,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              infer: bool = False, multi_line: bool = True) -> DataFrame:
     """CSV scan with a header row; reads back what ``write_csv`` wrote without loss.
 
-    An explicit schema avoids the extra full pass that ``inferSchema`` needs;
-    inference stays available for exploratory reads, and without either every
+    An explicit schema avoids the extra full pass that inference needs; with
+    ``infer`` every column gets the narrowest type that no value fails
+    (``functions.inference``, one aggregate pass), and without either every
     column is text. With ``multi_line`` texts may hold line feeds, but a file is
     then one task; for large texts prefer Parquet, or pass ``multi_line=False``
     where no field holds a line feed.
@@ -29,18 +36,87 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     reader = spark.read.options(**_CSV).options(nullValue=_NULL_MARK, emptyValue="", multiLine=multi_line)
     if schema is not None:
         reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return cast_inferred(rows, infer_types(rows)) if infer and schema is None else rows
+
 
+def write_csv(df: DataFrame, path: str, single_file: bool = False, order: Sequence[str | Column] = ()) -> str:
+    """Write a folder of CSV files with a header row each (no index); with ``single_file``, one file at ``path`` itself.
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """Write with a header row (no index). ``single_file`` only for bounded results."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(**_CSV).options(nullValue="", emptyValue='""').csv(path)
+    With ``order`` the rows are range-partitioned and sorted, so the files in the order of their names hold them in
+    order. A single file is joined from such files (``join_files``), so all the work above it and the
+    formatting keep their tasks. What lies at ``path`` is replaced only once the new file is whole.
+    """
+    out = df.orderBy(*order) if order else df
+    if not single_file:
+        _csv_writer(out, header=True).csv(path)
+        return path
+    spark = df.sparkSession
+    parts = f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
+    _csv_writer(out, header=False).csv(f"{parts}/rows")
+    names = spark.createDataFrame([tuple(df.columns)], ", ".join(f"c{i} string" for i in range(len(df.columns))))
+    _csv_writer(names.coalesce(1), header=False).csv(f"{parts}/head")
+    join_files(spark, [f"{parts}/head", f"{parts}/rows"], path)
+    fs, target = _file_system(spark, parts)
+    fs.delete(target, True)
     return path
 
 
+def _csv_writer(df: DataFrame, header: bool):
+    return df.write.mode("overwrite").options(**_CSV).options(header=header, nullValue="", emptyValue='""')
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+_PART = re.compile(r"part-(\d+)-.*?(?:-c(\d+))?(?:\.|$)")
+
+
+def join_files(spark: SparkSession, folders: Sequence[str], path: str) -> int:
+    """Joins the part files of ``folders``, in their order, to one file at ``path``; returns how many there were.
+
+    HDFS joins files by their blocks (``concat``), so no byte moves. A file system without that gets the
+    bytes copied through a buffer of fixed size by Hadoop's client, which is as slow as one file's writer has to be; there,
+    prefer the folder of parts for a large result. The file appears under its name by a rename.
+    """
+    found = []
+    for folder in folders:
+        fs, at = _file_system(spark, folder)
+        parts = [s.getPath() for s in fs.listStatus(at) if s.getLen() and s.getPath().getName().startswith("part-")]
+        found += sorted(parts, key=lambda p: tuple(int(n or 0) for n in _PART.match(p.getName()).groups()))
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    fs, target = _file_system(spark, path)
+    _, whole = _file_system(spark, f"{path.rstrip('/')}.whole-{uuid.uuid4().hex}")
+    out = fs.create(whole, False)
+    if found:
+        try:
+            out.close()
+            listed = gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(found))
+            for i, part in enumerate(found):
+                listed[i] = part
+            fs.concat(whole, listed)
+        except UnsupportedOperationException:
+            out = fs.create(whole, True)
+            try:
+                for part in found:
+                    piece = fs.open(part)
+                    try:
+                        jvm.org.apache.hadoop.io.IOUtils.copyBytes(piece, out, 1 << 20, False)
+                    finally:
+                        piece.close()
+            finally:
+                out.close()
+    else:
+        out.close()
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(whole, target):
+        raise OSError(f"{path} could not be put in place")
+    return len(found)
+
+
 def save_table(df: DataFrame, path: str | None = None, table: str | None = None,
                partition_by: list[str] | None = None) -> DataFrame:
     """Overwrite a Parquet table (path or catalog name) and return a scan of it.
