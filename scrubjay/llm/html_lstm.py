@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, strings, text_buffers
-from .html_blocks import Leaf, leaves
+from .html_blocks import Leaf, Path, leaf, leaves
 from .textarrays import SIGNS, word_hashes
 
 
@@ -40,7 +40,11 @@ TRAIN_BLOCKS = 96
 NAMES, WORDS = 1024, 2048
 NAME_DIM, WORD_DIM, MEASURES, HIDDEN = 16, 6, 7, 16
 WIDTH = 2 * NAME_DIM + WORD_DIM + MEASURES
+#: How much is held at once: pages a run of the network, its cells (pages times the blocks of the longest; a longer page
+#: runs alone), and characters of html read before labelling.
 PAGES_AT_ONCE = 256
+CELLS = 16_384
+CHARS_AT_ONCE = 4_000_000
 SEED = 7
 
 #: Names that mark main text and names that mark what surrounds it.
@@ -55,15 +59,24 @@ _PLAIN = ("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod
           "magna aliqua").split()
 
 
-def weak_label(path: tuple[str, ...], has_main: bool) -> int:
-    if any(n in AROUND for n in path):
-        return 0
-    return int(any(n in MAIN for n in path)) if has_main else int(any(n in _PROSE for n in path))
+def labelled(page: list[Leaf]) -> list[int]:
+    """What the names on the blocks' paths say; each node of a path is looked at once."""
+    known: dict[Path | None, tuple[bool, bool, bool]] = {None: (False, False, False)}
 
+    def signs(node: Path) -> tuple[bool, bool, bool]:
+        """Whether a name around the block, of main text, of prose is on the path."""
+        new, at = [], node
+        while at not in known:
+            new.append(at)
+            at = at.above
+        for n in reversed(new):
+            known[n] = tuple(old or any(x in kind for x in n.names)
+                             for old, kind in zip(known[n.above], (AROUND, MAIN, _PROSE)))
+        return known[node]
 
-def labelled(page: list[Leaf]) -> list[int]:
-    has_main = any(n in MAIN for leaf in page for n in leaf.path)
-    return [weak_label(leaf.path, has_main) for leaf in page]
+    found = [signs(block.node) for block in page]
+    has_main = any(main for _, main, _ in found)
+    return [int(not around and (main if has_main else prose)) for around, main, prose in found]
 
 
 def compose(texts: list[str], rng: np.random.Generator) -> tuple[list[Leaf], list[int]]:
@@ -87,11 +100,11 @@ def compose(texts: list[str], rng: np.random.Generator) -> tuple[list[Leaf], lis
         for _ in range(int(rng.integers(1, 9))):
             words = some()
             if kind < 0.4:
-                out.append((Leaf(words, (*lead, *box, "ul", "li", "a"), len(words)), 0))
+                out.append((leaf(words, (*lead, *box, "ul", "li", "a"), len(words)), 0))
             elif kind < 0.7:
-                out.append((Leaf(words, (*lead, *box, "p"), 0), 0))
+                out.append((leaf(words, (*lead, *box, "p"), 0), 0))
             else:
-                out.append((Leaf(words, (*lead, *box), len(words) if rng.random() < 0.3 else 0), 0))
+                out.append((leaf(words, (*lead, *box), len(words) if rng.random() < 0.3 else 0), 0))
                 break
         return out
 
@@ -110,7 +123,7 @@ def compose(texts: list[str], rng: np.random.Generator) -> tuple[list[Leaf], lis
         text = pick(texts) if rng.random() < 0.6 else some()
         if rng.random() < 0.2:
             path = (*path, pick(("b", "strong", "em", "a", "span")))
-        rows.append((Leaf(text, path, len(text) if path[-1] == "a" else 0), 1))
+        rows.append((leaf(text, path, len(text) if path[-1] == "a" else 0), 1))
         if rng.random() < 0.08:
             rows += surrounding((*lead, *main))
     for _ in range(int(rng.integers(0, 4))):
@@ -130,34 +143,72 @@ class Inputs:
                 hashed[name] = zlib.crc32(name.encode()) % NAMES
             return hashed[name]
 
-        paths = [[code(n) for n in leaf.path] or [0] for leaf in blocks]
-        self.name_at = np.concatenate([[0], np.cumsum([len(p) for p in paths])]).astype(np.int64)
-        self.names = np.array([n for p in paths for n in p], np.int64)
-        self.last = np.array([p[-1] for p in paths], np.int64)
-        texts = pa.array([leaf.text for leaf in blocks], pa.string())
+        # The nodes of all paths, each after the one above it; a block without names is in one named 0.
+        places: dict[Path, int] = {}
+        above, codes, levels = [-1], [[0]], [0]
+
+        def place(node: Path) -> int:
+            new, at = [], node
+            while at and at not in places:
+                new.append(at)
+                at = at.above
+            for n in reversed(new):
+                places[n] = len(codes)
+                above.append(places[n.above] if n.above else -1)
+                codes.append([code(x) for x in n.names])
+                levels.append(n.level)
+            return places[node]
+
+        self.node = np.array([place(b.node) if b.node.size else 0 for b in blocks], np.int64)
+        self.above, levels = np.array(above, np.int64), np.array(levels, np.int64)
+        order = np.argsort(levels, kind="stable")
+        self.levels = np.split(order, np.flatnonzero(np.diff(levels[order])) + 1)
+        self.name_at = np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int64)
+        self.names = np.array([n for c in codes for n in c], np.int64)
+        self.path_size = np.array([max(b.node.size, 1) for b in blocks], np.int64)
+        self.last = np.array([code(b.node.last) if b.node.size else 0 for b in blocks], np.int64)
+        texts = pa.array([b.text for b in blocks], pa.string())
         found, self.word_at = word_hashes(*text_buffers(texts), SIGNS)
         self.words = (found % np.uint64(WORDS)).astype(np.int64)
         raw, at = text_buffers(texts)
         signs = np.concatenate([[0], np.cumsum(SIGNS[raw])]) if len(raw) else np.zeros(1, np.int64)
         size = np.maximum(np.diff(at), 1)
         spot = np.concatenate([np.arange(n) / max(n - 1, 1) for n in self.sizes]) if len(blocks) else np.zeros(0)
-        linked = np.array([min(1.0, leaf.linked / max(1, len(leaf.text))) for leaf in blocks])
+        linked = np.array([min(1.0, b.linked / max(1, len(b.text))) for b in blocks])
         count = np.diff(self.word_at)
         self.measures = np.column_stack([
             np.log1p(size) / 8, np.log1p(count) / 6, linked, np.diff(signs[at]) / size, spot, 1 - spot,
-            np.minimum(np.diff(self.name_at), 12) / 12]) if len(blocks) else np.zeros((0, MEASURES))
+            np.minimum(self.path_size, 12) / 12]) if len(blocks) else np.zeros((0, MEASURES))
 
-    def mean(self, table: np.ndarray, items: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def total(self, table: np.ndarray, items: np.ndarray, at: np.ndarray) -> np.ndarray:
         count = np.diff(at)
         total = np.zeros((len(count), table.shape[1]), table.dtype)
         full = np.flatnonzero(count)
-        if len(full):
-            total[full] = np.add.reduceat(table[items], at[:-1][full], axis=0) / count[full, None]
+        for i in range(0, len(full), CELLS):
+            part = full[i:i + CELLS]
+            first = at[part[0]]
+            total[part] = np.add.reduceat(table[items[first:at[part[-1] + 1]]], at[part] - first, axis=0)
         return total
 
+    def path_means(self, table: np.ndarray) -> np.ndarray:
+        """The mean over the names on each block's path; a node adds its own names to the sum of the one above."""
+        sums = self.total(table, self.names, self.name_at)
+        for nodes in self.levels[1:]:
+            sums[nodes] += sums[self.above[nodes]]
+        return sums[self.node] / self.path_size[:, None].astype(table.dtype)
+
+    def path_gradients(self, rows: np.ndarray) -> np.ndarray:
+        """The gradient of the names' table for that of ``path_means``."""
+        sums = np.zeros((len(self.above), rows.shape[1]))
+        np.add.at(sums, self.node, rows / self.path_size[:, None])
+        for nodes in self.levels[:0:-1]:
+            np.add.at(sums, self.above[nodes], sums[nodes])
+        return gathered(NAMES, self.names, np.repeat(sums, np.diff(self.name_at), axis=0))
+
     def vectors(self, p: dict[str, np.ndarray]) -> np.ndarray:
-        return np.concatenate([self.mean(p["names"], self.names, self.name_at), p["names"][self.last],
-                               self.mean(p["words"], self.words, self.word_at),
+        words = self.total(p["words"], self.words, self.word_at)
+        words /= np.maximum(np.diff(self.word_at), 1)[:, None].astype(words.dtype)
+        return np.concatenate([self.path_means(p["names"]), p["names"][self.last], words,
                                self.measures.astype(np.float32)], axis=1)
 
     def padded(self) -> tuple[np.ndarray, np.ndarray]:
@@ -178,10 +229,12 @@ def run_lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray, u: np.ndarray, b: n
     h = np.zeros((pages, HIDDEN), np.float32)
     c = np.zeros_like(h)
     out = np.zeros((steps, pages, HIDDEN), np.float32)
-    ahead = x @ w + b
     tape = []
+    span = max(1, CELLS // max(pages, 1))
     for t in range(steps):
-        z = ahead[t] + h @ u
+        if t % span == 0:
+            ahead = x[t:t + span] @ w + b
+        z = ahead[t % span] + h @ u
         gates = sigmoid(z[:, :3 * HIDDEN])
         i, f, o = gates[:, :HIDDEN], gates[:, HIDDEN:2 * HIDDEN], gates[:, 2 * HIDDEN:]
         g = np.tanh(z[:, 3 * HIDDEN:])
@@ -261,8 +314,7 @@ def gradients(p: dict[str, np.ndarray], inputs: Inputs, marks: np.ndarray) -> di
     block = np.zeros_like(flat)
     real = mask[:, :, 0] > 0
     block[spot[real]] = dx[real]
-    count = np.diff(inputs.name_at)
-    g["names"] = gathered(NAMES, inputs.names, np.repeat(block[:, :NAME_DIM] / count[:, None], count, axis=0))
+    g["names"] = inputs.path_gradients(block[:, :NAME_DIM])
     g["names"] += gathered(NAMES, inputs.last, block[:, NAME_DIM:2 * NAME_DIM])
     count = np.diff(inputs.word_at)
     g["words"] = gathered(WORDS, inputs.words, np.repeat(block[:, 2 * NAME_DIM:2 * NAME_DIM + WORD_DIM]
@@ -297,17 +349,32 @@ def train(pages: list[list[Leaf]]) -> dict[str, np.ndarray]:
 
 
 def main_blocks(p: dict[str, np.ndarray], pages: list[list[Leaf]], hashed: dict[str, int]) -> list[np.ndarray]:
-    """For each page which of its blocks are main text; pages of like size run together."""
+    """For each page which of its blocks are main text; pages of like size run together, a long one alone."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = [i for i in sorted(range(len(pages)), key=lambda i: len(pages[i])) if pages[i]]
-    for at in range(0, len(order), PAGES_AT_ONCE):
-        part = order[at:at + PAGES_AT_ONCE]
+    at = 0
+    while at < len(order):
+        end = at + 1
+        while end < len(order) and end - at < PAGES_AT_ONCE and (end - at + 1) * len(pages[order[end]]) <= CELLS:
+            end += 1
+        part = order[at:end]
         logit, _ = forward(p, Inputs([pages[i] for i in part], hashed))
         for column, i in enumerate(part):
             out[i] = logit[:len(pages[i]), column] > 0
+        at = end
     return out
 
 
+def groups(htmls: pa.Array) -> Iterator[tuple[int, int]]:
+    """Cuts rows into runs of some ``CHARS_AT_ONCE`` bytes of html, at most ``2 * PAGES_AT_ONCE`` rows each."""
+    _, at = text_buffers(htmls)
+    start = 0
+    for i in range(len(htmls)):
+        if i + 1 == len(htmls) or i + 1 - start == 2 * PAGES_AT_ONCE or at[i + 2] - at[start] > CHARS_AT_ONCE:
+            yield start, i + 1 - start
+            start = i + 1
+
+
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> dict[str, np.ndarray]:
     """The labeller, trained on a bounded sample of ``pages``."""
     known = pages.filter(F.col(html_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, html_col)
@@ -325,10 +392,10 @@ def extract(pages: DataFrame, model: dict[str, np.ndarray] | None = None, id_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed: dict[str, int] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 2 * PAGES_AT_ONCE):
-                part = batch.slice(at, 2 * PAGES_AT_ONCE)
+            for at, n in groups(strings(batch.column(2))):
+                part = batch.slice(at, n)
                 blocks = [leaves(t) for t in strings(part.column(2)).to_pylist()]
-                texts = [" ".join(leaf.text for leaf, keep in zip(page, chosen) if keep)
+                texts = [" ".join(b.text for b, keep in zip(page, chosen) if keep)
                          for page, chosen in zip(blocks, main_blocks(held.value, blocks, hashed))]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()),
                                        pa.array([len(t) for t in texts], pa.int64())],

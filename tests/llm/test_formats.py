@@ -1,12 +1,14 @@
 import hashlib
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from scrubjay.llm import chat, decontaminate, html_lstm, warc
+from scrubjay.llm import chat, decontaminate, html_blocks, html_lstm, warc
 from scrubjay.llm.html_blocks import leaves
 from scrubjay.session import scratch_path
 from scrubjay.sources.tables import load
@@ -176,6 +178,50 @@ def test_unclosed_elements_in_a_page_leave_the_article(spark, labeller):
         assert html_lstm.extract(rows, labeller).first().text == "Title First text. Second text."
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div>x" * 170_000, "x"), ('<a "' * 250_000, '<a "'), ("a <b " * 200_000, "a <b"), ("<![CDATA[" * 110_000, "<![CDATA["),
+    ("<script></script " * 60_000, ""), ("<a \"<b '>" * 100_000, "<a \"<b '>"), ("<svg>" * 200_000, ""),
+    ("<span>x" * 100_000 + "</i>" * 100_000, "x")])
+def test_a_megabyte_of_untidy_markup_is_read_in_seconds(page, text):
+    started = time.monotonic()
+    got = leaves(page)
+    assert time.monotonic() - started < 30
+    assert all(b.text.startswith(text) for b in got) and sum(len(b.text) for b in got) >= (len(got) or 1) * len(text)
+    assert all(len(b.node.nodes()) <= html_blocks.DEPTH + 1 for b in got[-3:])
+
+
+def test_depth_keeps_every_text():
+    n = html_blocks.DEPTH
+    got = leaves("".join(f"<div>t{i}" for i in range(n + 3)) + "</div>after")
+    assert [b.text for b in got] == [*(f"t{i}" for i in range(n + 3)), "after"]
+    assert len(got[n - 1].path) == len(got[n + 2].path) == n and len(got[-1].path) == n - 1
+
+
+def test_long_pages_are_labelled_whole_and_in_bounded_memory(labeller, monkeypatch):
+    """Batches by area and projections by steps change no label; a page of 50,000 blocks needs little memory."""
+    rng = np.random.default_rng(3)
+    pages = [html_lstm.compose(["a b c d e", "f g, h i"], rng)[0] for _ in range(60)]
+    cells = leaves("<main>" + "<table><tr>" + "<td>a word</td>" * 50_000 + "</tr></table></main>")
+    tracemalloc.start()
+    whole = html_lstm.main_blocks(labeller, [*pages, cells], {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400_000_000 and len(whole[-1]) == len(cells) == 50_000
+    monkeypatch.setattr(html_lstm, "CELLS", 7)
+    again = html_lstm.main_blocks(labeller, pages, {})
+    assert all((a == b).all() for a, b in zip(whole, again))
+    alone = [html_lstm.main_blocks(labeller, [p], {})[0] for p in pages]
+    assert all((a == b).all() for a, b in zip(whole, alone))
+
+
+def test_rows_are_read_in_runs_of_bounded_html(monkeypatch):
+    monkeypatch.setattr(html_lstm, "CHARS_AT_ONCE", 10)
+    texts = ["a" * 4, None, "b" * 4, "c" * 4, "", "d" * 50, "e", "f" * 50]
+    got = list(html_lstm.groups(pa.array(texts, pa.string())))
+    assert got == [(0, 3), (3, 2), (5, 1), (6, 1), (7, 1)]
+    assert list(html_lstm.groups(pa.array([], pa.string()))) == []
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     pages = [html_lstm.compose(["a b c d e", "f g, h i"], rng) for _ in range(3)]
