@@ -1,13 +1,15 @@
 """Toxicity from class-conditional Kneser-Ney models.
 
 An expression is a word. Each class (toxic, ordinary) has a Kneser-Ney model that spells words letter by letter, the
-context being the letters so far: a class's own counts are discounted and the mass taken off goes to the counts that
+context being all letters so far, however many: a class's own counts are discounted and the mass taken off goes to the counts that
 both classes share, which in turn back off to a letter's continuation count (before how many beginnings it occurs).
 So an expression that a class has rarely or never seen is scored by its stem, and one that neither class has seen says
 nothing. A text's evidence is its toxic log-likelihood less its ordinary one, normalised by its length in words.
 
 Both log-likelihoods share every factor that only the shared counts decide, so the fitted model keeps, for each known
 beginning of a word, the sum of the differences on the way to it and the difference that any unseen next letter adds.
+A beginning goes by a number got from that of the beginning one letter shorter, so words of any length are counted and
+scored whole in time and rows in proportion to their letters.
 A logistic curve, fitted on labelled texts kept out of the counts, turns the evidence into a score from 0 to 1.
 
 Fitting uses a bounded, hashed sample of the labelled rows (``FIT_ROWS`` rows and ``FIT_CHARS`` characters, expected
@@ -22,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,9 @@ from .common import bounded_sample, each_text, id_remainder, logistic, logistic_
 
 FIT_ROWS = 16_000
 FIT_CHARS = 64_000_000
-#: Letters of context; a word's end counts as a letter.
-ORDER = 9
+#: A beginning's number: that of the one before, times BASE, plus the letter, modulo PRIME. The empty one has 0.
+BASE, PRIME = 1_442_695_040_888_963_407, 2 ** 61 - 1
+END = "\n"
 DISCOUNT = 0.75
 #: Beginnings seen less often in both classes together are left to the backoff.
 LEAST_COUNT = 2
@@ -46,19 +50,48 @@ MEMO_WORDS = 150_000
 _WORD = re.compile(r"\w+")
 
 
+class Node(NamedTuple):
+    """A beginning: its number, that of the one before, its last letter, its length, and its count in each class."""
+
+    begin: int
+    above: int
+    letter: int
+    size: int
+    ordinary: int
+    toxic: int
+
+
+def steps(word: str) -> Iterator[tuple[int, int, int]]:
+    """(number, number of the one before, last letter) of each beginning of a word, its end marked, shortest first."""
+    number = 0
+    for sign in word + END:
+        above, number = number, (number * BASE + ord(sign) + 1) % PRIME
+        yield number, above, ord(sign)
+
+
+def number(begin: str) -> int:
+    """The number of one beginning."""
+    out = 0
+    for sign in begin:
+        out = (out * BASE + ord(sign) + 1) % PRIME
+    return out
+
+
 class Evidence(dict):
     """word -> log-likelihood difference beyond the margin, filled on demand from the model's table of beginnings."""
 
-    def __init__(self, table: dict[str, tuple[float, float]]):
+    def __init__(self, table: dict[int, tuple[float, float]]):
         super().__init__()
         self.table = table
 
     def __missing__(self, word: str) -> float:
-        letters = (word + "\n")[:ORDER]
-        value = 0.0
-        for k in range(len(letters), -1, -1):
-            if (hit := self.table.get(letters[:k])) is not None:
-                value = hit[0] if k == len(letters) else hit[0] + hit[1]
+        value, rest = self.table.get(0, (0.0, 0.0))
+        value += rest
+        known = False
+        for begin, _, letter in steps(word):
+            if (hit := self.table.get(begin)) is not None:
+                known, value = True, hit[0] if letter == ord(END) else hit[0] + hit[1]
+            elif known:  # what continues an unknown beginning is unknown too
                 break
         value = max(value - MARGIN, 0.0) + min(value + MARGIN, 0.0)
         if len(self) >= MEMO_WORDS:
@@ -95,70 +128,91 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["begin", "above", "letter", "size", "ordinary", "toxic"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    rows: list[tuple] = []
+
+    def flush():
+        out = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+        rows.clear()
+        return out
+
+    for batch in batches:
+        counts = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        for word, (ordinary, toxic) in zip(each_text(strings(batch.column(0))), counts):
+            for size, (begin, above, letter) in enumerate(steps(word), 1):
+                rows.append((begin, above, letter, size, ordinary, toxic))
+                if len(rows) >= 20_000:
+                    yield flush()
+    if rows:
+        yield flush()
+
+
 def beginnings(rows: DataFrame) -> DataFrame:
-    """begin, ordinary, toxic: how often a word (its end marked) of each class begins so; ``rows``: text, label."""
+    """A ``Node`` for each beginning: how often a word of each class begins so; ``rows``: text, label."""
     words = rows.select("text", "label").mapInArrow(_count_words, "word string, ordinary long, toxic long")
-    marked = F.substring(F.concat("word", F.lit("\n")), 1, ORDER)
-    cut = words.groupBy(marked.alias("w")).agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    spread = cut.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w")),
-                                              lambda i: F.substring(F.col("w"), F.lit(1), i))).alias("begin"),
-                        "ordinary", "toxic")
-    return spread.groupBy("begin").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).filter(
+    whole = words.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    spelled = whole.mapInArrow(_spell, "begin long, above long, letter int, size int, ordinary long, toxic long")
+    return spelled.groupBy("begin").agg(
+        F.min("above").alias("above"), F.min("letter").alias("letter"), F.min("size").alias("size"),
+        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).filter(
         F.col("ordinary") + F.col("toxic") >= LEAST_COUNT)
 
 
-def kneser_ney(counts: list[tuple[str, int, int]]) -> dict[str, tuple[float, float]]:
-    """begin -> (difference so far, difference of an unseen next letter), from (begin, ordinary, toxic) counts."""
-    count = {b: (o, t) for b, o, t in counts}
-    count[""] = (sum(o for b, o, _ in counts if len(b) == 1), sum(t for b, _, t in counts if len(b) == 1))
-    kinds: dict[str, list[int]] = {b: [0, 0, 0] for b in count}
+def kneser_ney(nodes: list[Node]) -> dict[int, tuple[float, float]]:
+    """begin -> (difference so far, difference of an unseen next letter); the numbers of shorter beginnings come first."""
+    nodes = sorted(nodes, key=lambda n: n.size)
+    count = {n.begin: (n.ordinary, n.toxic) for n in nodes}
+    count[0] = (sum(n.ordinary for n in nodes if n.size == 1), sum(n.toxic for n in nodes if n.size == 1))
+    kinds: dict[int, list[int]] = {b: [0, 0, 0] for b in count}
     continuation: Counter = Counter()
-    for b, (o, t) in count.items():
-        if b and b[:-1] in kinds:
-            k = kinds[b[:-1]]
-            k[0] += o > 0
-            k[1] += t > 0
-            k[2] += 1
-            continuation[b[-1]] += 1
+    # A beginning is counted at least as often as what continues it, so the one above is always there.
+    for n in nodes:
+        k = kinds[n.above]
+        k[0] += n.ordinary > 0
+        k[1] += n.toxic > 0
+        k[2] += 1
+        continuation[n.letter] += 1
     letters = sum(continuation.values()) + 1
-    table = {"": (0.0, 0.0)}
-    # A parent is counted at least as often as its children, so it is always there, and it comes first by length.
-    for b in sorted(count, key=len):
-        own = count[b]
-        so_far = 0.0
-        if b:
-            above, k = count[b[:-1]], kinds[b[:-1]]
-            pooled = sum(above)
-            shared = (max(sum(own) - DISCOUNT, 0) + DISCOUNT * k[2] * (continuation[b[-1]] + 1) / letters) / pooled
-            p = [(max(own[c] - DISCOUNT, 0) + DISCOUNT * max(k[c], 1) * shared) / above[c] if above[c] else shared
-                 for c in (0, 1)]
-            so_far = table[b[:-1]][0] + float(np.log(p[1] / p[0]))
-        rest = [DISCOUNT * max(kinds[b][c], 1) / own[c] if own[c] else 1.0 for c in (0, 1)]
-        table[b] = (so_far, float(np.log(min(rest[1], 1.0) / min(rest[0], 1.0))) if not b.endswith("\n") else 0.0)
+
+    def unseen(begin: int) -> float:
+        own = count[begin]
+        rest = [DISCOUNT * max(kinds[begin][c], 1) / own[c] if own[c] else 1.0 for c in (0, 1)]
+        return float(np.log(min(rest[1], 1.0) / min(rest[0], 1.0)))
+
+    table = {0: (0.0, unseen(0))}
+    for n in nodes:
+        own, above, k = count[n.begin], count[n.above], kinds[n.above]
+        shared = (max(sum(own) - DISCOUNT, 0) + DISCOUNT * k[2] * (continuation[n.letter] + 1) / letters) / sum(above)
+        p = [(max(own[c] - DISCOUNT, 0) + DISCOUNT * max(k[c], 1) * shared) / above[c] if above[c] else shared
+             for c in (0, 1)]
+        table[n.begin] = (table[n.above][0] + float(np.log(p[1] / p[0])),
+                          0.0 if n.letter == ord(END) else unseen(n.begin))
     return table
 
 
-def telling(table: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
+def telling(table: dict[int, tuple[float, float]], nodes: list[Node]) -> dict[int, tuple[float, float]]:
     """The beginnings that decide a word's evidence: those beyond the margin, and all that continue one of them.
 
     A word whose known beginnings are all within the margin has no evidence, with or without them in the table.
     """
-    kept: dict[str, tuple[float, float]] = {}
-    for b in sorted(table, key=len):
+    kept: dict[int, tuple[float, float]] = {}
+    for b, above in [(0, None), *((n.begin, n.above) for n in sorted(nodes, key=lambda n: n.size))]:
         so_far, rest = table[b]
-        if abs(so_far) > MARGIN or abs(so_far + rest) > MARGIN or (b and b[:-1] in kept):
+        if abs(so_far) > MARGIN or abs(so_far + rest) > MARGIN or above in kept:
             kept[b] = (so_far, rest)
     return kept
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id") -> tuple[dict[str, tuple[float, float]], np.ndarray]:
+def fit(labelled: DataFrame, id_col: str = "doc_id") -> tuple[dict[int, tuple[float, float]], np.ndarray]:
     """The table of beginnings and the calibration, from rows with columns ``id_col``, text and label (0 or 1)."""
     rows = saved(labelled.filter("text IS NOT NULL AND label IN (0, 1)").select(
         F.col("text"), F.col("label").cast("int").alias("label"),
         (F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(CALIBRATE_ONE_IN)) == 0).alias("calibrate")), "toxic-fit")
     counted = beginnings(rows.filter("NOT calibrate")).toArrow()
-    table = telling(kneser_ney(list(zip(counted["begin"].to_pylist(), counted["ordinary"].to_pylist(),
-                                        counted["toxic"].to_pylist()))))
+    nodes = [Node(*row) for row in zip(*(counted[c].to_pylist() for c in Node._fields))]
+    table = telling(kneser_ney(nodes), nodes)
     held = rows.sparkSession.sparkContext.broadcast(table)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +246,7 @@ def bounded_sample_share(df: DataFrame, key: str, share: float) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
-def score(docs: DataFrame, model: tuple[dict[str, tuple[float, float]], np.ndarray], column: str = "score",
+def score(docs: DataFrame, model: tuple[dict[int, tuple[float, float]], np.ndarray], column: str = "score",
           text_col: str = "text") -> DataFrame:
     """``docs`` with one more double column; a column of that name is replaced."""
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -49,10 +49,17 @@ def test_logistic_fit():
     assert logistic_fit(np.zeros((0, 2)), np.zeros(0)).tolist() == [0, 0, 0]
 
 
+def nodes(counts):
+    """The nodes of beginnings given as (text, ordinary, toxic)."""
+    n = toxicity.number
+    return [toxicity.Node(n(b), n(b[:-1]), ord(b[-1]), len(b), o, t) for b, o, t in counts]
+
+
 def test_kneser_ney_by_hand():
     # Words "ab" (3 ordinary, 1 toxic) and "ac" (2 toxic); ends are marked by a line feed.
     counts = [("a", 3, 3), ("ab", 3, 1), ("ac", 0, 2), ("ab\n", 3, 1), ("ac\n", 0, 2)]
-    table = toxicity.kneser_ney(counts)
+    found = toxicity.kneser_ney(nodes(counts))
+    table = {b: found[toxicity.number(b)] for b, _, _ in counts}
     d = toxicity.DISCOUNT
     kinds = {"a": 1, "b": 1, "c": 1, "\n": 2}
     letters = sum(kinds.values()) + 1
@@ -66,10 +73,42 @@ def test_kneser_ney_by_hand():
 
 def test_unseen_expressions_are_scored_by_their_stem():
     counts = [(w[:k], o, t) for w, o, t in (("vilest\n", 0, 40), ("plain\n", 400, 300)) for k in range(1, len(w) + 1)]
-    evidence = toxicity.Evidence(toxicity.kneser_ney(counts))
+    evidence = toxicity.Evidence(toxicity.kneser_ney(nodes(counts)))
     assert evidence["vilesu"] > 0 and evidence["plain"] == 0 and evidence["xyz"] == 0
 
 
+def test_letters_after_the_ninth_tell_words_apart():
+    words = (("understandable\n", 400, 0), ("understandingmoron\n", 0, 40))
+    counts = {}
+    for w, o, t in words:
+        for k in range(1, len(w) + 1):
+            a, b = counts.get(w[:k], (0, 0))
+            counts[w[:k]] = (a + o, b + t)
+    found = nodes([(b, o, t) for b, (o, t) in counts.items()])
+    table = toxicity.kneser_ney(found)
+    for evidence in (toxicity.Evidence(table), toxicity.Evidence(toxicity.telling(table, found))):
+        assert evidence["understandingmoron"] > 1 and evidence["understandable"] <= 0
+        assert evidence["understandingmorons"] > 1
+
+
+def test_beginnings_equal_plain_counts_and_long_words_are_whole(spark):
+    texts = [("the then other", 0), ("the THE x" + "y" * 30, 1), ("x" + "y" * 30 + "z", 0), ("w" * 200_000, 0),
+             ("w" * 200_000, 1)]
+    got = {(r.begin, r.above, r.letter, r.size): (r.ordinary, r.toxic) for r in toxicity.beginnings(
+        spark.createDataFrame(texts, "text string, label int").repartition(3)).collect()}
+    want, n = {}, toxicity.number
+    for text, label in texts[:3]:
+        for w in text.lower().split():
+            for k in range(1, len(w) + 2):
+                b = (w + "\n")[:k]
+                key = (n(b), n(b[:-1]), ord(b[-1]), k)
+                want.setdefault(key, [0, 0])[label] += 1
+    want = {k: tuple(v) for k, v in want.items() if sum(v) >= toxicity.LEAST_COUNT}
+    long = {k: v for k, v in got.items() if k[2] == ord("w") or k[3] == 200_001}
+    assert len(long) == 200_001 and set(long.values()) == {(1, 1)}
+    assert {k: v for k, v in got.items() if k not in long} == want
+
+
 def test_toxicity_held_out_and_odd_texts(spark, docs, labels, odd):
     model = toxicity.fit(toxicity.sampled_labels(docs, labels, "toxic", 10_000, 10**8, 3, 1))
     scored = toxicity.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").where(id_remainder("doc_id", 3) == 1)
