@@ -4,18 +4,17 @@
 ``BITS`` bits a dimension and ordered along a Hilbert curve, so near vectors tend to have near keys on some curve.
 
 1. Each task counts the keys of its rows on every curve; Spark adds the counts up and sums along each curve, which gives
-   every key's place among all rows. The range partition of the counts by curve and key has no effect: the sum along a
-   curve deals them anew by curve. A curve has at most 2^(DIMS * BITS) keys, so this stays small whatever the number of
-   rows. Keys at even distances form each curve's grid.
-2. A query's window on a curve runs from the grid key ``RUNGS`` rungs below its own key to the one ``RUNGS`` above: at
-   least ``REACH`` of all rows on each side (``LEAST_REACH`` rows if that is more), and all rows that tie at its ends.
-3. The windows of all curves merge: a row is a candidate if it lies in any. Candidates are reranked by their exact
-   Euclidean distance in double precision where they are stored; only each task's best ``k`` for a query move.
-
-Queries are taken in blocks of at most ``QUERY_BLOCK``, which are broadcast; rows are never shuffled or placed by their
-keys, and every task tests all its rows against the windows of every query. Vectors have no
-low-dimensional structure here (their spectrum is flat), so the windows must be wide: recall and the share of rows
-that are reranked are measured in the tests and the README.
+   every key's place among all rows and so the borders of ``RANGES`` ranges of a curve with about equally many rows (at
+   least ``LEAST_RANGE``). A curve has at most 2^(DIMS * BITS) keys, so this stays small whatever the number of rows.
+2. Every row is placed in its key range on each curve: one shuffle by curve and range. A query goes to its own range on
+   each curve and to the two beside it, and nowhere else: its window reaches at least one whole range, a
+   ``RANGES``-th of all rows, to each side. A range is split into blocks of bounded size on both sides (rows and
+   queries), so one key that holds a third of all rows is many tasks.
+3. A block's rows are ranked for its queries by one matrix product, and those that can be among the ``k`` nearest by their
+   exact Euclidean distance in double precision. The windows of all ranges and curves merge: equal findings count once.
+
+The work on one curve is queries times rows times three ``RANGES``-ths. Vectors without low-dimensional structure need
+that many curves and windows that wide; recall and the share of rows reranked are measured in the tests and the README.
 
 Fitting (centre and spread of the projections) uses a bounded, hashed sample of ``FIT_ROWS`` vectors; every row is
 indexed.
@@ -32,19 +31,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - makes pa.compute available
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 from pyspark.sql.window import Window
 
-from .common import bounded_sample
+from .common import bounded_sample, saved
 
-CURVES, DIMS, BITS = 32, 8, 2
-REACH, LEAST_REACH, RUNGS = 1 / 64, 128, 4
+CURVES, DIMS, BITS = 24, 8, 2
+RANGES, LEAST_RANGE = 64, 128
 FIT_ROWS = 20_000
-QUERY_BLOCK = 16_384
-#: Rows that a task compares at once.
-CHUNK = 8_192
+#: A block holds at most about so many vector components of rows, and as many of queries.
+BLOCK_VALUES = 1 << 20
+#: Distances that a task holds at once.
+CHUNK_DISTANCES = 1 << 22
 SEED = 20_250
+_SIZE = 1 << (DIMS * BITS)
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -97,23 +100,19 @@ class Curves:
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id and vector (doubles) of the rows that take part; lengths are checked later."""
-    v = F.col(vector_col).cast("array<double>")
+    """id, vector, digest and number of copies of the distinct rows that take part; lengths are checked later."""
+    kind = vectors.schema[vector_col].dataType
+    exact = isinstance(kind, ArrayType) and isinstance(kind.elementType, (FloatType, DoubleType))
+    v = F.col(vector_col) if exact else F.col(vector_col).cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).filter(
         F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & fine & F.exists("v", lambda x: x != 0))
+    return rows.groupBy("id", "v").agg(F.count("*").alias("copies")).withColumn("h", F.xxhash64("id", "v"))
 
 
-def matrix(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """ids and vectors of the rows of the given width."""
-    ids, lists = np.asarray(batch.column(0)), batch.column(1)
-    sizes = np.asarray(lists.value_lengths().fill_null(0))
-    flat = np.asarray(lists.flatten(), dtype=np.float64)
-    if np.all(sizes == width):
-        return ids, flat.reshape(-1, width)
-    ends = np.cumsum(sizes)
-    keep = np.flatnonzero(sizes == width)
-    return ids[keep], np.array([flat[ends[i] - width:ends[i]] for i in keep]).reshape(-1, width)
+def matrix(lists: pa.Array, width: int) -> np.ndarray:
+    """The vectors of a column of lists of one width."""
+    return np.asarray(lists.flatten(), dtype=np.float64).reshape(-1, width)
 
 
 def best(ids: np.ndarray, distance: np.ndarray, k: int) -> np.ndarray:
@@ -125,120 +124,179 @@ def best(ids: np.ndarray, distance: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, distance))[:k]
 
 
-def grids(rows: DataFrame, curves: Curves, total: int) -> list[np.ndarray]:
-    """The sorted grid keys of each curve."""
+class Ranges:
+    """Each curve's ranges: the first key of each, and for each cell (curve and range) its blocks of rows and of queries."""
+
+    def __init__(self, curves: Curves, found: pa.Table):
+        self.curves = curves
+        curve, first, rows = (np.asarray(found[c]) for c in ("curve", "first", "rows"))
+        self.borders, sizes = [], np.zeros((CURVES, RANGES + 2), np.int64)
+        for c in range(CURVES):
+            own = np.flatnonzero(curve == c)
+            own = own[np.argsort(first[own])]
+            self.borders.append(first[own])
+            sizes[c, :len(own)] = rows[own]
+        self.block = max(256, BLOCK_VALUES // curves.width)
+        self.row_blocks = -(-sizes.ravel() // self.block)
+        self.query_blocks = np.zeros_like(self.row_blocks)
+
+    def cells(self, x: np.ndarray) -> np.ndarray:
+        """(CURVES, n) cells of the vectors' keys."""
+        keys = self.curves.keys(x)
+        return np.stack([c * (RANGES + 2) + np.maximum(np.searchsorted(b, keys[c], "right") - 1, 0)
+                         for c, b in enumerate(self.borders)])
+
+    def window(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(positions, cells) of the vectors whose window meets a cell: the own range and both beside it."""
+        for c, cells in enumerate(self.cells(x)):
+            at = cells - c * (RANGES + 2)
+            for step in (-1, 0, 1):
+                inside = np.flatnonzero((at + step >= 0) & (at + step < len(self.borders[c])))
+                yield inside, cells[inside] + step
+
+
+def fitted_ranges(rows: DataFrame, curves: Curves, total: int) -> Ranges:
+    """The ranges of every curve, from counts of all rows' keys."""
     held = rows.sparkSession.sparkContext.broadcast(curves)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = 1 << (BITS * DIMS)
-        table = np.zeros((CURVES, size), np.int64)
+        table = np.zeros((CURVES, _SIZE), np.int64)
         for batch in batches:
-            _, x = matrix(batch, held.value.width)
-            for c, keys in enumerate(held.value.keys(x)):
-                table[c] += np.bincount(keys, minlength=size)
+            for c, keys in enumerate(held.value.keys(matrix(batch.column(0), held.value.width))):
+                table[c] += np.bincount(keys, minlength=_SIZE)
         for c in range(CURVES):
             keys = np.flatnonzero(table[c])
             yield pa.record_batch([pa.array(np.full(len(keys), c), pa.int32()), pa.array(keys, pa.int64()),
                                    pa.array(table[c][keys])], names=["curve", "key", "n"])
 
-    step = max(1, -(-max(LEAST_REACH, int(total * REACH)) // RUNGS))
-    counts = (rows.mapInArrow(count, "curve int, key long, n long").groupBy("curve", "key").agg(F.sum("n").alias("n"))
-              .repartitionByRange("curve", "key"))
-    along = Window.partitionBy("curve").orderBy("key")
-    place = F.sum("n").over(along)
-    rungs = (counts.withColumn("place", place)
-             .filter(F.floor(F.col("place") / step) > F.floor((F.col("place") - F.col("n")) / step))
-             .select("curve", "key").toPandas())
-    return [np.sort(rungs.loc[rungs["curve"] == c, "key"].to_numpy(np.int64)) for c in range(CURVES)]
-
-
-def windows(keys: np.ndarray, grid: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(CURVES, n) first and last keys of the windows around ``keys``."""
-    low, high = np.full_like(keys, -1), np.full_like(keys, np.iinfo(np.int64).max)
-    for c, rungs in enumerate(grid):
-        below = np.searchsorted(rungs, keys[c], "left") - RUNGS - 1
-        above = np.searchsorted(rungs, keys[c], "right") + RUNGS
-        inner = below >= 0
-        low[c, inner] = rungs[below[inner]]
-        inner = above < len(rungs)
-        high[c, inner] = rungs[above[inner]]
-    return low, high
-
-
-class Block:
-    """Queries with their windows, and the nearest rows found so far in one task."""
-
-    def __init__(self, ids: np.ndarray, x: np.ndarray, low: np.ndarray, high: np.ndarray):
-        self.ids, self.x, self.low, self.high = ids, x, low, high
-
-    def search(self, chunks: Iterator[tuple[np.ndarray, np.ndarray]], curves: Curves, k: int):
-        """(query row, ids, distances) of each query's nearest candidates among ``chunks`` of (ids, vectors)."""
-        held_ids = [np.zeros(0, np.int64)] * len(self.ids)
-        held = [np.zeros(0)] * len(self.ids)
-        for ids, x in chunks:
-            keys = curves.keys(x)
-            order = np.argsort(keys, axis=1, kind="stable")
-            start = np.empty(self.low.shape, np.int64)
-            stop = np.empty(self.low.shape, np.int64)
-            for c in range(CURVES):
-                ranked = keys[c, order[c]]
-                start[c] = np.searchsorted(ranked, self.low[c], "left")
-                stop[c] = np.searchsorted(ranked, self.high[c], "right")
-            inside = np.zeros(len(ids), bool)
-            for q in range(len(self.ids)):
-                inside[:] = False
-                for c in range(CURVES):
-                    inside[order[c, start[c, q]:stop[c, q]]] = True
-                found = np.flatnonzero(inside)
-                found = found[ids[found] != self.ids[q]]
-                if not len(found):
-                    continue
-                apart = np.sqrt(((x[found] - self.x[q]) ** 2).sum(axis=1))
-                near = best(ids[found], apart, k)
-                all_ids = np.concatenate([held_ids[q], ids[found[near]]])
-                all_apart = np.concatenate([held[q], apart[near]])
-                top = best(all_ids, all_apart, k)
-                held_ids[q], held[q] = all_ids[top], all_apart[top]
-        for q in range(len(self.ids)):
-            if len(held[q]):
-                yield q, held_ids[q], held[q]
+    step = max(LEAST_RANGE, -(-total // RANGES))
+    counts = rows.select("v").mapInArrow(count, "curve int, key long, n long").groupBy("curve", "key").agg(
+        F.sum("n").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("curve").orderBy("key")) - F.col("n")
+    return Ranges(curves, counts.withColumn("range", F.floor(before / step)).groupBy("curve", "range").agg(
+        F.min("key").alias("first"), F.sum("n").alias("rows")).toArrow())
+
+
+def placed_rows(rows: DataFrame, ranges: Ranges) -> DataFrame:
+    """Each row once for each curve, in the blocks of its range that have queries."""
+    held = rows.sparkSession.sparkContext.broadcast(ranges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        for batch in batches:
+            mixed = np.asarray(batch.column("h")).view(np.uint64)
+            for cells in own.cells(matrix(batch.column("v"), own.curves.width)):
+                asked = np.flatnonzero(own.query_blocks[cells] > 0)
+                cell = cells[asked]
+                part = mixed[asked] % own.row_blocks[cell].astype(np.uint64)
+                yield pa.record_batch([*batch.take(pa.array(asked)).columns, pa.array(cell), pa.array(part.astype(np.int64)),
+                                       pa.array(own.query_blocks[cell])], names=[*batch.schema.names, "cell", "rb", "n"])
+
+    kind = rows.schema["v"].dataType.simpleString()
+    out = rows.select("id", "v", "copies", "h").mapInArrow(
+        run, f"id long, v {kind}, copies long, h long, cell long, rb long, n long")
+    return out.select("id", "v", "copies", "h", "cell", "rb", F.explode(F.sequence(F.lit(1), "n")).alias("qb"))
+
+
+def query_counts(queries: DataFrame, ranges: Ranges) -> np.ndarray:
+    """How many queries go to each cell."""
+    held = queries.sparkSession.sparkContext.broadcast(ranges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        table = np.zeros(len(own.row_blocks), np.int64)
+        for batch in batches:
+            for _, cells in own.window(matrix(batch.column(0), own.curves.width)):
+                table += np.bincount(cells, minlength=len(table))
+        hit = np.flatnonzero(table)
+        yield pa.record_batch([pa.array(hit), pa.array(table[hit])], names=["cell", "n"])
+
+    found = queries.select("v").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(ranges.row_blocks), np.int64)
+    out[np.asarray(found["cell"])] = np.asarray(found["n"])
+    return out
+
+
+def placed_queries(queries: DataFrame, ranges: Ranges) -> DataFrame:
+    """Each query in every row block of the ranges that its windows meet."""
+    held = queries.sparkSession.sparkContext.broadcast(ranges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        for batch in batches:
+            mixed = np.asarray(batch.column("h")).view(np.uint64)
+            for asked, cell in own.window(matrix(batch.column("v"), own.curves.width)):
+                part = mixed[asked] % own.query_blocks[cell].astype(np.uint64)
+                yield pa.record_batch([*batch.take(pa.array(asked)).columns, pa.array(cell),
+                                       pa.array(part.astype(np.int64) + 1), pa.array(own.row_blocks[cell])],
+                                      names=[*batch.schema.names, "cell", "qb", "n"])
+
+    kind = queries.schema["v"].dataType.simpleString()
+    out = queries.select("id", "v", "h").mapInArrow(run, f"id long, v {kind}, h long, cell long, qb long, n long")
+    return out.select("id", "v", "h", "cell", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("rb"), "qb")
+
+
+_FOUND = "query_id long, query_h long, vec_id long, h long, score double, copies long"
+
+
+def rerank(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
+    """Each query's ``k`` nearest among the rows of its block."""
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.float64(), pa.int64()]
+    parts: list[list[np.ndarray]] = [[np.zeros(0, t.to_pandas_dtype())] for t in kinds]
+    if rows.num_rows and queries.num_rows:
+        width = len(rows["v"][0])
+        x, asked = (matrix(t["v"].combine_chunks(), width) for t in (rows, queries))
+        ids, h, copies = (np.asarray(rows[c]) for c in ("id", "h", "copies"))
+        own, own_h = np.asarray(queries["id"]), np.asarray(queries["h"])
+        square = (x ** 2).sum(axis=1)
+        step = max(1, CHUNK_DISTANCES // len(x))
+        for at in range(0, len(asked), step):
+            part = asked[at:at + step]
+            # Squared distances but for rounding, which is far below ``slack``.
+            most = (part ** 2).sum(axis=1)
+            rough = square - 2 * (part @ x.T) + most[:, None]
+            slack = 1e-9 * (most + square.max())
+            rough[own[at:at + step, None] == ids] = np.inf
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if k < len(ids) else np.full(len(part), np.inf)
+            for i, q in enumerate(range(at, at + len(part))):
+                bound = limit[i] + 2 * slack[i]
+                # Squares beyond a double's range leave no bound, so that all rows are measured.
+                near = np.flatnonzero((rough[i] <= bound) | ~np.isfinite(bound))
+                near = near[ids[near] != own[q]]
+                apart = np.sqrt(((x[near] - asked[q]) ** 2).sum(axis=1))
+                top = best(ids[near], apart, k)
+                near = near[top]
+                for held, new in zip(parts, (np.full(len(near), own[q]), np.full(len(near), own_h[q]), ids[near], h[near],
+                                             apart[top], copies[near])):
+                    held.append(new)
+    return pa.table({n: pa.array(np.concatenate(p), t) for n, p, t in zip(names, parts, kinds)})
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id",
             vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score (the distance) of the ``k`` nearest rows of ``vectors`` found for each query."""
     spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
-    asked = usable(queries, id_col, vector_col)
-    sample = bounded_sample(rows, "id", FIT_ROWS).toArrow()
-    result = "query_id long, vec_id long, score double"
+    rows = saved(usable(vectors, id_col, vector_col), "ann-rows")
+    sample = bounded_sample(rows.select("id", "v"), "id", FIT_ROWS).toArrow().combine_chunks()
     if not sample.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sizes = np.asarray(sample["v"].combine_chunks().value_lengths())
+    sizes = np.asarray(pa.compute.list_value_length(sample["v"]))
     width = int(np.bincount(sizes).argmax())
-    curves = Curves(matrix(sample.combine_chunks().to_batches()[0], width)[1])
-    rows, asked = rows.filter(F.size("v") == width), asked.filter(F.size("v") == width)
-    counted = rows.count()
-    grid = grids(rows, curves, counted)
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    held_curves, out = spark.sparkContext.broadcast(curves), None
-    for b in range(blocks):
-        part = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).distinct().toArrow()
-        if not part.num_rows:
-            continue
-        ids, x = matrix(part.combine_chunks().to_batches()[0], width)
-        held = spark.sparkContext.broadcast(Block(ids, x, *windows(curves.keys(x), grid)))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            chunks = (matrix(batch.slice(at, CHUNK), width) for batch in batches
-                      for at in range(0, batch.num_rows, CHUNK))
-            for q, near, apart in held.value.search(chunks, held_curves.value, k):
-                yield pa.record_batch([pa.array(np.full(len(near), held.value.ids[q])), pa.array(near),
-                                       pa.array(apart)], names=["query_id", "vec_id", "score"])
-
-        found = rows.mapInArrow(run, result)
-        out = found if out is None else out.unionAll(found)
-    if out is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    curves = Curves(matrix(sample.filter(pa.array(sizes == width))["v"].combine_chunks(), width))
+    rows = rows.filter(F.size("v") == width)
+    asked = saved(usable(queries, id_col, vector_col).filter(F.size("v") == width), "ann-queries")
+    ranges = fitted_ranges(rows, curves, rows.count())
+    ranges.query_blocks = -(-query_counts(asked, ranges) // ranges.block)
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        return rerank(left, right, k)
+
+    block = ("cell", "rb", "qb")
+    found = placed_rows(rows, ranges).groupBy(*block).cogroup(placed_queries(asked, ranges).groupBy(*block)).applyInArrow(
+        search, _FOUND)
+    merged = found.repartition("query_id").groupBy("query_id", "query_h", "vec_id", "h").agg(
+        F.min("score").alias("score"), F.max("copies").alias("copies"))
+    each = merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return out.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return each.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

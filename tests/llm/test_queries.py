@@ -85,13 +85,49 @@ def test_recall_against_brute_force(spark, monkeypatch):
     y = x.astype(np.float64)
     for q, found in got.items():
         near, apart = exact(ids, y, q // 3)
-        assert sorted(found) == list(range(1, 14))
+        assert sorted(found) == list(range(1, 11))
         assert all(abs(apart[v // 3] - s) < 1e-12 for v, s in found.values())
         assert [found[i][1] for i in range(1, 11)] == sorted(s for _, s in found.values())
         hits.append(len({v for v, _ in found.values()} & set(ids[near].tolist())))
     assert np.mean(hits) >= 9.0
 
 
+def test_recall_on_clustered_vectors(spark):
+    rng = np.random.default_rng(3)
+    x = (rng.standard_normal((40, 32))[rng.integers(0, 40, 6000)] * 3 + rng.standard_normal((6000, 32))).astype(np.float32)
+    ids = np.arange(6000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    y, hits = x.astype(np.float64), []
+    found = ann.nearest(df, df.where("vec_id % 100 = 0")).toPandas().groupby("query_id")["vec_id"].apply(set)
+    for q, near in found.items():
+        hits.append(len(near & set(ids[exact(ids, y, q)[0]].tolist())))
+    assert len(hits) == 60 and np.mean(hits) >= 9.0
+
+
+def test_rows_are_placed_in_ranges_and_a_hot_key_is_split(spark, monkeypatch):
+    """A third of the rows are one vector: its range becomes blocks, and the result is that of whole ranges."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 8))
+    x[::3] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 5 = 0")
+    whole = sorted(map(tuple, ann.nearest(df, asked).collect()))
+    monkeypatch.setattr(ann, "BLOCK_VALUES", 1)
+    rows = ann.usable(df, "vec_id", "embedding")
+    ranges = ann.fitted_ranges(rows, ann.Curves(x), 3000)
+    queries = ann.usable(asked, "vec_id", "embedding")
+    counts = ann.query_counts(queries, ranges)
+    ranges.query_blocks = -(-counts // ranges.block)
+    assert ranges.row_blocks.max() >= 4 and ranges.query_blocks.max() >= 2
+    placed = ann.placed_rows(rows, ranges).groupBy("cell", "rb", "qb").count().toPandas()
+    hot = placed[placed["cell"] == int(np.argmax(ranges.row_blocks))]
+    assert hot["count"].max() <= 2 * ranges.block
+    # On every curve each row is in one range and meets each of its query blocks once.
+    once = ann.placed_rows(rows, ranges).select("id", "cell").distinct().groupBy("id").count().toPandas()["count"]
+    assert once.min() >= 1 and once.max() <= ann.CURVES
+    assert sorted(map(tuple, ann.nearest(df, asked).collect())) == whole
+
+
 def test_neighbours_with_ties_and_odd_vectors(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same) for i in range(0, 300)] + [(1000, None), (1001, [0.0, 0.0, 0.0]), (1002, [1.0, None, 2.0]),
