@@ -55,6 +55,25 @@ def bounded_sample(df: DataFrame, key: str, rows: int, salt: int = 17) -> DataFr
     return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 30)) < share)
 
 
+def filled(sizes: dict, bound: float) -> dict:
+    """Each label's share within a bound on all of them together: small labels whole, the rest split evenly."""
+    out, rest = {}, float(bound)
+    order = sorted(sizes, key=lambda label: (sizes[label], str(label)))
+    for at, label in enumerate(order):
+        take = min(float(sizes[label]), rest / (len(order) - at))
+        out[label] = take / sizes[label] if sizes[label] else 1.0
+        rest -= take
+    return out
+
+
+def sample_by_label(df: DataFrame, key: str, label: str, shares: dict, salt: int = 17) -> DataFrame:
+    """The rows of ``df`` whose hash of ``key`` is within their label's share: the same rows on every run."""
+    if all(share >= 1 for share in shares.values()):
+        return df
+    limits = F.create_map(*(F.lit(x) for name, share in shares.items() for x in (name, int(min(share, 1) * (1 << 30)))))
+    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(1 << 30)) < F.try_element_at(limits, F.col(label)))
+
+
 def strings(column: pa.Array) -> pa.StringArray:
     """A contiguous plain string array."""
     if isinstance(column, pa.ChunkedArray):

@@ -5,8 +5,8 @@ first: the first length of which any n-gram is known decides, by the mean of the
 the largest sum wins; its share of the normalised likelihoods is the score.
 
 The tables are counted on a bounded, hashed sample of documents with a language (``FIT_ROWS`` rows, ``FIT_CHARS``
-characters, expected values); every word and n-gram seen there often enough is kept, as a sorted 64-bit hash. Prediction
-reads every text whole.
+characters, expected values), drawn by language, so a rare one is learned from all its documents however large the table
+is; every word and n-gram seen there often enough is kept, as a sorted 64-bit hash. Prediction reads every text whole.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text when no language was
 learned; equal sums go to the language that sorts first; a null id trains nothing and is never held out; an empty
@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, each_text, id_remainder, saved, strings
+from .common import each_text, filled, id_remainder, sample_by_label, saved, strings
 from .textarrays import mix
-from .toxicity import bounded_sample_share
 
 FIT_ROWS = 8_000
 FIT_CHARS = 24_000_000
@@ -275,12 +274,17 @@ def fit(rows: DataFrame) -> Tables:
 
 
 def sampled(docs: DataFrame, modulus: int = 4, out: int = 2) -> DataFrame:
-    """text and lang of a bounded sample of the documents that have a language and may be learned from."""
+    """text and lang of a bounded sample of the documents that have a language and may be learned from.
+
+    One grouped count of rows and characters decides each language's share: all of a rare language's documents.
+    """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
                          & (id_remainder("doc_id", modulus) != out)).select("doc_id", "text", "lang")
-    few = bounded_sample(usable, "doc_id", FIT_ROWS)
-    chars = few.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    return bounded_sample_share(few, "doc_id", FIT_CHARS / chars) if chars > FIT_CHARS else few
+    sizes = {r["lang"]: (r["rows"], r["chars"]) for r in usable.groupBy("lang").agg(
+        F.count("*").alias("rows"), F.sum(F.length("text")).alias("chars")).collect()}
+    rows = filled({lang: n for lang, (n, _) in sizes.items()}, FIT_ROWS)
+    chars = filled({lang: rows[lang] * n for lang, (_, n) in sizes.items()}, FIT_CHARS)
+    return sample_by_label(usable, "doc_id", "lang", {lang: rows[lang] * chars[lang] for lang in sizes})
 
 
 def label(docs: DataFrame, tables: Tables, lang_col: str = "lang_pred", score_col: str = "score",

@@ -5,7 +5,8 @@ Two zstandard dictionaries are trained on pieces of good and of bad labelled tex
 two compressed sizes over the text's size is its evidence. A logistic curve fitted on labelled texts kept out of the
 dictionaries turns it into a score from 0 to 1; a second term lets the curve depend on the text's length.
 
-Fitting uses a bounded, hashed sample (``FIT_ROWS`` labelled rows and ``FIT_CHARS`` characters, expected values).
+Fitting uses a bounded, hashed sample (``FIT_ROWS`` labelled rows, and ``FIT_CHARS`` characters of which each class has
+half at most, expected values), drawn by label; the dictionaries are trained on all texts of it that do not calibrate.
 
 Defined results: null and empty texts have evidence 0 and the score that belongs to it; a null id is never held out and
 never trains; a class with too little text for a dictionary gives a constant score; an empty table an empty result.
@@ -25,12 +26,10 @@ from .common import each_text, id_remainder, logistic, logistic_fit, saved, stri
 from .toxicity import sampled_labels
 
 FIT_ROWS = 12_000
-FIT_CHARS = 40_000_000
+FIT_CHARS = 36_000_000
 CALIBRATE_ONE_IN = 3
 PIECE = 2048
 DICTIONARY_BYTES = 96 * 1024
-#: Bytes of each class's pieces that train its dictionary, at most.
-TRAIN_BYTES = 12_000_000
 LEVEL = 3
 
 
@@ -41,12 +40,7 @@ def pieces(text: str) -> list[bytes]:
 
 def train(texts: list[str]) -> bytes:
     """A dictionary of the texts' pieces; empty if there are too few."""
-    parts, held = [], 0
-    for text in texts:
-        for part in pieces(text):
-            if held < TRAIN_BYTES:
-                parts.append(part)
-                held += len(part)
+    parts = [part for text in texts for part in pieces(text)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts, level=LEVEL, k=200, d=8).as_bytes()
     except (zstandard.ZstdError, ValueError):

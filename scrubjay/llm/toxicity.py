@@ -13,7 +13,8 @@ scored whole in time and rows in proportion to their letters.
 A logistic curve, fitted on labelled texts kept out of the counts, turns the evidence into a score from 0 to 1.
 
 Fitting uses a bounded, hashed sample of the labelled rows (``FIT_ROWS`` rows and ``FIT_CHARS`` characters, expected
-values). Scoring reads every text whole.
+values), drawn by label, so a rare class is learned from all its rows however large the table is. Scoring reads every
+text whole.
 
 Defined results: null, empty and wordless texts have evidence 0 and the score that belongs to it; a null id is never
 held out and never trains; without labels of both classes the score is constant; an empty table gives an empty result.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, each_text, id_remainder, logistic, logistic_fit, saved, strings
+from .common import each_text, filled, id_remainder, logistic, logistic_fit, sample_by_label, saved, strings
 
 FIT_ROWS = 16_000
 FIT_CHARS = 64_000_000
@@ -232,18 +233,18 @@ def sampled_labels(docs: DataFrame, labels: DataFrame, label: str, rows: int, ch
                    id_col: str = "doc_id") -> DataFrame:
     """id, text, label of a bounded sample of the labelled documents whose id's remainder is not ``out``.
 
-    The sampled labels (at most about ``rows`` of them) are broadcast, so the documents are read once and not shuffled.
+    About ``rows`` rows in all: a rare label's are all taken, the others share what is left evenly. Each label's texts
+    have about ``chars`` over the number of labels at most. The sampled labels are broadcast, so the documents are read
+    once and not shuffled.
     """
-    known = (labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & (id_remainder(id_col, modulus) != out))
-             .groupBy(F.col(id_col)).agg(F.max(label).alias("label")))
-    few = bounded_sample(known, id_col, rows)
+    known = (labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & (id_remainder(id_col, modulus) != out))
+             .groupBy(F.col(id_col)).agg(F.max(label).cast("int").alias("label")))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    few = sample_by_label(known, id_col, "label", filled(counts, rows))
     found = docs.filter(F.col("text").isNotNull()).select(id_col, "text").join(F.broadcast(few), id_col)
-    mean = found.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
-    return bounded_sample_share(found, id_col, chars / mean) if mean > chars else found
-
-
-def bounded_sample_share(df: DataFrame, key: str, share: float) -> DataFrame:
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(29)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sizes = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.sum(F.length("text")).alias("n")).collect()}
+    each = chars / max(len(sizes), 1)
+    return sample_by_label(found, id_col, "label", {k: min(1.0, each / n) if n else 1.0 for k, n in sizes.items()}, 29)
 
 
 def score(docs: DataFrame, model: tuple[dict[int, tuple[float, float]], np.ndarray], column: str = "score",
