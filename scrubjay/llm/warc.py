@@ -4,7 +4,7 @@ Writing. Each page is one record in a gzip member of its own; members are joined
 ``ARCHIVE_BYTES``. Of the records with equal payloads (of at least ``least_bytes`` bytes) the one with the largest
 page id is the response, and the others are revisit records that hold its id, the payload's length and digest, and no
 payload. Equal payloads are found by an aggregate of digests, so a payload shared by a third of all pages is one row
-there. Spark's text writer puts the archives into the shared folder: its line separator is a NUL byte, and as a gzip
+there, and no page meets others by a digest that many pages share. Spark's text writer puts the archives into the shared folder: its line separator is a NUL byte, and as a gzip
 member ends with the top byte of its size, which is NUL below 16 MiB (an empty member is added otherwise), each file
 is exactly a sequence of gzip members.
 
@@ -34,8 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import saved
+
 ARCHIVE_BYTES = 8 << 20
 LEVEL = 1
+#: Payloads of more than this part of the rows that share one are told to all tasks: fewer than so many.
+HOT_PAYLOADS = 1024
 #: Compressed bytes that are inflated at a time; those of the last time before an error are gone through one by one.
 _FEED = 1 << 16
 _ID = "urn:x-page:"
@@ -82,13 +86,13 @@ def _archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     size = 0
     for batch in batches:
-        ids, urls, texts, shas, heads = (batch.column(i) for i in range(5))
+        ids, urls, texts, shas, heads, sizes = (batch.column(i) for i in range(6))
         for i in range(batch.num_rows):
             page, first = ids[i].as_py(), heads[i].as_py()
             payload = (texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b"")
             sha = base64.b32encode(bytes.fromhex(shas[i].as_py())).decode()
             again = first is not None and page != first
-            held.append(member(record(page, urls[i].as_py(), None if again else payload, len(payload), sha, first)))
+            held.append(member(record(page, urls[i].as_py(), None if again else payload, sizes[i].as_py(), sha, first)))
             size += len(held[-1])
             if size >= ARCHIVE_BYTES:
                 yield flush()
@@ -102,18 +106,33 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, id_col: st
     """Writes every row of ``pages`` to archives below ``path``."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"))
-    rows = rows.withColumn("sha", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
-    shared = (rows.filter(F.octet_length(F.coalesce("html", F.lit(""))) >= least_bytes)
+    payload = F.coalesce("html", F.lit(""))
+    rows = rows.withColumns({"sha": F.sha1(payload.cast("binary")), "size": F.octet_length(payload)})
+    shared = (rows.filter(F.col("size") >= least_bytes)
               .groupBy("sha").agg(F.max("id").alias("first"), F.count("*").alias("n"))
-              .filter("n > 1").select("sha", "first"))
-    if least_bytes:
-        shared = shared.filter("first IS NOT NULL")
-    marked = rows.join(shared, "sha", "left").select("id", "url", "html", "sha", "first")
-    content = marked.mapInArrow(_archives, "content binary")
+              .filter("n > 1" + (" AND first IS NOT NULL" if least_bytes else "")))
+    content = marked(rows, saved(shared, "warc-shared")).mapInArrow(_archives, "content binary")
     (content.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
      .option("lineSep", "\0").option("compression", "none").text(path))
 
 
+def marked(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """``rows`` (id, url, html, sha, size) with the response that their payload refers to, from ``shared`` (sha, first, n).
+
+    Payloads that hold over one in ``HOT_PAYLOADS`` of the rows that share one are fewer than that many, so they are
+    broadcast: their rows are dealt by input partition instead of meeting by digest, and their revisits lose the html
+    before they move. All other payloads are joined by digest.
+    """
+    total = shared.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = shared.filter(F.col("n") > total // HOT_PAYLOADS).select("sha", F.col("first").alias("hot"), F.lit(True).alias("is_hot"))
+    usual = shared.filter(F.col("n") <= total // HOT_PAYLOADS).select(F.col("sha").alias("spot"), "first")
+    told = rows.join(F.broadcast(hot), "sha", "left")
+    html = F.when(F.col("hot").isNotNull() & ~F.col("id").eqNullSafe(F.col("hot")), F.lit(None)).otherwise(F.col("html"))
+    spot = F.when(F.col("is_hot"), F.concat_ws(":", "sha", F.spark_partition_id())).otherwise(F.col("sha"))
+    return told.withColumns({"html": html, "spot": spot}).join(usual, "spot", "left").select(
+        "id", "url", "html", "sha", F.coalesce("hot", "first").alias("first"), "size")
+
+
 class Damaged(ValueError):
     """A record or member that fails a check, with the rows that were recovered from it."""
 
