@@ -165,9 +165,10 @@ class Bins:
                 insort(gaps, (SEQUENCE - self.fill[at], at))
 
     def slots(self, at: int) -> None:
-        """Enters a sequence's pieces (at most SLOTS of them take part in exchanges) into the table of all sequences."""
+        """Enters a sequence's first SLOTS pieces into the table of all sequences, which is tried before the others."""
         shown = self.members[at][:SLOTS]
         self.shown[at] = shown
+        self.known.pop(at, None)
         self.size[at] = 0
         self.size[at, :len(shown)] = [self.lengths[i] for i in shown]
         self.full[at] = self.fill[at]
@@ -204,6 +205,47 @@ class Bins:
         shown = self.shown[take]
         return take, out, [[], [shown[place]] if kind == 1 else [], [shown[i] for i in PAIRS[place]] if kind == 2 else []][kind]
 
+    def choices(self, at: int) -> list[tuple[np.ndarray, list[list[int]]]]:
+        """A sequence's single pieces and its pairs of pieces, one for each different sum, each with their sums."""
+        if at not in self.known:
+            left = sorted(self.members[at], key=lambda i: self.lengths[i])
+            # A length that occurs twice makes a pair with itself; more of it make no new sum.
+            few = [i for n, i in enumerate(left) if n < 2 or self.lengths[left[n - 2]] < self.lengths[i]]
+            ones = {self.lengths[i]: [i] for i in few}
+            twos = {self.lengths[i] + self.lengths[j]: [i, j] for n, i in enumerate(few) for j in few[n + 1:]}
+            self.known[at] = [(np.array(list(x), np.int64), list(x.values())) for x in (ones, twos)]
+        return self.known[at]
+
+    def wide_step(self, give: int) -> tuple[int, list[int], list[int]] | None:
+        """As ``best_step``, with the pieces beyond the first SLOTS, of all sequences with room; the most promising first."""
+        g = int(self.full[give])
+        room = np.flatnonzero((self.full > 0) & (self.full < SEQUENCE))
+        wide = len(self.members[give]) > SLOTS
+        room = np.array([t for t in room.tolist() if t != give and (wide or len(self.members[t]) > SLOTS)], np.int64)
+        if not len(room):
+            return None
+        mine = self.choices(give)
+        gap = SEQUENCE - self.full[room]
+        most = np.minimum(gap, max(int(sums.max()) for sums, _ in mine if len(sums)))
+        bound = 2 * most * (self.full[room] - g + most)
+        best, step = 0, None
+        for spot in np.argsort(-bound, kind="stable").tolist():
+            if bound[spot] <= best:
+                break
+            take = int(room[spot])
+            (one_sums, ones), (two_sums, twos) = self.choices(take)
+            singles, doubles = np.append(0, one_sums), np.concatenate([[0], one_sums, two_sums])
+            backs = [[], *ones, *twos]
+            for (sums, outs), back_sums in zip(mine, (doubles, singles)):
+                if not len(sums):
+                    continue
+                d = sums[:, None] - back_sums
+                gain = np.where((d > 0) & (d <= gap[spot]), 2 * d * (int(self.full[take]) - g + d), 0)
+                out, back = divmod(int(gain.argmax()), gain.shape[1])
+                if gain[out, back] > best:
+                    best, step = int(gain[out, back]), (take, outs[out], backs[back])
+        return step
+
     def improve(self) -> None:
         """Steps from the emptiest sequences on, until none helps; every step raises the sum of squared fills.
 
@@ -215,6 +257,7 @@ class Bins:
         if count <= fewest:
             return
         self.shown: list[list[int]] = [[] for _ in range(count)]
+        self.known: dict[int, list[tuple[np.ndarray, list[list[int]]]]] = {}
         self.size = np.zeros((count, SLOTS), np.int64)
         self.full = np.zeros(count, np.int64)
         for at in range(count):
@@ -226,7 +269,7 @@ class Bins:
         while moved:
             moved = False
             for give in np.argsort(self.full, kind="stable").tolist():
-                while 0 < self.full[give] < SEQUENCE and (step := self.best_step(give)):
+                while 0 < self.full[give] < SEQUENCE and (step := self.best_step(give) or self.wide_step(give)):
                     take, out, back = step
                     for a, b, pieces_ in ((give, take, out), (take, give, back)):
                         for piece in pieces_:
