@@ -50,8 +50,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, item_id and the place and size of the overlap for every document that holds a benchmark passage."""
-    return decontaminate.overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    """doc_id, item_id and the place and size of the overlap for every document that holds an item, however short."""
+    return decontaminate.overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), shortest=1)
 
 
 #: The extra conversation whose texts are control strings.
