@@ -27,27 +27,43 @@ MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1
 TYPES = ("boolean", "int", "bigint", "double", "date", "timestamp")
 
 
+def _bits(*names: str) -> int:
+    return sum(1 << TYPES.index(name) for name in names)
+
+
+def _trimmed_bits(text: Column) -> Column:
+    """``type_bits`` of a text without outer spaces.
+
+    No text has two of the forms (a whole number is a number, a day a moment), so each is tried only where those before it
+    failed; digits, signs and the point sort before ``:``, the letters of truth values after it.
+    """
+    whole = F.when(text.try_cast("int").isNotNull(), _bits("int", "bigint", "double")).when(
+        text.try_cast("bigint").isNotNull(), _bits("bigint", "double")).otherwise(0)
+    number = F.when(F.abs(text.try_cast("double")) != float("inf"), _bits("double")).otherwise(0)
+    moment = F.when(text.try_cast("timestamp").isNotNull(), _bits("timestamp")).otherwise(0) + F.when(
+        text.rlike(DAY) & text.try_cast("date").isNotNull(), _bits("date")).otherwise(0)
+    letters = F.when(text.rlike(TRUTH), _bits("boolean")).otherwise(0)
+    return F.when(text == "", None).when(text >= ":", letters).when(text.rlike(WHOLE), whole).when(
+        text.rlike(NUMBER), number).when(text.rlike(MOMENT), moment).when(text.isNotNull(), 0)
+
+
 def type_bits(c: str | Column) -> Column:
     """The types that one text can be read as, as bits; null for a null or blank one."""
-    text = F.trim(F.col(c) if isinstance(c, str) else c)
-    whole = text.rlike(WHOLE)
-    fits_long = text.try_cast("bigint").isNotNull()
-    holds = {
-        "boolean": text.rlike(TRUTH),
-        "int": whole & text.try_cast("int").isNotNull(),
-        "bigint": whole & fits_long,
-        "double": text.rlike(NUMBER) & (~whole | fits_long) & ~F.abs(text.try_cast("double")).isin(float("inf")),
-        "date": text.rlike(DAY) & text.try_cast("date").isNotNull(),
-        "timestamp": text.rlike(MOMENT) & text.try_cast("timestamp").isNotNull(),
-    }
-    bits = F.lit(0)
-    for place, name in enumerate(TYPES):
-        bits = bits + F.when(holds[name], 1 << place).otherwise(0)
-    return F.when(text != "", bits)
+    return _trimmed_bits(F.trim(F.col(c) if isinstance(c, str) else c))
+
+
+def type_bits_array(cols: Sequence[str]) -> Column:
+    """``type_bits`` of several columns in their order, as one array.
+
+    One function runs over the values, so the code that Spark generates does not grow with the columns. To share the bits
+    of a column with ``observe``, select this first: what ``observe`` itself has to compute is evaluated row by row without
+    generated code.
+    """
+    return F.transform(F.transform(F.array(*[F.col(c) for c in cols]), lambda text: F.trim(text)), _trimmed_bits)
 
 
 def shared_bits(c: str | Column) -> Column:
-    """Aggregate: the types that all values of a column share; null without a value. Can ride on ``observe``."""
+    """Aggregate: the types that all values of a column share; null without a value."""
     return F.bit_and(type_bits(c))
 
 

@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from scrubjay.functions.inference import narrowest, shared_bits
+from scrubjay.functions.inference import narrowest, type_bits_array
 from scrubjay.functions.quantiles import exact_quantiles, key_table, select_keys, value_key
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
@@ -183,31 +183,34 @@ def ingest_students(spark: SparkSession, csv_path: str, path: str, infer: bool =
     """
     text = files.snake_case_columns(files.read_csv(spark, csv_path, multi_line=False))
     cols = text.columns
-    cast = {c: F.trim(c).try_cast(t) for c, t in STUDENT_CAST_PLAN.items()}
+    cast = {c: F.col(f"cast_{c}") for c in STUDENT_CAST_PLAN}
     refused = cast[STUDENT_KEY].isNull()
     reason = F.when(F.col(STUDENT_KEY).isNull() | (F.trim(STUDENT_KEY) == ""), "id missing").otherwise("id not a number")
     seen, left = Observation(), Observation()
-    counted = text.observe(
-        seen, F.count(F.lit(1)).alias("input"), F.count_if(refused).alias("refused"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in cols],
-        *[shared_bits(c).alias(f"bits_{c}") for c in cols if infer],
-        *[F.count_if(F.col(c).isNotNull() & cast[c].isNull()).alias(f"bad_{c}") for c in STUDENT_CAST_PLAN])
+    # The casts and the types are columns before they are observed: an observation only counts, each cast runs once. A
+    # failed cast is a value without a cast one.
+    counted = text.select(
+        *cols, *[F.trim(c).try_cast(t).alias(f"cast_{c}") for c, t in STUDENT_CAST_PLAN.items()],
+        *([type_bits_array(cols).alias("type_bits")] if infer else [])).observe(
+        seen, F.count(F.lit(1)).alias("input"), *[F.count(c).alias(f"texts_{c}") for c in cols],
+        *[F.bit_and(F.col("type_bits")[i]).alias(f"bits_{c}") for i, c in enumerate(cols) if infer],
+        *[F.count(cast[c]).alias(f"casts_{c}") for c in STUDENT_CAST_PLAN])
     routed = cut_lineage(counted.select(
         F.when(refused, "rejects").otherwise("rows").alias("route"), F.when(refused, reason).alias("reject_reason"),
-        *[F.when(refused, F.col(c)).alias(f"text_{c}") for c in cols],
+        F.when(refused, F.array(*cols)).alias("refused_texts"),
         *[F.when(~refused, cast.get(c, F.col(c))).alias(c) for c in cols]), "students-routed", partition_by=["route"])
     rejects = files.save_table(routed.where("route = 'rejects'").select(
-        *[F.col(f"text_{c}").alias(c) for c in cols], "reject_reason"), path=f"{path}/rejects")
+        *[F.col("refused_texts")[i].alias(c) for i, c in enumerate(cols)], "reject_reason"), path=f"{path}/rejects")
     cleaned = clean_students(routed.where("route = 'rows'").select(*cols))
     table = files.save_table(cleaned.observe(left, F.count(F.lit(1)).alias("kept"), *[
-        F.count_if(F.col(c).isNull()).alias(f"left_{c}") for c in cols]), path=f"{path}/table")
+        F.count(c).alias(f"values_{c}") for c in cols]), path=f"{path}/table")
     before, after = seen.get, left.get
-    rows = [("input rows", None, before["input"]), ("rejected rows", None, before["refused"]),
-            ("kept rows", None, after["kept"]),
-            ("duplicate rows", None, before["input"] - before["refused"] - after["kept"])]
-    rows += [("input nulls", c, before[f"null_{c}"]) for c in cols]
-    rows += [("failed casts", c, before[f"bad_{c}"]) for c in STUDENT_CAST_PLAN]
-    rows += [("nulls left", c, after[f"left_{c}"]) for c in cols]
+    with_id = before[f"casts_{STUDENT_KEY}"]
+    rows = [("input rows", None, before["input"]), ("rejected rows", None, before["input"] - with_id),
+            ("kept rows", None, after["kept"]), ("duplicate rows", None, with_id - after["kept"])]
+    rows += [("input nulls", c, before["input"] - before[f"texts_{c}"]) for c in cols]
+    rows += [("failed casts", c, before[f"texts_{c}"] - before[f"casts_{c}"]) for c in STUDENT_CAST_PLAN]
+    rows += [("nulls left", c, after["kept"] - after[f"values_{c}"]) for c in cols]
     return Ingest(table, rejects, spark.createDataFrame(rows, "item string, column_name string, rows bigint"),
                   {c: narrowest(before[f"bits_{c}"]) for c in cols if infer})
 

@@ -150,3 +150,23 @@ def test_cut_lineage_observed_metrics(spark):
     out, m = cut_lineage_observed(df, {"rows": F.count(F.lit(1)), "nulls": F.count_if(F.col("x").isNull())}, "t-obs")
     assert m == {"rows": 100, "nulls": 25}
     assert out.count() == 100
+
+
+def test_ingest_observes_columns_only(spark, monkeypatch):
+    """Casts and types are computed before they are observed, each refused row's texts are one column, nothing else is odd."""
+    csv = pipelines.write_raw_csv(fixtures.outcomes_raw(spark, SF_SMALL), scratch_path(spark, "t-observed"))
+    routed, cut = [], pipelines.cut_lineage
+    monkeypatch.setattr(pipelines, "cut_lineage", lambda df, *a, **kw: (routed.append(df), cut(df, *a, **kw))[1])
+    monkeypatch.setattr(files, "save_table", lambda df, path: (routed.append(df), df)[1] if path.endswith("rejects")
+                        else pytest.fail("far enough"))
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        with pytest.raises(pytest.fail.Exception, match="far enough"):
+            pipelines.ingest_students(spark, csv, scratch_path(spark, "t-observed-clean"), infer=True)
+        plan = routed[0]._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
+    observed, = [line.lower() for line in plan.splitlines() if "CollectMetrics" in line]
+    assert observed.count("bit_and") == 18 and "rlike" not in observed and "cast(" not in observed
+    assert len(routed[0].columns) == 21
