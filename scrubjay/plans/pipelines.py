@@ -19,7 +19,7 @@ from scrubjay.functions.quantiles import exact_quantiles, key_table, select_keys
 from scrubjay.functions.text import category_token
 from scrubjay.operators import clean, outliers, quality
 from scrubjay.operators.features import student_features
-from scrubjay.session import cut_lineage
+from scrubjay.session import cut_lineage, cut_lineage_observed
 from scrubjay.sources import files
 
 # --- flights -----------------------------------------------------------------------
@@ -136,14 +136,17 @@ def student_rows(df: DataFrame, reads: Sequence[str] = STUDENT_NUMBERS) -> DataF
 def clean_students(df: DataFrame) -> DataFrame:
     """The whole cleaned table: dedup by id (keep first) -> fill -> standardise -> features -> IQR flag.
 
-    The deduplicated rows feed the statistics and the output, so they are written once below the checkpoint folder. The
-    order keys of their numbers are written once too; all medians come from them, and then the quartiles of the filled
-    hours, whose gaps count as their median.
+    The deduplicated rows feed the statistics and the output, so they are written once below the checkpoint folder, and
+    their gaps are counted on the way. The order keys of the hours and of the numbers with gaps are written once too; all
+    medians come from them, and then the quartiles of the filled hours, whose gaps count as their median.
     """
     hours = "weekly_genai_hours"
-    deduped = cut_lineage(clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True), "students-dedup")
-    keys, nulls = key_table(deduped, STUDENT_NUMBERS)
-    found = select_keys(keys, {c: [0.5] for c in STUDENT_NUMBERS if nulls[c]})
+    deduped, nulls = cut_lineage_observed(
+        clean.dedup_keep_first(df, [STUDENT_KEY], STUDENT_ORDER, total_order=True),
+        {c: F.count_if(F.col(c).isNull()) for c in STUDENT_NUMBERS}, "students-dedup")
+    gappy = [c for c in STUDENT_NUMBERS if nulls[c]]
+    keys, _ = key_table(deduped, list(dict.fromkeys([hours, *gappy])))
+    found = select_keys(keys, {c: [0.5] for c in gappy})
     medians = {c: v[0] for c, v in found.items()}
     if medians.get(hours) is not None:
         keys = keys.select(F.coalesce(hours, F.lit(value_key(medians[hours]))).alias(hours))

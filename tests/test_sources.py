@@ -170,3 +170,19 @@ def test_ingest_observes_columns_only(spark, monkeypatch):
     observed, = [line.lower() for line in plan.splitlines() if "CollectMetrics" in line]
     assert observed.count("bit_and") == 18 and "rlike" not in observed and "cast(" not in observed
     assert len(routed[0].columns) == 21
+
+
+def test_order_keys_only_of_numbers_with_gaps_and_of_the_hours(spark, monkeypatch):
+    rows = fixtures.outcomes(spark, SF_SMALL)
+    asked, table = [], pipelines.key_table
+    monkeypatch.setattr(pipelines, "key_table", lambda df, cols: (asked.append(list(cols)), table(df, cols))[1])
+    hours, others = "weekly_genai_hours", [c for c in pipelines.STUDENT_NUMBERS if c != "weekly_genai_hours"]
+    whole = pipelines.clean_students(rows)
+    dedup = rows.count()
+    gap = F.when(F.col("student_id") % 3 != 0, F.col("post_semester_gpa")).alias("post_semester_gpa")
+    some = pipelines.clean_students(rows.select(*[gap if c == "post_semester_gpa" else c for c in rows.columns]))
+    median = whole.where("student_id % 3 <> 0").agg(F.percentile("post_semester_gpa", F.lit(0.5))).first()[0]
+    filled = some.where("student_id % 3 = 0").select("post_semester_gpa").distinct().collect()
+    assert asked == [[hours], [hours, "post_semester_gpa"]] and len(others) == 7 and dedup > 0
+    assert [r[0] for r in filled] == [pytest.approx(median)]
+    assert some.agg(F.sum("genai_hours_outlier_flag")).first() == whole.agg(F.sum("genai_hours_outlier_flag")).first()
