@@ -186,3 +186,21 @@ def test_order_keys_only_of_numbers_with_gaps_and_of_the_hours(spark, monkeypatc
     assert asked == [[hours], [hours, "post_semester_gpa"]] and len(others) == 7 and dedup > 0
     assert [r[0] for r in filled] == [pytest.approx(median)]
     assert some.agg(F.sum("genai_hours_outlier_flag")).first() == whole.agg(F.sum("genai_hours_outlier_flag")).first()
+
+
+@pytest.mark.parametrize("query", ["fill_median_approx", "mean_vs_median"])
+def test_delays_are_joined_once(spark, monkeypatch, query):
+    from scrubjay.plans import catalog
+    made, rows = fixtures.shipments, spark.sparkContext.accumulator(0)
+
+    def watched(session, d):
+        df = made(session, d)
+
+        def look(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(look, df.schema)
+    monkeypatch.setattr(fixtures, "shipments", watched)
+    out = catalog.QUERIES[query](spark, SF_SMALL).collect()
+    assert all(r.within_bound for r in out) and rows.value == made(spark, SF_SMALL).count() > 0
