@@ -153,7 +153,7 @@ def test_cut_lineage_observed_metrics(spark):
 
 
 def test_ingest_observes_columns_only(spark, monkeypatch):
-    """Casts and types are computed before they are observed, each refused row's texts are one column, nothing else is odd."""
+    """Casts and types are computed before they are observed; the texts of a refused row are one column."""
     csv = pipelines.write_raw_csv(fixtures.outcomes_raw(spark, SF_SMALL), scratch_path(spark, "t-observed"))
     routed, cut = [], pipelines.cut_lineage
     monkeypatch.setattr(pipelines, "cut_lineage", lambda df, *a, **kw: (routed.append(df), cut(df, *a, **kw))[1])
@@ -176,14 +176,13 @@ def test_order_keys_only_of_numbers_with_gaps_and_of_the_hours(spark, monkeypatc
     rows = fixtures.outcomes(spark, SF_SMALL)
     asked, table = [], pipelines.key_table
     monkeypatch.setattr(pipelines, "key_table", lambda df, cols: (asked.append(list(cols)), table(df, cols))[1])
-    hours, others = "weekly_genai_hours", [c for c in pipelines.STUDENT_NUMBERS if c != "weekly_genai_hours"]
+    hours = "weekly_genai_hours"
     whole = pipelines.clean_students(rows)
-    dedup = rows.count()
     gap = F.when(F.col("student_id") % 3 != 0, F.col("post_semester_gpa")).alias("post_semester_gpa")
     some = pipelines.clean_students(rows.select(*[gap if c == "post_semester_gpa" else c for c in rows.columns]))
     median = whole.where("student_id % 3 <> 0").agg(F.percentile("post_semester_gpa", F.lit(0.5))).first()[0]
     filled = some.where("student_id % 3 = 0").select("post_semester_gpa").distinct().collect()
-    assert asked == [[hours], [hours, "post_semester_gpa"]] and len(others) == 7 and dedup > 0
+    assert asked == [[hours], [hours, "post_semester_gpa"]]
     assert [r[0] for r in filled] == [pytest.approx(median)]
     assert some.agg(F.sum("genai_hours_outlier_flag")).first() == whole.agg(F.sum("genai_hours_outlier_flag")).first()
 
